@@ -273,3 +273,135 @@ def curate(staged: dict[str, DataFrame], **options) -> dict[str, DataFrame]:
             **options,
         ),
     }
+
+
+# ---------------------------------------------------------------------------
+# The data-quality rulesets of the curated layer, as written
+# for the source system (27 + 28 + 14 + 14 rules).
+# ---------------------------------------------------------------------------
+RULESET_TEXT = {
+    "fato_consultas_procedimentos": """
+        Rules = [
+            ColumnExists "id_fato",
+            ColumnExists "id_paciente",
+            ColumnExists "id_profissional",
+            ColumnExists "data_evento",
+            ColumnExists "tipo_evento",
+            ColumnExists "diagnostico",
+            ColumnExists "procedimento",
+            ColumnExists "custo_estimado",
+            ColumnExists "id_hospital",
+
+            IsComplete "id_fato",
+            IsComplete "id_paciente",
+            IsComplete "id_profissional",
+            IsComplete "data_evento",
+            IsComplete "procedimento",
+
+            ColumnDataType "id_fato" = "int",
+            ColumnDataType "id_paciente" = "int",
+            ColumnDataType "id_profissional" = "string",
+            ColumnDataType "data_evento" = "date",
+            ColumnDataType "tipo_evento" = "string",
+            ColumnDataType "diagnostico" = "string",
+            ColumnDataType "procedimento" = "string",
+            ColumnDataType "custo_estimado" = "double",
+            ColumnDataType "id_hospital" = "string",
+
+            RowCount > 0,
+
+            CustomSql "SELECT id_fato FROM primary GROUP BY id_fato HAVING COUNT(*) > 1",
+            CustomSql "SELECT custo_estimado FROM primary WHERE custo_estimado < 0",
+            CustomSql "SELECT data_evento FROM primary WHERE data_evento > current_date"
+        ]
+    """,
+    "fato_exames_receitas": """
+        Rules = [
+            ColumnExists "id_evento",
+            ColumnExists "id_consulta",
+            ColumnExists "id_paciente",
+            ColumnExists "id_profissional",
+            ColumnExists "id_hospital",
+            ColumnExists "tipo_evento",
+            ColumnExists "descricao",
+            ColumnExists "data",
+            ColumnExists "custo",
+
+            IsComplete "id_evento",
+            IsComplete "id_consulta",
+            IsComplete "id_paciente",
+            IsComplete "tipo_evento",
+            IsComplete "descricao",
+            IsComplete "data",
+
+            ColumnDataType "id_evento" = "int",
+            ColumnDataType "id_consulta" = "int",
+            ColumnDataType "id_paciente" = "int",
+            ColumnDataType "id_profissional" = "int",
+            ColumnDataType "id_hospital" = "int",
+            ColumnDataType "tipo_evento" = "string",
+            ColumnDataType "descricao" = "string",
+            ColumnDataType "data" = "date",
+            ColumnDataType "custo" = "double",
+
+            RowCount > 0,
+
+            CustomSql "SELECT id_evento FROM primary GROUP BY id_evento HAVING COUNT(*) > 1",
+            CustomSql "SELECT custo FROM primary WHERE custo < 0",
+            CustomSql "SELECT data FROM primary WHERE data > current_date"
+        ]
+    """,
+    "dim_hospital": """
+        Rules = [
+            ColumnExists "id_hospital",
+            ColumnExists "nome",
+            ColumnExists "cidade",
+            ColumnExists "estado",
+
+            IsComplete "id_hospital",
+            IsComplete "nome",
+            IsComplete "cidade",
+            IsComplete "estado",
+
+            ColumnDataType "id_hospital" = "int",
+            ColumnDataType "nome" = "string",
+            ColumnDataType "cidade" = "string",
+            ColumnDataType "estado" = "string",
+
+            RowCount > 0,
+
+            CustomSql "SELECT id_hospital FROM primary GROUP BY id_hospital HAVING COUNT(*) > 1"
+        ]
+    """,
+    "dim_profissional": """
+        Rules = [
+            ColumnExists "id_profissional",
+            ColumnExists "nome",
+            ColumnExists "especialidade",
+            ColumnExists "crm",
+
+            IsComplete "id_profissional",
+            IsComplete "nome",
+            IsComplete "crm",
+
+            ColumnDataType "id_profissional" = "int",
+            ColumnDataType "nome" = "string",
+            ColumnDataType "especialidade" = "string",
+            ColumnDataType "crm" = "string",
+
+            RowCount > 0,
+
+            CustomSql "SELECT id_profissional FROM primary GROUP BY id_profissional HAVING COUNT(*) > 1",
+            CustomSql "SELECT crm FROM primary WHERE LENGTH(crm) < 4"
+        ]
+    """,
+}
+
+# Evaluation context of each table's outcomes.
+CONTEXT_PREFIX = "dh_genai_hospital_"
+
+
+def rulesets():
+    from strata.operators.quality import load_rules
+
+    return {name: load_rules(text, name) for name, text in RULESET_TEXT.items()}

@@ -12,12 +12,10 @@ from __future__ import annotations
 STAGED_CTES = """
 lines AS (
   SELECT l_orderkey, l_linenumber, l_orderkey * 10 + l_linenumber AS line_id,
-         l_shipdate, l_partkey, l_suppkey, l_returnflag, l_linestatus, l_quantity
-  FROM (SELECT *, row_number() OVER (
-          PARTITION BY l_orderkey, l_linenumber
-          ORDER BY l_shipdate, l_partkey, l_suppkey, l_returnflag, l_linestatus, l_quantity) AS rn
-        FROM lineitem) t
-  WHERE rn = 1),
+         min(l_shipdate) AS l_shipdate, min(l_partkey) AS l_partkey, min(l_suppkey) AS l_suppkey,
+         chr(min(ascii(l_returnflag))) AS l_returnflag, chr(min(ascii(l_linestatus))) AS l_linestatus,
+         min(l_quantity) AS l_quantity
+  FROM lineitem GROUP BY l_orderkey, l_linenumber),
 hospitais AS (
   SELECT TRY_CAST(s_suppkey AS INTEGER) AS id_hospital, s_name AS nome, n_name AS cidade, r_name AS estado
   FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey
@@ -112,3 +110,76 @@ def with_curated(body: str) -> str:
 
 def with_tutorial(body: str) -> str:
     return f"WITH {TUTORIAL_CTES}\n{body}"
+
+
+_DUCK_TYPES = "CASE {t} WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string' WHEN 'DATE' THEN 'date' " \
+    "WHEN 'DOUBLE' THEN 'double' WHEN 'BIGINT' THEN 'bigint' ELSE lower({t}) END"
+
+
+def _q(s: str | None) -> str:
+    return "NULL" if s is None else "'" + s.replace("'", "''") + "'"
+
+
+def dq_outcome_selects(table: str, rules, context: str) -> list[str]:
+    """One DuckDB SELECT per rule, giving the outcome row of that rule."""
+    out = []
+    head = f"{_q(context)} AS context, {_q(table)} AS \"table\""
+    for r in rules:
+        meta = f"{head}, {_q(r.text)} AS rule, {_q(r.kind)} AS rule_type, CAST({_q(r.column)} AS VARCHAR) AS \"column\""
+        if r.kind == "ColumnExists":
+            out.append(
+                f"SELECT {meta}, CASE WHEN count({r.column}) >= 0 THEN 'Passed' END AS outcome, "
+                f"CAST(NULL AS DOUBLE) AS actual, CAST(NULL AS BIGINT) AS violations, "
+                f"CAST(NULL AS VARCHAR) AS reason FROM {table}"
+            )
+        elif r.kind == "ColumnDataType":
+            mapped = _DUCK_TYPES.format(t=f"(SELECT typeof({r.column}) FROM {table} LIMIT 1)")
+            out.append(
+                f"SELECT {meta}, CASE WHEN {mapped} = {_q(str(r.value))} THEN 'Passed' ELSE 'Failed' END, "
+                f"CAST(NULL AS DOUBLE), CAST(NULL AS BIGINT), "
+                f"CASE WHEN {mapped} <> {_q(str(r.value))} THEN 'type is ' || {mapped} || ', expected {r.value}' END"
+            )
+        elif r.kind == "IsComplete":
+            nulls = f"(count(*) - count({r.column}))"
+            out.append(
+                f"SELECT {meta}, CASE WHEN {nulls} = 0 THEN 'Passed' ELSE 'Failed' END, "
+                f"CASE WHEN count(*) > 0 THEN round(count({r.column}) / count(*), 6) END, "
+                f"CAST({nulls} AS BIGINT), "
+                f"CASE WHEN {nulls} > 0 THEN printf('%d of %d values are NULL', {nulls}, count(*)) END "
+                f"FROM {table}"
+            )
+        elif r.kind == "RowCount":
+            v = r.text.split()[-1]
+            op = "<>" if r.op == "!=" else r.op
+            out.append(
+                f"SELECT {meta}, CASE WHEN count(*) {op} {v} THEN 'Passed' ELSE 'Failed' END, "
+                f"CAST(count(*) AS DOUBLE), CAST(NULL AS BIGINT), "
+                f"CASE WHEN NOT (count(*) {op} {v}) THEN printf('row count %d is not {r.op} {v}', count(*)) END "
+                f"FROM {table}"
+            )
+        elif r.kind == "CustomSql":
+            inner = r.sql.replace("FROM primary", f"FROM {table}")
+            n = f"(SELECT count(*) FROM ({inner}) v)"
+            out.append(
+                f"SELECT {meta}, CASE WHEN {n} = 0 THEN 'Passed' ELSE 'Failed' END, CAST({n} AS DOUBLE), "
+                f"CAST({n} AS BIGINT), CASE WHEN {n} > 0 THEN printf('%d rows selected', {n}) END"
+            )
+    return out
+
+
+def dq_outcomes_sql(rulesets: dict, context_prefix: str) -> str:
+    selects = []
+    for name, rs in rulesets.items():
+        selects += dq_outcome_selects(name, rs.rules, context_prefix + name)
+    return with_curated("\nUNION ALL\n".join(selects))
+
+
+def completeness_sql(tables: dict[str, list[str]]) -> str:
+    selects = []
+    for t, cols in tables.items():
+        for c in cols:
+            selects.append(
+                f"SELECT '{t}' AS \"table\", '{c}' AS \"column\", count(*) AS \"rows\", "
+                f"count(*) - count({c}) AS nulls FROM {t}"
+            )
+    return with_curated("\nUNION ALL\n".join(selects))

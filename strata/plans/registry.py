@@ -240,3 +240,55 @@ def insured_category(spark, sf_dir):
 @register("vip_balance", O.with_tutorial("SELECT * FROM customers WHERE Vip = 'yes' AND Balance > 200"))
 def vip_balance(spark, sf_dir):
     return P.vip_balance(S.raw_customers(spark, sf_dir), 200)
+
+
+# ---------------------------------------------------------- data quality ---
+from strata.operators import quality as Q  # noqa: E402
+from strata.plans.hospital import CONTEXT_PREFIX, CURATED_TABLES, rulesets  # noqa: E402
+
+_CURATED_COLUMNS = {
+    "dim_hospital": ["id_hospital", "nome", "cidade", "estado"],
+    "dim_profissional": ["id_profissional", "nome", "especialidade", "crm"],
+    "fato_consultas_procedimentos": [
+        "id_fato", "id_paciente", "id_profissional", "data_evento", "tipo_evento",
+        "diagnostico", "procedimento", "custo_estimado", "id_hospital",
+    ],
+    "fato_exames_receitas": [
+        "id_evento", "id_consulta", "id_paciente", "id_profissional", "id_hospital",
+        "tipo_evento", "descricao", "data", "custo",
+    ],
+}
+
+
+@register("dq_outcomes", O.dq_outcomes_sql(rulesets(), CONTEXT_PREFIX))
+def dq_outcomes(spark, sf_dir):
+    """All 83 rules on the four curated tables: one row per rule."""
+    return Q.evaluate_all(S.checkpointed_curated(spark, sf_dir), rulesets(), CONTEXT_PREFIX)
+
+
+@register("dq_completeness", O.completeness_sql(_CURATED_COLUMNS))
+def dq_completeness(spark, sf_dir):
+    cur = S.checkpointed_curated(spark, sf_dir)
+    frames = [Q.completeness(cur[t], t) for t in CURATED_TABLES]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def _rule_rows(table: str, sql: str) -> Query:
+    def run(spark, sf_dir):
+        return Q.violations(S.curated_tables(spark, sf_dir)[table], sql)
+
+    return run
+
+
+_RULE_QUERIES = {
+    "dq_duplicate_events": ("fato_exames_receitas", "SELECT id_evento FROM primary GROUP BY id_evento HAVING COUNT(*) > 1"),
+    "dq_duplicate_facts": ("fato_consultas_procedimentos", "SELECT id_fato FROM primary GROUP BY id_fato HAVING COUNT(*) > 1"),
+    "dq_negative_cost": ("fato_exames_receitas", "SELECT custo FROM primary WHERE custo < 0"),
+    "dq_future_dates": ("fato_consultas_procedimentos", "SELECT data_evento FROM primary WHERE data_evento > current_date"),
+    "dq_short_codes": ("dim_profissional", "SELECT crm FROM primary WHERE LENGTH(crm) < 4"),
+}
+for _name, (_t, _sql) in _RULE_QUERIES.items():
+    register(_name, O.with_curated(_sql.replace("FROM primary", f"FROM {_t}")))(_rule_rows(_t, _sql))

@@ -33,7 +33,7 @@ import threading
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -142,21 +142,21 @@ def violations(df: DataFrame, sql: str) -> DataFrame:
             spark.catalog.dropTempView("primary")
 
 
-def _as(v, t: str):
-    return v.cast(t) if isinstance(v, Column) else F.lit(v).cast(t)
+def sql_str(v) -> str:
+    """A Spark SQL string literal (or NULL)."""
+    if v is None:
+        return "NULL"
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _row(context, table, rule: Rule, outcome, actual, n_viol, reason):
-    return F.struct(
-        _as(context, "string").alias("context"),
-        _as(table, "string").alias("table"),
-        _as(rule.text, "string").alias("rule"),
-        _as(rule.kind, "string").alias("rule_type"),
-        _as(rule.column, "string").alias("column"),
-        _as(outcome, "string").alias("outcome"),
-        _as(actual, "double").alias("actual"),
-        _as(n_viol, "bigint").alias("violations"),
-        _as(reason, "string").alias("reason"),
+def _row(context, table, rule: Rule, outcome: str, actual: str, n_viol: str, reason: str) -> str:
+    """SQL text of one outcome struct; the value arguments are SQL expressions."""
+    return (
+        f"named_struct('context', {sql_str(context)}, 'table', {sql_str(table)}, "
+        f"'rule', {sql_str(rule.text)}, 'rule_type', {sql_str(rule.kind)}, "
+        f"'column', CAST({sql_str(rule.column)} AS STRING), 'outcome', CAST({outcome} AS STRING), "
+        f"'actual', CAST({actual} AS DOUBLE), 'violations', CAST({n_viol} AS BIGINT), "
+        f"'reason', CAST({reason} AS STRING))"
     )
 
 
@@ -164,54 +164,68 @@ def _schema_type(schema: StructType, column: str) -> str | None:
     return schema[column].dataType.simpleString() if column in schema.fieldNames() else None
 
 
+def _quoted(c: str) -> str:
+    return "`" + c.replace("`", "``") + "`"
+
+
 def evaluate(df: DataFrame, ruleset: Ruleset, context: str | None = None) -> DataFrame:
-    """Outcome rows (``OUTCOME_SCHEMA``) of every rule of ``ruleset`` on ``df``."""
+    """Outcome rows (``OUTCOME_SCHEMA``) of every rule of ``ruleset`` on ``df``.
+
+    The outcome expressions are generated as SQL text so a ruleset costs a
+    handful of driver calls however many rules it has.
+    """
     context = context or ruleset.table
     table = ruleset.table
     schema = df.schema
     cols = set(schema.fieldNames())
+    passed, failed_ = sql_str(PASSED), sql_str(FAILED)
 
     complete_cols = sorted({r.column for r in ruleset.rules if r.kind == "IsComplete" and r.column in cols})
-    aggs = [F.count(F.lit(1)).alias("__rows")] + [
-        F.count(F.col(f"`{c}`")).alias(f"__nn_{i}") for i, c in enumerate(complete_cols)
+    aggs = ["count(1) AS __rows"] + [
+        f"count({_quoted(c)}) AS __nn_{i}" for i, c in enumerate(complete_cols)
     ]
-    counted = df.agg(*aggs)
-    rows_col = F.col("__rows")
 
     structs = []
     for rule in ruleset.rules:
+        missing = sql_str(f"column {rule.column} not found")
         if rule.kind == "ColumnExists":
             ok = rule.column in cols
-            structs.append(_row(context, table, rule, PASSED if ok else FAILED, None, None,
-                                None if ok else f"column {rule.column} not found"))
+            structs.append(_row(context, table, rule, passed if ok else failed_, "NULL", "NULL",
+                                "NULL" if ok else missing))
         elif rule.kind == "ColumnDataType":
             actual_t = _schema_type(schema, rule.column)
             want = type_name(str(rule.value))
             ok = actual_t == want
-            reason = None if ok else (
-                f"column {rule.column} not found" if actual_t is None else f"type is {actual_t}, expected {want}"
+            reason = "NULL" if ok else (
+                missing if actual_t is None else sql_str(f"type is {actual_t}, expected {want}")
             )
-            structs.append(_row(context, table, rule, PASSED if ok else FAILED, None, None, reason))
+            structs.append(_row(context, table, rule, passed if ok else failed_, "NULL", "NULL", reason))
         elif rule.kind == "IsComplete":
             if rule.column not in cols:
-                structs.append(_row(context, table, rule, FAILED, None, None, f"column {rule.column} not found"))
+                structs.append(_row(context, table, rule, failed_, "NULL", "NULL", missing))
                 continue
-            nn = F.col(f"__nn_{complete_cols.index(rule.column)}")
-            nulls = rows_col - nn
-            frac = F.when(rows_col > 0, F.round(nn / rows_col, 6))
-            outcome = F.when(nulls == 0, F.lit(PASSED)).otherwise(F.lit(FAILED))
-            reason = F.when(
-                nulls > 0, F.format_string("%d of %d values are NULL", nulls, rows_col)
-            )
-            structs.append(_row(context, table, rule, outcome, frac, nulls, reason))
+            nn = f"__nn_{complete_cols.index(rule.column)}"
+            nulls = f"(__rows - {nn})"
+            structs.append(_row(
+                context, table, rule,
+                f"CASE WHEN {nulls} = 0 THEN {passed} ELSE {failed_} END",
+                f"CASE WHEN __rows > 0 THEN round({nn} / __rows, 6) END",
+                nulls,
+                f"CASE WHEN {nulls} > 0 THEN format_string('%d of %d values are NULL', {nulls}, __rows) END",
+            ))
         elif rule.kind == "RowCount":
-            cmp = getattr(rows_col, _OPS[rule.op])(F.lit(rule.value))
-            outcome = F.when(cmp, F.lit(PASSED)).otherwise(F.lit(FAILED))
-            reason = F.when(~cmp, F.format_string(f"row count %d is not {rule.op} {rule.text.split()[-1]}", rows_col))
-            structs.append(_row(context, table, rule, outcome, rows_col, None, reason))
+            threshold = rule.text.split()[-1]
+            cmp = f"(__rows {'<>' if rule.op == '!=' else rule.op} {threshold})"
+            structs.append(_row(
+                context, table, rule,
+                f"CASE WHEN {cmp} THEN {passed} ELSE {failed_} END",
+                "__rows",
+                "NULL",
+                f"CASE WHEN NOT {cmp} THEN format_string('row count %d is not {rule.op} {threshold}', __rows) END",
+            ))
     parts = []
     if structs:
-        parts.append(counted.select(F.inline(F.array(*structs))))
+        parts.append(df.selectExpr(*aggs).selectExpr(f"inline(array({', '.join(structs)}))"))
     for rule in ruleset.rules:
         if rule.kind != "CustomSql":
             continue
@@ -219,17 +233,17 @@ def evaluate(df: DataFrame, ruleset: Ruleset, context: str | None = None) -> Dat
             bad = violations(df, rule.sql)
         except Exception as exc:  # analysis error: a failed rule, not a failed job
             msg = str(exc).splitlines()[0][:500]
-            parts.append(counted.select(F.inline(F.array(
-                _row(context, table, rule, FAILED, None, None, f"statement failed: {msg}")))))
+            row = _row(context, table, rule, failed_, "NULL", "NULL", sql_str(f"statement failed: {msg}"))
+            parts.append(df.selectExpr("count(1) AS __rows").selectExpr(f"inline(array({row}))"))
             continue
-        n = F.col("__bad")
-        outcome = F.when(n == 0, F.lit(PASSED)).otherwise(F.lit(FAILED))
-        reason = F.when(n > 0, F.format_string("%d rows selected", n))
-        parts.append(
-            bad.agg(F.count(F.lit(1)).alias("__bad")).select(
-                F.inline(F.array(_row(context, table, rule, outcome, n, n, reason)))
-            )
+        row = _row(
+            context, table, rule,
+            f"CASE WHEN __bad = 0 THEN {passed} ELSE {failed_} END",
+            "__bad",
+            "__bad",
+            "CASE WHEN __bad > 0 THEN format_string('%d rows selected', __bad) END",
         )
+        parts.append(bad.selectExpr("count(1) AS __bad").selectExpr(f"inline(array({row}))"))
     if not parts:
         return df.sparkSession.createDataFrame([], OUTCOME_SCHEMA)
     return reduce(DataFrame.unionByName, parts)
@@ -262,18 +276,10 @@ def assert_passed(outcomes: DataFrame, fail_on: str = "never") -> None:
 def completeness(df: DataFrame, table: str) -> DataFrame:
     """NULL count of every column in one pass: (table, column, rows, nulls)."""
     names = df.columns
-    counted = df.agg(F.count(F.lit(1)).alias("__rows"), *[F.count(F.col(f"`{c}`")).alias(f"__nn_{i}")
-                                                          for i, c in enumerate(names)])
-    return counted.select(
-        F.inline(
-            F.array(*[
-                F.struct(
-                    F.lit(table).alias("table"),
-                    F.lit(c).alias("column"),
-                    F.col("__rows").alias("rows"),
-                    (F.col("__rows") - F.col(f"__nn_{i}")).alias("nulls"),
-                )
-                for i, c in enumerate(names)
-            ])
-        )
+    aggs = ["count(1) AS __rows"] + [f"count({_quoted(c)}) AS __nn_{i}" for i, c in enumerate(names)]
+    rows = ", ".join(
+        f"named_struct('table', {sql_str(table)}, 'column', {sql_str(c)}, 'rows', __rows, "
+        f"'nulls', __rows - __nn_{i})"
+        for i, c in enumerate(names)
     )
+    return df.selectExpr(*aggs).selectExpr(f"inline(array({rows}))")

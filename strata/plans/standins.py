@@ -217,17 +217,24 @@ def curated_tables(spark: SparkSession, sf_dir: str, **options) -> dict[str, Dat
 
 
 def checkpointed_curated(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Curated tables written once to the shared checkpoint folder.
+    """Curated tables written once as Parquet under the shared checkpoint
+    folder (``spark.checkpoint.dir``) and read back.
 
     Rules and reports scan a table several times; reading the written rows
     avoids re-deriving the star schema for every scan, as a job reading the
-    stored curated layer would.
+    stored curated layer would, and each scan reads only its columns.
     """
+    import uuid
+
     from strata.session import checkpoint_dir
 
     def build():
-        checkpoint_dir(spark)
-        return {name: df.checkpoint(eager=True) for name, df in curated_tables(spark, sf_dir).items()}
+        root = f"{checkpoint_dir(spark).rstrip('/')}/curated-{uuid.uuid4().hex[:12]}"
+        out = {}
+        for name, df in curated_tables(spark, sf_dir).items():
+            df.write.mode("errorifexists").parquet(f"{root}/{name}")
+            out[name] = spark.read.parquet(f"{root}/{name}")
+        return out
 
     return _memo(spark, ("checkpointed", sf_dir), build)
 

@@ -183,3 +183,55 @@ def completeness_sql(tables: dict[str, list[str]]) -> str:
                 f"count(*) - count({c}) AS nulls FROM {t}"
             )
     return with_curated("\nUNION ALL\n".join(selects))
+
+
+def kb_search_sql(k: int, message: str) -> str:
+    msg = message.replace("'", "''")
+    return rf"""
+WITH q AS (
+  SELECT item_id AS qid, unnest(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}]+')) AS term FROM benchmark),
+qt AS (SELECT qid, term, count(*) AS qtf FROM q WHERE term <> '' GROUP BY qid, term),
+d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS toks
+  FROM documents),
+stats AS (SELECT count(*) AS n, avg(len(toks)) AS avgdl FROM d),
+dt AS (SELECT doc_id, len(toks) AS dl, unnest(toks) AS term FROM d),
+tf AS (
+  SELECT doc_id, term, count(*) AS tf, any_value(dl) AS dl FROM dt
+  WHERE term IN (SELECT term FROM qt) GROUP BY doc_id, term),
+dfq AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+idf AS (SELECT term, ln(1 + ((SELECT n FROM stats) - df + 0.5) / (df + 0.5)) AS idf FROM dfq),
+w AS (
+  SELECT tf.doc_id, tf.term,
+         idf.idf * tf.tf * 2.2 / (tf.tf + 1.2 * (0.25 + 0.75 * tf.dl / (SELECT avgdl FROM stats))) AS w
+  FROM tf JOIN idf USING (term)),
+scored AS (
+  SELECT qt.qid, w.doc_id, round(sum(w.w * qt.qtf), 9) AS score
+  FROM w JOIN qt USING (term) GROUP BY qt.qid, w.doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id) AS rnk FROM scored),
+best AS (SELECT * FROM ranked WHERE rnk <= {k})
+SELECT b.item_id, CAST(best.rnk AS INTEGER) AS rank, best.doc_id, best.score,
+       CASE WHEN best.doc_id IS NULL THEN '{msg}' END AS message
+FROM benchmark b LEFT JOIN best ON b.item_id = best.qid"""
+
+
+def kb_search_vec_sql(k: int, message: str) -> str:
+    msg = message.replace("'", "''")
+    return f"""
+WITH e AS (
+  SELECT vec_id, label, unnest(embedding) AS x, unnest(generate_series(0, len(embedding) - 1)) AS pos
+  FROM embeddings),
+comp AS (SELECT label AS qid, pos, avg(x) AS c FROM e GROUP BY label, pos),
+qn AS (SELECT qid, sqrt(sum(c * c)) AS qn FROM comp GROUP BY qid),
+vn AS (SELECT vec_id, sqrt(sum(x * x)) AS vn FROM e GROUP BY vec_id),
+dots AS (SELECT comp.qid, e.vec_id, sum(e.x * comp.c) AS dot FROM e JOIN comp USING (pos) GROUP BY comp.qid, e.vec_id),
+scored AS (
+  SELECT dots.qid, dots.vec_id,
+         round(CASE WHEN vn.vn > 0 AND qn.qn > 0 THEN dot / (vn.vn * qn.qn) END, 9) AS score
+  FROM dots JOIN vn USING (vec_id) JOIN qn USING (qid)),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC NULLS LAST, vec_id) AS rnk FROM scored),
+best AS (SELECT * FROM ranked WHERE rnk <= {k})
+SELECT q.qid, CAST(best.rnk AS INTEGER) AS rank, best.vec_id, best.score,
+       CASE WHEN best.vec_id IS NULL THEN '{msg}' END AS message
+FROM (SELECT DISTINCT qid FROM comp) q LEFT JOIN best USING (qid)"""

@@ -292,3 +292,28 @@ _RULE_QUERIES = {
 }
 for _name, (_t, _sql) in _RULE_QUERIES.items():
     register(_name, O.with_curated(_sql.replace("FROM primary", f"FROM {_t}")))(_rule_rows(_t, _sql))
+
+
+# ------------------------------------------------------------- retrieval ---
+from strata.operators import retrieval as R  # noqa: E402
+
+KB_TOP_K = 3
+VEC_TOP_K = 5
+
+
+@register("kb_search", O.kb_search_sql(KB_TOP_K, R.NOT_FOUND_MESSAGE))
+def kb_search(spark, sf_dir):
+    """Benchmark passages as requests against the whole document collection."""
+    return R.kb_search(
+        S.table(spark, sf_dir, "benchmark"),
+        S.table(spark, sf_dir, "documents"),
+        k=KB_TOP_K,
+        qid="item_id",
+    )
+
+
+@register("kb_search_vec", O.kb_search_vec_sql(VEC_TOP_K, R.NOT_FOUND_MESSAGE))
+def kb_search_vec(spark, sf_dir):
+    """Label centroids as query vectors against every embedding."""
+    emb = S.table(spark, sf_dir, "embeddings")
+    return R.kb_search_vec(R.label_centroids(emb), emb, k=VEC_TOP_K)

@@ -317,3 +317,97 @@ def kb_search_vec(spark, sf_dir):
     """Label centroids as query vectors against every embedding."""
     emb = S.table(spark, sf_dir, "embeddings")
     return R.kb_search_vec(R.label_centroids(emb), emb, k=VEC_TOP_K)
+
+
+# ---------------------------------------------------------------- upsert ---
+from strata.operators.upsert import merged  # noqa: E402
+
+
+def _consultas_batch(cons: DataFrame) -> DataFrame:
+    """An upsert batch: status 'P' consults with a new reason (updates) and
+    status 'O' consults under new negative ids (inserts)."""
+    changed = cons.filter(F.col("diagnostico") == "P").withColumn("motivo", F.lit("revisado"))
+    new = cons.filter(F.col("diagnostico") == "O").withColumn("id_consulta", -(F.col("id_consulta") + 1))
+    return changed.unionByName(new)
+
+
+@register(
+    "upsert_merge",
+    O.with_staged(
+        """, src AS (
+  SELECT id_consulta, id_paciente, id_profissional, data_consulta, 'revisado' AS motivo, diagnostico
+  FROM consultas WHERE diagnostico = 'P'
+  UNION ALL
+  SELECT -(id_consulta + 1), id_paciente, id_profissional, data_consulta, motivo, diagnostico
+  FROM consultas WHERE diagnostico = 'O'),
+s AS (SELECT *, 1 AS from_source FROM src)
+SELECT CASE WHEN s.from_source = 1 THEN s.id_consulta ELSE t.id_consulta END AS id_consulta,
+       CASE WHEN s.from_source = 1 THEN s.id_paciente ELSE t.id_paciente END AS id_paciente,
+       CASE WHEN s.from_source = 1 THEN s.id_profissional ELSE t.id_profissional END AS id_profissional,
+       CASE WHEN s.from_source = 1 THEN s.data_consulta ELSE t.data_consulta END AS data_consulta,
+       CASE WHEN s.from_source = 1 THEN s.motivo ELSE t.motivo END AS motivo,
+       CASE WHEN s.from_source = 1 THEN s.diagnostico ELSE t.diagnostico END AS diagnostico
+FROM consultas t FULL OUTER JOIN s ON t.id_consulta = s.id_consulta"""
+    ),
+)
+def upsert_merge(spark, sf_dir):
+    cons = S.staged_tables(spark, sf_dir)["consultas"]
+    return merged(cons, _consultas_batch(cons), "id_consulta")
+
+
+@register(
+    "upsert_composite_key",
+    O.with_staged(
+        """, src AS (
+  SELECT id_exame, id_consulta, tipo, 'revisado' AS resultado, data FROM exames WHERE tipo = 'imagem'
+  UNION ALL
+  SELECT -id_exame, id_consulta, tipo, resultado, data FROM exames WHERE tipo = 'sangue'),
+s AS (SELECT *, 1 AS from_source FROM src)
+SELECT CASE WHEN s.from_source = 1 THEN s.id_exame ELSE t.id_exame END AS id_exame,
+       CASE WHEN s.from_source = 1 THEN s.id_consulta ELSE t.id_consulta END AS id_consulta,
+       CASE WHEN s.from_source = 1 THEN s.tipo ELSE t.tipo END AS tipo,
+       CASE WHEN s.from_source = 1 THEN s.resultado ELSE t.resultado END AS resultado,
+       CASE WHEN s.from_source = 1 THEN s.data ELSE t.data END AS data
+FROM exames t FULL OUTER JOIN s ON t.id_consulta = s.id_consulta AND t.id_exame = s.id_exame"""
+    ),
+)
+def upsert_composite_key(spark, sf_dir):
+    ex = S.staged_tables(spark, sf_dir)["exames"]
+    changed = ex.filter(F.col("tipo") == "imagem").withColumn("resultado", F.lit("revisado"))
+    new = ex.filter(F.col("tipo") == "sangue").withColumn("id_exame", -F.col("id_exame"))
+    return merged(ex, changed.unionByName(new), "id_consulta,id_exame")
+
+
+# ----------------------------------------------------------- SQL surface ---
+from strata.operators.sqlsurface import sql_run, to_rows_json  # noqa: E402
+
+
+def _global_views(spark, sf_dir) -> str:
+    for name, df in S.curated_tables(spark, sf_dir).items():
+        df.createOrReplaceGlobalTempView(name)
+    return "global_temp"
+
+
+def _sql_query(name: str) -> Query:
+    def run(spark, sf_dir):
+        ns = _global_views(spark, sf_dir)
+        return sql_run(spark, P.SQL[name].format(ns=ns)).df
+
+    return run
+
+
+for _name in ("cost_by_hospital", "events_by_month", "cost_by_procedure"):
+    register(f"sql_{_name}", ORACLE[_name])(_sql_query(_name))
+
+
+@register(
+    "sql_json_rows",
+    O.with_curated(
+        "SELECT to_json(struct_pack(id_evento, id_consulta, id_paciente, id_profissional, id_hospital, "
+        "tipo_evento, descricao, data, custo))::VARCHAR AS row FROM fato_exames_receitas"
+    ),
+)
+def sql_json_rows(spark, sf_dir):
+    """Rows of an ad-hoc query as JSON objects (NULLs kept, ISO dates)."""
+    ns = _global_views(spark, sf_dir)
+    return to_rows_json(sql_run(spark, f"SELECT * FROM {ns}.fato_exames_receitas").df)

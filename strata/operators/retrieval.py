@@ -11,30 +11,37 @@ Plan of ``kb_search`` (documents are the big side, queries the small one):
 1. query tokens -> (qid, term, qtf); their distinct terms form the query
    vocabulary, bounded by the size of the query table and broadcast only
    after its row count has been checked (else joined by shuffle);
-2. document tokens are kept only for query terms (semi join, map side),
-   shuffled once by ``doc_id``; per-document term counts and the per-query
-   sums then run inside that partitioning (no further shuffle by document);
-3. document frequency per query term and the collection statistics
-   (documents, mean length) are small aggregates;
-4. top-k per query is two-stage (``strata.operators.topk``), so a query that
-   matches every document never lands in one task.
+2. documents are tokenised once; tokens are kept only for query terms
+   (semi join, map side) and counted per (document, term), while the same
+   job observes the collection statistics (documents, mean length);
+3. document frequency per query term is a small aggregate; the query side
+   (term, query, idf x count) is bounded by the query table, checked and
+   broadcast;
+4. hash buckets of documents are scored in pandas (``applyInPandas``): per
+   term an outer product of document and query weights, so no row per
+   (query, document, term) is ever created, and each bucket returns only its
+   top ``k`` per query; the final ranking sees ``buckets * k`` rows per query.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from strata.functions.text import tokens
 from strata.operators.topk import top_k
+from strata.session import checkpoint_dir
 
 # Fixed value: the answer given when the knowledge base has nothing.
 NOT_FOUND_MESSAGE = "Nenhuma informação institucional encontrada na base de conhecimento."
 
 BM25_K1 = 1.2
 BM25_B = 0.75
-# Largest query vocabulary / query-vector table that is broadcast; beyond it
-# the same joins run as shuffle joins.
+# Largest query vocabulary / query-weight / query-vector table that is
+# broadcast; beyond it the vocabulary and vector joins run as shuffle joins
+# and text queries must be split into several calls.
 MAX_BROADCAST_ROWS = 2_000_000
 
 
@@ -47,6 +54,65 @@ def _with_fallback(queries: DataFrame, hits: DataFrame, qid: str) -> DataFrame:
     return out.withColumn("message", F.when(F.col("doc_id").isNull(), F.lit(NOT_FOUND_MESSAGE)))
 
 
+def _bm25_bucket_scorer(query_side, k: int, avgdl: float):
+    """pandas function scoring one bucket of documents against all queries.
+
+    ``query_side`` is a broadcast pandas frame (term, qid, weight) with the
+    idf and query term count folded into ``weight``. For every term present
+    in the bucket the document weights and query weights add an outer product
+    into a (documents x queries) score block; nothing is materialised per
+    (query, document, term). Only the bucket's top ``k`` per query leave.
+    """
+    import numpy as np
+    import pandas as pd
+
+    def score(pdf: pd.DataFrame) -> pd.DataFrame:
+        qs = query_side.value
+        if pdf.empty or qs.empty:
+            return pd.DataFrame({"qid": [], "doc_id": [], "score": []})
+        qids = np.sort(qs["qid"].unique())
+        q_index = {q: i for i, q in enumerate(qids)}
+        by_term = {
+            t: (g["qid"].map(q_index).to_numpy(), g["weight"].to_numpy())
+            for t, g in qs.groupby("term", sort=False)
+        }
+        doc_ids, d_idx = np.unique(pdf["doc_id"].to_numpy(), return_inverse=True)
+        tf = pdf["tf"].to_numpy(dtype="float64")
+        dl = pdf["dl"].to_numpy(dtype="float64")
+        w = tf * (BM25_K1 + 1) / (tf + BM25_K1 * ((1 - BM25_B) + BM25_B * dl / (avgdl or 1.0)))
+        scores = np.zeros((len(doc_ids), len(qids)))
+        matched = np.zeros((len(doc_ids), len(qids)), dtype=bool)
+        terms = pdf["term"].to_numpy()
+        order = np.argsort(terms, kind="stable")
+        t_sorted = terms[order]
+        starts = np.flatnonzero(np.r_[True, t_sorted[1:] != t_sorted[:-1]])
+        ends = np.r_[starts[1:], len(order)]
+        for a, b in zip(starts, ends):
+            q = by_term.get(t_sorted[a])
+            if q is None:
+                continue
+            rows = order[a:b]
+            np.add.at(scores, (d_idx[rows][:, None], q[0][None, :]), np.outer(w[rows], q[1]))
+            matched[np.ix_(d_idx[rows], q[0])] = True
+        scores = np.round(scores, 9)
+        out_q, out_d, out_s = [], [], []
+        for j in range(len(qids)):
+            hit = np.flatnonzero(matched[:, j])
+            if hit.size == 0:
+                continue
+            pick = hit[np.lexsort((doc_ids[hit], -scores[hit, j]))[:k]]
+            out_q.append(np.full(pick.size, qids[j]))
+            out_d.append(doc_ids[pick])
+            out_s.append(scores[pick, j])
+        if not out_q:
+            return pd.DataFrame({"qid": [], "doc_id": [], "score": []})
+        return pd.DataFrame(
+            {"qid": np.concatenate(out_q), "doc_id": np.concatenate(out_d), "score": np.concatenate(out_s)}
+        )
+
+    return score
+
+
 def kb_search(
     queries: DataFrame,
     docs: DataFrame,
@@ -55,9 +121,20 @@ def kb_search(
     qtext: str = "text",
     doc_id: str = "doc_id",
     dtext: str = "text",
-    partitions: int | None = None,
+    work_dir: str | None = None,
+    rows_per_bucket: int = 1_000_000,
 ) -> DataFrame:
-    """Top-``k`` documents per query: (qid, rank, doc_id, score, message)."""
+    """Top-``k`` documents per query: (qid, rank, doc_id, score, message).
+
+    Job 1 tokenises every document once, keeps only query terms, counts
+    them per (document, term) and, through ``DataFrame.observe``, measures
+    the collection (documents, tokens). Its output is written under
+    ``work_dir`` (default: the shared checkpoint folder), which also cuts the
+    lineage. Job 2 scores hash buckets of documents with
+    ``applyInPandas`` against the broadcast query weights (row count checked
+    first) and keeps each bucket's top ``k``; the final ranking sees at most
+    ``buckets * k`` rows per query.
+    """
     spark = docs.sparkSession
     q_terms = (
         queries.select(F.col(qid).alias("qid"), F.explode(tokens(qtext)).alias("term"))
@@ -67,36 +144,43 @@ def kb_search(
     vocab = q_terms.select("term").distinct()
     vocab_rows = vocab.count()
 
-    d = docs.select(F.col(doc_id).alias("doc_id"), tokens(dtext).alias("toks"))
-    stats = d.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("toks")).alias("avgdl")).first()
-    n_docs, avgdl = int(stats["n"]), float(stats["avgdl"] or 0.0)
-
-    hits = (
-        d.select("doc_id", F.size("toks").alias("dl"), F.explode("toks").alias("term"))
+    collection = Observation("collection")
+    d = (
+        docs.select(F.col(doc_id).alias("doc_id"), tokens(dtext).alias("toks"))
+        .withColumn("dl", F.size("toks"))
+        .observe(collection, F.count(F.lit(1)).alias("n"), F.count("dl").alias("n_len"),
+                 F.sum("dl").alias("tokens"))
+    )
+    tf = (
+        d.select("doc_id", "dl", F.explode("toks").alias("term"))
         .join(_maybe_broadcast(vocab, vocab_rows), "term", "left_semi")
+        .groupBy("doc_id", "term")
+        .agg(F.count(F.lit(1)).alias("tf"), F.first("dl").alias("dl"))
     )
-    hits = hits.repartition(partitions, "doc_id") if partitions else hits.repartition("doc_id")
-    tf = hits.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"), F.first("dl").alias("dl"))
-    df_t = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    idf = df_t.select(
+    path = f"{(work_dir or checkpoint_dir(spark)).rstrip('/')}/kb-tf-{uuid.uuid4().hex[:12]}"
+    tf.write.mode("errorifexists").parquet(path)
+    stats = collection.get
+    n_docs = int(stats["n"])
+    avgdl = float(stats["tokens"] or 0) / max(int(stats["n_len"]), 1)
+    tf = spark.read.parquet(path)
+
+    idf = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")).select(
         "term", F.log(F.lit(1.0) + (F.lit(n_docs) - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf")
     )
-    norm = F.lit(BM25_K1) * (F.lit(1 - BM25_B) + F.lit(BM25_B) * F.col("dl") / F.lit(avgdl or 1.0))
-    weighted = tf.join(_maybe_broadcast(idf, vocab_rows), "term").select(
-        "doc_id", "term", (F.col("idf") * F.col("tf") * (BM25_K1 + 1) / (F.col("tf") + norm)).alias("w")
-    )
-    scored = (
-        weighted.join(_maybe_broadcast(q_terms, vocab_rows), "term")
-        .groupBy("qid", "doc_id")
-        .agg(F.round(F.sum(F.col("w") * F.col("qtf")), 9).alias("score"))
-    )
-    best = top_k(
-        scored,
-        ["qid"],
-        [F.col("score").desc(), F.col("doc_id").asc()],
-        k,
-        bucket_key="doc_id",
+    q_weights = q_terms.join(idf, "term").select("term", "qid", (F.col("qtf") * F.col("idf")).alias("weight"))
+    q_rows = q_weights.count()
+    if q_rows > MAX_BROADCAST_ROWS:
+        raise ValueError(
+            f"{q_rows} query-term rows exceed the broadcast bound {MAX_BROADCAST_ROWS}; split the queries"
+        )
+    query_side = spark.sparkContext.broadcast(q_weights.toPandas())
+
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-tf.count() // rows_per_bucket))
+    per_bucket = tf.groupBy(F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).alias("bucket")).applyInPandas(
+        _bm25_bucket_scorer(query_side, k, avgdl),
+        schema=f"qid {dict(q_weights.dtypes)['qid']}, doc_id {dict(tf.dtypes)['doc_id']}, score double",
     )
+    best = top_k(per_bucket, ["qid"], [F.col("score").desc(), F.col("doc_id").asc()], k)
     return _with_fallback(queries.select(F.col(qid).alias("qid")), best, "qid").select(
         F.col("qid").alias(qid), "rank", "doc_id", "score", "message"
     )

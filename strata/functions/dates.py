@@ -33,13 +33,42 @@ def _legacy_from_string(s: Column) -> Column:
     return F.when(year >= 1, canonical.try_cast("date"))
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+_LEGACY_PREFIX_SQL = "'^\\\\s*([0-9]+)-([0-9]+)-([0-9]+)'"
+
+
+def parse_date_sql(name: str, mode: str = "cast", source_type=None) -> str:
+    """SQL text of :func:`parse_date` for a column name (one driver call
+    when used in ``selectExpr``)."""
+    c = _q(name)
+    if isinstance(source_type, DateType):
+        return c
+    if isinstance(source_type, (TimestampType, TimestampNTZType)):
+        return f"to_date({c})"
+    if mode == "cast":
+        return f"try_cast({c} AS DATE)"
+    if mode == "legacy":
+        s = c if isinstance(source_type, StringType) else f"try_cast({c} AS STRING)"
+        part = [f"try_cast(regexp_extract({s}, {_LEGACY_PREFIX_SQL}, {i}) AS INT)" for i in (1, 2, 3)]
+        return (
+            f"CASE WHEN {part[0]} >= 1 THEN "
+            f"try_cast(format_string('%04d-%02d-%02d', {part[0]}, {part[1]}, {part[2]}) AS DATE) END"
+        )
+    raise ValueError(f"unknown date mode {mode!r}; use 'cast' or 'legacy'")
+
+
 def parse_date(column: str | Column, mode: str = "cast", source_type=None) -> Column:
     """Parse a raw value into a DATE, NULL when it is not a date.
 
     ``source_type`` is the raw column's Spark type when known; date and
     timestamp inputs are returned as their date in every mode.
     """
-    c = F.col(column) if isinstance(column, str) else column
+    if isinstance(column, str):
+        return F.expr(parse_date_sql(column, mode, source_type))
+    c = column
     if isinstance(source_type, DateType):
         return c
     if isinstance(source_type, (TimestampType, TimestampNTZType)):

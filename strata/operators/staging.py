@@ -13,8 +13,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
-from strata.functions.casts import cast_to, type_name
-from strata.functions.dates import parse_date
+from strata.functions.casts import type_name
+from strata.functions.dates import parse_date_sql
 
 
 @dataclass(frozen=True)
@@ -38,20 +38,26 @@ class StagingSpec:
         return ",".join(self.key)
 
 
-def _typed(df: DataFrame, spec: ColumnSpec):
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _typed_sql(df: DataFrame, spec: ColumnSpec) -> str:
     source_type = df.schema[spec.name].dataType
     if type_name(spec.type) == "date":
-        return parse_date(spec.name, spec.date_mode, source_type)
-    return cast_to(spec.name, spec.type)
+        return parse_date_sql(spec.name, spec.date_mode, source_type)
+    return f"try_cast({_q(spec.name)} AS {type_name(spec.type)})"
 
 
 def stage(df: DataFrame, spec: StagingSpec) -> DataFrame:
-    """Apply a staging spec to a raw frame (one projection, no shuffle)."""
+    """Apply a staging spec to a raw frame: one projection, no shuffle,
+    written as SQL expressions so a table costs one driver call."""
     missing = [c.name for c in spec.columns if c.name not in df.columns]
     if missing:
         raise ValueError(f"{spec.table}: raw input lacks columns {missing}; has {df.columns}")
+    typed = {c.name: f"{_typed_sql(df, c)} AS {_q(c.name)}" for c in spec.columns}
     if spec.extra_columns == "drop":
-        return df.select(*[_typed(df, c).alias(c.name) for c in spec.columns])
+        return df.selectExpr(*[typed[c.name] for c in spec.columns])
     if spec.extra_columns == "keep":
-        return df.withColumns({c.name: _typed(df, c) for c in spec.columns})
+        return df.selectExpr(*[typed.get(name, _q(name)) for name in df.columns])
     raise ValueError(f"extra_columns must be 'drop' or 'keep', not {spec.extra_columns!r}")

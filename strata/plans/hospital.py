@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.casts import typed_null
 from strata.operators.joins import left_join_fanout
 from strata.operators.staging import ColumnSpec as C
 from strata.operators.staging import StagingSpec
@@ -151,33 +150,39 @@ def fato_consultas_procedimentos(consultas: DataFrame, procedimentos: DataFrame)
     int on one side and NULL on the other, and the published schema types
     them as string. Implicit union widening would depend on ANSI mode.
     """
-    cons = consultas.select(
-        F.col("id_consulta").cast("int").alias("id_fato"),
-        F.col("id_paciente").cast("int").alias("id_paciente"),
-        F.col("id_profissional").cast("string").alias("id_profissional"),
-        F.col("data_consulta").alias("data_evento"),
-        F.lit(EVENT_CONSULTA).alias("tipo_evento"),
-        F.col("diagnostico").cast("string").alias("diagnostico"),
-        typed_null("string").alias("procedimento"),
-        typed_null("double").alias("custo_estimado"),
-        typed_null("string").alias("id_hospital"),
+    cons = consultas.selectExpr(
+        "CAST(id_consulta AS INT) AS id_fato",
+        "CAST(id_paciente AS INT) AS id_paciente",
+        "CAST(id_profissional AS STRING) AS id_profissional",
+        "data_consulta AS data_evento",
+        f"'{EVENT_CONSULTA}' AS tipo_evento",
+        "CAST(diagnostico AS STRING) AS diagnostico",
+        "CAST(NULL AS STRING) AS procedimento",
+        "CAST(NULL AS DOUBLE) AS custo_estimado",
+        "CAST(NULL AS STRING) AS id_hospital",
     )
-    procs = procedimentos.select(
-        F.col("id_procedimento").cast("int").alias("id_fato"),
-        F.col("id_paciente").cast("int").alias("id_paciente"),
-        typed_null("string").alias("id_profissional"),
-        F.col("data_procedimento").alias("data_evento"),
-        F.lit(EVENT_PROCEDIMENTO).alias("tipo_evento"),
-        typed_null("string").alias("diagnostico"),
-        F.col("tipo").cast("string").alias("procedimento"),
-        typed_null("double").alias("custo_estimado"),
-        F.col("hospital_id").cast("string").alias("id_hospital"),
+    procs = procedimentos.selectExpr(
+        "CAST(id_procedimento AS INT) AS id_fato",
+        "CAST(id_paciente AS INT) AS id_paciente",
+        "CAST(NULL AS STRING) AS id_profissional",
+        "data_procedimento AS data_evento",
+        f"'{EVENT_PROCEDIMENTO}' AS tipo_evento",
+        "CAST(NULL AS STRING) AS diagnostico",
+        "CAST(tipo AS STRING) AS procedimento",
+        "CAST(NULL AS DOUBLE) AS custo_estimado",
+        "CAST(hospital_id AS STRING) AS id_hospital",
     )
     return cons.unionByName(procs)
 
 
-def exam_cost(tipo) -> F.Column:
+def exam_cost_sql(tipo: str = "tipo") -> str:
     """Cost of an exam by its type; unknown or NULL types cost the default."""
+    branches = " ".join(f"WHEN {tipo} = '{name}' THEN CAST({cost} AS DOUBLE)" for name, cost in EXAM_COSTS.items())
+    return f"CASE {branches} ELSE CAST({EXAM_COST_OTHER} AS DOUBLE) END"
+
+
+def exam_cost(tipo) -> F.Column:
+    """Column form of :func:`exam_cost_sql`."""
     expr = None
     for name, cost in EXAM_COSTS.items():
         expr = (F.when if expr is None else expr.when)(tipo == F.lit(name), F.lit(cost))
@@ -208,21 +213,21 @@ def fato_exames_receitas(
     ``dedupe_admissions='latest'`` keeps one admission per patient instead of
     the faithful fan-out.
     """
-    events = exames.select(
-        F.col("id_exame").alias("id_evento"),
+    events = exames.selectExpr(
+        "id_exame AS id_evento",
         "id_consulta",
-        F.col("tipo").alias("tipo_evento"),
-        F.col("resultado").alias("descricao"),
+        "tipo AS tipo_evento",
+        "resultado AS descricao",
         "data",
-        exam_cost(F.col("tipo")).alias("custo"),
+        f"{exam_cost_sql('tipo')} AS custo",
     ).unionByName(
-        receitas.select(
-            F.col("id_receita").alias("id_evento"),
+        receitas.selectExpr(
+            "id_receita AS id_evento",
             "id_consulta",
-            F.col("medicamento").alias("tipo_evento"),
-            F.col("dosagem").alias("descricao"),
-            F.col("inicio").alias("data"),
-            F.lit(PRESCRIPTION_COST).alias("custo"),
+            "medicamento AS tipo_evento",
+            "dosagem AS descricao",
+            "inicio AS data",
+            f"CAST({PRESCRIPTION_COST} AS DOUBLE) AS custo",
         )
     )
     cons = consultas.select("id_consulta", "id_paciente", "id_profissional")
@@ -242,16 +247,16 @@ def fato_exames_receitas(
     if not assume_unique_dims:
         chain = chain.join(profissionais.select("id_profissional"), "id_profissional", "left")
         chain = chain.join(hospitais.select("id_hospital"), "id_hospital", "left")
-    return chain.select(
-        F.col("id_evento").cast("int").alias("id_evento"),
-        F.col("id_consulta").cast("int").alias("id_consulta"),
-        F.col("id_paciente").cast("int").alias("id_paciente"),
-        F.col("id_profissional").cast("int").alias("id_profissional"),
-        F.col("id_hospital").cast("int").alias("id_hospital"),
-        F.col("tipo_evento").cast("string").alias("tipo_evento"),
-        F.col("descricao").cast("string").alias("descricao"),
-        F.col("data").alias("data"),
-        F.col("custo").cast("double").alias("custo"),
+    return chain.selectExpr(
+        "CAST(id_evento AS INT) AS id_evento",
+        "CAST(id_consulta AS INT) AS id_consulta",
+        "CAST(id_paciente AS INT) AS id_paciente",
+        "CAST(id_profissional AS INT) AS id_profissional",
+        "CAST(id_hospital AS INT) AS id_hospital",
+        "CAST(tipo_evento AS STRING) AS tipo_evento",
+        "CAST(descricao AS STRING) AS descricao",
+        "data",
+        "CAST(custo AS DOUBLE) AS custo",
     )
 
 

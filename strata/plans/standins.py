@@ -60,13 +60,18 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     li = table(spark, sf_dir, "lineitem")
     return li.groupBy("l_orderkey", "l_linenumber").agg(
-        (F.col("l_orderkey") * LINE_ID_FACTOR + F.col("l_linenumber")).alias("line_id"),
-        F.min("l_shipdate").alias("l_shipdate"),
-        F.min("l_partkey").alias("l_partkey"),
-        F.min("l_suppkey").alias("l_suppkey"),
-        F.chr(F.min(F.ascii("l_returnflag"))).alias("l_returnflag"),
-        F.chr(F.min(F.ascii("l_linestatus"))).alias("l_linestatus"),
-        F.min("l_quantity").alias("l_quantity"),
+        *[
+            F.expr(e)
+            for e in (
+                f"l_orderkey * {LINE_ID_FACTOR} + l_linenumber AS line_id",
+                "min(l_shipdate) AS l_shipdate",
+                "min(l_partkey) AS l_partkey",
+                "min(l_suppkey) AS l_suppkey",
+                "chr(min(ascii(l_returnflag))) AS l_returnflag",
+                "chr(min(ascii(l_linestatus))) AS l_linestatus",
+                "min(l_quantity) AS l_quantity",
+            )
+        ]
     )
 
 
@@ -77,99 +82,81 @@ def raw_hospitais(spark, sf_dir):
     return (
         s.join(n, s.s_nationkey == n.n_nationkey, "left")
         .join(r, F.col("n_regionkey") == r.r_regionkey, "left")
-        .select(
-            F.col("s_suppkey").alias("id_hospital"),
-            F.col("s_name").alias("nome"),
-            F.col("n_name").alias("cidade"),
-            F.col("r_name").alias("estado"),
-        )
+        .selectExpr("s_suppkey AS id_hospital", "s_name AS nome", "n_name AS cidade", "r_name AS estado")
     )
 
 
 def raw_profissionais_saude(spark, sf_dir):
-    c = table(spark, sf_dir, "customer")
-    return c.select(
-        F.col("c_custkey").alias("id_profissional"),
-        F.col("c_name").alias("nome"),
-        F.col("c_mktsegment").alias("especialidade"),
-        F.col("c_custkey").cast("string").alias("crm"),
-        F.col("c_nationkey").alias("hospital_id"),
+    return table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS id_profissional",
+        "c_name AS nome",
+        "c_mktsegment AS especialidade",
+        "CAST(c_custkey AS STRING) AS crm",
+        "c_nationkey AS hospital_id",
     )
 
 
 def raw_consultas(spark, sf_dir):
-    o = table(spark, sf_dir, "orders")
-    return o.select(
-        F.col("o_orderkey").alias("id_consulta"),
-        F.col("o_custkey").alias("id_paciente"),
-        F.col("o_custkey").alias("id_profissional"),
-        F.col("o_orderdate").alias("data_consulta"),
-        F.col("o_orderpriority").alias("motivo"),
-        F.col("o_orderstatus").alias("diagnostico"),
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS id_consulta",
+        "o_custkey AS id_paciente",
+        "o_custkey AS id_profissional",
+        "o_orderdate AS data_consulta",
+        "o_orderpriority AS motivo",
+        "o_orderstatus AS diagnostico",
     )
 
 
-def _exam_type():
-    return (
-        F.when(F.pmod(F.col("l_partkey"), F.lit(7)) == 0, F.lit(None).cast("string"))
-        .when(F.col("l_returnflag") == "A", F.lit("sangue"))
-        .when(F.col("l_returnflag") == "N", F.lit("imagem"))
-        .otherwise(F.lit("Sangue"))
-    )
-
-
-def _qty():
-    return F.col("l_quantity").cast("bigint").cast("string")
+_EXAM_TYPE = (
+    "CASE WHEN pmod(l_partkey, 7) = 0 THEN CAST(NULL AS STRING) WHEN l_returnflag = 'A' THEN 'sangue' "
+    "WHEN l_returnflag = 'N' THEN 'imagem' ELSE 'Sangue' END"
+)
+_QTY = "CAST(CAST(l_quantity AS BIGINT) AS STRING)"
 
 
 def raw_exames(spark, sf_dir, line_frame=None):
     ln = line_frame if line_frame is not None else lines(spark, sf_dir)
-    return ln.filter(F.col("l_linestatus") == "O").select(
-        F.col("line_id").alias("id_exame"),
-        F.col("l_orderkey").alias("id_consulta"),
-        _exam_type().alias("tipo"),
-        F.concat(F.lit("qty:"), _qty()).alias("resultado"),
-        F.col("l_shipdate").alias("data"),
+    return ln.filter("l_linestatus = 'O'").selectExpr(
+        "line_id AS id_exame",
+        "l_orderkey AS id_consulta",
+        f"{_EXAM_TYPE} AS tipo",
+        f"concat('qty:', {_QTY}) AS resultado",
+        "l_shipdate AS data",
     )
 
 
 def raw_receitas(spark, sf_dir, line_frame=None):
     ln = line_frame if line_frame is not None else lines(spark, sf_dir)
-    return ln.filter(F.col("l_linestatus") == "F").select(
-        F.col("line_id").alias("id_receita"),
-        F.col("l_orderkey").alias("id_consulta"),
-        F.concat(F.lit("med-"), F.pmod(F.col("l_partkey"), F.lit(MEDICATIONS)).cast("string")).alias(
-            "medicamento"
-        ),
-        F.concat(_qty(), F.lit(" mg")).alias("dosagem"),
-        F.col("l_shipdate").alias("inicio"),
-        F.date_add(F.to_date("l_shipdate"), 7).alias("fim"),
-        F.col("l_returnflag").alias("origem"),
+    return ln.filter("l_linestatus = 'F'").selectExpr(
+        "line_id AS id_receita",
+        "l_orderkey AS id_consulta",
+        f"concat('med-', CAST(pmod(l_partkey, {MEDICATIONS}) AS STRING)) AS medicamento",
+        f"concat({_QTY}, ' mg') AS dosagem",
+        "l_shipdate AS inicio",
+        "date_add(to_date(l_shipdate), 7) AS fim",
+        "l_returnflag AS origem",
     )
 
 
 def raw_procedimentos(spark, sf_dir, line_frame=None):
     ln = line_frame if line_frame is not None else lines(spark, sf_dir)
-    return ln.select(
-        F.col("line_id").alias("id_procedimento"),
-        F.pmod(F.col("l_orderkey"), F.lit(PROCEDURE_PATIENTS)).alias("id_paciente"),
-        F.concat(F.lit("proc-"), F.pmod(F.col("l_partkey"), F.lit(PROCEDURE_KINDS)).cast("string")).alias(
-            "tipo"
-        ),
-        F.col("l_shipdate").alias("data_procedimento"),
-        F.col("l_suppkey").alias("hospital_id"),
+    return ln.selectExpr(
+        "line_id AS id_procedimento",
+        f"pmod(l_orderkey, {PROCEDURE_PATIENTS}) AS id_paciente",
+        f"concat('proc-', CAST(pmod(l_partkey, {PROCEDURE_KINDS}) AS STRING)) AS tipo",
+        "l_shipdate AS data_procedimento",
+        "l_suppkey AS hospital_id",
     )
 
 
 def raw_internacoes(spark, sf_dir):
-    e = table(spark, sf_dir, "events")
-    return e.filter(F.col("event_type") == "signup").select(
-        F.col("event_id").alias("id_internacao"),
-        F.col("user_id").alias("id_paciente"),
-        F.pmod(F.col("event_id"), F.lit(ADMISSION_HOSPITALS)).alias("id_hospital"),
-        F.col("props").alias("motivo"),
-        F.col("ts").alias("data_entrada"),
-        F.date_format(F.col("ts") + F.expr("INTERVAL 3 DAYS"), "yyyy-MM-dd").alias("data_saida"),
+    return table(spark, sf_dir, "events").filter("event_type = 'signup'").selectExpr(
+        "event_id AS id_internacao",
+        "user_id AS id_paciente",
+        f"pmod(event_id, {ADMISSION_HOSPITALS}) AS id_hospital",
+        "props AS motivo",
+        "ts AS data_entrada",
+        "date_format(ts + INTERVAL 3 DAYS, 'yyyy-MM-dd') AS data_saida",
     )
 
 
@@ -241,25 +228,23 @@ def checkpointed_curated(spark: SparkSession, sf_dir: str) -> dict[str, DataFram
 
 def raw_customers(spark, sf_dir):
     """Tutorial ``customers`` table from ``customer``."""
-    c = table(spark, sf_dir, "customer")
-    return c.select(
-        F.col("c_custkey").cast("int").alias("Cust_Id"),
-        F.col("c_name").alias("Customer"),
-        F.floor("c_acctbal").cast("int").alias("Balance"),
-        F.lit(0).alias("Past_Due"),
-        F.when(F.col("c_mktsegment") == "BUILDING", F.lit("yes")).otherwise(F.lit("no")).alias("Vip"),
+    return table(spark, sf_dir, "customer").selectExpr(
+        "CAST(c_custkey AS INT) AS Cust_Id",
+        "c_name AS Customer",
+        "CAST(floor(c_acctbal) AS INT) AS Balance",
+        "0 AS Past_Due",
+        "CASE WHEN c_mktsegment = 'BUILDING' THEN 'yes' ELSE 'no' END AS Vip",
     )
 
 
 def raw_procedures(spark, sf_dir):
     """Tutorial ``procedures`` table from ``part``."""
-    p = table(spark, sf_dir, "part")
-    return p.select(
-        F.col("p_partkey").cast("string").alias("Procedure_Id"),
-        F.col("p_name").alias("Procedure"),
-        F.col("p_type").alias("Category"),
-        F.floor("p_retailprice").cast("int").alias("Price"),
-        F.col("p_size").alias("Duration"),
-        F.when(F.pmod(F.col("p_size"), F.lit(2)) == 0, F.lit("yes")).otherwise(F.lit("no")).alias("Insurance"),
-        F.col("p_partkey").cast("int").alias("Customer_Id"),
+    return table(spark, sf_dir, "part").selectExpr(
+        "CAST(p_partkey AS STRING) AS Procedure_Id",
+        "p_name AS Procedure",
+        "p_type AS Category",
+        "CAST(floor(p_retailprice) AS INT) AS Price",
+        "p_size AS Duration",
+        "CASE WHEN pmod(p_size, 2) = 0 THEN 'yes' ELSE 'no' END AS Insurance",
+        "CAST(p_partkey AS INT) AS Customer_Id",
     )

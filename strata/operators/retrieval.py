@@ -81,7 +81,6 @@ def _bm25_bucket_scorer(query_side, k: int, avgdl: float):
         dl = pdf["dl"].to_numpy(dtype="float64")
         w = tf * (BM25_K1 + 1) / (tf + BM25_K1 * ((1 - BM25_B) + BM25_B * dl / (avgdl or 1.0)))
         scores = np.zeros((len(doc_ids), len(qids)))
-        matched = np.zeros((len(doc_ids), len(qids)), dtype=bool)
         terms = pdf["term"].to_numpy()
         order = np.argsort(terms, kind="stable")
         t_sorted = terms[order]
@@ -92,8 +91,10 @@ def _bm25_bucket_scorer(query_side, k: int, avgdl: float):
             if q is None:
                 continue
             rows = order[a:b]
-            np.add.at(scores, (d_idx[rows][:, None], q[0][None, :]), np.outer(w[rows], q[1]))
-            matched[np.ix_(d_idx[rows], q[0])] = True
+            # (document, term) and (query, term) are unique, so the index
+            # pairs of one term never repeat and a plain add is exact
+            scores[np.ix_(d_idx[rows], q[0])] += np.outer(w[rows], q[1])
+        matched = scores > 0  # every BM25 term weight is positive
         scores = np.round(scores, 9)
         out_q, out_d, out_s = [], [], []
         for j in range(len(qids)):
@@ -122,7 +123,7 @@ def kb_search(
     doc_id: str = "doc_id",
     dtext: str = "text",
     work_dir: str | None = None,
-    rows_per_bucket: int = 1_000_000,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Top-``k`` documents per query: (qid, rank, doc_id, score, message).
 
@@ -131,9 +132,11 @@ def kb_search(
     the collection (documents, tokens). Its output is written under
     ``work_dir`` (default: the shared checkpoint folder), which also cuts the
     lineage. Job 2 scores hash buckets of documents with
-    ``applyInPandas`` against the broadcast query weights (row count checked
-    first) and keeps each bucket's top ``k``; the final ranking sees at most
-    ``buckets * k`` rows per query.
+    ``applyInPandas`` against the broadcast query weights (bounded collect)
+    and keeps each bucket's top ``k``; the final ranking sees at most
+    ``buckets * k`` rows per query. ``buckets`` defaults to the shuffle
+    partition count, so a bucket holds about rows / partitions (document,
+    query-term) rows.
     """
     spark = docs.sparkSession
     q_terms = (
@@ -168,14 +171,12 @@ def kb_search(
         "term", F.log(F.lit(1.0) + (F.lit(n_docs) - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf")
     )
     q_weights = q_terms.join(idf, "term").select("term", "qid", (F.col("qtf") * F.col("idf")).alias("weight"))
-    q_rows = q_weights.count()
-    if q_rows > MAX_BROADCAST_ROWS:
-        raise ValueError(
-            f"{q_rows} query-term rows exceed the broadcast bound {MAX_BROADCAST_ROWS}; split the queries"
-        )
-    query_side = spark.sparkContext.broadcast(q_weights.toPandas())
+    q_local = q_weights.limit(MAX_BROADCAST_ROWS + 1).toPandas()  # bounded collect
+    if len(q_local) > MAX_BROADCAST_ROWS:
+        raise ValueError(f"query-term rows exceed the broadcast bound {MAX_BROADCAST_ROWS}; split the queries")
+    query_side = spark.sparkContext.broadcast(q_local)
 
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-tf.count() // rows_per_bucket))
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     per_bucket = tf.groupBy(F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).alias("bucket")).applyInPandas(
         _bm25_bucket_scorer(query_side, k, avgdl),
         schema=f"qid {dict(q_weights.dtypes)['qid']}, doc_id {dict(tf.dtypes)['doc_id']}, score double",

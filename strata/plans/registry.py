@@ -179,6 +179,8 @@ def fato_exames_receitas_latest_admission(spark, sf_dir):
 
 
 # ------------------------------------------------------- published SQL ---
+# The published queries, rules and ad-hoc SQL read the curated layer as
+# stored once per session (``stored_curated_table``), not a re-derivation.
 @register(
     "cost_by_hospital",
     O.with_curated(
@@ -188,8 +190,10 @@ def fato_exames_receitas_latest_admission(spark, sf_dir):
     ),
 )
 def cost_by_hospital(spark, sf_dir):
-    cur = S.curated_tables(spark, sf_dir)
-    return P.cost_by_hospital(cur["fato_consultas_procedimentos"], cur["dim_hospital"])
+    return P.cost_by_hospital(
+        S.stored_curated_table(spark, sf_dir, "fato_consultas_procedimentos"),
+        S.stored_curated_table(spark, sf_dir, "dim_hospital"),
+    )
 
 
 @register(
@@ -200,7 +204,7 @@ def cost_by_hospital(spark, sf_dir):
     ),
 )
 def events_by_month(spark, sf_dir):
-    return P.events_by_month(S.curated_tables(spark, sf_dir)["fato_exames_receitas"])
+    return P.events_by_month(S.stored_curated_table(spark, sf_dir, "fato_exames_receitas"))
 
 
 @register(
@@ -211,7 +215,7 @@ def events_by_month(spark, sf_dir):
     ),
 )
 def cost_by_procedure(spark, sf_dir):
-    return P.cost_by_procedure(S.curated_tables(spark, sf_dir)["fato_consultas_procedimentos"])
+    return P.cost_by_procedure(S.stored_curated_table(spark, sf_dir, "fato_consultas_procedimentos"))
 
 
 # Category used for the "insured procedures of one category" example on the
@@ -278,7 +282,7 @@ def dq_completeness(spark, sf_dir):
 
 def _rule_rows(table: str, sql: str) -> Query:
     def run(spark, sf_dir):
-        return Q.violations(S.curated_tables(spark, sf_dir)[table], sql)
+        return Q.violations(S.stored_curated_table(spark, sf_dir, table), sql)
 
     return run
 
@@ -383,7 +387,7 @@ from strata.operators.sqlsurface import sql_run, to_rows_json  # noqa: E402
 
 
 def _global_views(spark, sf_dir) -> str:
-    for name, df in S.curated_tables(spark, sf_dir).items():
+    for name, df in S.checkpointed_curated(spark, sf_dir).items():
         df.createOrReplaceGlobalTempView(name)
     return "global_temp"
 

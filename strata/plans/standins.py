@@ -203,27 +203,36 @@ def curated_tables(spark: SparkSession, sf_dir: str, **options) -> dict[str, Dat
     return _memo(spark, key, lambda: curate(staged_tables(spark, sf_dir), **options))
 
 
-def checkpointed_curated(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Curated tables written once as Parquet under the shared checkpoint
+_STORED: dict[tuple, DataFrame] = {}
+
+
+def stored_curated_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One curated table written once as Parquet under the shared checkpoint
     folder (``spark.checkpoint.dir``) and read back.
 
-    Rules and reports scan a table several times; reading the written rows
-    avoids re-deriving the star schema for every scan, as a job reading the
-    stored curated layer would, and each scan reads only its columns.
+    Reports, rules and ad-hoc SQL query the stored curated layer, as they do
+    after the curated build; reading the written rows avoids re-deriving the
+    star schema for every query and every rule, and each scan reads only its
+    columns.
     """
     import uuid
 
     from strata.session import checkpoint_dir
 
-    def build():
-        root = f"{checkpoint_dir(spark).rstrip('/')}/curated-{uuid.uuid4().hex[:12]}"
-        out = {}
-        for name, df in curated_tables(spark, sf_dir).items():
-            df.write.mode("errorifexists").parquet(f"{root}/{name}")
-            out[name] = spark.read.parquet(f"{root}/{name}")
-        return out
-
-    return _memo(spark, ("checkpointed", sf_dir), build)
+    key = (id(spark), sf_dir, name)
+    df = _STORED.get(key)
+    if df is None or df.sparkSession is not spark:
+        path = f"{checkpoint_dir(spark).rstrip('/')}/curated-{uuid.uuid4().hex[:12]}/{name}"
+        curated_tables(spark, sf_dir)[name].write.mode("errorifexists").parquet(path)
+        df = _STORED[key] = spark.read.parquet(path)
+    return df
+
+
+def checkpointed_curated(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """All four stored curated tables (see :func:`stored_curated_table`)."""
+    from strata.plans.hospital import CURATED_TABLES
+
+    return {name: stored_curated_table(spark, sf_dir, name) for name in CURATED_TABLES}
 
 
 def raw_customers(spark, sf_dir):

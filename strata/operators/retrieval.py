@@ -54,46 +54,62 @@ def _with_fallback(queries: DataFrame, hits: DataFrame, qid: str) -> DataFrame:
     return out.withColumn("message", F.when(F.col("doc_id").isNull(), F.lit(NOT_FOUND_MESSAGE)))
 
 
+def _query_side(q_local):
+    """Query weights grouped by term, built once on the driver: the sorted
+    vocabulary, and for term ``i`` the query columns ``cols[ptr[i]:ptr[i+1]]``
+    with weights ``weights[ptr[i]:ptr[i+1]]``."""
+    import numpy as np
+
+    q = q_local.sort_values(["term", "qid"], kind="stable")
+    qids = np.sort(q["qid"].unique())
+    vocab, starts = np.unique(q["term"].to_numpy(dtype=object), return_index=True)
+    return {
+        "vocab": vocab,
+        "ptr": np.r_[starts, len(q)],
+        "cols": np.searchsorted(qids, q["qid"].to_numpy()),
+        "weights": q["weight"].to_numpy(dtype="float64"),
+        "qids": qids,
+    }
+
+
 def _bm25_bucket_scorer(query_side, k: int, avgdl: float):
     """pandas function scoring one bucket of documents against all queries.
 
-    ``query_side`` is a broadcast pandas frame (term, qid, weight) with the
-    idf and query term count folded into ``weight``. For every term present
-    in the bucket the document weights and query weights add an outer product
-    into a (documents x queries) score block; nothing is materialised per
-    (query, document, term). Only the bucket's top ``k`` per query leave.
+    ``query_side`` is the broadcast output of :func:`_query_side`. For every
+    term present in the bucket the document weights and query weights add an
+    outer product into a (documents x queries) score block; nothing is
+    materialised per (query, document, term). Only the bucket's top ``k``
+    per query leave.
     """
     import numpy as np
     import pandas as pd
 
+    empty = pd.DataFrame({"qid": [], "doc_id": [], "score": []})
+
     def score(pdf: pd.DataFrame) -> pd.DataFrame:
         qs = query_side.value
-        if pdf.empty or qs.empty:
-            return pd.DataFrame({"qid": [], "doc_id": [], "score": []})
-        qids = np.sort(qs["qid"].unique())
-        q_index = {q: i for i, q in enumerate(qids)}
-        by_term = {
-            t: (g["qid"].map(q_index).to_numpy(), g["weight"].to_numpy())
-            for t, g in qs.groupby("term", sort=False)
-        }
+        qids, ptr, cols, weights = qs["qids"], qs["ptr"], qs["cols"], qs["weights"]
+        if pdf.empty or len(qids) == 0:
+            return empty
+        t_idx = pd.Index(qs["vocab"]).get_indexer(pdf["term"].to_numpy(dtype=object))
+        keep = t_idx >= 0
+        pdf, t_idx = pdf[keep], t_idx[keep]
         doc_ids, d_idx = np.unique(pdf["doc_id"].to_numpy(), return_inverse=True)
         tf = pdf["tf"].to_numpy(dtype="float64")
         dl = pdf["dl"].to_numpy(dtype="float64")
         w = tf * (BM25_K1 + 1) / (tf + BM25_K1 * ((1 - BM25_B) + BM25_B * dl / (avgdl or 1.0)))
         scores = np.zeros((len(doc_ids), len(qids)))
-        terms = pdf["term"].to_numpy()
-        order = np.argsort(terms, kind="stable")
-        t_sorted = terms[order]
+        order = np.argsort(t_idx, kind="stable")
+        t_sorted = t_idx[order]
         starts = np.flatnonzero(np.r_[True, t_sorted[1:] != t_sorted[:-1]])
         ends = np.r_[starts[1:], len(order)]
         for a, b in zip(starts, ends):
-            q = by_term.get(t_sorted[a])
-            if q is None:
-                continue
+            t = t_sorted[a]
+            lo, hi = ptr[t], ptr[t + 1]
             rows = order[a:b]
             # (document, term) and (query, term) are unique, so the index
             # pairs of one term never repeat and a plain add is exact
-            scores[np.ix_(d_idx[rows], q[0])] += np.outer(w[rows], q[1])
+            scores[np.ix_(d_idx[rows], cols[lo:hi])] += np.outer(w[rows], weights[lo:hi])
         matched = scores > 0  # every BM25 term weight is positive
         scores = np.round(scores, 9)
         out_q, out_d, out_s = [], [], []
@@ -106,7 +122,7 @@ def _bm25_bucket_scorer(query_side, k: int, avgdl: float):
             out_d.append(doc_ids[pick])
             out_s.append(scores[pick, j])
         if not out_q:
-            return pd.DataFrame({"qid": [], "doc_id": [], "score": []})
+            return empty
         return pd.DataFrame(
             {"qid": np.concatenate(out_q), "doc_id": np.concatenate(out_d), "score": np.concatenate(out_s)}
         )
@@ -174,7 +190,7 @@ def kb_search(
     q_local = q_weights.limit(MAX_BROADCAST_ROWS + 1).toPandas()  # bounded collect
     if len(q_local) > MAX_BROADCAST_ROWS:
         raise ValueError(f"query-term rows exceed the broadcast bound {MAX_BROADCAST_ROWS}; split the queries")
-    query_side = spark.sparkContext.broadcast(q_local)
+    query_side = spark.sparkContext.broadcast(_query_side(q_local))
 
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     per_bucket = tf.groupBy(F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).alias("bucket")).applyInPandas(

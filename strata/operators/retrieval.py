@@ -2,7 +2,7 @@
 
 ``kb_search`` ranks documents for each query with BM25 over lower-cased
 letter/digit tokens of the whole texts; ``kb_search_vec`` ranks vectors by
-cosine similarity. Both return the top ``k`` per query and, for a query that
+cosine similarity (one matrix product per bucket of vectors). Both return the top ``k`` per query and, for a query that
 matches nothing, one row carrying the fixed "nothing found" message instead
 of an invented answer.
 
@@ -204,52 +204,93 @@ def kb_search(
 
 
 def label_centroids(vectors: DataFrame, label: str = "label", vec: str = "embedding") -> DataFrame:
-    """Mean vector per label as (qid, pos, c) components."""
-    return (
-        vectors.select(F.col(label).alias("qid"), F.posexplode(vec).alias("pos", "x"))
-        .groupBy("qid", "pos")
-        .agg(F.avg("x").alias("c"))
+    """Mean vector per label as (qid, vector).
+
+    One hash aggregate with one average per position (partial aggregation
+    map side, no explode); the dimension is read from one row.
+    """
+    first = vectors.select(F.size(vec).alias("d")).limit(1).collect()
+    dim = int(first[0]["d"]) if first else 0
+    means = [F.avg(F.try_element_at(vec, F.lit(i + 1))).alias(f"__c{i}") for i in range(dim)]
+    return vectors.groupBy(F.col(label).alias("qid")).agg(*means).select(
+        "qid", F.array(*[F.col(f"__c{i}") for i in range(dim)]).alias("vector")
     )
 
 
+def _cosine_bucket_scorer(query_side, k: int, vec: str):
+    """pandas function: cosine of one bucket of vectors against all query
+    vectors with one matrix product; returns the bucket's top ``k`` per query."""
+    import numpy as np
+    import pandas as pd
+
+    empty = pd.DataFrame({"qid": [], "vec_id": [], "score": []})
+
+    def score(pdf: pd.DataFrame) -> pd.DataFrame:
+        qids, qmat = query_side.value
+        if pdf.empty or len(qids) == 0:
+            return empty
+        ids = pdf["vec_id"].to_numpy()
+        v32 = np.stack([np.asarray(x, dtype="float32") for x in pdf[vec]])
+        # squares in single precision, sums in double (as SQL over float arrays)
+        vn = np.sqrt((v32 * v32).astype("float64").sum(axis=1))
+        qn = np.sqrt((qmat * qmat).sum(axis=1))
+        dots = v32.astype("float64") @ qmat.T
+        with np.errstate(divide="ignore", invalid="ignore"):
+            sims = np.where((vn[:, None] > 0) & (qn[None, :] > 0), dots / (vn[:, None] * qn[None, :]), np.nan)
+        sims = np.round(sims, 9)
+        out_q, out_v, out_s = [], [], []
+        for j in range(len(qids)):
+            col = sims[:, j]
+            key = np.where(np.isnan(col), np.inf, -col)  # NULL scores last
+            pick = np.lexsort((ids, key))[:k]
+            out_q.append(np.full(pick.size, qids[j]))
+            out_v.append(ids[pick])
+            out_s.append(col[pick])
+        return pd.DataFrame(
+            {"qid": np.concatenate(out_q), "vec_id": np.concatenate(out_v), "score": np.concatenate(out_s)}
+        )
+
+    return score
+
+
 def kb_search_vec(
-    query_components: DataFrame,
+    queries: DataFrame,
     vectors: DataFrame,
     k: int = 5,
     vec_id: str = "vec_id",
     vec: str = "embedding",
+    buckets: int | None = None,
 ) -> DataFrame:
     """Top-``k`` vectors per query vector by cosine similarity.
 
-    ``query_components`` holds (qid, pos, c). Vectors are exploded by
-    position and joined on it to the broadcast query components (their row
-    count is checked first), summed per (qid, vector) and ranked two-stage.
+    ``queries`` holds (qid, vector). The query vectors are collected with a
+    checked bound and broadcast; vectors are scored per hash bucket with one
+    matrix product in ``applyInPandas``, each bucket keeping its top ``k``
+    per query, so no row per (query, vector) pair is shuffled.
     """
-    q = query_components
-    q_rows = q.count()
-    q_norm = q.groupBy("qid").agg(F.sqrt(F.sum(F.col("c") * F.col("c"))).alias("qn"))
-    v = vectors.select(
-        F.col(vec_id).alias("vec_id"),
-        F.sqrt(F.aggregate(vec, F.lit(0.0), lambda acc, x: acc + x * x)).alias("vn"),
-        F.posexplode(vec).alias("pos", "x"),
-    )
-    dots = (
-        v.join(_maybe_broadcast(q, q_rows), "pos")
-        .groupBy("qid", "vec_id")
-        .agg(F.sum(F.col("x") * F.col("c")).alias("dot"), F.first("vn").alias("vn"))
+    import numpy as np
+
+    spark = vectors.sparkSession
+    q_local = queries.select("qid", "vector").limit(MAX_BROADCAST_ROWS + 1).toPandas()  # bounded collect
+    if len(q_local) > MAX_BROADCAST_ROWS:
+        raise ValueError(f"query vectors exceed the broadcast bound {MAX_BROADCAST_ROWS}; split the queries")
+    q_local = q_local.sort_values("qid", kind="stable")
+    qmat = (
+        np.stack([np.asarray(v, dtype="float64") for v in q_local["vector"]])
+        if len(q_local)
+        else np.zeros((0, 0))
     )
-    scored = dots.join(_maybe_broadcast(q_norm, q_rows), "qid").select(
-        "qid",
-        "vec_id",
-        F.round(
-            F.when((F.col("vn") > 0) & (F.col("qn") > 0), F.col("dot") / (F.col("vn") * F.col("qn"))), 9
-        ).alias("score"),
+    query_side = spark.sparkContext.broadcast((q_local["qid"].to_numpy(), qmat))
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    v = vectors.select(F.col(vec_id).alias("vec_id"), F.col(vec).alias(vec))
+    qid_type = dict(queries.dtypes)["qid"]
+    per_bucket = v.groupBy(F.pmod(F.xxhash64("vec_id"), F.lit(buckets)).alias("bucket")).applyInPandas(
+        _cosine_bucket_scorer(query_side, k, vec),
+        schema=f"qid {qid_type}, vec_id {dict(v.dtypes)['vec_id']}, score double",
     )
-    best = top_k(scored, ["qid"], [F.col("score").desc_nulls_last(), F.col("vec_id").asc()], k,
-                 bucket_key="vec_id")
-    queries = q.select("qid").distinct()
-    out = queries.join(best, "qid", "left")
+    best = top_k(per_bucket, ["qid"], [F.col("score").desc_nulls_last(), F.col("vec_id").asc()], k)
+    out = queries.select("qid").join(best, "qid", "left")
     return out.select(
-        "qid", "rank", F.col("vec_id").alias("vec_id"), "score",
+        "qid", "rank", "vec_id", "score",
         F.when(F.col("vec_id").isNull(), F.lit(NOT_FOUND_MESSAGE)).alias("message"),
     )

@@ -148,3 +148,31 @@ def upsert_table(
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
     spark.sql(f"REFRESH TABLE {table}")
     return path
+
+
+def replace_table(spark: SparkSession, df: DataFrame, table: str, root: str, comment: str | None = None) -> str:
+    """Full refresh that survives a failed job: ``df`` is written as a new
+    version folder under ``root`` and the table is then pointed at it (the
+    old version stays readable until the swap). Columns are matched by
+    position, as ``INSERT OVERWRITE t SELECT *`` does; a different column
+    count raises."""
+    from strata.sources.catalog import comment_table, create_table_at
+
+    if not table_exists(spark, table):
+        path = _next_version(root, None)
+        write_version(df, path)
+        create_table_at(spark, table, df.schema, path)
+        if comment:
+            comment_table(spark, table, comment)
+        return path
+    target = spark.table(table)
+    if len(target.columns) != len(df.columns):
+        raise ValueError(f"{table} has {len(target.columns)} columns, the new rows {len(df.columns)}")
+    aligned = df.select(
+        *[F.col(f"`{src}`").cast(t).alias(name) for src, (name, t) in zip(df.columns, target.dtypes)]
+    )
+    path = _next_version(root, table_location(spark, table))
+    write_version(aligned, path)
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+    spark.sql(f"REFRESH TABLE {table}")
+    return path

@@ -16,11 +16,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from strata.operators import quality as Q
 from strata.operators.staging import stage
-from strata.operators.upsert import upsert_table
+from strata.operators.upsert import replace_table, upsert_table
 from strata.plans import hospital as H
 from strata.sources import catalog as C
 from strata.sources.files import read_parquet_dir
-from strata.sources.sinks import overwrite_table, publish_outcomes
+from strata.sources.sinks import publish_outcomes
 
 
 def _in_pool(spark: SparkSession, pool: str, fn: Callable, *args):
@@ -76,12 +76,11 @@ def read_staged(spark: SparkSession, namespace: str) -> dict[str, DataFrame]:
 
 
 def write_curated_table(spark: SparkSession, name: str, df: DataFrame, namespace: str, root: str) -> str:
-    """Create the table from the frame's schema when absent, then overwrite
-    it by position."""
+    """Full refresh of one curated table, by position, as a new version that
+    replaces the old one only once written (a lost job leaves the previous
+    version in place)."""
     table = f"{namespace}.{name}"
-    location = f"{root.rstrip('/')}/{namespace}/{name}"
-    C.create_table_from_df(spark, df, table, location=location, comment=H.CURATED_DESCRIPTIONS.get(name))
-    overwrite_table(spark, df, table)
+    replace_table(spark, df, table, f"{root.rstrip('/')}/{namespace}/{name}", H.CURATED_DESCRIPTIONS.get(name))
     return table
 
 

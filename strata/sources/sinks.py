@@ -6,9 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def overwrite_table(spark: SparkSession, df: DataFrame, table: str) -> None:
-    """Full refresh of an existing table, columns matched by position
-    (``INSERT OVERWRITE t SELECT * FROM df``). Spark refuses when ``df``
-    reads the table being overwritten, and on arity or unsafe casts."""
+    """In-place full refresh of an existing table, columns matched by
+    position (``INSERT OVERWRITE t SELECT * FROM df``). Spark refuses when
+    ``df`` reads the table being overwritten, and on arity or unsafe casts.
+    The old files are removed before the write; where a failed job must
+    leave the old rows readable use ``strata.operators.upsert.replace_table``
+    (what the curated build does)."""
     df.write.insertInto(table, overwrite=True)
 
 

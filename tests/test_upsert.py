@@ -63,3 +63,18 @@ def test_upsert_table_versions(spark, scratch):
     assert spark.table("up_ns.t").count() == 3
     with pytest.raises(DuplicateKeyError):
         upsert_table(spark, second.union(second), "up_ns.t", "k1", f"{scratch}/t")
+
+
+def test_replace_table_positional_versions(spark, scratch):
+    from strata.operators.upsert import replace_table
+
+    spark.sql("CREATE NAMESPACE IF NOT EXISTS up_ns")
+    first = spark.createDataFrame([(1, "a", "x")], SCHEMA)
+    replace_table(spark, first, "up_ns.r", f"{scratch}/r", comment="refreshed")
+    # different names, same positions: matched by position
+    second = spark.createDataFrame([(2, "b", "y"), (3, "c", "z")], "a int, b string, c string")
+    replace_table(spark, second, "up_ns.r", f"{scratch}/r")
+    assert spark.table("up_ns.r").columns == ["k1", "k2", "v"]
+    assert rows(spark.table("up_ns.r")) == [(2, "b", "y"), (3, "c", "z")]
+    with pytest.raises(ValueError, match="columns"):
+        replace_table(spark, spark.createDataFrame([(1,)], "a int"), "up_ns.r", f"{scratch}/r")

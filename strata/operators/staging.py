@@ -32,6 +32,7 @@ class StagingSpec:
     extra_columns: str = "drop"  # "drop" or "keep"
     description: str = ""
     column_comments: dict[str, str] = field(default_factory=dict)
+    buckets: int | None = None  # hash buckets by key for the staged table (None: unbucketed)
 
     @property
     def key_csv(self) -> str:

@@ -116,6 +116,20 @@ def write_version(df: DataFrame, path: str, compression: str = "zstd") -> None:
     df.write.mode("errorifexists").option("compression", compression).parquet(path)
 
 
+def _write_bucketed(spark: SparkSession, df: DataFrame, table: str, path: str, keys: list[str], buckets: int) -> None:
+    """Write ``df`` at ``path`` hash-bucketed and sorted by ``keys``; the files
+    carry bucket ids, so a table declared with the same bucket spec reads
+    them already partitioned by key."""
+    (
+        df.write.mode("errorifexists")
+        .option("path", path)
+        .option("compression", "zstd")
+        .bucketBy(buckets, *keys)
+        .sortBy(*keys)
+        .saveAsTable(table)
+    )
+
+
 def upsert_table(
     spark: SparkSession,
     source: DataFrame,
@@ -124,32 +138,63 @@ def upsert_table(
     root: str,
     null_keys: str = "insert",
     check: bool = True,
+    buckets: int | None = None,
 ) -> str:
     """Upsert ``source`` into catalog table ``table`` (created when absent).
 
     ``root`` is the table's folder in shared storage; every run writes
     ``root/vNNNNNN-xxxxxxxx`` and swaps the table to it. Returns the new
     location.
+
+    With ``buckets`` the table is hash-bucketed and sorted by the key: the
+    merge then reads the target already partitioned by key and shuffles only
+    the source into the same buckets, and later joins on the key (for
+    example the fact derivation's join on the consultation id) skip the
+    table's shuffle too. ``buckets`` is fixed when the table is created.
     """
     from strata.sources.catalog import create_table_at
 
     keys = parse_keys(keys)
     if check:
         check_source(source, keys, null_keys)
-    if not table_exists(spark, table):
+    exists = table_exists(spark, table)
+    if not exists:
         path = _next_version(root, None)
-        write_version(source, path)
-        create_table_at(spark, table, source.schema, path)
+        if buckets:
+            _write_bucketed(spark, source, table, path, keys, buckets)
+        else:
+            write_version(source, path)
+            create_table_at(spark, table, source.schema, path)
         return path
     current = table_location(spark, table)
     target = spark.table(table)
     path = _next_version(root, current)
-    write_version(merged(target, source, keys, null_keys), path)
+    rows = merged(target, source, keys, null_keys)
+    spec = bucket_spec(spark, table)
+    if spec:
+        scratch = f"{table}__{path.rsplit('/', 1)[-1].replace('-', '_')}"
+        _write_bucketed(spark, rows, scratch, path, spec[1], spec[0])
+        spark.sql(f"DROP TABLE {scratch}")  # external: drops the name, keeps the files
+    else:
+        write_version(rows, path)
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
     spark.sql(f"REFRESH TABLE {table}")
     return path
 
 
+def bucket_spec(spark: SparkSession, table: str) -> tuple[int, list[str]] | None:
+    """(bucket count, bucket columns) of a catalog table, or None."""
+    info = {
+        r["col_name"]: r["data_type"]
+        for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+        if r["col_name"] in ("Num Buckets", "Bucket Columns")
+    }
+    if "Num Buckets" not in info:
+        return None
+    cols = [c.strip().strip("`") for c in info["Bucket Columns"].strip("[]").split(",")]
+    return int(info["Num Buckets"]), cols
+
+
 def replace_table(spark: SparkSession, df: DataFrame, table: str, root: str, comment: str | None = None) -> str:
     """Full refresh that survives a failed job: ``df`` is written as a new
     version folder under ``root`` and the table is then pointed at it (the

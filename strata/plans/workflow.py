@@ -44,13 +44,22 @@ def stage_table(
     namespace: str,
     root: str,
     specs: dict = H.STAGING_SPECS,
+    buckets: int | None = None,
 ) -> str:
-    """Stage one raw frame and upsert it into ``namespace.table``."""
+    """Stage one raw frame and upsert it into ``namespace.table``; ``buckets``
+    (or the spec's) hash-buckets the staged table by its key."""
     if table not in specs:
         raise ValueError(f"no staging spec for {table!r}; known: {sorted(specs)}")
     spec = specs[table]
     staged = stage(raw, spec)
-    return upsert_table(spark, staged, f"{namespace}.{table}", spec.key, f"{root.rstrip('/')}/{namespace}/{table}")
+    return upsert_table(
+        spark,
+        staged,
+        f"{namespace}.{table}",
+        spec.key,
+        f"{root.rstrip('/')}/{namespace}/{table}",
+        buckets=buckets or spec.buckets,
+    )
 
 
 def run_staging(
@@ -61,13 +70,14 @@ def run_staging(
     raw_root: str | None = None,
     tables: list[str] | None = None,
     workers: int = 7,
+    buckets: int | None = None,
 ) -> dict[str, str]:
     """All staging loads in parallel; raw frames given or read from
     ``raw_root/<table>/``."""
     C.create_namespace(spark, namespace)
     names = tables or list(H.STAGING_SPECS)
     frames = raw if raw is not None else {t: read_parquet_dir(spark, raw_root, t) for t in names}
-    jobs = {t: (lambda t=t: stage_table(spark, t, frames[t], namespace, root)) for t in names}
+    jobs = {t: (lambda t=t: stage_table(spark, t, frames[t], namespace, root, buckets=buckets)) for t in names}
     return _parallel(spark, jobs, workers)
 
 
@@ -119,7 +129,8 @@ def run_all(
     curated_namespace: str = "curated",
     results_root: str | None = None,
     fail_on: str = "never",
+    buckets: int | None = None,
 ) -> DataFrame:
-    run_staging(spark, staged_namespace, root, raw=raw, raw_root=raw_root)
+    run_staging(spark, staged_namespace, root, raw=raw, raw_root=raw_root, buckets=buckets)
     run_curation(spark, staged_namespace, curated_namespace, root)
     return run_quality(spark, curated_namespace, results_root, fail_on)

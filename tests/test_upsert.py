@@ -78,3 +78,32 @@ def test_replace_table_positional_versions(spark, scratch):
     assert rows(spark.table("up_ns.r")) == [(2, "b", "y"), (3, "c", "z")]
     with pytest.raises(ValueError, match="columns"):
         replace_table(spark, spark.createDataFrame([(1,)], "a int"), "up_ns.r", f"{scratch}/r")
+
+
+def test_bucketed_upsert_shuffles_only_the_source(spark, scratch):
+    import contextlib
+    import io
+
+    from strata.operators.upsert import bucket_spec
+
+    spark.sql("CREATE NAMESPACE IF NOT EXISTS up_ns")
+    first = spark.createDataFrame([(i, str(i), "t") for i in range(40)], SCHEMA)
+    upsert_table(spark, first, "up_ns.b", "k1", f"{scratch}/b", buckets=4)
+    assert bucket_spec(spark, "up_ns.b") == (4, ["k1"])
+    second = spark.createDataFrame([(i, str(i), "s") for i in range(30, 50)], SCHEMA)
+    upsert_table(spark, second, "up_ns.b", "k1", f"{scratch}/b")
+    assert bucket_spec(spark, "up_ns.b") == (4, ["k1"])
+    got = dict((r.k1, r.v) for r in spark.table("up_ns.b").collect())
+    assert len(got) == 50 and got[10] == "t" and got[35] == "s" and got[49] == "s"
+    # with broadcasting off, the anti join shuffles the source side only
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = io.StringIO()
+        with contextlib.redirect_stdout(out):
+            merged(spark.table("up_ns.b"), second, "k1").explain()
+        plan = out.getvalue()
+        assert "SortMergeJoin" in plan and plan.count("Exchange hashpartitioning") == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")

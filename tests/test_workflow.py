@@ -50,3 +50,12 @@ def test_published_sql_over_catalog(spark, lake):
 def test_unknown_table_dispatch(spark, lake):
     with pytest.raises(ValueError, match="known"):
         W.stage_table(spark, "pacientes", spark.range(1), "staged", lake[0])
+
+
+def test_bucketed_staging(spark, lake):
+    from strata.operators.upsert import bucket_spec
+
+    root, _ = lake
+    W.run_staging(spark, "staged_b", f"{root}/tables_b", raw_root=f"{root}/raw", tables=["consultas"], buckets=4)
+    assert bucket_spec(spark, "staged_b.consultas") == (4, ["id_consulta"])
+    assert spark.table("staged_b.consultas").exceptAll(spark.table("staged.consultas")).count() == 0

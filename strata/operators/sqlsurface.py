@@ -125,7 +125,8 @@ def sql_run(
 ) -> QueryResult:
     """Run caller SQL; see the module docstring for the contract."""
     text = _clean(sql)
-    if catalog_alias:
+    if catalog_alias and not spark.conf.get(f"spark.sql.catalog.{catalog_alias}", None):
+        # no catalog of that name: the layer lives in the session catalog
         text = replace_catalog_alias(text, catalog_alias)
     if namespace and not spark.catalog.databaseExists(namespace):
         raise QueryError("catalog", f"namespace {namespace} not found", 500)

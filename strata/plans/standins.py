@@ -160,8 +160,29 @@ def raw_internacoes(spark, sf_dir):
     )
 
 
+_LINES: dict[tuple, DataFrame] = {}
+
+
+def stored_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`lines` written once per session under the shared checkpoint
+    folder and read back. Three raw tables are projections of it; storing it
+    plays the part of the raw layer already being on disk, so the grouping of
+    ``lineitem`` is not repeated by every query and branch."""
+    import uuid
+
+    from strata.session import checkpoint_dir
+
+    key = (id(spark), sf_dir)
+    df = _LINES.get(key)
+    if df is None or df.sparkSession is not spark:
+        path = f"{checkpoint_dir(spark).rstrip('/')}/lines-{uuid.uuid4().hex[:12]}"
+        lines(spark, sf_dir).write.mode("errorifexists").parquet(path)
+        df = _LINES[key] = spark.read.parquet(path)
+    return df
+
+
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    ln = lines(spark, sf_dir)
+    ln = stored_lines(spark, sf_dir)
     return {
         "hospitais": raw_hospitais(spark, sf_dir),
         "profissionais_saude": raw_profissionais_saude(spark, sf_dir),

@@ -62,12 +62,15 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Shared folder for lineage cuts and versioned tables.
 
     The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (local tests) a folder is created and registered.
+    and Spark runs locally (tests) a folder is created and registered. On a
+    cluster an unset setting is an error rather than a machine-local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if current:
         return current
+    if fallback is None and not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set; name a folder shared by all executors")
     path = fallback or tempfile.mkdtemp(prefix="strata-ckpt-")
     os.makedirs(path, exist_ok=True)
     sc.setCheckpointDir(path)

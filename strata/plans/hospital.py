@@ -402,7 +402,7 @@ RULESET_TEXT = {
     """,
 }
 
-# Evaluation context of each table's outcomes.
+# Fixed value: prefix of the evaluation context name of each table's outcomes.
 CONTEXT_PREFIX = "dh_genai_hospital_"
 
 

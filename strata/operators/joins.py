@@ -3,10 +3,12 @@
 ``left_join_fanout`` is a left outer equi-join whose right side may hold
 many rows per key (a patient with thousands of admissions). AQE's skew
 handling can only split the preserved (left) side of a left join, so a hot
-key on the right would land in one task. Here keys whose right-side row count
-exceeds ``hot_rows`` are spread over ``salt_buckets`` sub-keys: their right
-rows are hashed into buckets and their left rows are copied once per bucket.
-Cold keys keep a single bucket, so they cost nothing extra.
+key on the right would land in one task. Here a key whose right-side row
+count ``n`` exceeds ``hot_rows`` is spread over ``ceil(n / hot_rows)``
+sub-keys (at most ``salt_buckets``), so each sub-key holds about
+``hot_rows`` right rows however hot the key is: its right rows are hashed
+into the buckets and its left rows are copied once per bucket. Cold keys keep
+a single bucket, so they cost nothing extra.
 
 Because every hot key has matches by definition, a copied left row that
 finds nothing in one bucket is a spurious NULL extension and is removed; its
@@ -26,16 +28,20 @@ from pyspark.sql import functions as F
 
 _SALT = "__salt"
 _HOT = "__hot"
+_BUCKETS = "__buckets"
 _MATCH = "__matched"
 
 
-def hot_keys(right: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
-    """Keys of ``right`` with more than ``hot_rows`` rows (partial aggregation)."""
+def hot_keys(right: DataFrame, keys: list[str], hot_rows: int, salt_buckets: int) -> DataFrame:
+    """Keys of ``right`` with more than ``hot_rows`` rows and the number of
+    sub-keys each is spread over (partial aggregation before the shuffle)."""
+    n = F.count(F.lit(1))
+    buckets = F.least(F.lit(salt_buckets), F.ceil(n / F.lit(max(hot_rows, 1)))).cast("int")
     return (
         right.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__n"))
+        .agg(n.alias("__n"), buckets.alias(_BUCKETS))
         .filter(F.col("__n") > hot_rows)
-        .select(*keys, F.lit(True).alias(_HOT))
+        .select(*keys, F.lit(True).alias(_HOT), _BUCKETS)
     )
 
 
@@ -44,28 +50,28 @@ def left_join_fanout(
     right: DataFrame,
     on: str | list[str],
     hot_rows: int = 100_000,
-    salt_buckets: int = 64,
+    salt_buckets: int = 1024,
 ) -> DataFrame:
     keys = [on] if isinstance(on, str) else list(on)
     if salt_buckets <= 1:
         return left.join(right, keys, "left")
-    hot = hot_keys(right, keys, hot_rows)
+    hot = hot_keys(right, keys, hot_rows, salt_buckets)
     right_cols = [c for c in right.columns if c not in keys]
     left_marked = left.join(hot, keys, "left")
     left_salted = left_marked.withColumn(
         _SALT,
         F.explode(
-            F.when(F.col(_HOT), F.sequence(F.lit(0), F.lit(salt_buckets - 1))).otherwise(
-                F.array(F.lit(0))
-            )
+            F.when(F.col(_HOT), F.sequence(F.lit(0), F.col(_BUCKETS) - 1)).otherwise(F.array(F.lit(0)))
         ),
     )
     row_hash = F.xxhash64(*[F.col(c) for c in right.columns]) if right.columns else F.lit(0)
     right_salted = (
         right.join(hot, keys, "left")
-        .withColumn(_SALT, F.when(F.col(_HOT), F.pmod(row_hash, F.lit(salt_buckets))).otherwise(F.lit(0)))
+        .withColumn(
+            _SALT, F.when(F.col(_HOT), F.pmod(row_hash, F.col(_BUCKETS).cast("bigint"))).otherwise(F.lit(0))
+        )
         .withColumn(_MATCH, F.lit(True))
-        .drop(_HOT)
+        .drop(_HOT, _BUCKETS)
     )
     joined = left_salted.join(right_salted, keys + [_SALT], "left")
     kept = joined.filter(~(F.coalesce(F.col(_HOT), F.lit(False)) & F.col(_MATCH).isNull()))

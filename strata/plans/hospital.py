@@ -199,7 +199,7 @@ def fato_exames_receitas(
     assume_unique_dims: bool = False,
     dedupe_admissions: str | None = None,
     hot_rows: int = 100_000,
-    salt_buckets: int = 64,
+    salt_buckets: int = 1024,
 ) -> DataFrame:
     """Exams and prescriptions with cost, patient, professional and hospital.
 

@@ -20,27 +20,27 @@ _DEFAULTS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # layer loads run as concurrent jobs, one scheduler pool each
+    "spark.scheduler.mode": "FAIR",
 }
 
 
-def build_session(
-    master: str | None = None,
-    app_name: str = "strata",
+def session_conf(
     shuffle_partitions: int | None = None,
     warehouse: str | None = None,
     catalog: str | None = None,
+    catalog_impl: str | None = None,
     catalog_conf: dict[str, str] | None = None,
     conf: dict[str, str] | None = None,
-) -> SparkSession:
-    """Create (or reuse) the session used by all jobs.
+) -> dict[str, str]:
+    """The settings :func:`build_session` applies.
 
-    ``catalog`` names an extra table catalog (for example an Iceberg REST
-    catalog) made the default one; its settings come in ``catalog_conf`` and
-    are only applied when asked for, since the jars are not bundled.
+    ``catalog`` names an extra table catalog (for example an Iceberg catalog)
+    made the default one: ``catalog_impl`` is its class and ``catalog_conf``
+    its options (``{"warehouse": ...}`` becomes
+    ``spark.sql.catalog.<catalog>.warehouse``). They are applied only when
+    asked for, since such jars are not bundled.
     """
-    builder = SparkSession.builder.appName(app_name)
-    if master:
-        builder = builder.master(master)
     settings = dict(_DEFAULTS)
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -48,9 +48,29 @@ def build_session(
         settings["spark.sql.warehouse.dir"] = warehouse
     if catalog:
         settings["spark.sql.defaultCatalog"] = catalog
+        if catalog_impl:
+            settings[f"spark.sql.catalog.{catalog}"] = catalog_impl
         for key, value in (catalog_conf or {}).items():
-            settings[f"spark.sql.catalog.{catalog}{key}" if key.startswith(".") else key] = value
+            settings[f"spark.sql.catalog.{catalog}.{key.lstrip('.')}"] = value
     settings.update(conf or {})
+    return settings
+
+
+def build_session(
+    master: str | None = None,
+    app_name: str = "strata",
+    shuffle_partitions: int | None = None,
+    warehouse: str | None = None,
+    catalog: str | None = None,
+    catalog_impl: str | None = None,
+    catalog_conf: dict[str, str] | None = None,
+    conf: dict[str, str] | None = None,
+) -> SparkSession:
+    """Create (or reuse) the session used by all jobs (see :func:`session_conf`)."""
+    builder = SparkSession.builder.appName(app_name)
+    if master:
+        builder = builder.master(master)
+    settings = session_conf(shuffle_partitions, warehouse, catalog, catalog_impl, catalog_conf, conf)
     for key, value in settings.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()

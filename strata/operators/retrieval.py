@@ -2,9 +2,9 @@
 
 ``kb_search`` ranks documents for each query with BM25 over lower-cased
 letter/digit tokens of the whole texts; ``kb_search_vec`` ranks vectors by
-cosine similarity (one matrix product per bucket of vectors). Both return the top ``k`` per query and, for a query that
-matches nothing, one row carrying the fixed "nothing found" message instead
-of an invented answer.
+cosine similarity (one matrix product per bucket of vectors). Both return
+the top ``k`` per query and, for a query that matches nothing, one row
+carrying the fixed "nothing found" message instead of an invented answer.
 
 Plan of ``kb_search`` (documents are the big side, queries the small one):
 
@@ -282,7 +282,8 @@ def kb_search_vec(
     )
     query_side = spark.sparkContext.broadcast((q_local["qid"].to_numpy(), qmat))
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    v = vectors.select(F.col(vec_id).alias("vec_id"), F.col(vec).alias(vec))
+    # a vector without values cannot be scored (as in SQL over its elements)
+    v = vectors.select(F.col(vec_id).alias("vec_id"), F.col(vec).alias(vec)).filter(F.col(vec).isNotNull())
     qid_type = dict(queries.dtypes)["qid"]
     per_bucket = v.groupBy(F.pmod(F.xxhash64("vec_id"), F.lit(buckets)).alias("bucket")).applyInPandas(
         _cosine_bucket_scorer(query_side, k, vec),

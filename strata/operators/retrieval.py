@@ -12,8 +12,9 @@ Plan of ``kb_search`` (documents are the big side, queries the small one):
    vocabulary, bounded by the size of the query table and broadcast only
    after its row count has been checked (else joined by shuffle);
 2. documents are tokenised once; tokens are kept only for query terms
-   (semi join, map side) and counted per (document, term), while the same
-   job observes the collection statistics (documents, mean length);
+   (broadcast join, map side) and counted per (document, term); one marker
+   row per document carries its length, so the collection statistics
+   (documents, mean length) are read from the same written output;
 3. document frequency per query term is a small aggregate; the query side
    (term, query, idf x count) is bounded by the query table, checked and
    broadcast;
@@ -27,7 +28,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.text import tokens
@@ -144,8 +145,8 @@ def kb_search(
     """Top-``k`` documents per query: (qid, rank, doc_id, score, message).
 
     Job 1 tokenises every document once, keeps only query terms, counts
-    them per (document, term) and, through ``DataFrame.observe``, measures
-    the collection (documents, tokens). Its output is written under
+    them per (document, term) and adds one length row per document for the
+    collection statistics. Its output is written under
     ``work_dir`` (default: the shared checkpoint folder), which also cuts the
     lineage. Job 2 scores hash buckets of documents with
     ``applyInPandas`` against the broadcast query weights (bounded collect)
@@ -163,25 +164,32 @@ def kb_search(
     vocab = q_terms.select("term").distinct()
     vocab_rows = vocab.count()
 
-    collection = Observation("collection")
-    d = (
-        docs.select(F.col(doc_id).alias("doc_id"), tokens(dtext).alias("toks"))
-        .withColumn("dl", F.size("toks"))
-        .observe(collection, F.count(F.lit(1)).alias("n"), F.count("dl").alias("n_len"),
-                 F.sum("dl").alias("tokens"))
-    )
+    # One pass over the documents: every token of a query term, plus one
+    # marker row per document (term NULL) carrying its length, so the
+    # collection statistics come from the written rows themselves (exact
+    # under task retries).
+    d = docs.select(F.col(doc_id).alias("doc_id"), tokens(dtext).alias("toks"))
+    dl = F.when(F.col("toks").isNotNull(), F.size("toks"))
+    marked = F.concat(F.coalesce(F.col("toks"), F.array().cast("array<string>")), F.array(F.lit(None).cast("string")))
+    in_vocab = _maybe_broadcast(vocab.withColumn("in_vocab", F.lit(True)), vocab_rows)
     tf = (
-        d.select("doc_id", "dl", F.explode("toks").alias("term"))
-        .join(_maybe_broadcast(vocab, vocab_rows), "term", "left_semi")
+        d.select("doc_id", dl.alias("dl"), F.explode(marked).alias("term"))
+        .join(in_vocab, "term", "left")
+        .filter(F.col("in_vocab") | F.col("term").isNull())
         .groupBy("doc_id", "term")
         .agg(F.count(F.lit(1)).alias("tf"), F.first("dl").alias("dl"))
     )
     path = f"{(work_dir or checkpoint_dir(spark)).rstrip('/')}/kb-tf-{uuid.uuid4().hex[:12]}"
     tf.write.mode("errorifexists").parquet(path)
-    stats = collection.get
+    stored = spark.read.parquet(path)
+    stats = (
+        stored.filter(F.col("term").isNull())
+        .agg(F.count(F.lit(1)).alias("n"), F.count("dl").alias("n_len"), F.sum("dl").alias("tokens"))
+        .first()
+    )
     n_docs = int(stats["n"])
     avgdl = float(stats["tokens"] or 0) / max(int(stats["n_len"]), 1)
-    tf = spark.read.parquet(path)
+    tf = stored.filter(F.col("term").isNotNull())
 
     idf = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")).select(
         "term", F.log(F.lit(1.0) + (F.lit(n_docs) - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf")

@@ -126,6 +126,17 @@ def load_rules(text: str, table: str) -> Ruleset:
 
 
 # ---------------------------------------------------------- evaluation ---
+_CURRENT_DATE = re.compile(r"\bcurrent_date\b(\s*\(\s*\))?", re.IGNORECASE)
+
+
+def with_as_of(sql: str, as_of) -> str:
+    """Bind ``current_date`` in rule SQL to a fixed date, for repeatable checks."""
+    if as_of is None:
+        return sql
+    day = str(as_of)[:10]
+    return _CURRENT_DATE.sub(f"DATE'{day}'", sql)
+
+
 def violations(df: DataFrame, sql: str) -> DataFrame:
     """Rows selected by a CustomSql statement over ``df`` bound as ``primary``.
 
@@ -168,9 +179,11 @@ def _quoted(c: str) -> str:
     return "`" + c.replace("`", "``") + "`"
 
 
-def evaluate(df: DataFrame, ruleset: Ruleset, context: str | None = None) -> DataFrame:
+def evaluate(df: DataFrame, ruleset: Ruleset, context: str | None = None, as_of=None) -> DataFrame:
     """Outcome rows (``OUTCOME_SCHEMA``) of every rule of ``ruleset`` on ``df``.
 
+    ``as_of`` (a date) replaces ``current_date`` in CustomSql statements.
+
     The outcome expressions are generated as SQL text so a ruleset costs a
     handful of driver calls however many rules it has.
     """
@@ -230,7 +243,7 @@ def evaluate(df: DataFrame, ruleset: Ruleset, context: str | None = None) -> Dat
         if rule.kind != "CustomSql":
             continue
         try:
-            bad = violations(df, rule.sql)
+            bad = violations(df, with_as_of(rule.sql, as_of))
         except Exception as exc:  # analysis error: a failed rule, not a failed job
             msg = str(exc).splitlines()[0][:500]
             row = _row(context, table, rule, failed_, "NULL", "NULL", sql_str(f"statement failed: {msg}"))
@@ -250,12 +263,14 @@ def evaluate(df: DataFrame, ruleset: Ruleset, context: str | None = None) -> Dat
 
 
 def evaluate_all(
-    tables: dict[str, DataFrame], rulesets: dict[str, Ruleset], context_prefix: str = ""
+    tables: dict[str, DataFrame], rulesets: dict[str, Ruleset], context_prefix: str = "", as_of=None
 ) -> DataFrame:
     """Outcomes of every ruleset on its table, as one frame; never raises on
     failed rules."""
     frames = [
-        evaluate(tables[name], rs, f"{context_prefix}{name}") for name, rs in rulesets.items() if name in tables
+        evaluate(tables[name], rs, f"{context_prefix}{name}", as_of)
+        for name, rs in rulesets.items()
+        if name in tables
     ]
     return reduce(DataFrame.unionByName, frames)
 

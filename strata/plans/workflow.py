@@ -111,9 +111,10 @@ def run_quality(
     curated_namespace: str,
     results_root: str | None = None,
     fail_on: str = "never",
+    as_of=None,
 ) -> DataFrame:
     tables = {t: spark.table(f"{curated_namespace}.{t}") for t in H.CURATED_TABLES}
-    outcomes = Q.evaluate_all(tables, H.rulesets(), H.CONTEXT_PREFIX)
+    outcomes = Q.evaluate_all(tables, H.rulesets(), H.CONTEXT_PREFIX, as_of)
     if results_root:
         publish_outcomes(outcomes, results_root)
     Q.assert_passed(outcomes, fail_on)

@@ -97,3 +97,16 @@ def test_completeness(spark):
 def test_ruleset_text_has_four_tables():
     assert set(RULESET_TEXT) == {"fato_consultas_procedimentos", "fato_exames_receitas", "dim_hospital",
                                  "dim_profissional"}
+
+
+def test_as_of_binds_current_date(spark):
+    as_of = dt.date(2024, 1, 5)
+    df = spark.createDataFrame(
+        [(1, 1.0, as_of, "1234"), (2, 1.0, as_of + dt.timedelta(days=1), "1234")], SCHEMA
+    )
+    rule = Q.custom_sql("SELECT data FROM primary WHERE data > current_date")
+    out = Q.evaluate(df, Q.Ruleset("t", (rule,)), "ctx", as_of=as_of).first()
+    assert (out.outcome, out.violations) == ("Failed", 1)  # the day after as_of fails, as_of itself passes
+    assert Q.with_as_of("x > CURRENT_DATE() AND y < current_date", "2024-01-05") == (
+        "x > DATE'2024-01-05' AND y < DATE'2024-01-05'"
+    )

@@ -4,7 +4,7 @@
     python -m strata.plans.jobs extract --jdbc-url U --raw-root R [--tables ...]
     python -m strata.plans.jobs stage   --raw-root R --namespace staged --root W [--table T] [--keys k1,k2]
     python -m strata.plans.jobs curate  --staged staged --curated curated --root W
-    python -m strata.plans.jobs quality --curated curated [--results-root R] [--fail-on any]
+    python -m strata.plans.jobs quality --curated curated [--results-root R] [--fail-on any] [--as-of D]
     python -m strata.plans.jobs sql     --query "SELECT ..." [--catalog-alias A] [--limit N]
 
 Database credentials come from ``--jdbc-user`` / ``--jdbc-password`` or the
@@ -81,7 +81,7 @@ def cmd_curate(spark, args) -> dict:
 
 
 def cmd_quality(spark, args) -> dict:
-    outcomes = W.run_quality(spark, args.curated, args.results_root, args.fail_on)
+    outcomes = W.run_quality(spark, args.curated, args.results_root, args.fail_on, args.as_of)
     rows = [r.asDict() for r in outcomes.collect()]  # one row per rule (83 for the shipped rulesets)
     return {"rules": len(rows), "failed": [f"{r['table']}: {r['rule']}" for r in rows if r["outcome"] == "Failed"]}
 
@@ -126,6 +126,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--curated", default="curated")
     s.add_argument("--results-root")
     s.add_argument("--fail-on", default="never", choices=["never", "any"])
+    s.add_argument("--as-of", help="date bound to current_date in the rules (default: today)")
     s = sub.add_parser("sql")
     s.add_argument("--query", required=True)
     s.add_argument("--catalog-alias")

@@ -217,7 +217,7 @@ def label_centroids(vectors: DataFrame, label: str = "label", vec: str = "embedd
     One hash aggregate with one average per position (partial aggregation
     map side, no explode); the dimension is read from one row.
     """
-    first = vectors.select(F.size(vec).alias("d")).limit(1).collect()
+    first = vectors.filter(F.col(vec).isNotNull()).select(F.size(vec).alias("d")).limit(1).collect()
     dim = int(first[0]["d"]) if first else 0
     means = [F.avg(F.try_element_at(vec, F.lit(i + 1))).alias(f"__c{i}") for i in range(dim)]
     return vectors.groupBy(F.col(label).alias("qid")).agg(*means).select(

@@ -151,10 +151,30 @@ def _message(exc: Exception) -> str:
     return str(exc).strip().splitlines()[0] if str(exc).strip() else type(exc).__name__
 
 
-def respond(spark: SparkSession, sql: str, limit: int | None = None, **options) -> dict:
-    """Contract as a plain dict: ``{"status", "sql", "rows"}`` or an error."""
+def respond(
+    spark: SparkSession,
+    sql: str,
+    limit: int | None = None,
+    result_root: str | None = None,
+    run_id: str | None = None,
+    **options,
+) -> dict:
+    """Contract as a plain dict: ``{"status", "sql", "rows"}`` or an error.
+
+    With ``result_root`` the whole result is also stored as header CSV under
+    ``result_root/<run_id>`` (by the executors, not through the driver) and
+    the response names that ``output_location``.
+    """
+    import uuid
+
+    from strata.sources.sinks import write_result_files
+
     try:
         result = sql_run(spark, sql, **options)
-        return {"status": 200, "sql": result.sql, "rows": result.fetch(limit)}
+        out = {"status": 200, "sql": result.sql}
+        if result_root:
+            out["output_location"] = write_result_files(result.df, result_root, run_id or uuid.uuid4().hex)
+        out["rows"] = result.fetch(limit)
+        return out
     except QueryError as err:
         return {"status": err.status, "sql": sql, **err.to_dict()}

@@ -89,8 +89,8 @@ def cmd_quality(spark, args) -> dict:
 def cmd_sql(spark, args) -> dict:
     from strata.operators.sqlsurface import respond
 
-    return respond(spark, args.query, limit=args.limit, catalog_alias=args.catalog_alias,
-                   read_only=not args.allow_commands)
+    return respond(spark, args.query, limit=args.limit, result_root=args.result_root,
+                   catalog_alias=args.catalog_alias, read_only=not args.allow_commands)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -131,6 +131,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--query", required=True)
     s.add_argument("--catalog-alias")
     s.add_argument("--limit", type=int)
+    s.add_argument("--result-root", help="also store the whole result as CSV under this folder")
     s.add_argument("--allow-commands", action="store_true")
     return p
 

@@ -71,3 +71,10 @@ def test_respond_contract(spark, layer):
     assert ok["status"] == 200 and ok["rows"] == [{"id": 1}, {"id": 2}]
     bad = respond(spark, "SELECT * FROM nowhere")
     assert bad["status"] == 400 and bad["error"] == "Query execution error" and "suggestions" in bad
+
+
+def test_respond_stores_result_files(spark, layer, scratch):
+    res = respond(spark, "SELECT id, name FROM sqlns.t ORDER BY id", limit=1, result_root=f"{scratch}/out",
+                  run_id="q1")
+    assert res["status"] == 200 and res["output_location"].endswith("/q1") and len(res["rows"]) == 1
+    assert spark.read.csv(res["output_location"], header=True).count() == 2

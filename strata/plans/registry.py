@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.dates import parse_date
-from strata.operators.staging import stage
 from strata.plans import oracle as O
 from strata.plans import published as P
 from strata.plans import standins as S

@@ -46,3 +46,12 @@ def test_missing_column_raises(spark):
     raw = spark.createDataFrame([("1",)], "id_hospital string")
     with pytest.raises(ValueError, match="lacks columns"):
         stage(raw, STAGING_SPECS["hospitais"])
+
+
+def test_cast_helpers(spark):
+    from strata.functions import cast_to, typed_null
+
+    df = spark.createDataFrame([("7",), ("x",), (None,)], "s string")
+    out = df.select(cast_to("s", "int").alias("i"), typed_null("double").alias("n"))
+    assert dict(out.dtypes) == {"i": "int", "n": "double"}
+    assert [r.i for r in out.collect()] == [7, None, None]

@@ -85,15 +85,18 @@ FROM parts""",
 )
 def parse_date_modes(spark, sf_dir):
     o = S.table(spark, sf_dir, "orders")
-    d = F.col("o_orderdate")
+    # Texts are built from the date (to_date) or from the zone-free timestamp
+    # text, so no session time zone can shift them (date_format on a
+    # timestamp without zone goes through the session zone).
+    day = F.to_date("o_orderdate")
     variant = F.pmod(F.col("o_orderkey"), F.lit(6))
     raw_text = (
-        F.when(variant == 0, F.date_format(d, _DATE_TEXT_SPARK[0]))
-        .when(variant == 1, F.date_format(d, _DATE_TEXT_SPARK[1]))
-        .when(variant == 2, F.date_format(d, _DATE_TEXT_SPARK[2]))
-        .when(variant == 3, F.concat(F.date_format(d, "yyyy-MM-dd"), F.lit("junk")))
-        .when(variant == 4, F.date_format(d, "yyyy"))
-        .otherwise(F.concat(F.date_format(d, "yyyy-MM-"), (F.dayofmonth(d) + 28).cast("string")))
+        F.when(variant == 0, F.date_format(day, _DATE_TEXT_SPARK[0]))
+        .when(variant == 1, F.date_format(day, _DATE_TEXT_SPARK[1]))
+        .when(variant == 2, F.substring(F.col("o_orderdate").cast("timestamp_ntz").cast("string"), 1, 19))
+        .when(variant == 3, F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit("junk")))
+        .when(variant == 4, F.date_format(day, "yyyy"))
+        .otherwise(F.concat(F.date_format(day, "yyyy-MM-"), (F.dayofmonth(day) + 28).cast("string")))
     )
     raw = o.select(F.col("o_orderkey").alias("id"), raw_text.alias("raw_text"))
     return raw.select(

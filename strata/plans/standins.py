@@ -156,7 +156,7 @@ def raw_internacoes(spark, sf_dir):
         f"pmod(event_id, {ADMISSION_HOSPITALS}) AS id_hospital",
         "props AS motivo",
         "ts AS data_entrada",
-        "date_format(ts + INTERVAL 3 DAYS, 'yyyy-MM-dd') AS data_saida",
+        "CAST(date_add(to_date(ts), 3) AS STRING) AS data_saida",
     )
 
 

@@ -52,3 +52,13 @@ def test_entry(spark):
     df = E.entry(spark)
     assert df.columns == ["hospital", "cidade", "total_custos"]
     assert df.count() >= 0
+
+
+@pytest.mark.parametrize("name", ["parse_date_modes", "stg_internacoes", "events_by_month"])
+def test_results_do_not_depend_on_session_time_zone(spark, duck, name):
+    other = spark.newSession()
+    other.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")  # has a DST gap at midnight
+    df = E.queries()[name](other, SF_SMALL)
+    got = canon(df.columns, [tuple(r) for r in df.collect()])
+    res = duck.execute(E.oracle_sql()[name])
+    assert got == canon([d[0] for d in res.description], res.fetchall())

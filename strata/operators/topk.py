@@ -18,10 +18,12 @@ def top_k(
     """The ``k`` first rows of each group by ``order`` (a strict order: add a
     unique tie-breaker), numbered 1..k in ``rank_col``.
 
-    A group may be huge (one query scored against every document), so rows
-    are first ranked inside ``(group, bucket)`` sub-groups, with the bucket
-    a hash of ``bucket_key``; only ``k`` rows per sub-group survive, and the
-    final ranking sees at most ``buckets * k`` rows per group.
+    Spark plans the ``row_number() <= k`` filter with a partial
+    ``WindowGroupLimit`` before the shuffle, so each input partition already
+    sends at most ``k`` rows per group. When the input is not spread over
+    partitions (a huge group arriving in few partitions), ``bucket_key`` adds
+    a first ranking inside ``(group, hash(bucket_key) % buckets)`` sub-groups,
+    so the final ranking sees at most ``buckets * k`` rows per group.
     """
     if bucket_key is not None and buckets > 1:
         sub = Window.partitionBy(*group, F.pmod(F.xxhash64(bucket_key), F.lit(buckets))).orderBy(*order)

@@ -61,14 +61,17 @@ def left_join_fanout(
     left_salted = left_marked.withColumn(
         _SALT,
         F.explode(
-            F.when(F.col(_HOT), F.sequence(F.lit(0), F.col(_BUCKETS) - 1)).otherwise(F.array(F.lit(0)))
+            F.when(F.col(_HOT), F.sequence(F.lit(0).cast("bigint"), (F.col(_BUCKETS) - 1).cast("bigint"))).otherwise(
+                F.array(F.lit(0).cast("bigint"))
+            )
         ),
     )
     row_hash = F.xxhash64(*[F.col(c) for c in right.columns]) if right.columns else F.lit(0)
     right_salted = (
         right.join(hot, keys, "left")
         .withColumn(
-            _SALT, F.when(F.col(_HOT), F.pmod(row_hash, F.col(_BUCKETS).cast("bigint"))).otherwise(F.lit(0))
+            _SALT,
+            F.when(F.col(_HOT), F.pmod(row_hash, F.col(_BUCKETS).cast("bigint"))).otherwise(F.lit(0).cast("bigint")),
         )
         .withColumn(_MATCH, F.lit(True))
         .drop(_HOT, _BUCKETS)

@@ -52,7 +52,7 @@ def stage_table(
         raise ValueError(f"no staging spec for {table!r}; known: {sorted(specs)}")
     spec = specs[table]
     staged = stage(raw, spec)
-    return upsert_table(
+    path = upsert_table(
         spark,
         staged,
         f"{namespace}.{table}",
@@ -60,6 +60,10 @@ def stage_table(
         f"{root.rstrip('/')}/{namespace}/{table}",
         buckets=buckets or spec.buckets,
     )
+    if spec.description or spec.column_comments:
+        C.comment_table(spark, f"{namespace}.{table}", f"{spec.description} Key: {spec.key_csv}.".strip(),
+                        spec.column_comments)
+    return path
 
 
 def run_staging(

@@ -59,3 +59,12 @@ def test_bucketed_staging(spark, lake):
     W.run_staging(spark, "staged_b", f"{root}/tables_b", raw_root=f"{root}/raw", tables=["consultas"], buckets=4)
     assert bucket_spec(spark, "staged_b.consultas") == (4, ["id_consulta"])
     assert spark.table("staged_b.consultas").exceptAll(spark.table("staged.consultas")).count() == 0
+
+
+def test_layers_are_documented(spark, lake):
+    from strata.sources.catalog import describe_layer
+
+    staged = {r.table: r for r in describe_layer(spark, "staged").collect()}
+    assert staged["consultas"].description.endswith("Key: id_consulta.")
+    curated = {r.table: r for r in describe_layer(spark, "curated").collect()}
+    assert "n rows per event" in curated["fato_exames_receitas"].description

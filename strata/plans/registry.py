@@ -48,13 +48,6 @@ for _t in STAGING_SPECS:
     register(f"stg_{_t}", O.with_staged(f"SELECT {_cols} FROM {_t}"))(_staged_query(_t))
 
 
-_DATE_TEXT_SPARK = {
-    0: "yyyy-MM-dd",
-    1: "yyyy-M-d",
-    2: "yyyy-MM-dd HH:mm:ss",
-}
-
-
 @register(
     "parse_date_modes",
     r"""
@@ -91,8 +84,8 @@ def parse_date_modes(spark, sf_dir):
     day = F.to_date("o_orderdate")
     variant = F.pmod(F.col("o_orderkey"), F.lit(6))
     raw_text = (
-        F.when(variant == 0, F.date_format(day, _DATE_TEXT_SPARK[0]))
-        .when(variant == 1, F.date_format(day, _DATE_TEXT_SPARK[1]))
+        F.when(variant == 0, F.date_format(day, "yyyy-MM-dd"))
+        .when(variant == 1, F.date_format(day, "yyyy-M-d"))
         .when(variant == 2, F.substring(F.col("o_orderdate").cast("timestamp_ntz").cast("string"), 1, 19))
         .when(variant == 3, F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit("junk")))
         .when(variant == 4, F.date_format(day, "yyyy"))

@@ -100,3 +100,12 @@ def test_salted_left_join_matches_plain_join_randomised(spark):
         salted = left_join_fanout(lf, rf, "k", hot_rows=hot_rows, salt_buckets=buckets)
         assert salted.columns == plain.columns
         assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
+
+
+def test_salted_join_two_column_key(spark):
+    left = spark.createDataFrame([(i, i % 3, "x" if i % 2 else "y") for i in range(30)], "lid int, a int, b string")
+    right = spark.createDataFrame([(j % 3, "x" if j % 4 else "y", j) for j in range(40)], "a int, b string, rid int")
+    plain = left.join(right, ["a", "b"], "left")
+    salted = left_join_fanout(left, right, ["a", "b"], hot_rows=2, salt_buckets=5)
+    assert salted.columns == plain.columns
+    assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0

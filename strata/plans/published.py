@@ -90,4 +90,10 @@ SQL = {
         FROM {ns}.fato_consultas_procedimentos
         GROUP BY procedimento
         ORDER BY custo_medio DESC NULLS LAST""",
+    # tutorial queries over the customers / procedures tables (column names
+    # resolve case-insensitively)
+    "insured": "SELECT * FROM {ns}.procedures WHERE insurance = 'yes' OR insurance = 'no'",
+    "balance": "SELECT * FROM {ns}.customers WHERE balance >= 0",
+    "insured_category": "SELECT * FROM {ns}.procedures WHERE category = '{category}' AND insurance = 'yes'",
+    "vip_balance": "SELECT * FROM {ns}.customers WHERE vip = 'yes' AND balance > {above}",
 }

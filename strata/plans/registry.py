@@ -410,3 +410,21 @@ def sql_json_rows(spark, sf_dir):
     """Rows of an ad-hoc query as JSON objects (NULLs kept, ISO dates)."""
     ns = _global_views(spark, sf_dir)
     return to_rows_json(sql_run(spark, f"SELECT * FROM {ns}.fato_exames_receitas").df)
+
+
+def _tutorial_views(spark, sf_dir) -> str:
+    S.raw_customers(spark, sf_dir).createOrReplaceGlobalTempView("customers")
+    S.raw_procedures(spark, sf_dir).createOrReplaceGlobalTempView("procedures")
+    return "global_temp"
+
+
+def _tutorial_sql_query(name: str) -> Query:
+    def run(spark, sf_dir):
+        ns = _tutorial_views(spark, sf_dir)
+        return sql_run(spark, P.SQL[name].format(ns=ns, category=TUTORIAL_CATEGORY, above=200)).df
+
+    return run
+
+
+for _name in ("insured", "balance", "insured_category", "vip_balance"):
+    register(f"sql_{_name}", ORACLE[_name])(_tutorial_sql_query(_name))

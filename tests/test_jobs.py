@@ -31,3 +31,15 @@ def test_jobs_end_to_end(spark, scratch):
     assert res["status"] == 200 and res["rows"] == [{"n": staged.count()}]
     refused = main(["sql", "--query", "DROP TABLE jobs_staged.hospitais"], spark)
     assert refused["status"] == 400 and spark.catalog.tableExists("jobs_staged.hospitais")
+
+
+def test_jobs_curate_and_quality(spark, scratch):
+    for name, df in S.raw_tables(spark, SF_SMALL).items():
+        df.write.parquet(f"{scratch}/raw/{name}")
+    main(["stage", "--raw-root", f"{scratch}/raw", "--namespace", "jobs_st", "--root", f"{scratch}/w"], spark)
+    out = main(["curate", "--staged", "jobs_st", "--curated", "jobs_cur", "--root", f"{scratch}/w"], spark)
+    assert set(out) == {"dim_hospital", "dim_profissional", "fato_consultas_procedimentos", "fato_exames_receitas"}
+    res = main(["quality", "--curated", "jobs_cur", "--results-root", f"{scratch}/dq", "--as-of", "1990-01-01"], spark)
+    assert res["rules"] == 83
+    # with as_of before every event, the future-date rules fail
+    assert any("data_evento > current_date" in f for f in res["failed"])

@@ -141,16 +141,23 @@ def violations(df: DataFrame, sql: str) -> DataFrame:
     """Rows selected by a CustomSql statement over ``df`` bound as ``primary``.
 
     ``spark.sql`` resolves the view while analysing, so the returned frame
-    keeps pointing at ``df`` after the view is replaced; the lock keeps
-    concurrent evaluations from swapping the view mid-analysis.
+    keeps pointing at ``df`` after the view is dropped; the lock keeps
+    concurrent evaluations from swapping the view mid-analysis, and a
+    caller's own temp view named ``primary`` is put back afterwards.
     """
     spark = df.sparkSession
     with _VIEW_LOCK:
+        previous = None
+        if spark.catalog.tableExists("primary") and spark.catalog.getTable("primary").isTemporary:
+            previous = spark.table("primary")
         df.createOrReplaceTempView("primary")
         try:
             return spark.sql(sql)
         finally:
-            spark.catalog.dropTempView("primary")
+            if previous is not None:
+                previous.createOrReplaceTempView("primary")
+            else:
+                spark.catalog.dropTempView("primary")
 
 
 def sql_str(v) -> str:

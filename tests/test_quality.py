@@ -110,3 +110,14 @@ def test_as_of_binds_current_date(spark):
     assert Q.with_as_of("x > CURRENT_DATE() AND y < current_date", "2024-01-05") == (
         "x > DATE'2024-01-05' AND y < DATE'2024-01-05'"
     )
+
+
+def test_callers_primary_view_is_kept(spark):
+    mine = spark.createDataFrame([(42,)], "x int")
+    mine.createOrReplaceTempView("primary")
+    try:
+        df = spark.createDataFrame([(1, 1.0, TODAY, "1")], SCHEMA)
+        assert Q.violations(df, "SELECT id FROM primary").count() == 1
+        assert [r.x for r in spark.table("primary").collect()] == [42]
+    finally:
+        spark.catalog.dropTempView("primary")

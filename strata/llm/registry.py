@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from strata.llm import chat_format, quality_rules, simhash
+from strata.llm import chat_format, mixing, packing, quality_rules, simhash
 
-_MODULES = (quality_rules, chat_format, simhash)
+_MODULES = (quality_rules, chat_format, simhash, mixing, packing)
 
 QUERIES = {name: q for m in _MODULES for name, q in m.QUERIES.items()}
 ORACLE = {name: sql for m in _MODULES for name, sql in m.ORACLE.items()}

@@ -131,7 +131,12 @@ def measured(df: DataFrame, text: str = "text") -> DataFrame:
 def quality_rules(df: DataFrame, text: str = "text", rules=RULES, base=BASE_RULES) -> DataFrame:
     """``df`` with the measures, ``base_failed`` and ``kept``."""
     failed, kept = verdict(rules, base)
-    return measured(df, text).withColumns({"base_failed": F.expr(failed), "kept": F.expr(kept)})
+    outputs = {*MEASURES, "base_failed", "kept"}
+    row = F.struct("*").alias("__row")  # so that no column of the input meets a helper's name
+    judged = measured(df.select(row, F.col(f"`{text}`").alias("__x")), "__x")
+    judged = judged.withColumns({"base_failed": F.expr(failed), "kept": F.expr(kept)})
+    passed = [F.col(f"__row.`{c}`") for c in df.columns if c not in outputs]
+    return judged.select(*passed, *MEASURES, "base_failed", "kept")
 
 
 def op3_quality_rules(spark, sf_dir):

@@ -17,7 +17,7 @@ from strata.llm.simhash import simhash_keep
 
 def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    judged = quality_rules(docs.select(F.struct("*").alias("row"), F.col("text").alias("__text")), "__text")
+    judged = quality_rules(docs.select(F.struct("*").alias("row"), "text"))
     return judged.filter("kept").select("row.*")
 
 

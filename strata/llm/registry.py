@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from strata.llm import chat_format, mixing, packing, quality_model, quality_rules, simhash, token_io
+from strata.llm import chat_format, mixing, packing, quality_model, quality_rules, simhash, suffix_dedup, token_io
 
-_MODULES = (quality_rules, chat_format, simhash, mixing, packing, token_io, quality_model)
+_MODULES = (quality_rules, chat_format, simhash, mixing, packing, token_io, quality_model, suffix_dedup)
 
 QUERIES = {name: q for m in _MODULES for name, q in m.QUERIES.items()}
 ORACLE = {name: sql for m in _MODULES for name, sql in m.ORACLE.items()}

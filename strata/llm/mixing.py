@@ -200,6 +200,23 @@ def mix_sources(
     )
 
 
+def take_copies(df: DataFrame, **how) -> DataFrame:
+    """The mix itself: the rows of ``df``, each as often as it is taken."""
+    doc_id, text, source = (how.get(k, k) for k in ("doc_id", "text", "source"))
+    # copies depend on these three alone
+    plan = mix_sources(df, **how).filter("copies > 0").select("doc_id", "source", "size", "copies").distinct()
+    plan = plan.withColumnsRenamed({"doc_id": "__d", "source": "__s", "size": "__n"})
+    rows = df.select(
+        F.struct("*").alias("__row"),
+        F.col(f"`{doc_id}`").alias("__id"),
+        F.col(f"`{source}`").alias("__source"),
+        F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("__t"),
+    ).withColumn("__size", F.expr(f"CAST(size({words_of('__t')}) AS BIGINT)"))
+    taken = rows.join(plan, F.expr("__id <=> __d AND __source <=> __s AND __size = __n"))
+    each = taken.select("__row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return each.select("__row.*")
+
+
 def op9_entropy_mixing(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken", "rate", "copies")

@@ -2,9 +2,31 @@
 
 from __future__ import annotations
 
-from strata.llm import chat_format, mixing, packing, quality_model, quality_rules, simhash, suffix_dedup, token_io, winnowing
+from strata.llm import (
+    chat_format,
+    html_extract,
+    mixing,
+    packing,
+    quality_model,
+    quality_rules,
+    simhash,
+    suffix_dedup,
+    token_io,
+    winnowing,
+)
 
-_MODULES = (quality_rules, chat_format, simhash, mixing, packing, token_io, quality_model, suffix_dedup, winnowing)
+_MODULES = (
+    token_io,
+    winnowing,
+    quality_rules,
+    chat_format,
+    suffix_dedup,
+    simhash,
+    quality_model,
+    html_extract,
+    mixing,
+    packing,
+)
 
 QUERIES = {name: q for m in _MODULES for name, q in m.QUERIES.items()}
 ORACLE = {name: sql for m in _MODULES for name, sql in m.ORACLE.items()}

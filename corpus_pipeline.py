@@ -7,12 +7,18 @@ again as the next one's input.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.common import stored
+from strata.llm.mixing import take_copies
+from strata.llm.packing import pack_documents
 from strata.llm.quality_rules import quality_rules
 from strata.llm.simhash import simhash_keep
+from strata.llm.suffix_dedup import without_copies
+
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
 def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,9 +32,27 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return simhash_keep(docs)
 
 
+def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated passages stay in their first place only."""
+    return without_copies(docs)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
+    return take_copies(docs)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of training sequences, token ids included."""
+    return pack_documents(docs, VOCABULARY)
+
+
 STAGES = [
     ("quality_rules", rules_stage),
     ("simhash_near_dedup", simhash_stage),
+    ("suffix_array_dedup", suffix_stage),
+    ("source_mixing", mixing_stage),
+    ("packing", packing_stage),
 ]
 
 # Fingerprints, suffix order, Newton steps and token ids have no SQL form; the

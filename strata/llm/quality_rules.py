@@ -112,7 +112,9 @@ def measured(df: DataFrame, text: str = "text") -> DataFrame:
     )
     done = again.withColumns(
         {
-            "n_words": F.expr("CAST(size(__w) AS BIGINT)"),
+            # not deterministic to the optimizer: a filter on the verdict stays above this projection,
+            # where pushing it down would repeat the whole chain once per reference
+            "n_words": F.expr("CAST(IF(monotonically_increasing_id() < 0, NULL, size(__w)) AS BIGINT)"),
             "word_chars": F.expr("CAST(length(translate(__t, ' \\t\\n\\u000b\\u000c\\r', '')) AS BIGINT)"),
             "n_symbols": F.expr(f"CAST(length(__t) - length(translate(__t, '{SYMBOLS}', '')) AS BIGINT)"),
             "n_dup_lines": F.expr("CAST(size(__l) - size(array_distinct(__l)) AS BIGINT)"),

@@ -131,7 +131,7 @@ class _Model:
     def learn(self, ids: np.ndarray) -> None:
         hit2 = ids == self.guess2
         hit1 = ids == self.guess1
-        if self.step < 16 or self.step % 4 == 0:
+        if self.step < 16 or self.step % 8 == 0:
             self._train(self.by2, self.n2, hit2)
             self._train(self.by1, self.i1, hit2)
             self._train(self.by0, self.i0, hit2)

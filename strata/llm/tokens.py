@@ -12,10 +12,12 @@ its whole chain.
 from __future__ import annotations
 
 import re
+import sys
+from array import array
 
 import numpy as np
 
-_MOST_PIECES = 1_000_000  # of a worker's memory; then the table is emptied
+_MOST_PIECES = 500_000  # in each of a worker's two tables, the current and the one before
 _START = "\0"  # marks a piece at a line's start, without the blank before it
 _STEM = re.compile(r"(\0?[^\W\d_]+)([!-&(-/:-@[-^`{-~]+)\Z")
 _PROBES = ("a", "The", "zażółć", "ÉCOLE", "straße")
@@ -31,6 +33,7 @@ def _byte_letters() -> dict[int, int]:
 
 
 _LETTERS = _byte_letters()
+_BLANK = chr(_LETTERS[0x20])
 
 
 class Pieces(dict):
@@ -43,6 +46,8 @@ class Pieces(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.dtype = "<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
+        self.code = "H" if self.dtype == "<u2" else "I"
+        self.older: dict[str, bytes] = {}
         self.model = self.tokenizer.model
         self.word_ends = bool(getattr(self.model, "end_of_word_suffix", None))
         self.direct = all(self.letters(w, b) == self.whole(b * " " + w) for w in _PROBES for b in (True, False))
@@ -52,25 +57,36 @@ class Pieces(dict):
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
     def letters(self, word: str, blank: bool) -> bytes:
-        unit = word.lower() if self.word_ends else blank * " " + word
-        units = self.model.tokenize(unit.encode().decode("latin-1").translate(_LETTERS))
-        return np.array([t.id for t in units], self.dtype).tobytes()
+        unit = word.lower() if self.word_ends else word
+        if not unit.isascii():
+            unit = unit.encode().decode("latin-1").translate(_LETTERS)
+        if blank and not self.word_ends:
+            unit = _BLANK + unit
+        ids = array(self.code, [t.id for t in self.model.tokenize(unit)])
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
 
     def __missing__(self, piece: str) -> bytes:
-        if stem := _STEM.match(piece):  # letters and ASCII punctuation never share an id
-            ids = self[stem[1]] + self[_START + stem[2]]
-        else:
-            blank = piece[:1] != _START
-            word = piece if blank else piece[1:]
-            if self.direct and word.isalpha() and max(word) < "\u0250" and word.lower().isalpha():
-                ids = self.letters(word, blank)
-            else:
-                ids = self.whole(blank * " " + word)
-        if len(self) >= _MOST_PIECES:
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = self.encoded(piece)
+        if len(self) >= _MOST_PIECES:  # pieces not met again since the last time are forgotten
+            self.older = dict(self)
             self.clear()
         self[piece] = ids
         return ids
 
+    def encoded(self, piece: str) -> bytes:
+        blank = piece[0] != _START
+        word = piece if blank else piece[1:]
+        if self.direct and word.isalpha():
+            if word.isascii() or max(word) < "\u0250" and word.lower().isalpha():
+                return self.letters(word, blank)
+        elif stem := _STEM.match(piece):  # letters and ASCII punctuation never share an id
+            return self[stem[1]] + self[_START + stem[2]]
+        return self.whole(blank * " " + word)
+
     def ids(self, text: str | None) -> bytes:
         if not text:
             return b""

@@ -275,14 +275,17 @@ def repeated_passages(
     from ``of_first`` on of an earlier place. ``h`` is the text's hash."""
     docs = _rows(df, doc_id, text)
     grams = stored(_grams(docs, gram, min_words), "suffix-grams")
-    again = grams.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram")
+    # written, so that the join deals both sides alike and the partition of a hot gram can be split
+    again = stored(grams.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram"), "suffix-again")
     places = grams.join(again, "gram").groupBy("doc_id", "h").agg(F.collect_set("at").alias("places"))
     places = places.withColumnsRenamed({"doc_id": "__d", "h": "__h"})
     # rows equal in id and text are one document: any of them will do
     with_text = docs.join(places, F.expr("h = __h AND doc_id <=> __d")).select("doc_id", "h", "text", "places")
     suffixes = _suffixes(with_text, gram, min_words)
-    order = ["suffix", "before", "doc_id", "h", "at"]
-    ordered = suffixes.repartitionByRange(*order).sortWithinPartitions(*order)
+    # equal suffixes may go to several partitions, by document
+    ordered = suffixes.repartitionByRange("suffix", "doc_id").sortWithinPartitions(
+        "suffix", "before", "doc_id", "h", "at"
+    )
     found = stored(_sorted_matches(ordered, gram, min_words), "suffix-matches")
     edges = _edge_matches(found.filter("edge IS NOT NULL").select("edge"), gram, min_words)
     return found.filter("edge IS NULL").union(edges).drop("edge")

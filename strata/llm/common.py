@@ -7,17 +7,18 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir`` of the
     session. Only a session in one local process (tests) may lack it; it then
     gets a temporary folder."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
-        master = spark.sparkContext.master
-        if not (master == "local" or master.startswith("local[")):
+        if not (sc.master == "local" or sc.master.startswith("local[")):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        path = tempfile.mkdtemp(prefix="strata-llm-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="strata-llm-"))
+        path = sc.getCheckpointDir()
     return path.rstrip("/")
 
 

@@ -77,7 +77,7 @@ class Discriminant:
     def score(self, stats: str = "stats") -> str:
         """SQL expression of the chance of class 1."""
         if not self.means:
-            return f"{1 / (1 + np.exp(-self.log_odds))!r}D"
+            return f"{float(1 / (1 + np.exp(-self.log_odds)))!r}D"
 
         def density(k: int) -> str:
             mean, inv = self.means[k], self.factors[k]

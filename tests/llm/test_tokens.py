@@ -17,7 +17,7 @@ from tests.llm.conftest import tricky_rows
 FILES = ("byte_bpe_50k.json", "word_bpe_49k.json")
 KNOWN = {f: Pieces(public_tokenizers.path(f)) for f in FILES}
 TEXT = st.text(
-    st.sampled_from(list("abcdefgZÉéßñIi'’.,!# \n\t0123456789_") + ["  ", "́", "İ", "日", " ", "\0", "'s"])
+    st.sampled_from(list("abcdefgstZÉéßñIi'’.,!# \n\t0123456789_") + ["́", "İ", "日", " ", "\0"])
 )
 
 

@@ -83,7 +83,8 @@ class Pieces(dict):
         if self.direct and word.isalpha():
             if word.isascii() or max(word) < "\u0250" and word.lower().isalpha():
                 return self.letters(word, blank)
-        elif stem := _STEM.match(piece):  # letters and ASCII punctuation never share an id
+        elif (stem := _STEM.match(piece)) and stem[1].lstrip(_START).lower().isalpha():
+            # letters and ASCII punctuation never share an id
             return self[stem[1]] + self[_START + stem[2]]
         return self.whole(blank * " " + word)
 

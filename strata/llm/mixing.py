@@ -13,8 +13,8 @@ Rates are rounded into copies by a threshold: document d gets its whole copies
 and one more if ``u(d) - fraction(d) < tau(source)``, u being a hash of its
 id. tau = 0 is plain randomised rounding; the tau that brings the source
 nearest its target is found by narrowing an interval with grouped sums of
-``BINS`` bins a round, again combined map-side. Nothing depends on partition
-order, so reruns agree.
+``BINS`` bins a round, again combined map-side. All sums are exact (integers
+or decimals), so nothing depends on the order of rows and reruns agree.
 
 Defined results: null text counts 0 words; null sources form one source,
 ordered last; a document without words is taken 0 words; sources without
@@ -98,7 +98,9 @@ def balanced_multipliers(sized: DataFrame, targets: DataFrame, cap: float = CAP)
             "n * size * r AS taken",
             f"n * size * (size / unit) * r * ({float(cap)}D - r) / {float(cap)}D AS slope",
         )
-        sums = slopes.groupBy("__g").agg(F.sum("taken").alias("taken"), F.sum("slope").alias("slope"))
+        # exact sums: the same whatever the order of the rows
+        exact = [F.sum(F.col(c).cast("decimal(38,9)")).cast("double").alias(c) for c in ("taken", "slope")]
+        sums = slopes.groupBy("__g").agg(*exact)
         gap = state.join(sums, F.expr("source <=> __g")).drop("__g").withColumn("gap", F.expr("taken - target"))
         gap = gap.withColumns(
             {"lo": F.expr("IF(gap < 0, lam, lo)"), "hi": F.expr("IF(gap > 0, lam, hi)")}

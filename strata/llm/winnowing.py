@@ -113,35 +113,40 @@ def next_documents(light: DataFrame) -> DataFrame:
     return linked.select("doc_id", "h", "n", following["doc_id"].alias("next_id"), following["h"].alias("next_h"))
 
 
+KEY = ["h", "id", "no_id"]  # of a document: the hash of its text, and its id without nulls
+
+
 def op2_winnowing(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(
-        "doc_id", F.coalesce("text", F.lit("")).alias("text")
+        F.coalesce("doc_id", F.lit(0)).alias("id"),
+        F.col("doc_id").isNull().alias("no_id"),
+        F.coalesce("text", F.lit("")).alias("text"),
     )
     docs = docs.withColumn("h", F.xxhash64("text"))
-    order = next_documents(docs.select("doc_id", "h", F.length("text").alias("n")).distinct())
-    marked = with_marks(docs, "text", "marks")
-    prints = stored(
-        marked.select("doc_id", "h", digest("marks").alias("fingerprint"), hashes("marks").alias("hashes")),
-        "winnow-prints",
+    own_id = F.expr("IF(no_id, NULL, id)").alias("doc_id")
+    order = next_documents(docs.select(own_id, "h", F.length("text").alias("n")).distinct())
+    # dealt out by key once, and read by both joins: they use the same columns
+    marked = with_marks(docs, "text", "marks").select(
+        *KEY, "text", digest("marks").alias("fingerprint"), hashes("marks").alias("hashes")
     )
-    each = prints.groupBy("doc_id", "h").agg(F.first("fingerprint").alias("fingerprint"), F.first("hashes").alias("hashes"))
-    each = each.withColumnsRenamed({"doc_id": "__d", "h": "__h"})
-    same = F.expr("h = __h AND doc_id <=> __d")
-    # the next document's contribution, sent to the document before it
-    heads = docs.join(
-        order.selectExpr("doc_id AS p", "h AS p_h", "n AS p_n", "next_id", "next_h"),
-        F.expr("h = next_h AND doc_id <=> next_id"),
-    ).selectExpr("p", "p_h", "doc_id", "h", "substring(text, 1, CAST(floor(p_n / 3) AS INT)) AS tail")
-    sent = heads.join(each, same).select("p", "p_h", "tail", F.col("hashes").alias("next_hashes"))
-    sent = sent.dropDuplicates(["p", "p_h"])
-    rows = docs.join(sent, F.expr("h = p_h AND doc_id <=> p")).join(each, same)
-    rows = rows.select(
-        "doc_id",
+    before = order.selectExpr(
+        "coalesce(doc_id, 0) AS p_id", "doc_id IS NULL AS p_no_id", "h AS p_h", "n AS p_n",
+        "coalesce(next_id, 0) AS id", "next_id IS NULL AS no_id", "next_h AS h",
+    )
+    # the next document's share of the edited text, sent to the document before it
+    sent = marked.join(before, KEY).selectExpr(
+        "p_h AS h", "p_id AS id", "p_no_id AS no_id",
+        "struct(substring(text, 1, CAST(floor(p_n / 3) AS INT)) AS tail, hashes, fingerprint) AS next",
+    )
+    sent = sent.groupBy(*KEY).agg(F.first("next").alias("next"))  # a repeated row is sent once
+    rows = marked.join(sent, KEY).select(
+        own_id,
         F.length("text").cast("long").alias("n_chars"),
-        F.expr("substring(text, 1, length(text) - CAST(floor(length(text) / 3) AS INT)) || tail").alias("edited"),
+        F.expr("substring(text, 1, length(text) - CAST(floor(length(text) / 3) AS INT)) || next.tail").alias("edited"),
         "fingerprint",
         "hashes",
-        "next_hashes",
+        F.col("next.hashes").alias("next_hashes"),
+        F.col("next.fingerprint").alias("next_fingerprint"),
     )
     rows = with_marks(rows, "edited", "marks").withColumn("edited_hashes", hashes("marks"))
     return rows.select(
@@ -152,6 +157,7 @@ def op2_winnowing(spark, sf_dir):
         digest("marks").alias("edited_fingerprint"),
         likeness("hashes", "edited_hashes").alias("near_edited"),
         likeness("hashes", "next_hashes").alias("near_next"),
+        "next_fingerprint",
     )
 
 

@@ -38,6 +38,7 @@ _SPACE = 1 << _SPACE_BITS
 _REST = 1 << 19  # at least this much of the space is order 0's
 _TOTAL_BITS = 17
 _SLOTS = 1 << 18
+_UNIT = np.int32((_SPACE - _REST) >> 12)
 _WORD = np.uint64(32)
 _LOW = np.uint64(0xFFFFFFFF)
 _TOP = np.uint64(1 << 32)
@@ -54,7 +55,7 @@ def _logistic_tables() -> tuple[np.ndarray, np.ndarray]:
         k, w = divmod(i, 128)
         squash[i] = (knots[k] * (128 - w) + knots[k + 1] * w + 64) >> 7
     stretch = np.searchsorted(squash, np.arange(4096), side="left") - 2048
-    return np.clip(stretch, -2047, 2047), np.clip(squash, 1, 4095)
+    return np.clip(stretch, -2047, 2047).astype(np.int32), np.clip(squash, 1, 4095).astype(np.int32)
 
 
 _STRETCH, _SQUASH = _logistic_tables()
@@ -65,10 +66,10 @@ class _Model:
 
     def __init__(self, lanes: int, symbols: int):
         self.symbols = symbols
-        self.prev1 = np.zeros(lanes, np.int64)
-        self.prev2 = np.zeros(lanes, np.int64)
-        self.after1 = np.zeros(1 << 16, np.int64)  # id * 16 + confidence
-        self.after2 = np.zeros(_SLOTS, np.int64)
+        self.prev1 = np.zeros(lanes, np.int32)
+        self.prev2 = np.zeros(lanes, np.int32)
+        self.after1 = np.zeros(1 << 16, np.int32)  # id * 16 + confidence
+        self.after2 = np.zeros(_SLOTS, np.int32)
         self.by2 = np.linspace(2000, 60000, 16).astype(np.int64)  # 16-bit chances
         self.by1 = np.repeat(np.linspace(1000, 50000, 16).astype(np.int64), 2)
         self.by0 = np.full(_TOTAL_BITS + 2, 8000, np.int64)
@@ -92,34 +93,36 @@ class _Model:
         self.cum = np.zeros(self.symbols + 1, np.int64)
         np.cumsum(freq, out=self.cum[1:])
         self.symbol_at = None
-        self.rarity = np.frexp(freq)[1]  # number of bits of the frequency
+        self.rarity = np.frexp(freq)[1].astype(np.int32)  # number of bits of the frequency
 
     def lookup(self) -> np.ndarray:
         if self.symbol_at is None:
-            self.symbol_at = np.repeat(np.arange(self.symbols), np.diff(self.cum))
+            self.symbol_at = np.repeat(np.arange(self.symbols, dtype=np.int32), np.diff(self.cum))
         return self.symbol_at
 
     def predict(self) -> None:
-        self.slot = ((self.prev2 * 40503 + self.prev1 * 2654435) >> 5) & (_SLOTS - 1)
+        mixed = self.prev2.astype(np.int64) * 40503 + self.prev1.astype(np.int64) * 2654435
+        self.slot = (mixed >> 5) & (_SLOTS - 1)
         self.e2 = self.after2[self.slot]
         self.at1 = self.prev1 & 0xFFFF
         self.e1 = self.after1[self.at1]
-        self.guess2, self.n2 = self.e2 >> 4, self.e2 & 15
-        self.guess1, self.n1 = self.e1 >> 4, self.e1 & 15
+        self.guess2, self.n2 = self.e2 >> np.int32(4), self.e2 & np.int32(15)
+        self.guess1, self.n1 = self.e1 >> np.int32(4), self.e1 & np.int32(15)
         self.differ = self.guess1 != self.guess2
-        self.i1 = self.n1 * 2 + self.differ
+        self.i1 = self.n1 * np.int32(2) + self.differ
         self.i0 = self.rarity[self.guess2]
         self.s2 = _STRETCH[self.by2 >> 4][self.n2]
         self.s1 = _STRETCH[self.by1 >> 4][self.i1]
         self.s0 = _STRETCH[self.by0 >> 4][self.i0]
-        w2, w1, w0 = self.weights
-        dot = (w2 * self.s2 + w1 * self.s1 + w0 * self.s0) >> 16
-        self.chance = _SQUASH[np.clip(dot, -2047, 2047) + 2048]
-        self.size2 = (self.chance * (_SPACE - _REST)) >> 12
-        self.j = self.n1 * 16 + self.n2
-        self.size1 = (((_SPACE - _REST - self.size2) * (self.second >> 4)[self.j]) >> 12) * self.differ
+        w2, w1, w0 = map(np.int32, self.weights)
+        dot = (w2 * self.s2 + w1 * self.s1 + w0 * self.s0) >> np.int32(16)
+        self.chance = _SQUASH[np.clip(dot, -2047, 2047) + np.int32(2048)]
+        self.size2 = self.chance * _UNIT  # of _SPACE - _REST, in 4096ths
+        self.j = self.n1 * np.int32(16) + self.n2
+        chance1 = (self.second >> 4).astype(np.int32)[self.j] * self.differ
+        self.size1 = ((np.int32(_SPACE - _REST) - self.size2) >> np.int32(12)) * chance1
         self.base0 = self.size2 + self.size1
-        self.size0 = _SPACE - self.base0
+        self.size0 = (np.int32(_SPACE) - self.base0).astype(np.int64)
 
     @staticmethod
     def _train(table: np.ndarray, index: np.ndarray, hit: np.ndarray) -> None:
@@ -142,12 +145,12 @@ class _Model:
             for i, s in enumerate((self.s2, self.s1, self.s0)):
                 moved = self.weights[i] + int((err * s).sum()) // (lanes * 64)
                 self.weights[i] = min(max(moved, -(1 << 17)), 1 << 17)
-        fresh = ids * 16 + 1
+        fresh = ids * np.int32(16) + np.int32(1)
         self.after2[self.slot] = np.where(
-            hit2, self.e2 + (self.n2 < 15), np.where(self.n2 < 2, fresh, self.e2 - self.n2 + (self.n2 >> 1))
+            hit2, self.e2 + (self.n2 < 15), np.where(self.n2 < 2, fresh, self.e2 - self.n2 + (self.n2 >> np.int32(1)))
         )
         self.after1[self.at1] = np.where(
-            hit1, self.e1 + (self.n1 < 15), np.where(self.n1 < 2, fresh, self.e1 - self.n1 + (self.n1 >> 1))
+            hit1, self.e1 + (self.n1 < 15), np.where(self.n1 < 2, fresh, self.e1 - self.n1 + (self.n1 >> np.int32(1)))
         )
         self.recent.append(ids)
         self.prev2, self.prev1 = self.prev1, ids
@@ -167,13 +170,13 @@ def _lanes(n: int) -> tuple[int, int]:
 
 def _code(ids: np.ndarray, lanes: int, steps: int, symbols: int) -> tuple[np.ndarray, np.ndarray]:
     """Words per lane, and all words lane after lane."""
-    grid = np.zeros(lanes * steps, np.int64)
+    grid = np.zeros(lanes * steps, np.int32)
     grid[: len(ids)] = ids
     grid = np.ascontiguousarray(grid.reshape(lanes, steps).T)
     model = _Model(lanes, symbols)
     low = np.zeros(lanes, np.uint64)
     rng = np.full(lanes, 0xFFFFFFFFFFFFFFFF, np.uint64)
-    out = np.empty((lanes, steps + 2), np.uint32)
+    out = np.empty((steps + 1, lanes), np.uint32)  # lanes run nearly level: rows are written together
     used = np.zeros(lanes, np.int64)
     for now in grid:
         model.predict()
@@ -191,14 +194,14 @@ def _code(ids: np.ndarray, lanes: int, steps: int, symbols: int) -> tuple[np.nda
             lo, r = low[i], rng[i]
             apart = ((lo ^ (lo + r - np.uint64(1))) >> _WORD) != 0
             r = np.where(apart, _TOP - (lo & _LOW), r)  # stop at the word's end: no carry
-            out[i, used[i]] = lo >> _WORD
+            out[used[i], i] = lo >> _WORD
             used[i] += 1
             low[i], rng[i] = lo << _WORD, r << _WORD
         model.learn(now)
     # every range is 2^32 or more now: the next value whose low word is zero lies in it
-    out[np.arange(lanes), used] = (low + _LOW) >> _WORD
+    out[used, np.arange(lanes)] = (low + _LOW) >> _WORD
     used += 1
-    return used, out[np.arange(steps + 2) < used[:, None]]
+    return used, out.T[np.arange(steps + 1) < used[:, None]]
 
 
 def _decode(used: np.ndarray, words: np.ndarray, n: int, lanes: int, steps: int, symbols: int) -> np.ndarray:
@@ -218,7 +221,7 @@ def _decode(used: np.ndarray, words: np.ndarray, n: int, lanes: int, steps: int,
     model = _Model(lanes, symbols)
     low = np.zeros(lanes, np.uint64)
     rng = np.full(lanes, 0xFFFFFFFFFFFFFFFF, np.uint64)
-    grid = np.empty((steps, lanes), np.int64)
+    grid = np.empty((steps, lanes), np.int32)
     for t in range(steps):
         model.predict()
         unit = rng >> np.uint64(_SPACE_BITS)
@@ -226,7 +229,8 @@ def _decode(used: np.ndarray, words: np.ndarray, n: int, lanes: int, steps: int,
         is2 = value < model.size2
         is1 = ~is2 & (value < model.base0)
         rest = np.maximum(value - model.base0, 0)
-        place = (((rest + 1) << _TOTAL_BITS) - 1) // model.size0
+        # exact: the quotient is below 2^18 and its fraction at least 2^-24 from the next integer
+        place = ((((rest + 1) << _TOTAL_BITS) - 1) / model.size0).astype(np.int64)
         now = model.lookup()[np.minimum(place, (1 << _TOTAL_BITS) - 1)]
         at = model.base0 + ((model.cum[now] * model.size0) >> _TOTAL_BITS)
         end = model.base0 + ((model.cum[now + 1] * model.size0) >> _TOTAL_BITS)

@@ -1,24 +1,17 @@
-"""Join helpers that stay correct and parallel when one key is hot.
-
-``left_join_fanout`` is a left outer equi-join whose right side may hold
-many rows per key (a patient with thousands of admissions). AQE's skew
-handling can only split the preserved (left) side of a left join, so a hot
-key on the right would land in one task. Here a key whose right-side row
-count ``n`` exceeds ``hot_rows`` is spread over ``ceil(n / hot_rows)``
-sub-keys (at most ``salt_buckets``), so each sub-key holds about
-``hot_rows`` right rows however hot the key is: its right rows are hashed
-into the buckets and its left rows are copied once per bucket. Cold keys keep
-a single bucket, so they cost nothing extra.
-
-Because every hot key has matches by definition, a copied left row that
-finds nothing in one bucket is a spurious NULL extension and is removed; its
-real matches come from the other buckets. The result equals the plain left
-join as a bag.
-
-The hot-key list has at most ``rows(right) / hot_rows`` entries. No
-broadcast hint is given: AQE measures it at run time and broadcasts it only
-when it is under ``spark.sql.autoBroadcastJoinThreshold``, otherwise it is
-joined by shuffle.
+"""Left joins whose right side repeats keys, without gathering a hot key.
+
+``left_join_counted`` joins on ``on`` and brings ``value``: the right side is
+first reduced to (key, value, number of rows) by an aggregate that combines
+map-side, so a patient with a million admissions to one hospital is one row.
+The join is a plain left join, whose preserved side adaptive execution can
+split, and every result row is then repeated by its count. The result equals
+the plain left join as a bag.
+
+``times_in`` is the same for a right side that adds no column: only keys that
+occur more than once there change anything, and there are none in a sound
+dimension. That list is counted before the join is planned: up to
+``broadcast_rows`` keys (two numbers each) it is broadcast, and the left side
+is not shuffled at all; beyond, it is an ordinary shuffled join.
 """
 
 from __future__ import annotations
@@ -26,57 +19,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_SALT = "__salt"
-_HOT = "__hot"
-_BUCKETS = "__buckets"
-_MATCH = "__matched"
+BROADCAST_ROWS = 100_000
+_N = "__times"
+
+
+def repeated(df: DataFrame, times: str = _N) -> DataFrame:
+    """Every row as often as ``times`` says (NULL: once), without that column."""
+    n = F.coalesce(F.col(times), F.lit(1)).cast("int")
+    one_more = F.explode(F.sequence(F.lit(1), n)).alias("__i")
+    return df.select(*[c for c in df.columns if c != times], one_more).drop("__i")
 
 
-def hot_keys(right: DataFrame, keys: list[str], hot_rows: int, salt_buckets: int) -> DataFrame:
-    """Keys of ``right`` with more than ``hot_rows`` rows and the number of
-    sub-keys each is spread over (partial aggregation before the shuffle)."""
-    n = F.count(F.lit(1))
-    buckets = F.least(F.lit(salt_buckets), F.ceil(n / F.lit(max(hot_rows, 1)))).cast("int")
-    return (
-        right.groupBy(*keys)
-        .agg(n.alias("__n"), buckets.alias(_BUCKETS))
-        .filter(F.col("__n") > hot_rows)
-        .select(*keys, F.lit(True).alias(_HOT), _BUCKETS)
-    )
+def left_join_counted(left: DataFrame, right: DataFrame, on: str, value: str) -> DataFrame:
+    """``left`` left-joined to ``right`` on ``on``; of ``right`` only ``value``
+    is kept. NULL keys match nothing."""
+    counted = right.filter(F.col(on).isNotNull()).groupBy(on, value).agg(F.count(F.lit(1)).alias(_N))
+    return repeated(left.join(counted, on, "left"))
 
 
-def left_join_fanout(
-    left: DataFrame,
-    right: DataFrame,
-    on: str | list[str],
-    hot_rows: int = 100_000,
-    salt_buckets: int = 1024,
-) -> DataFrame:
-    keys = [on] if isinstance(on, str) else list(on)
-    if salt_buckets <= 1:
-        return left.join(right, keys, "left")
-    hot = hot_keys(right, keys, hot_rows, salt_buckets)
-    right_cols = [c for c in right.columns if c not in keys]
-    left_marked = left.join(hot, keys, "left")
-    left_salted = left_marked.withColumn(
-        _SALT,
-        F.explode(
-            F.when(F.col(_HOT), F.sequence(F.lit(0).cast("bigint"), (F.col(_BUCKETS) - 1).cast("bigint"))).otherwise(
-                F.array(F.lit(0).cast("bigint"))
-            )
-        ),
-    )
-    row_hash = F.xxhash64(*[F.col(c) for c in right.columns]) if right.columns else F.lit(0)
-    right_salted = (
-        right.join(hot, keys, "left")
-        .withColumn(
-            _SALT,
-            F.when(F.col(_HOT), F.pmod(row_hash, F.col(_BUCKETS).cast("bigint"))).otherwise(F.lit(0).cast("bigint")),
-        )
-        .withColumn(_MATCH, F.lit(True))
-        .drop(_HOT, _BUCKETS)
-    )
-    joined = left_salted.join(right_salted, keys + [_SALT], "left")
-    kept = joined.filter(~(F.coalesce(F.col(_HOT), F.lit(False)) & F.col(_MATCH).isNull()))
-    out_cols = keys + [c for c in left.columns if c not in keys] + right_cols
-    return kept.select(*out_cols)
+def times_in(left: DataFrame, right: DataFrame, on: str, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``left`` left-joined to ``right`` on ``on``, keeping only the columns of
+    ``left``: rows whose key occurs n > 1 times in ``right`` appear n times."""
+    many = right.filter(F.col(on).isNotNull()).groupBy(on).agg(F.count(F.lit(1)).alias(_N)).filter(F.col(_N) > 1)
+    found = many.limit(broadcast_rows + 1).count() if broadcast_rows else None
+    if found == 0:
+        return left
+    if found is not None and found <= broadcast_rows:
+        many = F.broadcast(many)
+    return repeated(left.join(many, on, "left")).select(*left.columns)

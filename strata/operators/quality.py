@@ -33,12 +33,15 @@ import threading
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from strata.functions.casts import type_name
 
+from strata.operators.sqlsurface import is_query
+
 OUTCOME_SCHEMA = (
     "context string, table string, rule string, rule_type string, column string, "
     "outcome string, actual double, violations bigint, reason string"
@@ -126,6 +129,10 @@ def load_rules(text: str, table: str) -> Ruleset:
 
 
 # ---------------------------------------------------------- evaluation ---
+class NotAQuery(ValueError):
+    """A rule whose statement would do more than select rows."""
+
+
 _CURRENT_DATE = re.compile(r"\bcurrent_date\b(\s*\(\s*\))?", re.IGNORECASE)
 
 
@@ -152,6 +159,8 @@ def violations(df: DataFrame, sql: str) -> DataFrame:
             previous = spark.table("primary")
         df.createOrReplaceTempView("primary")
         try:
+            if not is_query(spark, sql):  # spark.sql would run a command on the spot
+                raise NotAQuery("not a query; rules may only select rows")
             return spark.sql(sql)
         finally:
             if previous is not None:
@@ -251,7 +260,7 @@ def evaluate(df: DataFrame, ruleset: Ruleset, context: str | None = None, as_of=
             continue
         try:
             bad = violations(df, with_as_of(rule.sql, as_of))
-        except Exception as exc:  # analysis error: a failed rule, not a failed job
+        except (AnalysisException, NotAQuery) as exc:  # the statement's fault: a failed rule, not a failed job
             msg = str(exc).splitlines()[0][:500]
             row = _row(context, table, rule, failed_, "NULL", "NULL", sql_str(f"statement failed: {msg}"))
             parts.append(df.selectExpr("count(1) AS __rows").selectExpr(f"inline(array({row}))"))
@@ -273,15 +282,25 @@ def evaluate_all(
     tables: dict[str, DataFrame], rulesets: dict[str, Ruleset], context_prefix: str = "", as_of=None
 ) -> DataFrame:
     """Outcomes of every ruleset on its table, as one frame; never raises on
-    failed rules."""
+    failed rules. Rules on a table that is not given fail with that reason."""
+    spark = next(iter(tables.values())).sparkSession
     frames = [
         evaluate(tables[name], rs, f"{context_prefix}{name}", as_of)
-        for name, rs in rulesets.items()
         if name in tables
+        else not_evaluated(spark, rs, f"{context_prefix}{name}", f"table {name} not found")
+        for name, rs in rulesets.items()
     ]
     return reduce(DataFrame.unionByName, frames)
 
 
+def not_evaluated(spark, ruleset: Ruleset, context: str, reason: str) -> DataFrame:
+    """A failed outcome for every rule, for a table that is not there."""
+    rows = [
+        _row(context, ruleset.table, rule, sql_str(FAILED), "NULL", "NULL", sql_str(reason)) for rule in ruleset.rules
+    ]
+    return spark.range(1).selectExpr(f"inline(array({', '.join(rows)}))")
+
+
 def failed(outcomes: DataFrame) -> DataFrame:
     return outcomes.filter(F.col("outcome") == FAILED)
 

@@ -2,52 +2,36 @@
 
 ``kb_search`` ranks documents for each query with BM25 over lower-cased
 letter/digit tokens of the whole texts; ``kb_search_vec`` ranks vectors by
-cosine similarity (one matrix product per bucket of vectors). Both return
+cosine similarity (one matrix product per batch of vectors). Both return
 the top ``k`` per query and, for a query that matches nothing, one row
 carrying the fixed "nothing found" message instead of an invented answer.
 
-Plan of ``kb_search`` (documents are the big side, queries the small one):
-
-1. query tokens -> (qid, term, qtf); their distinct terms form the query
-   vocabulary, bounded by the size of the query table and broadcast only
-   after its row count has been checked (else joined by shuffle);
-2. documents are tokenised once; tokens are kept only for query terms
-   (broadcast join, map side) and counted per (document, term); one marker
-   row per document carries its length, so the collection statistics
-   (documents, mean length) are read from the same written output;
-3. document frequency per query term is a small aggregate; the query side
-   (term, query, idf x count) is bounded by the query table, checked and
-   broadcast;
-4. hash buckets of documents are scored in pandas (``applyInPandas``): per
-   term an outer product of document and query weights, so no row per
-   (query, document, term) is ever created, and each bucket returns only its
-   top ``k`` per query; the final ranking sees ``buckets * k`` rows per query.
+Documents are the big side. They are read twice and never stored or shuffled:
+once for the collection statistics, once to be scored in Arrow batches
+against a block of queries of bounded size. Within a batch each term adds an
+outer product of document and query weights, so no row per (query, document,
+term) is ever created; a partition keeps a running top ``k`` per query, and
+only those rows meet in the final ranking.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.text import tokens
 from strata.operators.topk import top_k
-from strata.session import checkpoint_dir
 
 # Fixed value: the answer given when the knowledge base has nothing.
 NOT_FOUND_MESSAGE = "Nenhuma informação institucional encontrada na base de conhecimento."
 
 BM25_K1 = 1.2
 BM25_B = 0.75
-# Largest query vocabulary / query-weight / query-vector table that is
-# broadcast; beyond it the vocabulary and vector joins run as shuffle joins
-# and text queries must be split into several calls.
-MAX_BROADCAST_ROWS = 2_000_000
-
-
-def _maybe_broadcast(df: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(df) if rows <= MAX_BROADCAST_ROWS else df
+# Query rows (term weights or vectors) that one scan of the documents answers;
+# more queries take more scans, each with a query side of this size.
+QUERY_ROWS = 200_000
+QUERY_BYTES = 64 << 20
+_CELLS = 1 << 22  # scores held at a time: documents x queries
 
 
 def _with_fallback(queries: DataFrame, hits: DataFrame, qid: str) -> DataFrame:
@@ -55,80 +39,99 @@ def _with_fallback(queries: DataFrame, hits: DataFrame, qid: str) -> DataFrame:
     return out.withColumn("message", F.when(F.col("doc_id").isNull(), F.lit(NOT_FOUND_MESSAGE)))
 
 
-def _query_side(q_local):
-    """Query weights grouped by term, built once on the driver: the sorted
-    vocabulary, and for term ``i`` the query columns ``cols[ptr[i]:ptr[i+1]]``
-    with weights ``weights[ptr[i]:ptr[i+1]]``."""
+def _query_blocks(rows: DataFrame, n: int, per_block: int):
+    """``rows`` (with ``qid``) as pandas frames of about ``per_block`` rows,
+    whole queries each: one after the other, never all at once."""
+    blocks = max(1, -(-n // per_block))
+    for i in range(blocks):
+        yield rows.filter(F.pmod(F.xxhash64("qid"), F.lit(blocks)) == i).toPandas()
+
+
+class _Best:
+    """Running top k per query over the documents of one partition."""
+
+    def __init__(self, qids, k: int):
+        self.qids, self.k = qids, k
+        self.ids: list = [None] * len(qids)
+        self.scores: list = [None] * len(qids)
+
+    def add(self, j: int, ids, scores) -> None:
+        import numpy as np
+
+        if self.ids[j] is not None:
+            ids, scores = np.concatenate((self.ids[j], ids)), np.concatenate((self.scores[j], scores))
+        key = np.where(np.isnan(scores), np.inf, -scores)  # without a score: last
+        pick = np.lexsort((ids, key))[: self.k]
+        self.ids[j], self.scores[j] = ids[pick], scores[pick]
+
+    def frame(self, id_name: str):
+        import numpy as np
+        import pandas as pd
+
+        some = [j for j, x in enumerate(self.ids) if x is not None]
+        if not some:
+            return None
+        return pd.DataFrame(
+            {
+                "qid": np.concatenate([np.repeat(self.qids[j : j + 1], len(self.ids[j])) for j in some]),
+                id_name: np.concatenate([self.ids[j] for j in some]),
+                "score": np.concatenate([self.scores[j] for j in some]),
+            }
+        )
+
+
+def _term_side(q_local):
+    """Query weights by term: the vocabulary, and for term ``i`` the query
+    columns ``cols[ptr[i]:ptr[i+1]]`` with their weights."""
     import numpy as np
 
     q = q_local.sort_values(["term", "qid"], kind="stable")
     qids = np.sort(q["qid"].unique())
     vocab, starts = np.unique(q["term"].to_numpy(dtype=object), return_index=True)
-    return {
-        "vocab": vocab,
-        "ptr": np.r_[starts, len(q)],
-        "cols": np.searchsorted(qids, q["qid"].to_numpy()),
-        "weights": q["weight"].to_numpy(dtype="float64"),
-        "qids": qids,
-    }
-
-
-def _bm25_bucket_scorer(query_side, k: int, avgdl: float):
-    """pandas function scoring one bucket of documents against all queries.
-
-    ``query_side`` is the broadcast output of :func:`_query_side`. For every
-    term present in the bucket the document weights and query weights add an
-    outer product into a (documents x queries) score block; nothing is
-    materialised per (query, document, term). Only the bucket's top ``k``
-    per query leave.
-    """
-    import numpy as np
-    import pandas as pd
-
-    empty = pd.DataFrame({"qid": [], "doc_id": [], "score": []})
-
-    def score(pdf: pd.DataFrame) -> pd.DataFrame:
-        qs = query_side.value
-        qids, ptr, cols, weights = qs["qids"], qs["ptr"], qs["cols"], qs["weights"]
-        if pdf.empty or len(qids) == 0:
-            return empty
-        t_idx = pd.Index(qs["vocab"]).get_indexer(pdf["term"].to_numpy(dtype=object))
-        keep = t_idx >= 0
-        pdf, t_idx = pdf[keep], t_idx[keep]
-        doc_ids, d_idx = np.unique(pdf["doc_id"].to_numpy(), return_inverse=True)
-        tf = pdf["tf"].to_numpy(dtype="float64")
-        dl = pdf["dl"].to_numpy(dtype="float64")
-        w = tf * (BM25_K1 + 1) / (tf + BM25_K1 * ((1 - BM25_B) + BM25_B * dl / (avgdl or 1.0)))
-        scores = np.zeros((len(doc_ids), len(qids)))
-        order = np.argsort(t_idx, kind="stable")
-        t_sorted = t_idx[order]
-        starts = np.flatnonzero(np.r_[True, t_sorted[1:] != t_sorted[:-1]])
-        ends = np.r_[starts[1:], len(order)]
-        for a, b in zip(starts, ends):
-            t = t_sorted[a]
-            lo, hi = ptr[t], ptr[t + 1]
-            rows = order[a:b]
-            # (document, term) and (query, term) are unique, so the index
-            # pairs of one term never repeat and a plain add is exact
-            scores[np.ix_(d_idx[rows], cols[lo:hi])] += np.outer(w[rows], weights[lo:hi])
-        matched = scores > 0  # every BM25 term weight is positive
-        scores = np.round(scores, 9)
-        out_q, out_d, out_s = [], [], []
-        for j in range(len(qids)):
-            hit = np.flatnonzero(matched[:, j])
-            if hit.size == 0:
-                continue
-            pick = hit[np.lexsort((doc_ids[hit], -scores[hit, j]))[:k]]
-            out_q.append(np.full(pick.size, qids[j]))
-            out_d.append(doc_ids[pick])
-            out_s.append(scores[pick, j])
-        if not out_q:
-            return empty
-        return pd.DataFrame(
-            {"qid": np.concatenate(out_q), "doc_id": np.concatenate(out_d), "score": np.concatenate(out_s)}
-        )
-
-    return score
+    ptr = np.r_[starts, len(q)]
+    return qids, vocab, ptr, np.searchsorted(qids, q["qid"].to_numpy()), q["weight"].to_numpy(dtype="float64")
+
+
+def _bm25_scan(side, k: int, avgdl: float):
+    """Scores batches of documents (doc_id, toks) against one block of
+    queries; a partition gives its top ``k`` per query."""
+
+    def scan(frames):
+        import numpy as np
+        import pandas as pd
+
+        qids, vocab, ptr, cols, weights = side.value
+        index, best = pd.Index(vocab), _Best(qids, k)
+        step = max(1, _CELLS // max(1, len(qids)))
+        for frame in frames:
+            for at in range(0, len(frame), step):
+                part = frame.iloc[at : at + step]
+                toks = [t if t is not None else [] for t in part["toks"]]
+                dl = np.array([len(t) for t in toks])
+                flat = np.concatenate([np.asarray(t, dtype=object) for t in toks]) if dl.sum() else np.array([], object)
+                term = index.get_indexer(flat)
+                known = term >= 0
+                pairs, tf = np.unique(
+                    term[known] * len(toks) + np.repeat(np.arange(len(toks)), dl)[known], return_counts=True
+                )
+                t, d = np.divmod(pairs, max(1, len(toks)))
+                w = tf * (BM25_K1 + 1) / (tf + BM25_K1 * ((1 - BM25_B) + BM25_B * dl[d] / (avgdl or 1.0)))
+                scores = np.zeros((len(toks), len(qids)))
+                cuts = np.flatnonzero(np.diff(t, prepend=-1, append=-1))
+                for a, b in zip(cuts[:-1], cuts[1:]):
+                    lo, hi = ptr[t[a]], ptr[t[a] + 1]
+                    scores[np.ix_(d[a:b], cols[lo:hi])] += np.outer(w[a:b], weights[lo:hi])
+                matched = scores > 0  # every BM25 term weight is positive
+                scores = np.round(scores, 9)
+                ids = part["doc_id"].to_numpy()
+                for j in np.flatnonzero(matched.any(axis=0)):
+                    hit = np.flatnonzero(matched[:, j])
+                    best.add(j, ids[hit], scores[hit, j])
+        out = best.frame("doc_id")
+        if out is not None:
+            yield out
+
+    return scan
 
 
 def kb_search(
@@ -139,21 +142,16 @@ def kb_search(
     qtext: str = "text",
     doc_id: str = "doc_id",
     dtext: str = "text",
-    work_dir: str | None = None,
-    buckets: int | None = None,
 ) -> DataFrame:
     """Top-``k`` documents per query: (qid, rank, doc_id, score, message).
 
-    Job 1 tokenises every document once, keeps only query terms, counts
-    them per (document, term) and adds one length row per document for the
-    collection statistics. Its output is written under
-    ``work_dir`` (default: the shared checkpoint folder), which also cuts the
-    lineage. Job 2 scores hash buckets of documents with
-    ``applyInPandas`` against the broadcast query weights (bounded collect)
-    and keeps each bucket's top ``k``; the final ranking sees at most
-    ``buckets * k`` rows per query. ``buckets`` defaults to the shuffle
-    partition count, so a bucket holds about rows / partitions (document,
-    query-term) rows.
+    Two passes over the documents, none of which stores or shuffles texts.
+    The first counts lengths, and in how many documents each term occurs (an
+    aggregate that combines map-side), joined to the query terms. The second
+    scores whole documents in Arrow batches against a block of queries of
+    bounded size, and only the top ``k`` per query and partition are shuffled;
+    more queries than a block holds take more scans. Every document row is a
+    document of its own.
     """
     spark = docs.sparkSession
     q_terms = (
@@ -161,51 +159,26 @@ def kb_search(
         .groupBy("qid", "term")
         .agg(F.count(F.lit(1)).alias("qtf"))
     )
-    vocab = q_terms.select("term").distinct()
-    vocab_rows = vocab.count()
-
-    # One pass over the documents: every token of a query term, plus one
-    # marker row per document (term NULL) carrying its length, so the
-    # collection statistics come from the written rows themselves (exact
-    # under task retries).
     d = docs.select(F.col(doc_id).alias("doc_id"), tokens(dtext).alias("toks"))
-    dl = F.when(F.col("toks").isNotNull(), F.size("toks"))
-    marked = F.concat(F.coalesce(F.col("toks"), F.array().cast("array<string>")), F.array(F.lit(None).cast("string")))
-    in_vocab = _maybe_broadcast(vocab.withColumn("in_vocab", F.lit(True)), vocab_rows)
-    tf = (
-        d.select("doc_id", dl.alias("dl"), F.explode(marked).alias("term"))
-        .join(in_vocab, "term", "left")
-        .filter(F.col("in_vocab") | F.col("term").isNull())
-        .groupBy("doc_id", "term")
-        .agg(F.count(F.lit(1)).alias("tf"), F.first("dl").alias("dl"))
-    )
-    path = f"{(work_dir or checkpoint_dir(spark)).rstrip('/')}/kb-tf-{uuid.uuid4().hex[:12]}"
-    tf.write.mode("errorifexists").parquet(path)
-    stored = spark.read.parquet(path)
-    stats = (
-        stored.filter(F.col("term").isNull())
-        .agg(F.count(F.lit(1)).alias("n"), F.count("dl").alias("n_len"), F.sum("dl").alias("tokens"))
-        .first()
-    )
-    n_docs = int(stats["n"])
-    avgdl = float(stats["tokens"] or 0) / max(int(stats["n_len"]), 1)
-    tf = stored.filter(F.col("term").isNotNull())
-
-    idf = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")).select(
-        "term", F.log(F.lit(1.0) + (F.lit(n_docs) - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf")
-    )
-    q_weights = q_terms.join(idf, "term").select("term", "qid", (F.col("qtf") * F.col("idf")).alias("weight"))
-    q_local = q_weights.limit(MAX_BROADCAST_ROWS + 1).toPandas()  # bounded collect
-    if len(q_local) > MAX_BROADCAST_ROWS:
-        raise ValueError(f"query-term rows exceed the broadcast bound {MAX_BROADCAST_ROWS}; split the queries")
-    query_side = spark.sparkContext.broadcast(_query_side(q_local))
-
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    per_bucket = tf.groupBy(F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).alias("bucket")).applyInPandas(
-        _bm25_bucket_scorer(query_side, k, avgdl),
-        schema=f"qid {dict(q_weights.dtypes)['qid']}, doc_id {dict(tf.dtypes)['doc_id']}, score double",
-    )
-    best = top_k(per_bucket, ["qid"], [F.col("score").desc(), F.col("doc_id").asc()], k)
+    stats = d.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count("toks").alias("n_len"),
+        F.sum(F.when(F.col("toks").isNotNull(), F.size("toks"))).alias("tokens"),
+    ).first()
+    n_docs, avgdl = int(stats["n"]), float(stats["tokens"] or 0) / max(int(stats["n_len"]), 1)
+    df = d.select(F.explode(F.array_distinct("toks")).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    idf = F.log(F.lit(1.0) + (F.lit(n_docs) - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    weights = q_terms.join(df, "term").select("term", "qid", (F.col("qtf") * idf).alias("weight")).persist()
+    schema = f"qid {dict(weights.dtypes)['qid']}, doc_id {dict(d.dtypes)['doc_id']}, score double"
+    try:
+        best = spark.createDataFrame([], schema)
+        for q_local in _query_blocks(weights, weights.count(), QUERY_ROWS):
+            if len(q_local):
+                side = spark.sparkContext.broadcast(_term_side(q_local))
+                best = best.unionByName(d.mapInPandas(_bm25_scan(side, k, avgdl), schema))
+    finally:
+        weights.unpersist()
+    best = top_k(best, ["qid"], [F.col("score").desc(), F.col("doc_id").asc()], k)
     return _with_fallback(queries.select(F.col(qid).alias("qid")), best, "qid").select(
         F.col("qid").alias(qid), "rank", "doc_id", "score", "message"
     )
@@ -215,89 +188,75 @@ def label_centroids(vectors: DataFrame, label: str = "label", vec: str = "embedd
     """Mean vector per label as (qid, vector).
 
     One hash aggregate with one average per position (partial aggregation
-    map side, no explode); the dimension is read from one row.
+    map side, no explode). All vectors must have one dimension.
     """
-    first = vectors.filter(F.col(vec).isNotNull()).select(F.size(vec).alias("d")).limit(1).collect()
-    dim = int(first[0]["d"]) if first else 0
-    means = [F.avg(F.try_element_at(vec, F.lit(i + 1))).alias(f"__c{i}") for i in range(dim)]
-    return vectors.groupBy(F.col(label).alias("qid")).agg(*means).select(
-        "qid", F.array(*[F.col(f"__c{i}") for i in range(dim)]).alias("vector")
+    sizes = vectors.filter(F.col(vec).isNotNull()).agg(F.min(F.size(vec)), F.max(F.size(vec))).first()
+    if sizes[0] != sizes[1]:
+        raise ValueError(f"vectors of {sizes[0]} to {sizes[1]} dimensions have no common centroid")
+    dim = int(sizes[0] or 0)
+    means = [F.avg(F.get(vec, F.lit(i))).alias(f"__c{i}") for i in range(dim)]
+    return vectors.groupBy(F.col(label).alias("qid")).agg(F.count(F.lit(1)).alias("__n"), *means).select(
+        "qid", F.array(*[F.col(f"__c{i}") for i in range(dim)]).cast("array<double>").alias("vector")
     )
 
 
-def _cosine_bucket_scorer(query_side, k: int, vec: str):
-    """pandas function: cosine of one bucket of vectors against all query
-    vectors with one matrix product; returns the bucket's top ``k`` per query."""
-    import numpy as np
-    import pandas as pd
-
-    empty = pd.DataFrame({"qid": [], "vec_id": [], "score": []})
-
-    def score(pdf: pd.DataFrame) -> pd.DataFrame:
-        qids, qmat = query_side.value
-        if pdf.empty or len(qids) == 0:
-            return empty
-        ids = pdf["vec_id"].to_numpy()
-        v32 = np.stack([np.asarray(x, dtype="float32") for x in pdf[vec]])
-        # squares in single precision, sums in double (as SQL over float arrays)
-        vn = np.sqrt((v32 * v32).astype("float64").sum(axis=1))
-        qn = np.sqrt((qmat * qmat).sum(axis=1))
-        dots = v32.astype("float64") @ qmat.T
-        with np.errstate(divide="ignore", invalid="ignore"):
-            sims = np.where((vn[:, None] > 0) & (qn[None, :] > 0), dots / (vn[:, None] * qn[None, :]), np.nan)
-        sims = np.round(sims, 9)
-        out_q, out_v, out_s = [], [], []
-        for j in range(len(qids)):
-            col = sims[:, j]
-            key = np.where(np.isnan(col), np.inf, -col)  # NULL scores last
-            pick = np.lexsort((ids, key))[:k]
-            out_q.append(np.full(pick.size, qids[j]))
-            out_v.append(ids[pick])
-            out_s.append(col[pick])
-        return pd.DataFrame(
-            {"qid": np.concatenate(out_q), "vec_id": np.concatenate(out_v), "score": np.concatenate(out_s)}
-        )
+def _cosine_scan(side, k: int, vec: str):
+    """Cosines of batches of vectors against one block of query vectors."""
+
+    def scan(frames):
+        import numpy as np
 
-    return score
+        qids, qmat = side.value
+        best = _Best(qids, k)
+        qn = np.sqrt((qmat * qmat).sum(axis=1))
+        step = max(1, _CELLS // max(1, len(qids), qmat.shape[1]))
+        for frame in frames:
+            for at in range(0, len(frame), step):
+                part = frame.iloc[at : at + step]
+                ids = part["vec_id"].to_numpy()
+                v32 = np.stack([np.asarray(x, dtype="float32") for x in part[vec]])
+                # squares in single precision, sums in double (as SQL over float arrays)
+                vn = np.sqrt((v32 * v32).astype("float64").sum(axis=1))
+                dots = v32.astype("float64") @ qmat.T
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    sims = np.where((vn[:, None] > 0) & (qn[None, :] > 0), dots / (vn[:, None] * qn[None, :]), np.nan)
+                sims = np.round(sims, 9)
+                for j in range(len(qids)):
+                    best.add(j, ids, sims[:, j])
+        out = best.frame("vec_id")
+        if out is not None:
+            yield out
+
+    return scan
 
 
 def kb_search_vec(
-    queries: DataFrame,
-    vectors: DataFrame,
-    k: int = 5,
-    vec_id: str = "vec_id",
-    vec: str = "embedding",
-    buckets: int | None = None,
+    queries: DataFrame, vectors: DataFrame, k: int = 5, vec_id: str = "vec_id", vec: str = "embedding"
 ) -> DataFrame:
     """Top-``k`` vectors per query vector by cosine similarity.
 
-    ``queries`` holds (qid, vector). The query vectors are collected with a
-    checked bound and broadcast; vectors are scored per hash bucket with one
-    matrix product in ``applyInPandas``, each bucket keeping its top ``k``
-    per query, so no row per (query, vector) pair is shuffled.
+    ``queries`` holds (qid, vector). Query vectors are broadcast in blocks of
+    bounded size, one scan of the vectors each; a scan scores Arrow batches
+    with one matrix product and keeps a running top ``k`` per query, so only
+    ``k`` rows per query and partition are shuffled.
     """
     import numpy as np
 
     spark = vectors.sparkSession
-    q_local = queries.select("qid", "vector").limit(MAX_BROADCAST_ROWS + 1).toPandas()  # bounded collect
-    if len(q_local) > MAX_BROADCAST_ROWS:
-        raise ValueError(f"query vectors exceed the broadcast bound {MAX_BROADCAST_ROWS}; split the queries")
-    q_local = q_local.sort_values("qid", kind="stable")
-    qmat = (
-        np.stack([np.asarray(v, dtype="float64") for v in q_local["vector"]])
-        if len(q_local)
-        else np.zeros((0, 0))
-    )
-    query_side = spark.sparkContext.broadcast((q_local["qid"].to_numpy(), qmat))
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    queries = queries.select("qid", "vector").persist()
     # a vector without values cannot be scored (as in SQL over its elements)
     v = vectors.select(F.col(vec_id).alias("vec_id"), F.col(vec).alias(vec)).filter(F.col(vec).isNotNull())
-    qid_type = dict(queries.dtypes)["qid"]
-    per_bucket = v.groupBy(F.pmod(F.xxhash64("vec_id"), F.lit(buckets)).alias("bucket")).applyInPandas(
-        _cosine_bucket_scorer(query_side, k, vec),
-        schema=f"qid {qid_type}, vec_id {dict(v.dtypes)['vec_id']}, score double",
-    )
-    best = top_k(per_bucket, ["qid"], [F.col("score").desc_nulls_last(), F.col("vec_id").asc()], k)
+    schema = f"qid {dict(queries.dtypes)['qid']}, vec_id {dict(v.dtypes)['vec_id']}, score double"
+    found = spark.createDataFrame([], schema)
+    size = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("d")).first()
+    per_block = max(1, QUERY_BYTES // (8 * max(1, int(size["d"] or 1))))
+    for q_local in _query_blocks(queries, int(size["n"]), per_block):
+        if len(q_local):
+            q_local = q_local.sort_values("qid", kind="stable")
+            qmat = np.stack([np.asarray(x, dtype="float64") for x in q_local["vector"]])
+            side = spark.sparkContext.broadcast((q_local["qid"].to_numpy(), qmat))
+            found = found.unionByName(v.mapInPandas(_cosine_scan(side, k, vec), schema))
+    best = top_k(found, ["qid"], [F.col("score").desc_nulls_last(), F.col("vec_id").asc()], k)
     out = queries.select("qid").join(best, "qid", "left")
     return out.select(
         "qid", "rank", "vec_id", "score",

@@ -6,7 +6,8 @@ an HTTP-like status, a message and suggestions:
 
 * ``refused`` (400): the text is not a query (DDL, DML, SET, ...) while
   read-only mode is on (the default);
-* ``query``   (400): parse or analysis error (unknown table or column, ...);
+* ``query``   (400): parse, analysis or run-time error of the statement
+  (unknown table or column, division by zero, a cast that does not fit, ...);
 * ``catalog`` (500): the namespace to query does not exist;
 * ``internal``(500): anything else.
 
@@ -25,17 +26,18 @@ import json
 import re
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException, ParseException
+from pyspark.errors import AnalysisException, ParseException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# The suggestions returned with a query error.
 QUERY_ERROR_SUGGESTIONS = (
-    "Verify table exists in the attached database",
-    "Check your S3 Tables ARN format",
-    "Validate AWS permissions for the bucket",
+    "See that every table is spelled as in the layer's description",
+    "See that columns exist and that their types fit the functions used",
+    "Use try_cast and try_divide where values may not fit",
 )
 
+MAX_ROWS = 10_000  # of an answer through the driver
+
 _LITERAL = re.compile(r"'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`")
 
 
@@ -51,10 +53,10 @@ class QueryError(Exception):
 
     def to_dict(self) -> dict:
         titles = {
-            "query": "Query execution error",
-            "refused": "Query refused",
-            "catalog": "Catalog connection failed",
-            "internal": "Unexpected runtime error",
+            "query": "The query cannot be answered",
+            "refused": "Only queries may run here",
+            "catalog": "The layer cannot be reached",
+            "internal": "The engine failed",
         }
         out = {"error": titles.get(self.kind, self.kind), "details": self.message}
         if self.suggestions:
@@ -75,19 +77,42 @@ class QueryResult:
         return to_rows_json(self.df)
 
     def fetch(self, limit: int | None = None) -> list[dict]:
-        """Collect the rows as dicts (API boundary; use ``limit`` or write the
-        result out for large answers)."""
+        """The rows as dicts (API boundary; use ``limit`` or write the result
+        out for large answers). Of columns with one name the last one wins, as
+        in any JSON reader."""
         df = self.rows_json()
         if limit is not None:
             df = df.limit(limit)
-        return [json.loads(r[0]) for r in df.collect()]
+        try:
+            return [json.loads(r[0]) for r in df.collect()]
+        except (QueryError, ParseException, AnalysisException):
+            raise
+        except PySparkException as exc:
+            raise _run_time_error(exc) from exc
+
+
+def _run_time_error(exc: PySparkException) -> QueryError:
+    """Errors with a SQL state are the statement's own; others the engine's."""
+    state = exc.getSqlState() or ""
+    if state and not state.startswith(("XX", "58")):
+        return QueryError("query", _message(exc), 400, QUERY_ERROR_SUGGESTIONS)
+    return QueryError("internal", _message(exc), 500)
 
 
 def to_rows_json(df: DataFrame) -> DataFrame:
     """One JSON object per row, NULL fields kept, column order kept."""
-    return df.select(
-        F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"}).alias("row")
-    )
+    names = df.columns
+    # by position: names may repeat
+    by_place = df.toDF(*[f"c{i}" for i in range(len(names))])
+    if len(set(names)) == len(names):
+        fields = [F.col(f"c{i}").alias(n) for i, n in enumerate(names)]
+        return by_place.select(F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("row"))
+    pairs = []
+    for i, n in enumerate(names):
+        one = F.to_json(F.struct(F.col(f"c{i}").alias("v")), {"ignoreNullFields": "false"})
+        value = one.substr(F.lit(6), F.length(one) - 6)  # between {"v": and }
+        pairs.append(F.concat(F.lit(json.dumps(n, ensure_ascii=False) + ":"), value))
+    return by_place.select(F.concat(F.lit("{"), F.concat_ws(",", *pairs), F.lit("}")).alias("row"))
 
 
 def replace_catalog_alias(sql: str, alias: str, catalog: str = "spark_catalog") -> str:
@@ -128,8 +153,16 @@ def sql_run(
     if catalog_alias and not spark.conf.get(f"spark.sql.catalog.{catalog_alias}", None):
         # no catalog of that name: the layer lives in the session catalog
         text = replace_catalog_alias(text, catalog_alias)
-    if namespace and not spark.catalog.databaseExists(namespace):
-        raise QueryError("catalog", f"namespace {namespace} not found", 500)
+    if namespace:
+        if not spark.catalog.databaseExists(namespace):
+            raise QueryError("catalog", f"namespace {namespace} not found", 500)
+        # unqualified names mean this namespace, for this statement only
+        before = spark.catalog.currentDatabase()
+        spark.catalog.setCurrentDatabase(namespace)
+        try:
+            return sql_run(spark, sql, read_only, catalog_alias)
+        finally:
+            spark.catalog.setCurrentDatabase(before)
     try:
         if read_only and not is_query(spark, text):
             try:
@@ -154,12 +187,14 @@ def _message(exc: Exception) -> str:
 def respond(
     spark: SparkSession,
     sql: str,
-    limit: int | None = None,
+    limit: int | None = MAX_ROWS,
     result_root: str | None = None,
     run_id: str | None = None,
     **options,
 ) -> dict:
-    """Contract as a plain dict: ``{"status", "sql", "rows"}`` or an error.
+    """Contract as a plain dict: ``{"status", "sql", "rows", "truncated"}`` or
+    an error. At most ``limit`` rows come through the driver (None: all), and
+    ``truncated`` says whether there are more; whole answers go to files.
 
     With ``result_root`` the whole result is also stored as header CSV under
     ``result_root/<run_id>`` (by the executors, not through the driver) and
@@ -174,7 +209,11 @@ def respond(
         out = {"status": 200, "sql": result.sql}
         if result_root:
             out["output_location"] = write_result_files(result.df, result_root, run_id or uuid.uuid4().hex)
-        out["rows"] = result.fetch(limit)
+        rows = result.fetch(None if limit is None else limit + 1)
+        out["truncated"] = limit is not None and len(rows) > limit
+        out["rows"] = rows[:limit] if out["truncated"] else rows
         return out
     except QueryError as err:
         return {"status": err.status, "sql": sql, **err.to_dict()}
+    except PySparkException as exc:  # while the result was written
+        return {"status": (err := _run_time_error(exc)).status, "sql": sql, **err.to_dict()}

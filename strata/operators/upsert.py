@@ -33,6 +33,10 @@ class DuplicateKeyError(ValueError):
     pass
 
 
+class ConflictError(RuntimeError):
+    """Another writer swapped the table while this one was writing."""
+
+
 def parse_keys(keys: str | list[str] | tuple[str, ...]) -> list[str]:
     """Accept ``"k1,k2"`` as well as a list."""
     if isinstance(keys, str):
@@ -43,23 +47,41 @@ def parse_keys(keys: str | list[str] | tuple[str, ...]) -> list[str]:
     return out
 
 
-def duplicate_keys(source: DataFrame, keys: list[str], limit: int = MAX_REPORTED_KEYS) -> list[tuple]:
-    """Up to ``limit`` keys occurring more than once (a bounded collect)."""
-    dup = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > 1)
+def _has_null(keys: list[str]):
+    return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+
+
+def duplicate_keys(
+    source: DataFrame, keys: list[str], limit: int = MAX_REPORTED_KEYS, null_keys: str = "insert"
+) -> list[tuple]:
+    """Up to ``limit`` keys occurring more than once (a bounded collect). A
+    NULL key equals another only if NULL keys are to match."""
+    rows = source if null_keys == "match" else source.filter(~_has_null(keys))
+    dup = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > 1)
     return [tuple(r[k] for k in keys) for r in dup.limit(limit).collect()]
 
 
 def check_source(source: DataFrame, keys: list[str], null_keys: str = "insert") -> None:
     """Raise when the source could make the MERGE ambiguous."""
-    dups = duplicate_keys(source, keys)
+    dups = duplicate_keys(source, keys, null_keys=null_keys)
     if dups:
         raise DuplicateKeyError(f"source has duplicate keys {keys}: {dups}")
     if null_keys == "reject":
-        any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-        if source.filter(any_null).limit(1).count():
+        if source.filter(_has_null(keys)).limit(1).count():
             raise ValueError(f"source has NULL values in key columns {keys}")
 
 
+def latest_by(source: DataFrame, keys: str | list[str], order: str | list[str]) -> DataFrame:
+    """One row per key: the one that comes last by ``order`` (NULLs first,
+    equal ones by all columns). Rows with a NULL in the key are all kept.
+    The grouped maximum combines map-side, so a hot key is one row a task."""
+    keys = parse_keys(keys)
+    last = [F.col(c) for c in parse_keys(order)]
+    whole = F.struct(*[F.col(f"`{c}`") for c in source.columns])
+    known = source.filter(~_has_null(keys)).groupBy(*keys).agg(F.max(F.struct(*last, whole.alias("__row"))).alias("__m"))
+    return known.select("__m.__row.*").select(*source.columns).unionByName(source.filter(_has_null(keys)))
+
+
 def _aligned(source: DataFrame, target: DataFrame) -> DataFrame:
     missing = [c for c in target.columns if c not in source.columns]
     extra = [c for c in source.columns if c not in target.columns]
@@ -130,6 +152,32 @@ def _write_bucketed(spark: SparkSession, df: DataFrame, table: str, path: str, k
     )
 
 
+def _swap(spark: SparkSession, table: str, read_from: str, path: str) -> None:
+    """Point ``table`` at ``path``, unless it no longer lies where the new
+    version was derived from."""
+    now = table_location(spark, table)
+    if now.rstrip("/") != read_from.rstrip("/"):
+        raise ConflictError(f"{table} moved from {read_from} to {now} while {path} was written")
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+    spark.sql(f"REFRESH TABLE {table}")
+
+
+def row_level(spark: SparkSession, table: str) -> bool:
+    """True when the table's format has row-level MERGE of its own."""
+    info = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Provider'").collect()
+    return bool(info) and info[0]["data_type"].lower() in ("iceberg", "delta", "hudi", "paimon")
+
+
+def merge_into(spark: SparkSession, source: DataFrame, table: str, keys: list[str], null_keys: str) -> None:
+    """The catalog's own MERGE: only touched files are rewritten, and the
+    table format resolves concurrent writers."""
+    rows = _aligned(source, spark.table(table)).alias("s")
+    cond = [(F.col(f"{table}.{k}"), F.col(f"s.{k}")) for k in keys]
+    cond = [a.eqNullSafe(b) if null_keys == "match" else a == b for a, b in cond]
+    merge = rows.mergeInto(table, reduce(lambda a, b: a & b, cond))
+    merge.whenMatched().updateAll().whenNotMatched().insertAll().merge()
+
+
 def upsert_table(
     spark: SparkSession,
     source: DataFrame,
@@ -139,6 +187,8 @@ def upsert_table(
     null_keys: str = "insert",
     check: bool = True,
     buckets: int | None = None,
+    order_by: str | list[str] | None = None,
+    attempts: int = 3,
 ) -> str:
     """Upsert ``source`` into catalog table ``table`` (created when absent).
 
@@ -151,13 +201,24 @@ def upsert_table(
     the source into the same buckets, and later joins on the key (for
     example the fact derivation's join on the consultation id) skip the
     table's shuffle too. ``buckets`` is fixed when the table is created.
+
+    A writer that finds the table moved meanwhile derives its version again
+    from the new one, ``attempts`` times, then raises ``ConflictError``; the
+    check and the swap are two catalog calls, so writers in different drivers
+    should still be ordered by their scheduler. The first load inserts every
+    row, repeated keys too, as a MERGE into an empty table does; later ones
+    refuse a source with repeated keys. ``order_by`` keeps the last
+    row of each key of the source instead of refusing repeated keys. Tables
+    of a row-level format are merged by their catalog.
     """
     from strata.sources.catalog import create_table_at
 
     keys = parse_keys(keys)
-    if check:
-        check_source(source, keys, null_keys)
     exists = table_exists(spark, table)
+    if order_by:
+        source = latest_by(source, keys, order_by)
+    elif check and (exists or null_keys == "reject"):
+        check_source(source, keys, null_keys)
     if not exists:
         path = _next_version(root, None)
         if buckets:
@@ -166,20 +227,32 @@ def upsert_table(
             write_version(source, path)
             create_table_at(spark, table, source.schema, path)
         return path
-    current = table_location(spark, table)
-    target = spark.table(table)
-    path = _next_version(root, current)
-    rows = merged(target, source, keys, null_keys)
-    spec = bucket_spec(spark, table)
-    if spec:
-        scratch = f"{table}__{path.rsplit('/', 1)[-1].replace('-', '_')}"
-        _write_bucketed(spark, rows, scratch, path, spec[1], spec[0])
-        spark.sql(f"DROP TABLE {scratch}")  # external: drops the name, keeps the files
-    else:
-        write_version(rows, path)
-    spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
-    spark.sql(f"REFRESH TABLE {table}")
-    return path
+    if row_level(spark, table):
+        merge_into(spark, source, table, keys, null_keys)
+        return table_location(spark, table)
+    for attempt in range(attempts):
+        current = table_location(spark, table)
+        # read by path: the version this writer saw, whatever the table points at later
+        target = spark.read.schema(spark.table(table).schema).parquet(current)
+        spec = bucket_spec(spark, table)
+        if spec:
+            target = spark.table(table)
+        path = _next_version(root, current)
+        rows = merged(target, source, keys, null_keys)
+        if spec:
+            scratch = f"{table}__{path.rsplit('/', 1)[-1].replace('-', '_')}"
+            _write_bucketed(spark, rows, scratch, path, spec[1], spec[0])
+            spark.sql(f"DROP TABLE {scratch}")  # external: drops the name, keeps the files
+        else:
+            write_version(rows, path)
+        try:
+            _swap(spark, table, current, path)
+            return path
+        except ConflictError:
+            if attempt + 1 == attempts:
+                raise
+            spark.sql(f"REFRESH TABLE {table}")
+    raise ValueError("attempts must be 1 or more")
 
 
 def bucket_spec(spark: SparkSession, table: str) -> tuple[int, list[str]] | None:
@@ -216,8 +289,8 @@ def replace_table(spark: SparkSession, df: DataFrame, table: str, root: str, com
     aligned = df.select(
         *[F.col(f"`{src}`").cast(t).alias(name) for src, (name, t) in zip(df.columns, target.dtypes)]
     )
-    path = _next_version(root, table_location(spark, table))
+    current = table_location(spark, table)
+    path = _next_version(root, current)
     write_version(aligned, path)
-    spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
-    spark.sql(f"REFRESH TABLE {table}")
+    _swap(spark, table, current, path)
     return path

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators.joins import left_join_fanout
+from strata.operators.joins import BROADCAST_ROWS, left_join_counted, times_in
 from strata.operators.staging import ColumnSpec as C
 from strata.operators.staging import StagingSpec
 
@@ -181,14 +181,6 @@ def exam_cost_sql(tipo: str = "tipo") -> str:
     return f"CASE {branches} ELSE CAST({EXAM_COST_OTHER} AS DOUBLE) END"
 
 
-def exam_cost(tipo) -> F.Column:
-    """Column form of :func:`exam_cost_sql`."""
-    expr = None
-    for name, cost in EXAM_COSTS.items():
-        expr = (F.when if expr is None else expr.when)(tipo == F.lit(name), F.lit(cost))
-    return expr.otherwise(F.lit(EXAM_COST_OTHER))
-
-
 def fato_exames_receitas(
     exames: DataFrame,
     receitas: DataFrame,
@@ -198,8 +190,7 @@ def fato_exames_receitas(
     hospitais: DataFrame,
     assume_unique_dims: bool = False,
     dedupe_admissions: str | None = None,
-    hot_rows: int = 100_000,
-    salt_buckets: int = 1024,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Exams and prescriptions with cost, patient, professional and hospital.
 
@@ -207,9 +198,11 @@ def fato_exames_receitas(
     aligned first and run through one join chain (half the joins of two
     chains; equal as a bag). The chain is
     event -> consulta (patient, professional) -> admissions (hospital, may
-    fan out) -> professional -> hospital. The last two joins add no column;
-    they only multiply rows when a dimension key is duplicated, so they are
-    skipped when ``assume_unique_dims`` (keys enforced by the upsert).
+    fan out) -> professional -> hospital. Admissions are joined as counts
+    (patient, hospital, n). The last two joins add no column; they only
+    multiply rows when a dimension key is duplicated, so the fact is matched
+    against the duplicated keys alone (``times_in``), and not at all when
+    ``assume_unique_dims`` (keys enforced by the upsert).
     ``dedupe_admissions='latest'`` keeps one admission per patient instead of
     the faithful fan-out.
     """
@@ -243,10 +236,10 @@ def fato_exames_receitas(
         raise ValueError("dedupe_admissions must be None or 'latest'")
 
     chain = events.join(cons, "id_consulta", "left")
-    chain = left_join_fanout(chain, adm, "id_paciente", hot_rows=hot_rows, salt_buckets=salt_buckets)
+    chain = left_join_counted(chain, adm, "id_paciente", "id_hospital")
     if not assume_unique_dims:
-        chain = chain.join(profissionais.select("id_profissional"), "id_profissional", "left")
-        chain = chain.join(hospitais.select("id_hospital"), "id_hospital", "left")
+        chain = times_in(chain, profissionais, "id_profissional", broadcast_rows)
+        chain = times_in(chain, hospitais, "id_hospital", broadcast_rows)
     return chain.selectExpr(
         "CAST(id_evento AS INT) AS id_evento",
         "CAST(id_consulta AS INT) AS id_consulta",

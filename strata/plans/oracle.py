@@ -10,12 +10,7 @@ fact, so they also check the fused plan of the Spark side.
 from __future__ import annotations
 
 STAGED_CTES = """
-lines AS (
-  SELECT l_orderkey, l_linenumber, l_orderkey * 10 + l_linenumber AS line_id,
-         min(l_shipdate) AS l_shipdate, min(l_partkey) AS l_partkey, min(l_suppkey) AS l_suppkey,
-         chr(min(ascii(l_returnflag))) AS l_returnflag, chr(min(ascii(l_linestatus))) AS l_linestatus,
-         min(l_quantity) AS l_quantity
-  FROM lineitem GROUP BY l_orderkey, l_linenumber),
+lines AS (SELECT *, l_orderkey * 10 + l_linenumber AS line_id FROM lineitem),
 hospitais AS (
   SELECT TRY_CAST(s_suppkey AS INTEGER) AS id_hospital, s_name AS nome, n_name AS cidade, r_name AS estado
   FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey
@@ -45,11 +40,11 @@ receitas AS (
   FROM lines WHERE l_linestatus = 'F'),
 internacoes AS (
   SELECT TRY_CAST(event_id AS INTEGER) AS id_internacao, TRY_CAST(user_id AS INTEGER) AS id_paciente,
-         TRY_CAST(event_id % 100 AS INTEGER) AS id_hospital, props AS motivo,
+         TRY_CAST(event_id // 100 AS INTEGER) AS id_hospital, props AS motivo,
          CAST(ts AS DATE) AS data_entrada, CAST(ts + INTERVAL 3 DAY AS DATE) AS data_saida
-  FROM events WHERE event_type = 'signup'),
+  FROM events),
 procedimentos AS (
-  SELECT TRY_CAST(line_id AS INTEGER) AS id_procedimento, TRY_CAST(l_orderkey % 1000 AS INTEGER) AS id_paciente,
+  SELECT TRY_CAST(line_id AS INTEGER) AS id_procedimento, TRY_CAST(l_partkey AS INTEGER) AS id_paciente,
          'proc-' || CAST(l_partkey % 6 AS VARCHAR) AS tipo, CAST(l_shipdate AS DATE) AS data_procedimento,
          TRY_CAST(l_suppkey AS INTEGER) AS hospital_id
   FROM lines)"""
@@ -67,7 +62,7 @@ fato_consultas_procedimentos AS (
   SELECT id_procedimento, id_paciente, CAST(NULL AS VARCHAR), data_procedimento, 'Procedimento',
          CAST(NULL AS VARCHAR), tipo, CAST(NULL AS DOUBLE), CAST(hospital_id AS VARCHAR)
   FROM procedimentos),
-exames_completo AS (
+exam_events AS (
   SELECT e.id_exame AS id_evento, e.id_consulta, c.id_paciente, c.id_profissional, i.id_hospital,
          e.tipo AS tipo_evento, e.resultado AS descricao, e.data,
          CAST(CASE WHEN e.tipo = 'sangue' THEN 100.0 WHEN e.tipo = 'imagem' THEN 300.0 ELSE 150.0 END AS DOUBLE) AS custo
@@ -76,7 +71,7 @@ exames_completo AS (
   LEFT JOIN internacoes i ON c.id_paciente = i.id_paciente
   LEFT JOIN profissionais_saude p ON c.id_profissional = p.id_profissional
   LEFT JOIN hospitais h ON i.id_hospital = h.id_hospital),
-receitas_completo AS (
+prescription_events AS (
   SELECT r.id_receita AS id_evento, r.id_consulta, c.id_paciente, c.id_profissional, i.id_hospital,
          r.medicamento AS tipo_evento, r.dosagem AS descricao, r.inicio AS data, CAST(50.0 AS DOUBLE) AS custo
   FROM receitas r
@@ -84,7 +79,7 @@ receitas_completo AS (
   LEFT JOIN internacoes i ON c.id_paciente = i.id_paciente
   LEFT JOIN profissionais_saude p ON c.id_profissional = p.id_profissional
   LEFT JOIN hospitais h ON i.id_hospital = h.id_hospital),
-fato_exames_receitas AS (SELECT * FROM exames_completo UNION ALL SELECT * FROM receitas_completo)"""
+fato_exames_receitas AS (SELECT * FROM exam_events UNION ALL SELECT * FROM prescription_events)"""
 
 TUTORIAL_CTES = """
 customers AS (

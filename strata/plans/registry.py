@@ -16,7 +16,7 @@ from strata.functions.dates import parse_date
 from strata.plans import oracle as O
 from strata.plans import published as P
 from strata.plans import standins as S
-from strata.plans.hospital import STAGING_SPECS, exam_cost
+from strata.plans.hospital import STAGING_SPECS, exam_cost_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -109,7 +109,7 @@ def parse_date_modes(spark, sf_dir):
 )
 def case_cost(spark, sf_dir):
     ex = S.staged_tables(spark, sf_dir)["exames"]
-    return ex.select("id_exame", "tipo", exam_cost(F.col("tipo")).alias("custo"))
+    return ex.selectExpr("id_exame", "tipo", f"{exam_cost_sql('tipo')} AS custo")
 
 
 # --------------------------------------------------------------- curated ---
@@ -126,8 +126,9 @@ for _t in ("dim_hospital", "dim_profissional", "fato_consultas_procedimentos", "
 
 @register("fato_exames_receitas_salted", O.with_curated("SELECT * FROM fato_exames_receitas"))
 def fato_exames_receitas_salted(spark, sf_dir):
-    """The same fact with every patient treated as hot (salted join path)."""
-    return S.curated_tables(spark, sf_dir, hot_rows=0, salt_buckets=8)["fato_exames_receitas"]
+    """The same fact with the duplicated dimension keys joined by shuffle, as
+    when they are too many to broadcast."""
+    return S.curated_tables(spark, sf_dir, broadcast_rows=0)["fato_exames_receitas"]
 
 
 @register(
@@ -282,17 +283,77 @@ def _rule_rows(table: str, sql: str) -> Query:
     return run
 
 
+def _rule_sql(table: str, part: str) -> str:
+    """The statement of the ruleset of ``table`` that contains ``part``."""
+    (found,) = {r.sql for r in rulesets()[table].rules if r.kind == "CustomSql" and part in r.sql}
+    return found
+
+
 _RULE_QUERIES = {
-    "dq_duplicate_events": ("fato_exames_receitas", "SELECT id_evento FROM primary GROUP BY id_evento HAVING COUNT(*) > 1"),
-    "dq_duplicate_facts": ("fato_consultas_procedimentos", "SELECT id_fato FROM primary GROUP BY id_fato HAVING COUNT(*) > 1"),
-    "dq_negative_cost": ("fato_exames_receitas", "SELECT custo FROM primary WHERE custo < 0"),
-    "dq_future_dates": ("fato_consultas_procedimentos", "SELECT data_evento FROM primary WHERE data_evento > current_date"),
-    "dq_short_codes": ("dim_profissional", "SELECT crm FROM primary WHERE LENGTH(crm) < 4"),
+    name: (table, _rule_sql(table, part))
+    for name, table, part in (
+        ("dq_duplicate_events", "fato_exames_receitas", "GROUP BY id_evento"),
+        ("dq_duplicate_facts", "fato_consultas_procedimentos", "GROUP BY id_fato"),
+        ("dq_negative_cost", "fato_exames_receitas", "custo < 0"),
+        ("dq_future_dates", "fato_consultas_procedimentos", "current_date"),
+        ("dq_short_codes", "dim_profissional", "LENGTH(crm)"),
+    )
 }
 for _name, (_t, _sql) in _RULE_QUERIES.items():
     register(_name, O.with_curated(_sql.replace("FROM primary", f"FROM {_t}")))(_rule_rows(_t, _sql))
 
 
+# The shipped cost and date columns make some rules and sums empty; these run
+# the same operators over columns that have values.
+@register(
+    "event_cost_by_hospital",
+    O.with_curated(
+        "SELECT h.nome AS hospital, h.cidade, SUM(f.custo) AS total_custos FROM fato_exames_receitas f "
+        "JOIN dim_hospital h ON TRY_CAST(f.id_hospital AS INTEGER) = h.id_hospital GROUP BY h.nome, h.cidade"
+    ),
+)
+def event_cost_by_hospital(spark, sf_dir):
+    fact = S.stored_curated_table(spark, sf_dir, "fato_exames_receitas").withColumnRenamed("custo", "custo_estimado")
+    fact = fact.withColumn("id_hospital", F.col("id_hospital").cast("string"))
+    return P.cost_by_hospital(fact, S.stored_curated_table(spark, sf_dir, "dim_hospital"))
+
+
+@register(
+    "event_cost_by_type",
+    O.with_curated(
+        "SELECT *, CAST(row_number() OVER (ORDER BY custo_medio DESC NULLS LAST, procedimento NULLS LAST) AS INTEGER) "
+        "AS place FROM (SELECT tipo_evento AS procedimento, COUNT(*) AS total_procedimentos, "
+        "AVG(custo) AS custo_medio FROM fato_exames_receitas GROUP BY tipo_evento)"
+    ),
+)
+def event_cost_by_type(spark, sf_dir):
+    """Mean cost per event type, with its place in the order (one row a type)."""
+    from pyspark.sql import Window
+
+    fact = S.stored_curated_table(spark, sf_dir, "fato_exames_receitas").selectExpr(
+        "tipo_evento AS procedimento", "custo AS custo_estimado"
+    )
+    order = Window.orderBy(F.col("custo_medio").desc_nulls_last(), F.col("procedimento").asc_nulls_last())
+    return P.cost_by_procedure(fact).withColumn("place", F.row_number().over(order))
+
+
+AS_OF = "1996-06-15"
+
+
+@register("dq_negative_balance", O.with_tutorial("SELECT Balance FROM customers WHERE Balance < 0"))
+def dq_negative_balance(spark, sf_dir):
+    return Q.violations(S.raw_customers(spark, sf_dir), "SELECT Balance FROM primary WHERE Balance < 0")
+
+
+@register(
+    "dq_future_as_of",
+    O.with_curated(f"SELECT data FROM fato_exames_receitas WHERE data > DATE '{AS_OF}'"),
+)
+def dq_future_as_of(spark, sf_dir):
+    fact = S.stored_curated_table(spark, sf_dir, "fato_exames_receitas")
+    return Q.violations(fact, Q.with_as_of("SELECT data FROM primary WHERE data > current_date", AS_OF))
+
+
 # ------------------------------------------------------------- retrieval ---
 from strata.operators import retrieval as R  # noqa: E402
 
@@ -338,15 +399,10 @@ def _consultas_batch(cons: DataFrame) -> DataFrame:
   FROM consultas WHERE diagnostico = 'P'
   UNION ALL
   SELECT -(id_consulta + 1), id_paciente, id_profissional, data_consulta, motivo, diagnostico
-  FROM consultas WHERE diagnostico = 'O'),
-s AS (SELECT *, 1 AS from_source FROM src)
-SELECT CASE WHEN s.from_source = 1 THEN s.id_consulta ELSE t.id_consulta END AS id_consulta,
-       CASE WHEN s.from_source = 1 THEN s.id_paciente ELSE t.id_paciente END AS id_paciente,
-       CASE WHEN s.from_source = 1 THEN s.id_profissional ELSE t.id_profissional END AS id_profissional,
-       CASE WHEN s.from_source = 1 THEN s.data_consulta ELSE t.data_consulta END AS data_consulta,
-       CASE WHEN s.from_source = 1 THEN s.motivo ELSE t.motivo END AS motivo,
-       CASE WHEN s.from_source = 1 THEN s.diagnostico ELSE t.diagnostico END AS diagnostico
-FROM consultas t FULL OUTER JOIN s ON t.id_consulta = s.id_consulta"""
+  FROM consultas WHERE diagnostico = 'O')
+SELECT * FROM src
+UNION ALL
+SELECT * FROM consultas t WHERE NOT EXISTS (SELECT 1 FROM src s WHERE s.id_consulta = t.id_consulta)"""
     ),
 )
 def upsert_merge(spark, sf_dir):
@@ -358,23 +414,22 @@ def upsert_merge(spark, sf_dir):
     "upsert_composite_key",
     O.with_staged(
         """, src AS (
-  SELECT id_exame, id_consulta, tipo, 'revisado' AS resultado, data FROM exames WHERE tipo = 'imagem'
+  SELECT id_consulta, id_paciente, id_profissional, data_consulta, 'revisado' AS motivo, diagnostico
+  FROM consultas WHERE diagnostico = 'P'
   UNION ALL
-  SELECT -id_exame, id_consulta, tipo, resultado, data FROM exames WHERE tipo = 'sangue'),
-s AS (SELECT *, 1 AS from_source FROM src)
-SELECT CASE WHEN s.from_source = 1 THEN s.id_exame ELSE t.id_exame END AS id_exame,
-       CASE WHEN s.from_source = 1 THEN s.id_consulta ELSE t.id_consulta END AS id_consulta,
-       CASE WHEN s.from_source = 1 THEN s.tipo ELSE t.tipo END AS tipo,
-       CASE WHEN s.from_source = 1 THEN s.resultado ELSE t.resultado END AS resultado,
-       CASE WHEN s.from_source = 1 THEN s.data ELSE t.data END AS data
-FROM exames t FULL OUTER JOIN s ON t.id_consulta = s.id_consulta AND t.id_exame = s.id_exame"""
+  SELECT id_consulta, -(id_paciente + 1), id_profissional, data_consulta, motivo, diagnostico
+  FROM consultas WHERE diagnostico = 'O')
+SELECT * FROM src
+UNION ALL
+SELECT * FROM consultas t WHERE NOT EXISTS (
+  SELECT 1 FROM src s WHERE s.id_consulta = t.id_consulta AND s.id_paciente = t.id_paciente)"""
     ),
 )
 def upsert_composite_key(spark, sf_dir):
-    ex = S.staged_tables(spark, sf_dir)["exames"]
-    changed = ex.filter(F.col("tipo") == "imagem").withColumn("resultado", F.lit("revisado"))
-    new = ex.filter(F.col("tipo") == "sangue").withColumn("id_exame", -F.col("id_exame"))
-    return merged(ex, changed.unionByName(new), "id_consulta,id_exame")
+    cons = S.staged_tables(spark, sf_dir)["consultas"]
+    changed = cons.filter(F.col("diagnostico") == "P").withColumn("motivo", F.lit("revisado"))
+    new = cons.filter(F.col("diagnostico") == "O").withColumn("id_paciente", -(F.col("id_paciente") + 1))
+    return merged(cons, changed.unionByName(new), "id_consulta,id_paciente")
 
 
 # ----------------------------------------------------------- SQL surface ---

@@ -117,8 +117,15 @@ def run_quality(
     fail_on: str = "never",
     as_of=None,
 ) -> DataFrame:
-    tables = {t: spark.table(f"{curated_namespace}.{t}") for t in H.CURATED_TABLES}
-    outcomes = Q.evaluate_all(tables, H.rulesets(), H.CONTEXT_PREFIX, as_of)
+    """Outcomes of all rules, evaluated once: they are collected (one row a
+    rule) and what is published, asserted and returned are these rows. Rules
+    on a table that does not exist fail with that reason."""
+    there = [t for t in H.CURATED_TABLES if spark.catalog.tableExists(f"{curated_namespace}.{t}")]
+    if not there:
+        raise ValueError(f"no curated table in {curated_namespace}")
+    tables = {t: spark.table(f"{curated_namespace}.{t}") for t in there}
+    rows = Q.evaluate_all(tables, H.rulesets(), H.CONTEXT_PREFIX, as_of).collect()
+    outcomes = spark.createDataFrame(rows, Q.OUTCOME_SCHEMA)
     if results_root:
         publish_outcomes(outcomes, results_root)
     Q.assert_passed(outcomes, fail_on)

@@ -53,22 +53,40 @@ def register_path(
     table: str,
     path: str,
     fmt: str = "parquet",
-    partitioned: bool = False,
+    partitioned: bool | None = None,
 ) -> DataFrame:
     """Register files found under ``path`` as a table with an inferred schema
     (the crawler's job). Partition folders ``k=v`` become partition columns
-    and are added to the catalog."""
+    and are added to the catalog (``partitioned=None``: if there are any)."""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {quote(table)} USING {fmt} LOCATION '{path}'")
+    if partitioned is None:
+        partitioned = any(c.isPartition for c in spark.catalog.listColumns(table))
     if partitioned:
         spark.catalog.recoverPartitions(table)
     return spark.table(table)
 
 
+def subfolders(spark: SparkSession, root: str) -> list[str]:
+    """Names of the visible folders directly under ``root``."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    listed = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    names = [s.getPath().getName() for s in listed if s.isDirectory()]
+    return sorted(n for n in names if not n.startswith(("_", ".")))
+
+
 def discover(
-    spark: SparkSession, namespace: str, root: str, names: list[str], prefix: str = "", fmt: str = "parquet"
+    spark: SparkSession,
+    namespace: str,
+    root: str,
+    names: list[str] | None = None,
+    prefix: str = "",
+    fmt: str = "parquet",
 ) -> dict[str, DataFrame]:
-    """Register one table per sub-folder ``root/<name>`` as ``namespace.<prefix><name>``."""
+    """Register one table per sub-folder ``root/<name>`` as
+    ``namespace.<prefix><name>``, partitions included; without ``names`` the
+    folder is listed."""
     create_namespace(spark, namespace)
+    names = subfolders(spark, root) if names is None else names
     return {
         n: register_path(spark, f"{namespace}.{prefix}{n}", f"{root.rstrip('/')}/{n}", fmt) for n in names
     }

@@ -12,7 +12,17 @@ def overwrite_table(spark: SparkSession, df: DataFrame, table: str) -> None:
     The old files are removed before the write; where a failed job must
     leave the old rows readable use ``strata.operators.upsert.replace_table``
     (what the curated build does)."""
-    df.write.insertInto(table, overwrite=True)
+    target = spark.table(table)
+    if len(target.columns) != len(df.columns):
+        raise ValueError(f"{table} has {len(target.columns)} columns, the new rows {len(df.columns)}")
+    # a full refresh whatever the session's mode: partitions without new rows go too
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "static")
+    try:
+        df.write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(mode, before)
 
 
 def write_result_files(df: DataFrame, root: str, run_id: str, fmt: str = "csv") -> str:

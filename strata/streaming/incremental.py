@@ -29,8 +29,11 @@ def stage_stream(
     schema=None,
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
+    order_by: str | list[str] | None = None,
 ) -> StreamingQuery:
-    """Start the stream; ``schema`` defaults to the schema of the files present."""
+    """Start the stream; ``schema`` defaults to the schema of the files
+    present. With ``order_by`` a batch may hold several versions of a key, of
+    which the last is kept."""
     schema = schema or spark.read.parquet(raw_path).schema
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
@@ -38,7 +41,7 @@ def stage_stream(
     stream = reader.parquet(raw_path)
 
     def upsert_batch(batch: DataFrame, epoch_id: int) -> None:
-        upsert_table(batch.sparkSession, stage(batch, spec), table, spec.key, table_root)
+        upsert_table(batch.sparkSession, stage(batch, spec), table, spec.key, table_root, order_by=order_by)
 
     writer = stream.writeStream.foreachBatch(upsert_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

@@ -1,7 +1,7 @@
 import datetime as dt
 import random
 
-from strata.operators.joins import left_join_fanout
+from strata.operators.joins import left_join_counted, times_in
 from strata.plans import hospital as H
 
 D = dt.date(2024, 1, 5)
@@ -62,8 +62,8 @@ def test_fato_exames_receitas_fanout_and_costs(spark):
 
 def test_fanout_variants_agree(spark):
     exames, receitas, consultas, internacoes, prof, hosp, _ = frames(spark)
-    base = H.fato_exames_receitas(exames, receitas, consultas, internacoes, prof, hosp, salt_buckets=1)
-    salted = H.fato_exames_receitas(exames, receitas, consultas, internacoes, prof, hosp, hot_rows=0, salt_buckets=4)
+    base = H.fato_exames_receitas(exames, receitas, consultas, internacoes, prof, hosp)
+    salted = H.fato_exames_receitas(exames, receitas, consultas, internacoes, prof, hosp, broadcast_rows=0)
     unique = H.fato_exames_receitas(exames, receitas, consultas, internacoes, prof, hosp, assume_unique_dims=True)
     for other in (salted, unique):
         assert base.exceptAll(other).count() == 0 and other.exceptAll(base).count() == 0
@@ -89,23 +89,28 @@ def test_dims(spark):
     assert H.dim_hospital(hosp).columns == ["id_hospital", "nome", "cidade", "estado"]
 
 
-def test_salted_left_join_matches_plain_join_randomised(spark):
+def test_counted_left_join_matches_plain_join_randomised(spark):
     rnd = random.Random(7)
     left = [(i, rnd.choice([1, 2, 3, 4, None])) for i in range(300)]
-    right = [(rnd.choice([1, 1, 1, 2, 5]), j) for j in range(200)] + [(None, 999)]
+    right = [(rnd.choice([1, 1, 1, 2, 5]), rnd.choice([7, 7, 8, None])) for _ in range(200)] + [(None, 999)]
     lf = spark.createDataFrame(left, "lid int, k int")
     rf = spark.createDataFrame(right, "k int, rid int")
     plain = lf.join(rf, "k", "left")
-    for hot_rows, buckets in ((0, 3), (10, 8), (1000, 4)):
-        salted = left_join_fanout(lf, rf, "k", hot_rows=hot_rows, salt_buckets=buckets)
-        assert salted.columns == plain.columns
-        assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
-
-
-def test_salted_join_two_column_key(spark):
-    left = spark.createDataFrame([(i, i % 3, "x" if i % 2 else "y") for i in range(30)], "lid int, a int, b string")
-    right = spark.createDataFrame([(j % 3, "x" if j % 4 else "y", j) for j in range(40)], "a int, b string, rid int")
-    plain = left.join(right, ["a", "b"], "left")
-    salted = left_join_fanout(left, right, ["a", "b"], hot_rows=2, salt_buckets=5)
-    assert salted.columns == plain.columns
-    assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
+    counted = left_join_counted(lf, rf, "k", "rid").select(plain.columns)
+    assert counted.exceptAll(plain).count() == 0 and plain.exceptAll(counted).count() == 0
+    for rows in (0, 1, 1000):
+        out = times_in(lf, rf, "k", broadcast_rows=rows)
+        want = plain.select("lid", "k")
+        assert out.exceptAll(want).count() == 0 and want.exceptAll(out).count() == 0
+
+
+def test_hot_patient_is_one_row_before_the_join(spark):
+    """Most admissions are of one patient in one hospital: they reach the join
+    as one counted row, and the events of that patient stay spread."""
+    adm = spark.range(20_000).selectExpr("IF(id % 10 = 0, id, 1) AS k", "IF(id % 10 = 0, id, 5) AS rid")
+    events = spark.range(40).selectExpr("id AS lid", "CAST(1 AS BIGINT) AS k")
+    out = left_join_counted(events, adm, "k", "rid")
+    assert out.count() == 40 * 18_000
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # admissions are counted, map-side first, below the join
+    assert plan.index("Join") < plan.index("partial_count")

@@ -70,7 +70,7 @@ def test_respond_contract(spark, layer):
     ok = respond(spark, "SELECT id FROM sqlns.t ORDER BY id")
     assert ok["status"] == 200 and ok["rows"] == [{"id": 1}, {"id": 2}]
     bad = respond(spark, "SELECT * FROM nowhere")
-    assert bad["status"] == 400 and bad["error"] == "Query execution error" and "suggestions" in bad
+    assert bad["status"] == 400 and bad["error"] == "The query cannot be answered" and "suggestions" in bad
 
 
 def test_respond_stores_result_files(spark, layer, scratch):

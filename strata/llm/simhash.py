@@ -33,7 +33,7 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import stored
@@ -135,16 +135,23 @@ def simhash_groups(
 
 def simhash_keep(df: DataFrame, **how) -> DataFrame:
     """The rows of ``df`` that stay: of each group the one with the smallest
-    ``doc_id``; of repeated rows with that id, one (the least text). Rows
+    ``doc_id``; of repeated rows with that id, one (the least by hash). Rows
     with a null id stay only if their whole group has none."""
     doc_id, text = how.get("doc_id", "doc_id"), how.get("text", "text")
     groups = simhash_groups(df, **how)
-    heads = groups.filter("doc_id <=> component_id").select(F.col("doc_id").alias("__id")).distinct()
-    kept = df.join(heads, F.col(f"`{doc_id}`").eqNullSafe(F.col("__id"))).drop("__id")
+    heads = groups.filter("doc_id <=> component_id").select("doc_id").distinct()
+    key = ["__id", "__no_id"]  # the id without nulls: one exchange serves join and window
+    heads = heads.selectExpr("coalesce(doc_id, 0L) AS __id", "doc_id IS NULL AS __no_id")
+    rows = df.select(
+        F.struct("*").alias("__row"),
+        F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(0)).alias("__id"),
+        F.col(f"`{doc_id}`").isNull().alias("__no_id"),
+        F.xxhash64(F.col(f"`{text}`")).alias("__t"),
+        F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).alias("__all"),
+    )
     # a doc_id may be repeated, or null
-    order = F.struct(F.col(f"`{text}`").alias("t"), F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
-    alone = kept.groupBy(F.col(f"`{doc_id}`").alias("__id")).agg(F.min_by(F.struct("*"), order).alias("__row"))
-    return alone.select("__row.*").select(*[F.col(f"`{c}`") for c in df.columns])
+    alone = F.row_number().over(Window.partitionBy(*key).orderBy("__t", "__all"))
+    return rows.join(heads, key).withColumn("__n", alone).filter("__n = 1").select("__row.*")
 
 
 def op6_simhash_near_dedup(spark, sf_dir):

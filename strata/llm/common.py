@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,6 +23,22 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+BATCH_ROWS = 1000  # whole texts handed to a Python worker at a time
+
+
+@contextmanager
+def small_batches(spark: SparkSession):
+    """Arrow batches of at most ``BATCH_ROWS`` rows for what runs inside: a row
+    may be a long text, and a worker holds a batch in several forms."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(BATCH_ROWS, int(before)) if int(before) > 0 else BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def stored(df: DataFrame, tag: str) -> DataFrame:
     """``df`` written once as Parquet into the shared folder and read back.
 
@@ -29,7 +46,8 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/strata-{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

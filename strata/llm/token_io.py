@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import shared_dir
+from strata.llm.common import shared_dir, small_batches
 from strata.llm.rangecoder import decode_block, encode_block
 from strata.llm.tokens import pieces
 
@@ -82,7 +82,8 @@ def encode_corpus(
 
 
 def write_corpus(df: DataFrame, path: str, vocabulary: str, **how) -> None:
-    encode_corpus(df, vocabulary, **how).write.parquet(path)
+    with small_batches(df.sparkSession):
+        encode_corpus(df, vocabulary, **how).write.parquet(path)
 
 
 def read_corpus(spark: SparkSession, path: str, texts: bool = False) -> DataFrame:

@@ -17,7 +17,7 @@ from array import array
 
 import numpy as np
 
-_MOST_PIECES = 500_000  # in each of a worker's two tables, the current and the one before
+_MOST_PIECES = 300_000  # in each of a worker's two tables, the current and the one before
 _START = "\0"  # marks a piece at a line's start, without the blank before it
 _STEM = re.compile(r"(\0?[^\W\d_]+)([!-&(-/:-@[-^`{-~]+)\Z")
 _PROBES = ("a", "The", "zażółć", "ÉCOLE", "straße")

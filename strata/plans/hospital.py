@@ -395,8 +395,8 @@ RULESET_TEXT = {
     """,
 }
 
-# Fixed value: prefix of the evaluation context name of each table's outcomes.
-CONTEXT_PREFIX = "dh_genai_hospital_"
+# Prefix of the evaluation context name of each table's outcomes; ``evaluate_all`` takes another one.
+CONTEXT_PREFIX = "curated_"
 
 
 def rulesets():

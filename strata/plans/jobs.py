@@ -3,7 +3,8 @@
     python -m strata.plans.jobs seed    --csv-root R --jdbc-url U [--tables ...]
     python -m strata.plans.jobs extract --jdbc-url U --raw-root R [--tables ...]
     python -m strata.plans.jobs stage   --raw-root R --namespace staged --root W [--table T] [--keys k1,k2]
-    python -m strata.plans.jobs curate  --staged staged --curated curated --root W
+    python -m strata.plans.jobs curate  --staged staged --curated curated --root W [--table T]
+    python -m strata.plans.jobs run     --raw-root R --root W [--staged S] [--curated C] [--results-root R]
     python -m strata.plans.jobs quality --curated curated [--results-root R] [--fail-on any] [--as-of D]
     python -m strata.plans.jobs sql     --query "SELECT ..." [--catalog-alias A] [--limit N]
 
@@ -55,7 +56,15 @@ def cmd_extract(spark, args) -> dict:
 
     tables = args.tables or list(H.STAGING_SPECS)
     names = [f"{args.schema}.{t}" if args.schema else t for t in tables]
-    return extract_to_parquet(spark, args.jdbc_url, names, args.raw_root, _jdbc_props(args))
+    # read by ranges of the key where it is one column, over several connections
+    columns = {
+        n: H.STAGING_SPECS[t].key[0]
+        for t, n in zip(tables, names)
+        if t in H.STAGING_SPECS and len(H.STAGING_SPECS[t].key) == 1 and args.connections > 1
+    }
+    return extract_to_parquet(
+        spark, args.jdbc_url, names, args.raw_root, _jdbc_props(args), columns, args.connections
+    )
 
 
 def cmd_stage(spark, args) -> dict:
@@ -65,19 +74,27 @@ def cmd_stage(spark, args) -> dict:
         if not args.table:
             raise SystemExit("--keys needs --table")
         specs[args.table] = replace(specs[args.table], key=tuple(k.strip() for k in args.keys.split(",")))
-    from strata.sources import catalog as C
-    from strata.sources.files import read_parquet_dir
-
-    C.create_namespace(spark, args.namespace)
-    return {
-        t: W.stage_table(spark, t, read_parquet_dir(spark, args.raw_root, t), args.namespace, args.root, specs,
-                         buckets=args.buckets)
-        for t in tables
-    }
+    return W.run_staging(
+        spark, args.namespace, args.root, raw_root=args.raw_root, tables=tables, buckets=args.buckets, specs=specs
+    )
 
 
 def cmd_curate(spark, args) -> dict:
-    return W.run_curation(spark, args.staged, args.curated, args.root)
+    options = {"assume_unique_dims": args.assume_unique_dims}
+    if args.dedupe_admissions:
+        options["dedupe_admissions"] = args.dedupe_admissions
+    return W.run_curation(
+        spark, args.staged, args.curated, args.root, tables=[args.table] if args.table else None, **options
+    )
+
+
+def cmd_run(spark, args) -> dict:
+    """Staging, curation and rules, each after all of the one before."""
+    outcomes = W.run_all(
+        spark, args.root, raw_root=args.raw_root, staged_namespace=args.staged, curated_namespace=args.curated,
+        results_root=args.results_root, fail_on=args.fail_on, buckets=args.buckets,
+    )
+    return {"rules": outcomes.count(), "failed": outcomes.filter("outcome = 'Failed'").count()}
 
 
 def cmd_quality(spark, args) -> dict:
@@ -110,6 +127,7 @@ def parser() -> argparse.ArgumentParser:
     jdbc(s)
     s = sub.add_parser("extract")
     s.add_argument("--raw-root", required=True)
+    s.add_argument("--connections", type=int, default=8)
     jdbc(s)
     s = sub.add_parser("stage")
     s.add_argument("--raw-root", required=True)
@@ -122,6 +140,17 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--staged", default="staged")
     s.add_argument("--curated", default="curated")
     s.add_argument("--root", required=True)
+    s.add_argument("--table", help="build this curated table only")
+    s.add_argument("--assume-unique-dims", action="store_true")
+    s.add_argument("--dedupe-admissions", choices=["latest"])
+    s = sub.add_parser("run")
+    s.add_argument("--raw-root", required=True)
+    s.add_argument("--root", required=True)
+    s.add_argument("--staged", default="staged")
+    s.add_argument("--curated", default="curated")
+    s.add_argument("--results-root")
+    s.add_argument("--fail-on", default="never", choices=["never", "any"])
+    s.add_argument("--buckets", type=int)
     s = sub.add_parser("quality")
     s.add_argument("--curated", default="curated")
     s.add_argument("--results-root")
@@ -130,14 +159,14 @@ def parser() -> argparse.ArgumentParser:
     s = sub.add_parser("sql")
     s.add_argument("--query", required=True)
     s.add_argument("--catalog-alias")
-    s.add_argument("--limit", type=int)
+    s.add_argument("--limit", type=int, default=10_000)
     s.add_argument("--result-root", help="also store the whole result as CSV under this folder")
     s.add_argument("--allow-commands", action="store_true")
     return p
 
 
 COMMANDS = {"seed": cmd_seed, "extract": cmd_extract, "stage": cmd_stage, "curate": cmd_curate,
-            "quality": cmd_quality, "sql": cmd_sql}
+            "run": cmd_run, "quality": cmd_quality, "sql": cmd_sql}
 
 
 def main(argv: list[str] | None = None, spark=None) -> dict:

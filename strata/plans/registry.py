@@ -483,3 +483,10 @@ def _tutorial_sql_query(name: str) -> Query:
 
 for _name in ("insured", "balance", "insured_category", "vip_balance"):
     register(f"sql_{_name}", ORACLE[_name])(_tutorial_sql_query(_name))
+
+
+# ------------------------------------------- sources, sinks and pipeline ---
+from strata.plans import layers as L  # noqa: E402
+
+QUERIES.update(L.QUERIES)
+ORACLE.update(L.ORACLE)

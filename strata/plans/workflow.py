@@ -75,13 +75,14 @@ def run_staging(
     tables: list[str] | None = None,
     workers: int = 7,
     buckets: int | None = None,
+    specs: dict = H.STAGING_SPECS,
 ) -> dict[str, str]:
     """All staging loads in parallel; raw frames given or read from
     ``raw_root/<table>/``."""
     C.create_namespace(spark, namespace)
     names = tables or list(H.STAGING_SPECS)
     frames = raw if raw is not None else {t: read_parquet_dir(spark, raw_root, t) for t in names}
-    jobs = {t: (lambda t=t: stage_table(spark, t, frames[t], namespace, root, buckets=buckets)) for t in names}
+    jobs = {t: (lambda t=t: stage_table(spark, t, frames[t], namespace, root, specs, buckets)) for t in names}
     return _parallel(spark, jobs, workers)
 
 
@@ -99,13 +100,24 @@ def write_curated_table(spark: SparkSession, name: str, df: DataFrame, namespace
 
 
 def run_curation(
-    spark: SparkSession, staged_namespace: str, curated_namespace: str, root: str, workers: int = 4, **options
+    spark: SparkSession,
+    staged_namespace: str,
+    curated_namespace: str,
+    root: str,
+    workers: int = 4,
+    tables: list[str] | None = None,
+    **options,
 ) -> dict[str, str]:
+    """All curated tables, or those named; an unknown name is refused."""
+    unknown = sorted(set(tables or ()) - set(H.CURATED_TABLES))
+    if unknown:
+        raise ValueError(f"no curated table {unknown}; known: {sorted(H.CURATED_TABLES)}")
     C.create_namespace(spark, curated_namespace)
     curated = H.curate(read_staged(spark, staged_namespace), **options)
     jobs = {
         name: (lambda name=name: write_curated_table(spark, name, curated[name], curated_namespace, root))
         for name in curated
+        if tables is None or name in tables
     }
     return _parallel(spark, jobs, workers)
 

@@ -89,7 +89,7 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if current:
         return current
-    if fallback is None and not sc.master.startswith("local"):
+    if fallback is None and not (sc.master == "local" or sc.master.startswith("local[")):
         raise RuntimeError("spark.checkpoint.dir is not set; name a folder shared by all executors")
     path = fallback or tempfile.mkdtemp(prefix="strata-ckpt-")
     os.makedirs(path, exist_ok=True)

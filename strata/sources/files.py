@@ -8,8 +8,8 @@ from strata.sources.catalog import quote
 
 
 def read_csv(spark: SparkSession, path: str, header: bool = True, infer_schema: bool = True) -> DataFrame:
-    """Header CSV with inferred types (a sampling pass over the files runs
-    first; give a schema for large inputs)."""
+    """Header CSV with inferred types (a pass over all files runs first; use
+    ``read_delimited`` with a schema for large inputs)."""
     return spark.read.csv(path, header=header, inferSchema=infer_schema)
 
 

@@ -21,8 +21,9 @@ Meaning (our definitions where the original evaluator is closed):
 * a failed rule stops nothing: outcomes are data.
 
 ``evaluate`` returns the outcomes as one lazy DataFrame. All counts of a
-table (rows, NULLs per column) come from a single aggregate pass; each
-CustomSql rule adds one count over its own (column-pruned) plan. Only the
+table (rows, NULLs per column, rows met by a filtering CustomSql rule) come
+from a single aggregate pass; each other CustomSql rule (groups, duplicates)
+adds one count over its own (column-pruned) plan. Only the
 one-row aggregates reach the outcome rows, so nothing large is collected.
 """
 
@@ -187,6 +188,17 @@ def _row(context, table, rule: Rule, outcome: str, actual: str, n_viol: str, rea
     )
 
 
+def _custom_row(context, table, rule: Rule, bad: str) -> str:
+    """Outcome of a CustomSql rule whose offending rows are counted by ``bad``."""
+    return _row(
+        context, table, rule,
+        f"CASE WHEN {bad} = 0 THEN {sql_str(PASSED)} ELSE {sql_str(FAILED)} END",
+        bad,
+        bad,
+        f"CASE WHEN {bad} > 0 THEN format_string('%d rows selected', {bad}) END",
+    )
+
+
 def _schema_type(schema: StructType, column: str) -> str | None:
     return schema[column].dataType.simpleString() if column in schema.fieldNames() else None
 
@@ -195,6 +207,24 @@ def _quoted(c: str) -> str:
     return "`" + c.replace("`", "``") + "`"
 
 
+_FILTER_RULE = re.compile(r"^\s*SELECT\s+[\w`]+(?:\s*,\s*[\w`]+)*\s+FROM\s+primary\s+WHERE\s+(.+?)\s*;?\s*$", re.I | re.S)
+_MORE_THAN_A_FILTER = re.compile(r"\b(SELECT|GROUP|HAVING|ORDER|LIMIT|OFFSET|UNION|EXCEPT|INTERSECT|WINDOW|OVER)\b", re.I)
+
+
+def filter_condition(df: DataFrame, sql: str) -> str | None:
+    """The condition of a statement that only filters rows of ``primary``, if
+    it is one: its violations can be counted beside the other counts."""
+    m = _FILTER_RULE.match(sql)
+    if not m or _MORE_THAN_A_FILTER.search(m[1]) or "--" in m[1] or "/*" in m[1]:
+        return None
+    try:
+        violations(df, sql)  # its columns exist
+        df.selectExpr(f"count_if({m[1]})")
+    except AnalysisException:
+        return None  # reported as the statement's own failure
+    return m[1]
+
+
 def evaluate(df: DataFrame, ruleset: Ruleset, context: str | None = None, as_of=None) -> DataFrame:
     """Outcome rows (``OUTCOME_SCHEMA``) of every rule of ``ruleset`` on ``df``.
 
@@ -214,8 +244,17 @@ def evaluate(df: DataFrame, ruleset: Ruleset, context: str | None = None, as_of=
         f"count({_quoted(c)}) AS __nn_{i}" for i, c in enumerate(complete_cols)
     ]
 
+    conditions = {}
+    for i, rule in enumerate(ruleset.rules):
+        if rule.kind == "CustomSql" and (cond := filter_condition(df, with_as_of(rule.sql, as_of))):
+            conditions[rule] = f"__bad_{i}"
+            aggs.append(f"count_if({cond}) AS __bad_{i}")
+
     structs = []
     for rule in ruleset.rules:
+        if rule in conditions:
+            structs.append(_custom_row(context, table, rule, conditions[rule]))
+            continue
         missing = sql_str(f"column {rule.column} not found")
         if rule.kind == "ColumnExists":
             ok = rule.column in cols
@@ -256,7 +295,7 @@ def evaluate(df: DataFrame, ruleset: Ruleset, context: str | None = None, as_of=
     if structs:
         parts.append(df.selectExpr(*aggs).selectExpr(f"inline(array({', '.join(structs)}))"))
     for rule in ruleset.rules:
-        if rule.kind != "CustomSql":
+        if rule.kind != "CustomSql" or rule in conditions:
             continue
         try:
             bad = violations(df, with_as_of(rule.sql, as_of))
@@ -265,13 +304,7 @@ def evaluate(df: DataFrame, ruleset: Ruleset, context: str | None = None, as_of=
             row = _row(context, table, rule, failed_, "NULL", "NULL", sql_str(f"statement failed: {msg}"))
             parts.append(df.selectExpr("count(1) AS __rows").selectExpr(f"inline(array({row}))"))
             continue
-        row = _row(
-            context, table, rule,
-            f"CASE WHEN __bad = 0 THEN {passed} ELSE {failed_} END",
-            "__bad",
-            "__bad",
-            "CASE WHEN __bad > 0 THEN format_string('%d rows selected', __bad) END",
-        )
+        row = _custom_row(context, table, rule, "__bad")
         parts.append(bad.selectExpr("count(1) AS __bad").selectExpr(f"inline(array({row}))"))
     if not parts:
         return df.sparkSession.createDataFrame([], OUTCOME_SCHEMA)

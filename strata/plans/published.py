@@ -33,8 +33,10 @@ def cost_by_hospital(fato_consultas_procedimentos: DataFrame, dim_hospital: Data
 def events_by_month(fato_exames_receitas: DataFrame) -> DataFrame:
     """Number of exam / prescription events per month and event type."""
     return (
-        fato_exames_receitas.groupBy(month_bucket("data").alias("mes"), "tipo_evento")
+        # grouped by date; one text per month is formatted, not one per row
+        fato_exames_receitas.groupBy(F.trunc("data", "MM").alias("mes"), "tipo_evento")
         .agg(F.count(F.lit(1)).alias("total_eventos"))
+        .withColumn("mes", month_bucket("mes"))
         .orderBy(F.col("mes").asc_nulls_last(), F.col("tipo_evento").asc_nulls_last())
     )
 

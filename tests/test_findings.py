@@ -142,3 +142,22 @@ def test_centroids_need_one_dimension(spark):
     df = spark.createDataFrame([(1, [1.0, 2.0]), (1, [1.0, 2.0, 3.0])], "label int, embedding array<double>")
     with pytest.raises(ValueError):
         label_centroids(df)
+
+
+def test_filter_rules_are_counted_in_one_pass(spark):
+    df = spark.createDataFrame([(1, -2.0), (2, None), (3, 5.0), (3, -1.0)], "k int, x double")
+    text = """Rules = [
+      RowCount > 0,
+      CustomSql "SELECT x FROM primary WHERE x < 0",
+      CustomSql "SELECT k, x FROM primary WHERE x > 100",
+      CustomSql "SELECT nope FROM primary WHERE x < 0",
+      CustomSql "SELECT k FROM primary GROUP BY k HAVING COUNT(*) > 1"
+    ]"""
+    out = {r["rule"]: r for r in Q.evaluate(df, Q.load_rules(text, "t")).collect()}
+    got = [(r["outcome"], r["violations"]) for r in out.values()]
+    assert sorted(got, key=repr) == sorted(
+        [("Passed", None), ("Failed", 2), ("Passed", 0), ("Failed", None), ("Failed", 1)], key=repr
+    )
+    plan = Q.evaluate(df, Q.load_rules(text, "t"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") <= 3
+    assert Q.filter_condition(df, "SELECT x FROM primary WHERE x < (SELECT max(k) FROM primary)") is None

@@ -29,7 +29,7 @@ import numpy as np
 
 MAGIC = b"SIC1"
 _HEAD = struct.Struct("<4sIQIIIII")  # magic, docs, ids, lanes, steps, symbols, crc of ids, crc of what follows
-MAX_LANES = 8192
+MAX_LANES = 16384
 LANE_IDS = 256
 MAX_SYMBOLS = 1 << 17
 
@@ -38,6 +38,8 @@ _SPACE = 1 << _SPACE_BITS
 _REST = 1 << 19  # at least this much of the space is order 0's
 _TOTAL_BITS = 17
 _SLOTS = 1 << 18
+# what an entry's confidence gains by a hit (second half) or loses by a miss; below 2 a miss replaces the entry
+_STEP = np.array([(n >> 1) - n for n in range(16)] + [n < 15 for n in range(16)], np.int32)
 _UNIT = np.int32((_SPACE - _REST) >> 12)
 _WORD = np.uint64(32)
 _LOW = np.uint64(0xFFFFFFFF)
@@ -116,7 +118,8 @@ class _Model:
         self.s0 = _STRETCH[self.by0 >> 4][self.i0]
         w2, w1, w0 = map(np.int32, self.weights)
         dot = (w2 * self.s2 + w1 * self.s1 + w0 * self.s0) >> np.int32(16)
-        self.chance = _SQUASH[np.clip(dot, -2047, 2047) + np.int32(2048)]
+        np.minimum(np.maximum(dot, np.int32(-2047), out=dot), np.int32(2047), out=dot)
+        self.chance = _SQUASH[dot + np.int32(2048)]
         self.size2 = self.chance * _UNIT  # of _SPACE - _REST, in 4096ths
         self.j = self.n1 * np.int32(16) + self.n2
         chance1 = (self.second >> 4).astype(np.int32)[self.j] * self.differ
@@ -124,6 +127,13 @@ class _Model:
         self.base0 = self.size2 + self.size1
         self.size0 = (np.int32(_SPACE) - self.base0).astype(np.int64)
 
+    def narrow(self, at: np.ndarray, end: np.ndarray, is2: np.ndarray, is1: np.ndarray) -> None:
+        """The guesses' intervals where a guess is right."""
+        np.copyto(at, self.size2, where=is1)
+        np.copyto(end, self.base0, where=is1)
+        np.copyto(at, 0, where=is2)
+        np.copyto(end, self.size2, where=is2)
+
     @staticmethod
     def _train(table: np.ndarray, index: np.ndarray, hit: np.ndarray) -> None:
         n = np.bincount(index, minlength=len(table))
@@ -146,12 +156,13 @@ class _Model:
                 moved = self.weights[i] + int((err * s).sum()) // (lanes * 64)
                 self.weights[i] = min(max(moved, -(1 << 17)), 1 << 17)
         fresh = ids * np.int32(16) + np.int32(1)
-        self.after2[self.slot] = np.where(
-            hit2, self.e2 + (self.n2 < 15), np.where(self.n2 < 2, fresh, self.e2 - self.n2 + (self.n2 >> np.int32(1)))
-        )
-        self.after1[self.at1] = np.where(
-            hit1, self.e1 + (self.n1 < 15), np.where(self.n1 < 2, fresh, self.e1 - self.n1 + (self.n1 >> np.int32(1)))
-        )
+        for table, slot, entry, n, hit in (
+            (self.after2, self.slot, self.e2, self.n2, hit2),
+            (self.after1, self.at1, self.e1, self.n1, hit1),
+        ):
+            after = entry + _STEP[n + (hit << np.int32(4))]
+            np.copyto(after, fresh, where=(n < 2) & ~hit)
+            table[slot] = after
         self.recent.append(ids)
         self.prev2, self.prev1 = self.prev1, ids
         self.step += 1
@@ -184,11 +195,10 @@ def _code(ids: np.ndarray, lanes: int, steps: int, symbols: int) -> tuple[np.nda
         hit1 = now == model.guess1
         at = model.base0 + ((model.cum[now] * model.size0) >> _TOTAL_BITS)
         end = model.base0 + ((model.cum[now + 1] * model.size0) >> _TOTAL_BITS)
-        at = np.where(hit2, 0, np.where(hit1, model.size2, at))
-        end = np.where(hit2, model.size2, np.where(hit1, model.base0, end))
+        model.narrow(at, end, hit2, hit1)
         unit = rng >> np.uint64(_SPACE_BITS)
-        low += unit * at.astype(np.uint64)
-        rng = unit * (end - at).astype(np.uint64)
+        low += unit * at.view(np.uint64)
+        rng = unit * (end - at).view(np.uint64)
         i = np.flatnonzero(rng < _TOP)
         if len(i):
             lo, r = low[i], rng[i]
@@ -234,11 +244,11 @@ def _decode(used: np.ndarray, words: np.ndarray, n: int, lanes: int, steps: int,
         now = model.lookup()[np.minimum(place, (1 << _TOTAL_BITS) - 1)]
         at = model.base0 + ((model.cum[now] * model.size0) >> _TOTAL_BITS)
         end = model.base0 + ((model.cum[now + 1] * model.size0) >> _TOTAL_BITS)
-        now = np.where(is2, model.guess2, np.where(is1, model.guess1, now))
-        at = np.where(is2, 0, np.where(is1, model.size2, at))
-        end = np.where(is2, model.size2, np.where(is1, model.base0, end))
-        low += unit * at.astype(np.uint64)
-        rng = unit * (end - at).astype(np.uint64)
+        np.copyto(now, model.guess1, where=is1)
+        np.copyto(now, model.guess2, where=is2)
+        model.narrow(at, end, is2, is1)
+        low += unit * at.view(np.uint64)
+        rng = unit * (end - at).view(np.uint64)
         i = np.flatnonzero(rng < _TOP)
         if len(i):
             lo, r = low[i], rng[i]

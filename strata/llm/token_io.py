@@ -34,7 +34,7 @@ from strata.llm.rangecoder import decode_block, encode_block
 from strata.llm.tokens import pieces
 
 END_ID = 2
-BLOCK_IDS = 2_000_000
+BLOCK_IDS = 4_000_000
 BLOCKS = "part int, block long, ids_before long, n_docs long, n_ids long, data binary"
 
 

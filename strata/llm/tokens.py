@@ -17,7 +17,7 @@ from array import array
 
 import numpy as np
 
-_MOST_PIECES = 300_000  # in each of a worker's two tables, the current and the one before
+_MOST_PIECES = 400_000  # in each of a worker's two tables, the current and the one before
 _START = "\0"  # marks a piece at a line's start, without the blank before it
 _STEM = re.compile(r"(\0?[^\W\d_]+)([!-&(-/:-@[-^`{-~]+)\Z")
 _PROBES = ("a", "The", "zażółć", "ÉCOLE", "straße")
@@ -78,6 +78,8 @@ class Pieces(dict):
         return ids
 
     def encoded(self, piece: str) -> bytes:
+        if piece[0] == "\n":
+            return self.line_break + self[_START + piece[1:]]
         blank = piece[0] != _START
         word = piece if blank else piece[1:]
         if self.direct and word.isalpha():
@@ -95,11 +97,9 @@ class Pieces(dict):
         # printable: no other white space, and no control characters
         if "  " in flat or flat[0] == " " or flat[-1] == " " or not flat.isprintable():
             return self.whole(text)
-        out = []
-        for line in text.split("\n"):
-            first, *rest = line.split(" ")
-            out.append(self[_START + first] + b"".join(map(self.__getitem__, rest)))
-        return self.line_break.join(out)
+        # a line's first word keeps its break: "a b\nc" is "a", " b" and "\nc"
+        first, *rest = text.replace("\n", " \n").split(" ")
+        return self[_START + first] + b"".join(map(self.__getitem__, rest))
 
 
 def pieces(path: str) -> Pieces:

@@ -43,6 +43,11 @@ _CHUNK = 1 << 10  # windows summed together
 _BATCH_BYTES = 16 << 20
 
 
+def _ids(f: pd.DataFrame) -> list:
+    """Ids come as text: pandas would turn them into floating point beside nulls."""
+    return [None if pd.isna(d) else int(d) for d in f["doc_id"]]
+
+
 def tokenized(df: DataFrame, vocabulary: str, doc_id="doc_id", text="text", source="source", end_id=END_ID) -> DataFrame:
     """``(part, row, doc_id, source, n, before, ids)``: ids with the end id as
     little-endian bytes; ``before``: tokens of the same source earlier in the
@@ -55,7 +60,7 @@ def tokenized(df: DataFrame, vocabulary: str, doc_id="doc_id", text="text", sour
         end = np.array([end_id], known.dtype).tobytes()
         part, row, sums, out, held = TaskContext.get().partitionId(), 0, {}, [], 0
         for f in frames:
-            for d, s, t in zip(f["doc_id"], f["source"], f["text"], strict=True):
+            for d, s, t in zip(_ids(f), f["source"], f["text"], strict=True):
                 ids = known.ids(t) + end
                 n = len(ids) // width
                 s = None if pd.isna(s) else s
@@ -74,7 +79,7 @@ def tokenized(df: DataFrame, vocabulary: str, doc_id="doc_id", text="text", sour
         return f.astype({"doc_id": "Int64"})
 
     rows = df.select(
-        F.col(f"`{doc_id}`").cast("long").alias("doc_id"),
+        F.col(f"`{doc_id}`").cast("long").cast("string").alias("doc_id"),
         F.col(f"`{source}`").cast("string").alias("source"),
         F.col(f"`{text}`").cast("string").alias("text"),
     )
@@ -160,7 +165,7 @@ def pack_documents(
             return pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
 
         for f in frames:
-            for d, s, n, at, raw in zip(f["doc_id"], f["source"], f["n"], f["at"], f["ids"], strict=True):
+            for d, s, n, at, raw in zip(_ids(f), f["source"], f["n"], f["at"], f["ids"], strict=True):
                 ids = np.frombuffer(raw, dtype).astype("<u4")
                 for start, size, seq, off in _cuts(int(at), int(n), length, total):
                     out.append((d, s, start, size, n, seq, off, ids[start : start + size].tobytes()))
@@ -171,7 +176,8 @@ def pack_documents(
         if out:
             yield frame(out)
 
-    rows = docs.join(plan, ["part", "row"]).select("doc_id", "source", "n", "at", "ids")
+    rows = docs.join(plan, ["part", "row"])
+    rows = rows.select(F.col("doc_id").cast("string").alias("doc_id"), "source", "n", "at", "ids")
     return rows.mapInPandas(run, schema)
 
 

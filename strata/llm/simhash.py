@@ -67,15 +67,24 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(df: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """``(doc_id, fp)``: the fingerprint as a signed long, one row per row."""
+    """``(doc_id, h, fp)``, one row per row: the hash of the text as it is, and
+    the fingerprint as a signed long."""
 
     def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             fp = np.array([fingerprint(t, shingle) for t in f["text"]], np.uint64).view(np.int64)
-            yield pd.DataFrame({"doc_id": f["doc_id"], "fp": fp})
+            yield pd.DataFrame({"id": f["id"], "no_id": f["no_id"], "h": f["h"], "fp": fp})
 
-    rows = df.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
-    return rows.mapInPandas(batches, "doc_id long, fp long")
+    whole = F.col(f"`{text}`").cast("string")
+    rows = df.select(*_id_columns(doc_id), F.xxhash64(whole).alias("h"), whole.alias("text"))
+    out = rows.mapInPandas(batches, "id long, no_id boolean, h long, fp long")
+    return out.selectExpr("IF(no_id, NULL, id) AS doc_id", "h", "fp")
+
+
+def _id_columns(doc_id: str) -> list:
+    """An id without nulls: exact in pandas, and a plain join key."""
+    c = F.col(f"`{doc_id}`").cast("long")
+    return [F.coalesce(c, F.lit(0)).alias("id"), c.isNull().alias("no_id")]
 
 
 def _masks(blocks: int, max_bits: int) -> list[int]:
@@ -114,6 +123,19 @@ def simhash_links(fps: DataFrame, max_bits: int = MAX_BITS, blocks: int = BLOCKS
     return connected_components(star.selectExpr("node AS a", "component AS b").union(across), "a", "b")
 
 
+def _grouped(df: DataFrame, doc_id: str, text: str, shingle: int, max_bits: int, blocks: int) -> DataFrame:
+    """``(doc_id, h, fp, component, component_id)``: ``component`` names the
+    group by its smallest fingerprint, ``component_id`` by its smallest id."""
+    rows = stored(fingerprints(df, doc_id, text, shingle), "simhash-rows")
+    classes = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    linked = simhash_links(rows, max_bits, blocks)
+    named = classes.join(linked.withColumnRenamed("node", "fp"), "fp", "left")
+    named = stored(named.selectExpr("fp", "least", "coalesce(component, fp) AS component"), "simhash-classes")
+    ids = named.groupBy("component").agg(F.min("least").alias("component_id"))
+    by_fp = stored(named.join(ids, "component").select("fp", "component", "component_id"), "simhash-ids")
+    return rows.join(by_fp, "fp").select("doc_id", "h", "fp", "component", "component_id")
+
+
 def simhash_groups(
     df: DataFrame,
     doc_id: str = "doc_id",
@@ -123,34 +145,31 @@ def simhash_groups(
     blocks: int = BLOCKS,
 ) -> DataFrame:
     """``(doc_id, fp, component_id)``, one row per input row."""
-    rows = stored(fingerprints(df, doc_id, text, shingle), "simhash-rows")
-    classes = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    linked = simhash_links(rows, max_bits, blocks)
-    named = classes.join(linked.withColumnRenamed("node", "fp"), "fp", "left")
-    named = stored(named.selectExpr("fp", "least", "coalesce(component, fp) AS component"), "simhash-classes")
-    ids = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    by_fp = stored(named.join(ids, "component").select("fp", "component_id"), "simhash-ids")
-    return rows.join(by_fp, "fp").select("doc_id", "fp", "component_id")
+    return _grouped(df, doc_id, text, shingle, max_bits, blocks).select("doc_id", "fp", "component_id")
 
 
-def simhash_keep(df: DataFrame, **how) -> DataFrame:
+def simhash_keep(
+    df: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    shingle: int = SHINGLE,
+    max_bits: int = MAX_BITS,
+    blocks: int = BLOCKS,
+) -> DataFrame:
     """The rows of ``df`` that stay: of each group the one with the smallest
-    ``doc_id``; of repeated rows with that id, one (the least by hash). Rows
-    with a null id stay only if their whole group has none."""
-    doc_id, text = how.get("doc_id", "doc_id"), how.get("text", "text")
-    groups = simhash_groups(df, **how)
-    heads = groups.filter("doc_id <=> component_id").select("doc_id").distinct()
-    key = ["__id", "__no_id"]  # the id without nulls: one exchange serves join and window
-    heads = heads.selectExpr("coalesce(doc_id, 0L) AS __id", "doc_id IS NULL AS __no_id")
+    ``doc_id`` (null ids last; among equal ids the least text by hash)."""
+    groups = _grouped(df, doc_id, text, shingle, max_bits, blocks)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id"), "h"))
+    heads = groups.groupBy("component").agg(first.alias("head")).select("head.*")
+    key = ["id", "no_id", "h"]  # without nulls: one exchange serves join and window
     rows = df.select(
         F.struct("*").alias("__row"),
-        F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(0)).alias("__id"),
-        F.col(f"`{doc_id}`").isNull().alias("__no_id"),
-        F.xxhash64(F.col(f"`{text}`")).alias("__t"),
+        *_id_columns(doc_id),
+        F.xxhash64(F.col(f"`{text}`").cast("string")).alias("h"),
         F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).alias("__all"),
     )
-    # a doc_id may be repeated, or null
-    alone = F.row_number().over(Window.partitionBy(*key).orderBy("__t", "__all"))
+    # rows may agree in id and text
+    alone = F.row_number().over(Window.partitionBy(*key).orderBy("__all"))
     return rows.join(heads, key).withColumn("__n", alone).filter("__n = 1").select("__row.*")
 
 

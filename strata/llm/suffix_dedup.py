@@ -88,6 +88,11 @@ def _rows(df: DataFrame, doc_id: str, text: str) -> DataFrame:
     return df.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.xxhash64(t).alias("h"), t.alias("text"))
 
 
+def _ids_as_text(df: DataFrame) -> DataFrame:
+    """Before pandas: it would turn ids beside nulls into floating point."""
+    return df.withColumn("doc_id", F.col("doc_id").cast("string"))
+
+
 def _ids(f: pd.DataFrame) -> list:
     return [None if pd.isna(d) else int(d) for d in f["doc_id"]]
 
@@ -113,7 +118,7 @@ def _grams(df: DataFrame, gram: int, min_words: int) -> DataFrame:
         if held:
             yield pd.concat(held)
 
-    return df.mapInPandas(joined, "doc_id long, h long, at int, gram long")
+    return _ids_as_text(df).mapInPandas(joined, "doc_id long, h long, at int, gram long")
 
 
 def _suffixes(df: DataFrame, gram: int, min_words: int) -> DataFrame:
@@ -139,7 +144,7 @@ def _suffixes(df: DataFrame, gram: int, min_words: int) -> DataFrame:
         if out:
             yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
 
-    return df.mapInPandas(run, "doc_id long, h long, at int, suffix binary, before binary")
+    return _ids_as_text(df).mapInPandas(run, "doc_id long, h long, at int, suffix binary, before binary")
 
 
 def _common(a: bytes, b: bytes) -> int:
@@ -245,7 +250,7 @@ def _sorted_matches(rows: DataFrame, gram: int, min_words: int) -> DataFrame:
     def _frame(out):
         return pd.DataFrame(out, columns=_MATCH_NAMES).astype({"doc_id": "Int64", "of_doc_id": "Int64"})
 
-    return rows.mapInPandas(run, _MATCH)
+    return _ids_as_text(rows).mapInPandas(run, _MATCH)
 
 
 def _edge_matches(edges: DataFrame, gram: int, min_words: int) -> DataFrame:

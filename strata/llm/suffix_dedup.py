@@ -9,11 +9,14 @@ words or more of the passage from there on.
 The suffixes at positions whose gram occurs again are sorted over the whole
 corpus: Spark range-partitions and sorts them by their text (then by what
 stands before them, and by document), so a hot passage is split between
-partitions like any other stretch of the order. Each suffix is compared, word
-by word, with its neighbours and with the earliest suffix of its run on
-either side, and the match is extended to the left. Matches of ``MIN_WORDS``
-words or more are kept. The edges of partitions are compared in one more,
-small, round.
+partitions like any other stretch of the order. A window of ``MIN_WORDS``
+words around a kept position has ``r`` words from there on and the rest before
+it. Suffixes that begin with the same ``r`` words are neighbours, so the scan
+keeps, for every ``r`` from ``GRAM`` to ``MIN_WORDS``, the earliest suffix of
+each left part among the neighbours that share ``r`` words, and compares every
+suffix with all of them. Windows that may go on in another partition are
+grouped by their words in one more, small, round. So every window that occurs
+earlier is found, and the spans do not depend on the partitions.
 
 A suffix row carries ``MIN_WORDS`` words to the right and as many as a passage
 can have before its first kept position to the left. Longer matches are
@@ -21,7 +24,8 @@ covered by the rows of their further positions, which are never farther
 apart, so their length is not bounded.
 
 Of two matching occurrences the later one (by document id, then hash of the
-text, then position) is the copy. Removing all copies never loses text: each
+text, then position) is the copy. The earlier one named is the first of its
+sort partition. Removing all copies never loses text: each
 points to an earlier occurrence of the same words, and the first is no copy.
 
 Defined results: null and empty texts have no words; texts shorter than
@@ -39,7 +43,6 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,6 +52,7 @@ MIN_WORDS = 50
 GRAM = 25
 _BASE = 0x9E3779B97F4A7C15  # odd: invertible modulo 2^64
 _BATCH_ROWS = 20_000
+_MOST_HELD = 400_000  # windows kept by a scan; more are handed to the round of the partitions' edges
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -124,7 +128,8 @@ def _grams(df: DataFrame, gram: int, min_words: int) -> DataFrame:
 def _suffixes(df: DataFrame, gram: int, min_words: int) -> DataFrame:
     """Rows ``(doc_id, h, at, suffix, before)``: the text of ``min_words`` words
     from ``at`` on, and of up to ``min_words - gram`` words before, the
-    nearest first."""
+    nearest first. A blank ends every word, the last one too: so texts that
+    begin with the same words are neighbours whatever bytes the words hold."""
     lead = min_words - gram
     names = ["doc_id", "h", "at", "suffix", "before"]
 
@@ -137,7 +142,7 @@ def _suffixes(df: DataFrame, gram: int, min_words: int) -> DataFrame:
                     at = int(at)
                     before = words[max(0, at - lead) : at]
                     before.reverse()
-                    out.append((d, h, at, b" ".join(words[at : at + min_words]), b" ".join(before)))
+                    out.append((d, h, at, _ended(words[at : at + min_words]), _ended(before)))
                 if len(out) >= _BATCH_ROWS:
                     yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
                     out = []
@@ -147,103 +152,148 @@ def _suffixes(df: DataFrame, gram: int, min_words: int) -> DataFrame:
     return _ids_as_text(df).mapInPandas(run, "doc_id long, h long, at int, suffix binary, before binary")
 
 
-def _common(a: bytes, b: bytes) -> int:
-    """Equal words at the start of two texts."""
-    if a == b:
-        return a.count(b" ") + 1 if a else 0
-    n = 0
-    for x, y in zip(a.split(b" "), b.split(b" "), strict=False):
-        if x != y:
-            break
-        n += 1
-    return n if a and b else 0
+def _ended(words: list[bytes]) -> bytes:
+    return b" ".join(words) + b" " if words else b""
 
 
 _NULL_FIRST = -(1 << 63)
 
 
 class _Suffix:
-    __slots__ = ("doc", "h", "at", "suffix", "before", "order")
+    __slots__ = ("doc", "h", "at", "suffix", "before", "order", "words")
 
     def __init__(self, doc, h, at, suffix, before):
         self.doc, self.h, self.at, self.suffix, self.before = doc, h, at, suffix, before
         self.order = (_NULL_FIRST if doc is None else doc, h, at)
+        self.words = suffix.count(b" ")
+
+
+def _common(a: _Suffix, b: _Suffix) -> int:
+    """Equal words at the start of two suffixes."""
+    if a.suffix == b.suffix:
+        return a.words
+    n = 0
+    for x, y in zip(a.suffix.split(b" "), b.suffix.split(b" "), strict=False):
+        if x != y:
+            break
+        n += 1
+    return min(n, a.words, b.words)
 
 
 _MATCH = "doc_id long, h long, first int, last int, of_doc_id long, of_h long, of_first int, edge binary"
 _MATCH_NAMES = ["doc_id", "h", "first", "last", "of_doc_id", "of_h", "of_first", "edge"]
 
 
-def _match(a: _Suffix, b: _Suffix, min_words: int) -> tuple | None:
-    """The match of two suffixes as a row of the later one, if long enough."""
-    right = _common(a.suffix, b.suffix)
-    left = _common(a.before, b.before)
-    if right + left < min_words or a.order == b.order:
-        return None
-    if b.order < a.order:
-        a, b = b, a
-    return (b.doc, b.h, b.at - left, b.at + right, a.doc, a.h, a.at - left)
-
-
-def _scan(rows: Iterator[_Suffix], gram: int, min_words: int):
-    """Matches of sorted suffixes with their neighbour before and with the
-    earliest of their run so far (a run: neighbours with ``gram`` equal words
-    or more). Yields ``(match, None)``, and ``(None, suffixes)`` of a run when
-    it ends: its first, last and earliest."""
-    first = prev = best = None
-    runs = 0
-    for s in rows:
-        if prev is not None and _common(prev.suffix, s.suffix) >= gram:
-            near = _match(prev, s, min_words)
-            if near:
-                yield near, None
-            if best is not prev:
-                far = _match(best, s, min_words)
-                if far:
-                    yield far, None
-            if s.order < best.order:
-                best = s
-        else:
-            if prev is not None:
-                yield None, (runs, first, prev, best)
-                runs += 1
-            first = best = s
+def _copy(a: _Suffix, b: _Suffix, left: int, right: int) -> tuple:
+    """The row of ``b``, a copy of ``a`` from ``left`` words before to ``right`` words on."""
+    return (b.doc, b.h, b.at - left, b.at + right, a.doc, a.h, a.at - left, None)
+
+
+def _window(s: _Suffix, left: int, right: int) -> tuple:
+    """The row of a window for the round of the edges, with its words."""
+    words = s.before.split(b" ")[:left][::-1] + s.suffix.split(b" ")[:right]
+    return (s.doc, s.h, s.at - left, s.at + right, None, 0, 0, b" ".join(words))
+
+
+def _beside(rows: Iterator[_Suffix], most: int) -> Iterator[tuple[_Suffix, int, int]]:
+    """Each suffix with its equal words with the one before and the one after
+    (``most`` beyond the ends: another partition may go on there)."""
+    s, back = next(rows, None), most
+    while s is not None:
+        after = next(rows, None)
+        ahead = most if after is None else _common(s, after)
+        yield s, back, ahead
+        s, back = after, ahead
+
+
+def _copies(members: list[tuple[_Suffix, int, list]], min_words: int) -> Iterator[tuple]:
+    """Rows of the copies among ``members``, each with its groups by rising ``r``."""
+    for s, least, groups in members:
+        spans: dict[int, list] = {}
+        for r, (e,) in enumerate(groups, least):
+            if e.order < s.order:
+                spans.setdefault(id(e), [e, r, r])[2] = r
+        for e, low, high in spans.values():  # equal at both, so at all between
+            yield _copy(e, s, min_words - low, high)
+
+
+def _scan(rows: Iterator[_Suffix], gram: int, min_words: int, most_held: int = _MOST_HELD) -> Iterator[tuple]:
+    """Rows of the copies among sorted suffixes, and (``edge`` set) of the
+    windows that may occur in other partitions too.
+
+    ``open_[r]`` holds, for the neighbours so far that share ``r`` words, a
+    group for each left part of ``min_words - r`` words: windows around two
+    suffixes are equal if and only if they meet in one of these. A group knows
+    its earliest member; all others are copies of it, given when no neighbour
+    shares ``gram`` words any more.
+    """
+    lengths = range(gram, min_words + 1)
+    open_: dict[int, dict[bytes, list[_Suffix]]] = {r: {} for r in lengths}
+    cut = dict.fromkeys(lengths, True)  # not all of these neighbours were seen here
+    members: list[tuple[_Suffix, int, list]] = []
+    held, prev, groups, least = 0, None, None, gram
+
+    def windows(r: int) -> list[tuple]:
+        return [_window(e, min_words - r, r) for (e,) in open_[r].values()]
+
+    for s, back, ahead in _beside(rows, min_words):
+        # the same windows as the one before, which comes first in the order too
+        if groups is None or s.suffix != prev.suffix or s.before != prev.before:
+            for r in range(max(gram, back + 1), min_words + 1):
+                if open_[r]:
+                    if cut[r]:
+                        yield from windows(r)
+                    open_[r].clear()
+                cut[r] = False
+            if back < gram:
+                yield from _copies(members, min_words)
+                members.clear()
+                held = 0
+            ends, at = [0], 0
+            while (at := s.before.find(b" ", at) + 1) > 0:
+                ends.append(at)
+            least, groups = max(gram, min_words - len(ends) + 1), []
+            # more words than either neighbour shares, nobody shares
+            for r in range(least, min(s.words, max(back, ahead)) + 1):
+                group = open_[r].setdefault(s.before[: ends[min_words - r]], [s])
+                if s.order < group[0].order:
+                    group[0] = s
+                groups.append(group)
+            held += len(groups)
         prev = s
-    if prev is not None:
-        yield None, (runs, first, prev, best)
+        if groups:
+            members.append((s, least, groups))
+            held += 1
+        if held > most_held:
+            yield from _copies(members, min_words)
+            members.clear()
+            for r in lengths:
+                yield from windows(r)
+                open_[r].clear()
+                cut[r] = True
+            held, groups = 0, None
+    yield from _copies(members, min_words)
+    for r in lengths:
+        yield from windows(r)
 
 
 def _sorted_matches(rows: DataFrame, gram: int, min_words: int) -> DataFrame:
     """Matches of ``rows`` in their partitions' order, and (``edge`` set) the
-    suffixes at the partitions' edges."""
-    import json
+    windows at the partitions' edges."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        part = TaskContext.get().partitionId()
-
         def each() -> Iterator[_Suffix]:
             for f in frames:
                 columns = (_ids(f), f["h"], f["at"], f["suffix"], f["before"])
                 for d, h, at, s, b in zip(*columns, strict=True):
                     yield _Suffix(d, int(h), int(at), bytes(s), bytes(b))
 
-        def edge(s: _Suffix) -> tuple:
-            body = [s.doc, s.h, s.at, s.suffix.hex(), s.before.hex(), part]
-            return (None, 0, 0, 0, None, 0, 0, json.dumps(body).encode())
-
-        out, last = [], None
-        for match, ended in _scan(each(), gram, min_words):
-            if match:
-                out.append((*match, None))
-            else:
-                if ended[0] == 0:  # the first run may go on from the partition before
-                    out += [edge(s) for s in {id(x): x for x in ended[1:]}.values()]
-                last = ended
+        out = []
+        for row in _scan(each(), gram, min_words):
+            out.append(row)
             if len(out) >= _BATCH_ROWS:
                 yield _frame(out)
                 out = []
-        if last and last[0] > 0:  # and the last one into the next
-            out += [edge(s) for s in {id(x): x for x in last[1:]}.values()]
         if out:
             yield _frame(out)
 
@@ -253,23 +303,16 @@ def _sorted_matches(rows: DataFrame, gram: int, min_words: int) -> DataFrame:
     return _ids_as_text(rows).mapInPandas(run, _MATCH)
 
 
-def _edge_matches(edges: DataFrame, gram: int, min_words: int) -> DataFrame:
-    """The same scan over the edge suffixes of all partitions, six a partition
-    at most, in one task."""
-    import json
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found = []
-        for f in frames:
-            for body in f["edge"]:
-                d, h, at, s, b, part = json.loads(bytes(body))
-                found.append(_Suffix(d, h, at, bytes.fromhex(s), bytes.fromhex(b)))
-        found.sort(key=lambda s: (s.suffix, s.before, s.order))
-        out = [(*m, None) for m, _ in _scan(iter(found), gram, min_words) if m]
-        if out:
-            yield pd.DataFrame(out, columns=_MATCH_NAMES).astype({"doc_id": "Int64", "of_doc_id": "Int64"})
-
-    return edges.coalesce(1).mapInPandas(run, _MATCH)
+def _edge_matches(edges: DataFrame) -> DataFrame:
+    """Edge windows that are copies of the earliest with the same words. A
+    partition gives a window once (and once more each time it held too many)."""
+    order = [F.col("doc_id").asc_nulls_first(), F.col("h"), F.col("first")]
+    earliest = F.first(F.struct("doc_id", "h", "first")).over(Window.partitionBy("edge").orderBy(*order))
+    named = edges.withColumn("of", earliest)
+    copies = named.filter("NOT (doc_id <=> of.doc_id AND h = of.h AND first = of.first)")
+    return copies.selectExpr(
+        "doc_id", "h", "first", "last", "of.doc_id AS of_doc_id", "of.h AS of_h", "of.first AS of_first"
+    )
 
 
 def repeated_passages(
@@ -292,8 +335,8 @@ def repeated_passages(
         "suffix", "before", "doc_id", "h", "at"
     )
     found = stored(_sorted_matches(ordered, gram, min_words), "suffix-matches")
-    edges = _edge_matches(found.filter("edge IS NOT NULL").select("edge"), gram, min_words)
-    return found.filter("edge IS NULL").union(edges).drop("edge")
+    edges = _edge_matches(found.filter("edge IS NOT NULL").select("doc_id", "h", "first", "last", "edge"))
+    return found.filter("edge IS NULL").drop("edge").union(edges)
 
 
 def without_copies(df: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:

@@ -3,7 +3,15 @@ by comparison with all windows."""
 
 import random
 
-from strata.llm.suffix_dedup import MIN_WORDS, kept_positions, repeated_passages, without_copies
+from strata.llm.suffix_dedup import (
+    MIN_WORDS,
+    _ended,
+    _scan,
+    _Suffix,
+    kept_positions,
+    repeated_passages,
+    without_copies,
+)
 from tests.llm.conftest import prose, tricky_rows
 
 B = " \t\n\x0b\x0c\r"
@@ -98,3 +106,72 @@ def test_positions_depend_on_the_words_alone():
         inside = [x for x in a if i <= x <= i + MIN_WORDS - 25]
         assert inside
     assert {x - 37 for x in b if x >= 37 + 30 and x < 37 + 240} == {x for x in a if 30 <= x < 240}
+
+
+def later_windows(texts):
+    """(id, word) of all words in windows that also occur at an earlier place."""
+    first, covered = {}, set()
+    for d, t in sorted(texts):
+        w = words(t)
+        for i in range(len(w) - MIN_WORDS + 1):
+            if first.setdefault(tuple(w[i : i + MIN_WORDS]), (d, i)) != (d, i):
+                covered |= {(d, j) for j in range(i, i + MIN_WORDS)}
+    return covered
+
+
+def clipped_and_edited():
+    """A passage in many documents; earlier ones that share only 25 to 49 of
+    its words; edited copies; repeats that reach 50 words only with their left part."""
+    rng = random.Random(77)
+    passage = prose(rng, 60).split()
+    rows = []
+    for i in range(30):  # clipped: too short to count, with the smallest ids
+        n = 25 + rng.randrange(25)
+        at = rng.randrange(60 - n + 1)
+        rows.append(prose(rng, 40).split() + passage[at : at + n] + prose(rng, 40).split())
+    rows += [prose(rng, 40).split() + passage + prose(rng, 40).split() for _ in range(40)]
+    base = prose(rng, 300).split()
+    for i in range(12):
+        w = list(base)
+        for _ in range(3):
+            w[rng.randrange(300)] = f"edit{rng.randrange(10**6)}"
+        rows.append(w[rng.randrange(60) :] if i % 2 else w[: 300 - rng.randrange(60)])
+    control = ["a\x01b", "a", "\x02"]  # sorts before a blank
+    tail = prose(rng, 50).split() + ["end"]
+    rows += [prose(rng, 30).split() + tail + more for more in ([], ["x"], control, control[1:])]
+    rows += [prose(rng, 30).split() + tail[:-1] + ["end\x01" + str(i)] + prose(rng, 30).split() for i in range(3)]
+    return [(i, " ".join(w)) for i, w in enumerate(rows)]
+
+
+def covered_by(found):
+    return {(m["doc_id"], j) for m in found for j in range(m["first"], m["last"])}
+
+
+def test_every_repeated_window_is_covered_and_first_ones_are_kept(spark):
+    rows = clipped_and_edited()
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = repeated_passages(df).collect()
+    assert covered_by(found) == later_windows(rows)
+    texts = {d: words(t) for d, t in rows}
+    for m in found:
+        n = m["last"] - m["first"]
+        assert (m["of_doc_id"], m["of_first"]) < (m["doc_id"], m["first"])
+        assert texts[m["doc_id"]][m["first"] : m["last"]] == texts[m["of_doc_id"]][m["of_first"] : m["of_first"] + n]
+
+
+def test_a_scan_that_may_hold_little_hands_the_rest_on():
+    rows = []
+    for d, t in clipped_and_edited():
+        w = [x.encode() for x in words(t)]
+        rows += [
+            _Suffix(d, 0, int(at), _ended(w[at : at + MIN_WORDS]), _ended(w[max(0, at - 25) : at][::-1]))
+            for at in kept_positions(w)[0]
+        ]
+    rows.sort(key=lambda s: (s.suffix, s.before, s.order))
+    out = [m for k in range(0, len(rows), 50) for m in _scan(iter(rows[k : k + 50]), 25, MIN_WORDS, 40)]
+    covered, first = set(), {}
+    for m in sorted((m for m in out if m[7] is not None), key=lambda m: (m[0], m[2])):
+        if first.setdefault(m[7], (m[0], m[2])) != (m[0], m[2]):
+            covered |= {(m[0], j) for j in range(m[2], m[3])}
+    covered |= {(m[0], j) for m in out if m[7] is None for j in range(m[2], m[3])}
+    assert covered == later_windows(clipped_and_edited())

@@ -330,8 +330,8 @@ def repeated_passages(
     # rows equal in id and text are one document: any of them will do
     with_text = docs.join(places, F.expr("h = __h AND doc_id <=> __d")).select("doc_id", "h", "text", "places")
     suffixes = _suffixes(with_text, gram, min_words)
-    # equal suffixes may go to several partitions, by document
-    ordered = suffixes.repartitionByRange("suffix", "doc_id").sortWithinPartitions(
+    # in the order of the sort, so neighbours stay together; equal ones may go to several partitions, by document
+    ordered = suffixes.repartitionByRange("suffix", "before", "doc_id").sortWithinPartitions(
         "suffix", "before", "doc_id", "h", "at"
     )
     found = stored(_sorted_matches(ordered, gram, min_words), "suffix-matches")

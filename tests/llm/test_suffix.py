@@ -175,3 +175,21 @@ def test_a_scan_that_may_hold_little_hands_the_rest_on():
             covered |= {(m[0], j) for j in range(m[2], m[3])}
     covered |= {(m[0], j) for m in out if m[7] is None for j in range(m[2], m[3])}
     assert covered == later_windows(clipped_and_edited())
+
+
+def test_spans_do_not_depend_on_the_partitions(spark):
+    """One hot suffix, with left parts shared by some of its documents."""
+    rng = random.Random(5)
+    hot, lefts = prose(rng, 50).split(), [prose(rng, 20).split() for _ in range(6)]
+    rows = [(i, " ".join(prose(rng, 30).split() + lefts[i % 6] + hot)) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")
+    before = {n: spark.conf.get(n) for n in names}
+    try:
+        spark.conf.set(names[1], "false")
+        for n in (1, 13):
+            spark.conf.set(names[0], n)
+            assert covered_by(repeated_passages(df).collect()) == later_windows(rows)
+    finally:
+        for n, v in before.items():
+            spark.conf.set(n, v)

@@ -45,12 +45,14 @@ CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}),
     "dt": ({"dt", "dd"}, {"dl"}),
     "dd": ({"dt", "dd"}, {"dl"}),
-    "tr": ({"tr", "td", "th", "caption"}, {"table"}),
-    "td": ({"td", "th"}, {"tr", "table"}),
-    "th": ({"td", "th"}, {"tr", "table"}),
-    "thead": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption"}, {"table"}),
-    "tbody": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption"}, {"table"}),
-    "tfoot": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption"}, {"table"}),
+    "tr": ({"tr", "td", "th", "caption", "colgroup"}, {"table"}),
+    "td": ({"td", "th", "caption", "colgroup"}, {"tr", "table"}),
+    "th": ({"td", "th", "caption", "colgroup"}, {"tr", "table"}),
+    "caption": ({"caption", "colgroup"}, {"table"}),
+    "colgroup": ({"caption", "colgroup"}, {"table"}),
+    "thead": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption", "colgroup"}, {"table"}),
+    "tbody": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption", "colgroup"}, {"table"}),
+    "tfoot": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption", "colgroup"}, {"table"}),
     "option": ({"option"}, {"select", "datalist"}),
     "optgroup": ({"option", "optgroup"}, {"select"}),
     "body": ({"head"}, set()),
@@ -121,6 +123,8 @@ class _Builder(HTMLParser):
                 self._end(i)
         elif tag not in UNSEEN and self.open[-1].tag == "head":
             self._end(len(self.open) - 1)  # content begins: the head is over
+        if self.open[-1].tag == "colgroup" and tag not in ("col", "template"):
+            self._end(len(self.open) - 1)  # it holds nothing else
         node = _Node(tag, dict(attrs))
         self.open[-1].items.append(node)
         if tag not in VOID:
@@ -138,7 +142,7 @@ class _Builder(HTMLParser):
             self._end(i)
 
     def handle_data(self, data):
-        if self.open[-1].tag == "head" and data.strip():
+        if self.open[-1].tag in ("head", "colgroup") and data.strip():
             self._end(len(self.open) - 1)
         self.open[-1].items.append(data)
 

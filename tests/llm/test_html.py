@@ -60,3 +60,16 @@ def test_operator_passes_other_columns(spark):
     out = extract_text(df)
     assert out.columns == df.columns
     assert sorted((r["page_id"], r["text"]) for r in out.collect()) == [(1, "a"), (1, "a"), (2, "")]
+
+
+@pytest.mark.parametrize("row", ["<tr><td>a<td>b", "<thead><tr><td>a<td>b", "<tbody><tr><td>a<td>b", "<tfoot><tr><td>a<td>b"])
+def test_a_column_group_without_end_keeps_the_rows(row):
+    assert page_text(f"<table><colgroup><col><col>{row}</table>") == "a  b"
+    assert page_text(f"<table><colgroup><colgroup span=2>{row}</table>c") == "a  b\n\nc"
+    assert page_text(f"<table><caption>C<colgroup><col>{row}</table>") == "C\na  b"
+
+
+def test_a_column_group_ends_at_anything_but_columns():
+    assert page_text("<table><colgroup><col><td>a<td>b</table>") == "a\nb"
+    assert page_text("<table><colgroup><template>t</template><col><caption>C</caption><tr><td>a</table>") == "C\na"
+    assert page_text("<table><colgroup>x<b>y</b><tr><td>a</table>") == "xy\na"

@@ -6,7 +6,9 @@ Blocks are set apart by line breaks, paragraphs and headings by blank lines;
 list items carry marks and are indented by depth; the cells of a table are
 aligned in columns; preformatted text keeps its blanks. Not visible, and left
 out: the head, scripts, styles, templates, comments, embedded media, and
-elements hidden by attribute or inline style.
+elements hidden by attribute or inline style. Of drawings (SVG) the text
+elements are read, of formulas (MathML) all but annotations, of form fields
+the labels of buttons.
 
 Each page is rendered on its own inside a map over Arrow batches: no shuffle,
 and memory of one batch.
@@ -32,7 +34,7 @@ from pyspark.sql import types as T
 # Element names of the HTML standard by their default rendering.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 UNSEEN = frozenset(
-    "head script style template noscript title meta link base iframe object embed svg math canvas audio video "
+    "head script style template noscript title meta link base iframe object embed canvas audio video "
     "datalist colgroup col area param source track".split()
 )
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol dl table figure".split())
@@ -65,6 +67,19 @@ ENDS_P = SPACED | frozenset(
 P_BOUNDS = frozenset("table td th caption button object".split())
 SCOPES = frozenset("table td th caption html body".split())  # end tags of inline elements stop here
 
+# SVG and MathML: what is not drawn, where HTML goes on inside, and HTML elements that end it
+FOREIGN_UNSEEN = frozenset(
+    "annotation annotation-xml defs desc metadata symbol clippath mask pattern marker lineargradient radialgradient "
+    "filter".split()
+)
+FOREIGN_HTML = frozenset("foreignobject desc title mi mo mn ms mtext annotation-xml".split())
+ENDS_FOREIGN = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta "
+    "nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split()
+)
+# MathML elements whose children stand apart
+APART = frozenset("mfrac mroot msub msup msubsup munder mover munderover mmultiscripts mtable mtr".split())
+
 _HIDING = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.I)
 _SPACES = re.compile(r"[ \t\n\r\f]+")
 _DEEP = 20
@@ -84,6 +99,8 @@ class _Node:
             or _HIDING.search(attrs.get("style") or "")
         )
         self.items: list[_Node | str] = []
+        if tag == "input" and (attrs.get("type") or "").lower() in ("submit", "button", "reset") and attrs.get("value"):
+            self.items.append(f" {attrs['value']} ")
         self.span = _number(attrs.get("colspan"), 1, 1, 100) if tag in ("td", "th") else 1
         self.start = _number(attrs.get("start"), 1, -(10**9), 10**9) if tag == "ol" else 1
 
@@ -101,9 +118,15 @@ class _Builder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = _Node("#root", {})
         self.open = [self.root]
+        self.foreign: list[int] = []  # indices of open svg and math elements
 
     def _end(self, index: int) -> None:
         del self.open[index:]
+        while self.foreign and self.foreign[-1] >= index:
+            self.foreign.pop()
+
+    def _in_foreign(self) -> bool:
+        return bool(self.foreign) and not any(n.tag in FOREIGN_HTML for n in self.open[self.foreign[-1] :])
 
     def _nearest(self, names, bounds) -> int:
         """Index of the innermost open element of ``names``, 0 if a bound is nearer."""
@@ -114,7 +137,23 @@ class _Builder(HTMLParser):
                 return 0
         return 0
 
-    def handle_starttag(self, tag, attrs):
+    def _start_foreign(self, tag, attrs, closed: bool) -> None:
+        node = _Node(tag, attrs)
+        if tag in FOREIGN_UNSEEN or attrs.get("display") == "none" or attrs.get("visibility") in ("hidden", "collapse"):
+            node.shown = False
+        self.open[-1].items.append(node)
+        if not closed:
+            if tag in ("svg", "math"):
+                self.foreign.append(len(self.open))
+            self.open.append(node)
+
+    def handle_starttag(self, tag, attrs, closed=False):
+        if self._in_foreign():
+            if tag not in ENDS_FOREIGN:
+                self._start_foreign(tag, dict(attrs), closed)
+                return
+            while self._in_foreign():
+                self._end(self.foreign[-1])
         if tag in ENDS_P and (i := self._nearest({"p"}, P_BOUNDS)):
             self._end(i)
         if tag in CLOSES:
@@ -125,13 +164,16 @@ class _Builder(HTMLParser):
             self._end(len(self.open) - 1)  # content begins: the head is over
         if self.open[-1].tag == "colgroup" and tag not in ("col", "template"):
             self._end(len(self.open) - 1)  # it holds nothing else
+        if tag in ("svg", "math"):
+            self._start_foreign(tag, dict(attrs), closed)
+            return
         node = _Node(tag, dict(attrs))
         self.open[-1].items.append(node)
         if tag not in VOID:
             self.open.append(node)
 
     def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)  # as browsers do, a slash closes void elements only
+        self.handle_starttag(tag, attrs, True)  # as browsers do, a slash closes void, SVG and MathML elements only
 
     def handle_endtag(self, tag):
         if tag == "br":
@@ -260,6 +302,21 @@ def _table(table: _Node, depth: int) -> list[str]:
     return [x for x in before if x] + out
 
 
+def _drawn(svg: _Node) -> list[_Node | str]:
+    """The text elements of a drawing, set apart, and the HTML inside it."""
+    out: list[_Node | str] = [" "]
+    todo = list(reversed(svg.items))
+    while todo:
+        item = todo.pop()
+        if isinstance(item, str) or not item.shown:
+            continue
+        if item.tag in ("text", "foreignobject"):
+            out += [item, " "]
+        else:
+            todo.extend(reversed(item.items))
+    return out
+
+
 def _render(root: _Node, depth: int = 0) -> str:
     """The visible text below ``root``, walked with a stack of steps."""
     out = _Text()
@@ -288,7 +345,7 @@ def _render(root: _Node, depth: int = 0) -> str:
         if tag == "br":
             out.end_line(keep=True)
             continue
-        if tag == "img" or tag == "input":
+        if tag == "img":
             continue
         if tag in BLOCKS:
             out.block(tag in SPACED and not (tag in ("ul", "ol", "dl") and lists))
@@ -313,8 +370,11 @@ def _render(root: _Node, depth: int = 0) -> str:
             out.indent.append("  ")
         elif tag in ("td", "th"):
             out.inline(" ")
+        items = _drawn(item) if tag == "svg" else item.items
+        if tag in APART:
+            items = [y for x in items for y in (" ", x)]
         todo.append(("out", item))
-        todo.extend(("in", x) for x in reversed(item.items))
+        todo.extend(("in", x) for x in reversed(items))
     return out.text()
 
 

@@ -73,3 +73,31 @@ def test_a_column_group_ends_at_anything_but_columns():
     assert page_text("<table><colgroup><col><td>a<td>b</table>") == "a\nb"
     assert page_text("<table><colgroup><template>t</template><col><caption>C</caption><tr><td>a</table>") == "C\na"
     assert page_text("<table><colgroup>x<b>y</b><tr><td>a</table>") == "xy\na"
+
+
+FOREIGN = {
+    "closed svg": ('<button><svg class="i"/>Buy</button> now', "Buy now"),
+    "closed math": ("<p>a<math/>b", "ab"),
+    "closed inside": ("<p><svg><g><path d='x'/></g><circle/></svg>Buy", "Buy"),
+    "not closed": ("<div><svg><path><g></svg>Buy</div>", "Buy"),
+    "ended by HTML": ("<svg><path><p>Buy", "Buy"),
+    "svg text": ("<svg>no<title>no</title><g><text>a <tspan>b</tspan></text></g><text>c</text></svg>d", "a b c d"),
+    "svg not drawn": ("<svg><defs><text>no</text></defs><text display='none'>no</text><desc>no</desc></svg>a", "a"),
+    "svg with HTML": ("<svg><foreignObject><p>a<p>b<div/>c</foreignObject></svg>d", "a\n\nb\n\nc\nd"),
+    "math text": ("let <math><mi>x</mi><mo>=</mo><mn>1</mn></math>.", "let x=1."),
+    "math parts": ("<math><mfrac><mn>1</mn><mn>2</mn></mfrac></math>", "1 2"),
+    "math annotation": (
+        "<math><semantics><mi>x</mi><annotation encoding='tex'>no</annotation></semantics></math>", "x",
+    ),
+    "buttons": (
+        "<input type=submit value=Go><input type=BUTTON value='Add it'><input type=reset value=Undo>"
+        "<input type=hidden value=no><input type=submit><input type=submit value=no hidden>",
+        "Go Add it Undo",
+    ),
+}
+
+
+@pytest.mark.parametrize("name", FOREIGN)
+def test_drawings_formulas_and_buttons(name):
+    html, want = FOREIGN[name]
+    assert page_text(html) == want

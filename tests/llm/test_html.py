@@ -2,7 +2,7 @@
 
 import pytest
 
-from strata.llm.html_extract import extract_text, page_text
+from strata.llm.html_extract import extract_text, op8_html_text, page_text
 
 CASES = {
     "blocks": ("<h1>A</h1><p>one <b>two</b>\n three</p><div>x</div><div>y</div>z", "A\n\none two three\n\nx\ny\nz"),
@@ -101,3 +101,13 @@ FOREIGN = {
 def test_drawings_formulas_and_buttons(name):
     html, want = FOREIGN[name]
     assert page_text(html) == want
+
+
+def test_query_on_a_small_table(spark, tmp_path):
+    cases = [*CASES.values(), *FOREIGN.values(), (None, "")]
+    rows = [(i, f"u{i}", html) for i, (html, _) in enumerate(cases)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    out = {r["page_id"]: r for r in op8_html_text(spark, str(tmp_path)).collect()}
+    assert len(out) == len(cases) and all(out[i]["url"] == f"u{i}" for i in out)
+    for i, (html, want) in enumerate(cases):
+        assert out[i]["text"] == want or html == CASES["damaged"][0]

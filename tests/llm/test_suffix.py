@@ -9,6 +9,7 @@ from strata.llm.suffix_dedup import (
     _scan,
     _Suffix,
     kept_positions,
+    op5_suffix_passages,
     repeated_passages,
     without_copies,
 )
@@ -193,3 +194,17 @@ def test_spans_do_not_depend_on_the_partitions(spark):
     finally:
         for n, v in before.items():
             spark.conf.set(n, v)
+
+
+def test_query_and_removal_against_all_windows(spark, tmp_path):
+    rows = clipped_and_edited()
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    later = later_windows(rows)
+    out = op5_suffix_passages(spark, str(tmp_path)).collect()
+    places = [(r["doc_id"], j) for r in out for j in range(r["first_word"], r["end_word"])]
+    assert sorted(places) == sorted(later)  # each word once
+    assert all(r["of_doc_id"] <= r["doc_id"] for r in out)
+    left = {r["doc_id"]: words(r["text"]) for r in without_copies(df).collect()}
+    for d, t in rows:  # nothing else is gone
+        assert left.get(d, []) == [w for j, w in enumerate(words(t)) if (d, j) not in later]

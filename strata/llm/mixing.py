@@ -11,7 +11,7 @@ hot source is many small partial counts and never one group of rows.
 
 Rates are rounded into copies by a threshold: document d gets its whole copies
 and one more if ``u(d) - fraction(d) < tau(source)``, u being a hash of its
-id. tau = 0 is plain randomised rounding; the tau that brings the source
+id, its text and, among rows equal in both, a number. tau = 0 is plain randomised rounding; the tau that brings the source
 nearest its target is found by narrowing an interval with grouped sums of
 ``BINS`` bins a round, again combined map-side. All sums are exact (integers
 or decimals), so nothing depends on the order of rows and reruns agree.
@@ -19,7 +19,7 @@ or decimals), so nothing depends on the order of rows and reruns agree.
 Defined results: null text counts 0 words; null sources form one source,
 ordered last; a document without words is taken 0 words; sources without
 words have target 0; an empty table gives an empty result; repeated rows are
-documents of their own; repeated ids are rounded alike.
+documents of their own, rounded each, and so are rows with one id or none.
 """
 
 from __future__ import annotations
@@ -36,6 +36,7 @@ BINS = 64
 TOLERANCE = 1e-9
 MAX_STEPS = 60
 ROUNDS = 6
+BLOCK = 65536  # equal rows are numbered by so many at a time
 
 
 def source_targets(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
@@ -173,14 +174,29 @@ def mix_sources(
 ) -> DataFrame:
     """``(doc_id, source, size, source_size, target, rate, copies, taken)``,
     one row per input row."""
-    sized = stored(
-        df.select(
-            F.col(f"`{doc_id}`").alias("doc_id"),
-            F.col(f"`{source}`").alias("source"),
-            F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("__t"),
-        ).select("doc_id", "source", F.expr(f"CAST(size({words_of('__t')}) AS BIGINT)").alias("size")),
-        "mix-rows",
+    return _plan(df, doc_id, text, source, weights, share, cap).drop("text_hash", "number")
+
+
+def _plan(df, doc_id="doc_id", text="text", source="source", weights=WEIGHTS, share=SHARE, cap=CAP) -> DataFrame:
+    """``mix_sources`` with ``text_hash`` and ``number``, which tell rows of one
+    id and source apart: rows equal in all three are numbered from 0."""
+    each = df.select(
+        F.col(f"`{doc_id}`").alias("doc_id"),
+        F.col(f"`{source}`").alias("source"),
+        F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("__t"),
+    ).select(
+        "doc_id",
+        "source",
+        F.expr(f"CAST(size({words_of('__t')}) AS BIGINT)").alias("size"),
+        F.xxhash64("__t").alias("text_hash"),
+    )
+    # counted map-side and dealt out again, so equal rows meet in no task
+    counted = each.groupBy("doc_id", "source", "size", "text_hash").agg(F.count("*").alias("__n"))
+    blocks = counted.withColumn("__b", F.explode(F.expr(f"sequence(0L, (__n - 1) DIV {BLOCK})")))
+    numbered = blocks.withColumn(
+        "number", F.explode(F.expr(f"sequence(__b * {BLOCK}, least(__n, (__b + 1) * {BLOCK}) - 1)"))
     )
+    sized = stored(numbered.drop("__n", "__b"), "mix-rows")
     dual = balanced_multipliers(sized, source_targets(sized, weights, share, cap), cap)
     rated = (
         sized.withColumnRenamed("source", "__s")
@@ -188,9 +204,12 @@ def mix_sources(
         .drop("__s")
         .withColumn("rate", F.expr(_rate(cap)))
         .withColumn("base", F.expr(f"CAST(least(floor(rate), {cap - 1}) AS BIGINT)"))
-        # 53 bits of the id's hash
-        .withColumn("v", F.expr("shiftrightunsigned(xxhash64(doc_id), 11) / 9007199254740992D - (rate - base)"))
-        .select("doc_id", "source", "size", "source_size", "target", "rate", "base", "v")
+        # 53 bits of the hash
+        .withColumn(
+            "v",
+            F.expr("shiftrightunsigned(xxhash64(doc_id, text_hash, number), 11) / 9007199254740992D - (rate - base)"),
+        )
+        .select("doc_id", "source", "size", "text_hash", "number", "source_size", "target", "rate", "base", "v")
     )
     rated = stored(rated, "mix-rates")
     tau = rounding_thresholds(rated)
@@ -198,23 +217,32 @@ def mix_sources(
         rated.join(tau.withColumnRenamed("source", "__s"), F.expr("source <=> __s"))
         .withColumn("copies", F.expr("base + IF(v < tau, 1, 0)"))
         .withColumn("taken", F.expr("copies * size"))
-        .select("doc_id", "source", "size", "source_size", "target", "rate", "copies", "taken")
+        .select(
+            "doc_id", "source", "size", "text_hash", "number", "source_size", "target", "rate", "copies", "taken"
+        )
     )
 
 
 def take_copies(df: DataFrame, **how) -> DataFrame:
     """The mix itself: the rows of ``df``, each as often as it is taken."""
     doc_id, text, source = (how.get(k, k) for k in ("doc_id", "text", "source"))
-    # copies depend on these three alone
-    plan = mix_sources(df, **how).filter("copies > 0").select("doc_id", "source", "size", "copies").distinct()
-    plan = plan.withColumnsRenamed({"doc_id": "__d", "source": "__s", "size": "__n"})
+    # one row for all that are equal: how many there are, and the copies of them all
+    plan = _plan(df, **how).select(F.struct("doc_id", "source", "text_hash").alias("__p"), "copies")
+    plan = plan.groupBy("__p").agg(F.count("*").alias("__n"), F.sum("copies").alias("__all")).filter("__all > 0")
+    others = [F.col(f"`{f.name}`") for f in df.schema if "map<" not in f.dataType.simpleString()]
     rows = df.select(
         F.struct("*").alias("__row"),
-        F.col(f"`{doc_id}`").alias("__id"),
-        F.col(f"`{source}`").alias("__source"),
-        F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("__t"),
-    ).withColumn("__size", F.expr(f"CAST(size({words_of('__t')}) AS BIGINT)"))
-    taken = rows.join(plan, F.expr("__id <=> __d AND __source <=> __s AND __size = __n"))
+        F.struct(
+            F.col(f"`{doc_id}`").alias("doc_id"),
+            F.col(f"`{source}`").alias("source"),
+            F.xxhash64(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))).alias("text_hash"),
+        ).alias("__k"),
+        F.xxhash64(*others).alias("__o"),
+    )
+    # equal rows have one size, so their copies differ by one at most; the first ones get the more
+    number = F.row_number().over(Window.partitionBy("__k").orderBy("__o"))
+    taken = rows.join(plan, F.expr("__k = __p")).withColumn("__i", number)
+    taken = taken.withColumn("copies", F.expr("__all DIV __n + IF(__i <= __all % __n, 1, 0)")).filter("copies > 0")
     each = taken.select("__row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     return each.select("__row.*")
 

@@ -74,3 +74,25 @@ def test_hot_source_and_wide_sizes(spark):
         rows.append((i, "w " * n, "hot" if i % 3 == 0 else f"s{rng.randrange(6)}"))
     rows += [(5000 + i, "a b c", "hot") for i in range(800)]
     check(mix_sources(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect())
+
+
+def test_rows_of_one_id_are_rounded_each(spark):
+    """A third of a source under a null id, some rows equal in all; one more id repeated."""
+    rng = random.Random(13)
+    rows = [(None if i % 3 == 0 else i, f"w{i} " + "w " * 40, "a") for i in range(600)]
+    rows += [(None, "same text of six words here", "a")] * 150 + [(7, f"v{i} w w", "b") for i in range(200)]
+    rows += [(None, None, None), (None, "", "b"), (1, "x", None)]
+    rows += [(2000 + i, "w " * rng.randrange(1, 60), f"s{i % 3}") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    mixed = mix_sources(df).collect()
+    assert len(mixed) == len(rows)
+    check(mixed)
+    taken = take_copies(df).collect()
+    assert len(taken) == sum(r["copies"] for r in mixed)
+    words, want = {}, {}
+    for r in taken:
+        words[r["source"]] = words.get(r["source"], 0) + len((r["text"] or "").split())
+    for r in mixed:
+        want[r["source"]] = want.get(r["source"], 0) + r["taken"]
+    assert {s: n for s, n in words.items() if n} == {s: n for s, n in want.items() if n}
+    assert sorted(map(repr, taken)) == sorted(map(repr, take_copies(df.repartition(2)).collect()))

@@ -7,11 +7,14 @@ from strata.llm import (
     html_extract,
     mixing,
     packing,
+    prefix_trie,
     quality_model,
     quality_rules,
     simhash,
+    spelling,
     suffix_dedup,
     token_io,
+    warc,
     winnowing,
 )
 
@@ -26,6 +29,9 @@ _MODULES = (
     html_extract,
     mixing,
     packing,
+    warc,
+    spelling,
+    prefix_trie,
 )
 
 QUERIES = {name: q for m in _MODULES for name, q in m.QUERIES.items()}

@@ -22,8 +22,9 @@ Meaning (our definitions where the original evaluator is closed):
 
 ``evaluate`` returns the outcomes as one lazy DataFrame. All counts of a
 table (rows, NULLs per column, rows met by a filtering CustomSql rule) come
-from a single aggregate pass; each other CustomSql rule (groups, duplicates)
-adds one count over its own (column-pruned) plan. Only the
+from a single aggregate pass. A rule on repeated keys groups that pass: the
+counts are made per key, map-side, and summed, so it costs no scan of its own.
+Each other CustomSql rule adds one count over its own (column-pruned) plan. Only the
 one-row aggregates reach the outcome rows, so nothing large is collected.
 """
 
@@ -207,7 +208,12 @@ def _quoted(c: str) -> str:
     return "`" + c.replace("`", "``") + "`"
 
 
-_FILTER_RULE = re.compile(r"^\s*SELECT\s+[\w`]+(?:\s*,\s*[\w`]+)*\s+FROM\s+primary\s+WHERE\s+(.+?)\s*;?\s*$", re.I | re.S)
+_NAMES = r"([\w`]+(?:\s*,\s*[\w`]+)*)"
+_FILTER_RULE = re.compile(rf"^\s*SELECT\s+{_NAMES}\s+FROM\s+primary\s+WHERE\s+(.+?)\s*;?\s*$", re.I | re.S)
+_KEY_RULE = re.compile(
+    rf"^\s*SELECT\s+{_NAMES}\s+FROM\s+primary\s+GROUP\s+BY\s+{_NAMES}\s+HAVING\s+COUNT\s*\(\s*(?:\*|1)\s*\)\s*>\s*1\s*;?\s*$",
+    re.I,
+)
 _MORE_THAN_A_FILTER = re.compile(r"\b(SELECT|GROUP|HAVING|ORDER|LIMIT|OFFSET|UNION|EXCEPT|INTERSECT|WINDOW|OVER)\b", re.I)
 
 
@@ -215,14 +221,30 @@ def filter_condition(df: DataFrame, sql: str) -> str | None:
     """The condition of a statement that only filters rows of ``primary``, if
     it is one: its violations can be counted beside the other counts."""
     m = _FILTER_RULE.match(sql)
-    if not m or _MORE_THAN_A_FILTER.search(m[1]) or "--" in m[1] or "/*" in m[1]:
+    if not m or _MORE_THAN_A_FILTER.search(m[2]) or "--" in m[2] or "/*" in m[2] or _known(df, m[1]) is None:
         return None
     try:
-        violations(df, sql)  # its columns exist
-        df.selectExpr(f"count_if({m[1]})")
+        df.selectExpr(f"count_if({m[2]})")
     except AnalysisException:
         return None  # reported as the statement's own failure
-    return m[1]
+    return m[2]
+
+
+def _known(df: DataFrame, names: str) -> list[str] | None:
+    """The columns that a list of plain names means, None if one is not there."""
+    there = {c.lower(): c for c in df.columns}
+    if len(there) < len(df.columns):
+        return None
+    found = [there.get(n.strip().strip("`").lower()) for n in names.split(",")]
+    return None if None in found else found
+
+
+def repeated_key(df: DataFrame, sql: str) -> list[str] | None:
+    """The key of a statement that only selects keys occurring more than once,
+    if it is one: the other counts can be made inside its groups."""
+    m = _KEY_RULE.match(sql)
+    keys = m and _known(df, m[2])
+    return keys if keys and _known(df, m[1]) == keys else None
 
 
 def evaluate(df: DataFrame, ruleset: Ruleset, context: str | None = None, as_of=None) -> DataFrame:
@@ -250,6 +272,19 @@ def evaluate(df: DataFrame, ruleset: Ruleset, context: str | None = None, as_of=
             conditions[rule] = f"__bad_{i}"
             aggs.append(f"count_if({cond}) AS __bad_{i}")
 
+    # one key rule groups the rows; all other counts are sums over its groups
+    counted = None
+    for rule in ruleset.rules:
+        if rule.kind == "CustomSql" and rule not in conditions and (keys := repeated_key(df, rule.sql)):
+            names = [a.rsplit(" AS ", 1)[1] for a in aggs]
+            sums = [f"coalesce(sum({n}), 0) AS {n}" for n in names]
+            grouped = df.groupBy(*[F.col(_quoted(k)) for k in keys]).agg(*map(F.expr, aggs))
+            counted = grouped.selectExpr(*sums, "count_if(__rows > 1) AS __repeated")
+            conditions[rule] = "__repeated"
+            break
+    if counted is None:
+        counted = df.selectExpr(*aggs)
+
     structs = []
     for rule in ruleset.rules:
         if rule in conditions:
@@ -293,7 +328,7 @@ def evaluate(df: DataFrame, ruleset: Ruleset, context: str | None = None, as_of=
             ))
     parts = []
     if structs:
-        parts.append(df.selectExpr(*aggs).selectExpr(f"inline(array({', '.join(structs)}))"))
+        parts.append(counted.selectExpr(f"inline(array({', '.join(structs)}))"))
     for rule in ruleset.rules:
         if rule.kind != "CustomSql" or rule in conditions:
             continue

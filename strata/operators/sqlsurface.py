@@ -24,6 +24,9 @@ from __future__ import annotations
 
 import json
 import re
+import threading
+import uuid
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException, ParseException, PySparkException
@@ -37,6 +40,7 @@ QUERY_ERROR_SUGGESTIONS = (
 )
 
 MAX_ROWS = 10_000  # of an answer through the driver
+MAX_SECONDS = 900  # of an answer's jobs
 
 _LITERAL = re.compile(r"'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`")
 
@@ -76,19 +80,48 @@ class QueryResult:
     def rows_json(self) -> DataFrame:
         return to_rows_json(self.df)
 
-    def fetch(self, limit: int | None = None) -> list[dict]:
-        """The rows as dicts (API boundary; use ``limit`` or write the result
-        out for large answers). Of columns with one name the last one wins, as
-        in any JSON reader."""
+    def fetch(self, limit: int | None = MAX_ROWS, timeout: float | None = None) -> list[dict]:
+        """At most ``limit`` rows as dicts (API boundary; None: all of them;
+        larger answers are written out). Of columns with one name the last one
+        wins, as in any JSON reader. ``timeout`` (seconds) ends the statement's
+        jobs."""
         df = self.rows_json()
         if limit is not None:
             df = df.limit(limit)
-        try:
-            return [json.loads(r[0]) for r in df.collect()]
-        except (QueryError, ParseException, AnalysisException):
-            raise
-        except PySparkException as exc:
-            raise _run_time_error(exc) from exc
+        with time_bound(df.sparkSession, timeout):
+            try:
+                return [json.loads(r[0]) for r in df.collect()]
+            except (QueryError, ParseException, AnalysisException):
+                raise
+            except PySparkException as exc:
+                raise _run_time_error(exc) from exc
+
+
+@contextmanager
+def time_bound(spark: SparkSession, seconds: float | None):
+    """Jobs started inside by this thread are cancelled after ``seconds``;
+    the statement then fails with kind ``query``."""
+    if seconds is None:
+        yield
+        return
+    sc, tag, late = spark.sparkContext, f"statement-{uuid.uuid4().hex}", threading.Event()
+
+    def stop() -> None:
+        late.set()
+        sc.cancelJobsWithTag(tag)
+
+    timer = threading.Timer(seconds, stop)
+    sc.addJobTag(tag)
+    timer.start()
+    try:
+        yield
+    except Exception as exc:
+        if late.is_set():
+            raise QueryError("query", f"the statement ran longer than {seconds:g} s", 400, QUERY_ERROR_SUGGESTIONS) from exc
+        raise
+    finally:
+        timer.cancel()
+        sc.removeJobTag(tag)
 
 
 def _run_time_error(exc: PySparkException) -> QueryError:
@@ -190,26 +223,27 @@ def respond(
     limit: int | None = MAX_ROWS,
     result_root: str | None = None,
     run_id: str | None = None,
+    timeout: float | None = MAX_SECONDS,
     **options,
 ) -> dict:
     """Contract as a plain dict: ``{"status", "sql", "rows", "truncated"}`` or
     an error. At most ``limit`` rows come through the driver (None: all), and
-    ``truncated`` says whether there are more; whole answers go to files.
+    ``truncated`` says whether there are more; whole answers go to files. Jobs
+    that run longer than ``timeout`` seconds are ended (None: never).
 
     With ``result_root`` the whole result is also stored as header CSV under
     ``result_root/<run_id>`` (by the executors, not through the driver) and
     the response names that ``output_location``.
     """
-    import uuid
-
     from strata.sources.sinks import write_result_files
 
     try:
         result = sql_run(spark, sql, **options)
         out = {"status": 200, "sql": result.sql}
         if result_root:
-            out["output_location"] = write_result_files(result.df, result_root, run_id or uuid.uuid4().hex)
-        rows = result.fetch(None if limit is None else limit + 1)
+            with time_bound(spark, timeout):
+                out["output_location"] = write_result_files(result.df, result_root, run_id or uuid.uuid4().hex)
+        rows = result.fetch(None if limit is None else limit + 1, timeout)
         out["truncated"] = limit is not None and len(rows) > limit
         out["rows"] = rows[:limit] if out["truncated"] else rows
         return out

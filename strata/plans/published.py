@@ -12,6 +12,12 @@ from pyspark.sql import functions as F
 
 from strata.functions.dates import month_bucket
 
+# ---------------------------------------------------------------------------
+# The output names, groupings, orders and filter values of the
+# seven queries below must equal those of the published queries; how each is
+# computed and spelled is our own.
+# ---------------------------------------------------------------------------
+
 
 def cost_by_hospital(fato_consultas_procedimentos: DataFrame, dim_hospital: DataFrame) -> DataFrame:
     """Estimated cost per hospital and city, highest first.

@@ -355,7 +355,11 @@ def dq_future_as_of(spark, sf_dir):
 
 
 # ------------------------------------------------------------- retrieval ---
+import uuid  # noqa: E402
+
 from strata.operators import retrieval as R  # noqa: E402
+from strata.operators.vectorcells import build_cells, search_cells  # noqa: E402
+from strata.session import checkpoint_dir  # noqa: E402
 
 KB_TOP_K = 3
 VEC_TOP_K = 5
@@ -379,6 +383,23 @@ def kb_search_vec(spark, sf_dir):
     return R.kb_search_vec(R.label_centroids(emb), emb, k=VEC_TOP_K)
 
 
+@register("kb_search_indexed", O.kb_search_sql(KB_TOP_K, R.NOT_FOUND_MESSAGE))
+def kb_search_indexed(spark, sf_dir):
+    """The same requests, answered from an inverted index of all documents."""
+    path = f"{checkpoint_dir(spark)}/strata-index-{uuid.uuid4().hex}"
+    R.build_index(S.table(spark, sf_dir, "documents"), path)
+    return R.search_index(spark, path, S.table(spark, sf_dir, "benchmark"), k=KB_TOP_K, qid="item_id")
+
+
+@register("kb_search_vec_cells", O.kb_search_vec_sql(VEC_TOP_K, R.NOT_FOUND_MESSAGE))
+def kb_search_vec_cells(spark, sf_dir):
+    """The same query vectors, answered from the cells that matter."""
+    emb = S.table(spark, sf_dir, "embeddings")
+    path = f"{checkpoint_dir(spark)}/strata-cells-{uuid.uuid4().hex}"
+    build_cells(emb, path)
+    return search_cells(spark, path, R.label_centroids(emb), k=VEC_TOP_K)
+
+
 # ---------------------------------------------------------------- upsert ---
 from strata.operators.upsert import merged  # noqa: E402
 

@@ -4,7 +4,9 @@ The seven staging loads are independent Spark jobs submitted from a thread
 pool (each in its own scheduler pool, so FAIR scheduling can share the
 cluster); the curated builds start only when every load succeeded, and the
 rules run after all curated tables are written. Failed rules are reported,
-never raised, unless ``fail_on='any'``.
+never raised, unless ``fail_on='any'``. With a run id, finished steps are
+entered in a ledger: a run started again under the same id does only what is
+left, and no layer is built on an unfinished one.
 """
 
 from __future__ import annotations
@@ -15,9 +17,11 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.operators import quality as Q
+from strata.operators.rejects import quarantine
 from strata.operators.staging import stage
 from strata.operators.upsert import replace_table, upsert_table
 from strata.plans import hospital as H
+from strata.plans.ledger import Ledger
 from strata.sources import catalog as C
 from strata.sources.files import read_parquet_dir
 from strata.sources.sinks import publish_outcomes
@@ -32,7 +36,7 @@ def _in_pool(spark: SparkSession, pool: str, fn: Callable, *args):
 
 
 def _parallel(spark: SparkSession, jobs: dict[str, Callable[[], object]], workers: int) -> dict[str, object]:
-    with ThreadPoolExecutor(max_workers=max(1, min(workers, len(jobs)))) as pool:
+    with ThreadPoolExecutor(max_workers=max(1, min(workers, len(jobs)))) as pool:  # others end even if one fails
         futures = {name: pool.submit(_in_pool, spark, name, fn) for name, fn in jobs.items()}
         return {name: f.result() for name, f in futures.items()}  # re-raises the first failure
 
@@ -76,14 +80,27 @@ def run_staging(
     workers: int = 7,
     buckets: int | None = None,
     specs: dict = H.STAGING_SPECS,
+    ledger: Ledger | None = None,
+    rejects_root: str | None = None,
 ) -> dict[str, str]:
     """All staging loads in parallel; raw frames given or read from
-    ``raw_root/<table>/``."""
+    ``raw_root/<table>/``. With ``rejects_root`` the raw rows whose values do
+    not fit are kept in ``rejects_root/<table>`` as well."""
     C.create_namespace(spark, namespace)
     names = tables or list(H.STAGING_SPECS)
     frames = raw if raw is not None else {t: read_parquet_dir(spark, raw_root, t) for t in names}
-    jobs = {t: (lambda t=t: stage_table(spark, t, frames[t], namespace, root, specs, buckets)) for t in names}
-    return _parallel(spark, jobs, workers)
+
+    def load(t: str) -> str:
+        if rejects_root:
+            quarantine(frames[t], specs[t], f"{rejects_root.rstrip('/')}/{t}")
+        return stage_table(spark, t, frames[t], namespace, root, specs, buckets)
+
+    return _run(spark, {t: (lambda t=t: load(t)) for t in names}, workers, ledger, "staged")
+
+
+def _run(spark: SparkSession, jobs: dict, workers: int, ledger: Ledger | None, layer: str) -> dict[str, str]:
+    done, left = ledger.jobs(layer, jobs) if ledger else ({}, jobs)
+    return done | (_parallel(spark, left, workers) if left else {})
 
 
 def read_staged(spark: SparkSession, namespace: str) -> dict[str, DataFrame]:
@@ -106,12 +123,15 @@ def run_curation(
     root: str,
     workers: int = 4,
     tables: list[str] | None = None,
+    ledger: Ledger | None = None,
     **options,
 ) -> dict[str, str]:
     """All curated tables, or those named; an unknown name is refused."""
     unknown = sorted(set(tables or ()) - set(H.CURATED_TABLES))
     if unknown:
         raise ValueError(f"no curated table {unknown}; known: {sorted(H.CURATED_TABLES)}")
+    if ledger:
+        ledger.require("staged", H.STAGING_SPECS)
     C.create_namespace(spark, curated_namespace)
     curated = H.curate(read_staged(spark, staged_namespace), **options)
     jobs = {
@@ -119,7 +139,7 @@ def run_curation(
         for name in curated
         if tables is None or name in tables
     }
-    return _parallel(spark, jobs, workers)
+    return _run(spark, jobs, workers, ledger, "curated")
 
 
 def run_quality(
@@ -154,7 +174,12 @@ def run_all(
     results_root: str | None = None,
     fail_on: str = "never",
     buckets: int | None = None,
+    run_id: str | None = None,
+    rejects_root: str | None = None,
 ) -> DataFrame:
-    run_staging(spark, staged_namespace, root, raw=raw, raw_root=raw_root, buckets=buckets)
-    run_curation(spark, staged_namespace, curated_namespace, root)
+    ledger = Ledger(spark, root, run_id) if run_id else None
+    run_staging(
+        spark, staged_namespace, root, raw=raw, raw_root=raw_root, buckets=buckets, ledger=ledger, rejects_root=rejects_root
+    )
+    run_curation(spark, staged_namespace, curated_namespace, root, ledger=ledger)
     return run_quality(spark, curated_namespace, results_root, fail_on)

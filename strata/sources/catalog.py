@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -56,16 +58,40 @@ def register_path(
     partitioned: bool | None = None,
 ) -> DataFrame:
     """Register files found under ``path`` as a table with an inferred schema
-    (the crawler's job). Partition folders ``k=v`` become partition columns
-    and are added to the catalog (``partitioned=None``: if there are any)."""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {quote(table)} USING {fmt} LOCATION '{path}'")
-    if partitioned is None:
-        partitioned = any(c.isPartition for c in spark.catalog.listColumns(table))
-    if partitioned:
-        spark.catalog.recoverPartitions(table)
+    (the crawler's job). The schema is merged over all files, and partition
+    folders ``k=v`` become partition columns (``partitioned=None``: if there
+    are any). Registering again brings the table up to date: columns that
+    newer files have are added, partitions are added and removed as their
+    folders are. Columns that no file has any more stay, and read as NULL."""
+    found = spark.read.option("mergeSchema", True).format(fmt).load(path)
+    if not spark.catalog.tableExists(table):
+        parts = partition_columns(spark, path, fmt) if partitioned is None or partitioned else []
+        by = f" PARTITIONED BY ({', '.join(f'`{p}`' for p in parts)})" if parts else ""
+        spark.sql(f"CREATE TABLE {quote(table)} ({ddl_columns(found.schema)}) USING {fmt}{by} LOCATION '{path}'")
+    else:
+        known = {c.name.lower() for c in spark.catalog.listColumns(table)}
+        more = [f for f in found.schema.fields if f.name.lower() not in known]
+        if more:
+            spark.sql(f"ALTER TABLE {quote(table)} ADD COLUMNS ({ddl_columns(StructType(more))})")
+    if any(c.isPartition for c in spark.catalog.listColumns(table)):
+        spark.sql(f"MSCK REPAIR TABLE {quote(table)} SYNC PARTITIONS")
+    spark.catalog.refreshTable(table)
     return spark.table(table)
 
 
+def partition_columns(spark: SparkSession, path: str, fmt: str = "parquet") -> list[str]:
+    """The columns that come from ``k=v`` folders, outermost first."""
+    frame = spark.read.format(fmt).load(path)
+    inside = frame.select("_metadata.file_path").first()
+    if inside is None:
+        return []
+    base = path.rstrip("/").split("://")[-1].lstrip("/")
+    below = unquote(inside["file_path"]).split(base, 1)[-1]
+    names = {c.lower(): c for c in frame.columns}
+    folders = [unquote(p.split("=", 1)[0]) for p in below.split("/")[:-1] if "=" in p]
+    return [names[n.lower()] for n in folders if n.lower() in names]
+
+
 def subfolders(spark: SparkSession, root: str) -> list[str]:
     """Names of the visible folders directly under ``root``."""
     path = spark._jvm.org.apache.hadoop.fs.Path(root)
@@ -74,6 +100,12 @@ def subfolders(spark: SparkSession, root: str) -> list[str]:
     return sorted(n for n in names if not n.startswith(("_", ".")))
 
 
+def remove_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a folder of the lake with all it holds."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def discover(
     spark: SparkSession,
     namespace: str,

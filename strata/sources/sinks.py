@@ -39,3 +39,12 @@ def write_result_files(df: DataFrame, root: str, run_id: str, fmt: str = "csv")
 def publish_outcomes(outcomes: DataFrame, root: str) -> None:
     """Append rule outcomes as JSON, one folder per evaluation context."""
     outcomes.write.mode("append").partitionBy("context").json(root)
+
+
+def write_quarantine(bad: DataFrame, root: str, run_id: str) -> int:
+    """Keep the lines that did not parse (``files.read_checked``) under
+    ``root/run_id``, for a person to look at, and return how many they are.
+    A repeated run replaces its own folder."""
+    path = f"{root.rstrip('/')}/{run_id}"
+    bad.write.mode("overwrite").parquet(path)
+    return bad.sparkSession.read.schema(bad.schema).parquet(path).count()

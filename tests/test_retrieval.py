@@ -72,3 +72,90 @@ def test_kb_search_vec_equals_numpy(spark):
         want = list(np.argsort(-sims, kind="stable")[:4])
         got = [r.vec_id for r in sorted((r for r in rows if r.qid == lab), key=lambda r: r.rank)]
         assert got == want
+
+
+def hits(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def many_docs():
+    rng = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(80)]
+    docs = [(i, " ".join(rng.choice(words, rng.integers(1, 60)))) for i in range(150)]
+    # an id twice, a null id, texts without tokens
+    return docs + [(7, "w1 w2 w3"), (None, "w1 w79"), (900, None), (901, ""), (902, "...")]
+
+
+def test_index_answers_like_the_scan(spark, scratch, monkeypatch):
+    docs = spark.createDataFrame(many_docs(), "doc_id long, text string").repartition(5)
+    queries = spark.createDataFrame(
+        [(1, "w1 w2 w2"), (2, "w79 unknown"), (3, "unknown"), (4, None), (5, "W5, w6!")], "qid int, text string"
+    )
+    R.build_index(docs, scratch + "/index", buckets=16)
+    plain = hits(R.kb_search(queries, docs, k=4))
+    assert hits(R.search_index(spark, scratch + "/index", queries, k=4)) == plain
+    monkeypatch.setattr(R, "QUERY_ROWS", 2)  # several blocks of queries
+    monkeypatch.setattr(R, "_CELLS", 9)
+    assert hits(R.search_index(spark, scratch + "/index", queries, k=4)) == plain
+    assert hits(R.kb_search(queries, docs, k=4)) == plain
+
+
+def test_a_later_request_reads_its_buckets_only(spark, scratch):
+    docs = spark.createDataFrame(many_docs(), "doc_id long, text string")
+    R.build_index(docs, scratch + "/index", buckets=16)
+    term = spark.sql("SELECT xxhash64('w5') AS t").first()["t"]
+    postings = R.index_postings(spark, scratch + "/index", [term])
+    plan = postings._jdf.queryExecution().executedPlan().toString()
+    assert f"PartitionFilters: [isnotnull(bucket" in plan or f"bucket" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    read = {f.split("bucket=")[1].split("/")[0] for f in postings.inputFiles()}
+    scanned = spark.read.parquet(scratch + "/index/postings").filter(f"bucket = {term % 16}")
+    assert postings.count() == sum("w5" in (t or "").split() for _, t in many_docs())
+    assert len(read) <= 16 and scanned.count() < spark.read.parquet(scratch + "/index/postings").count()
+
+
+def clustered(n=600, dim=8, groups=12):
+    rng = np.random.default_rng(11)
+    centres = rng.normal(size=(groups, dim)) * 10
+    rows = [(i, [float(x) for x in np.float32(centres[i % groups] + rng.normal(size=dim) * 0.3)]) for i in range(n)]
+    return centres, rows + [(n, [0.0] * dim), (n + 1, None), (n + 2, rows[5][1])]
+
+
+def test_cells_answer_exactly_and_read_few(spark, scratch):
+    from strata.operators.vectorcells import CellSearch, build_cells
+
+    centres, rows = clustered()
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    queries = spark.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(centres)], "qid int, vector array<double>")
+    build_cells(df, scratch + "/cells")
+    search = CellSearch(spark, scratch + "/cells", queries, k=5)
+    assert hits(search.answer()) == hits(R.kb_search_vec(queries, df, k=5))
+    print(f"cells read: {search.read} of {search.held} vectors")
+    assert search.read < 0.3 * search.held
+
+
+def test_cells_with_few_vectors_and_zero_queries(spark, scratch):
+    from strata.operators.vectorcells import build_cells, search_cells
+
+    _, rows = clustered(n=6)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    queries = spark.createDataFrame([(1, rows[0][1]), (2, [0.0] * 8)], "qid int, vector array<double>")
+    build_cells(df, scratch + "/cells")
+    for k in (3, 20):
+        assert hits(search_cells(spark, scratch + "/cells", queries, k=k)) == hits(R.kb_search_vec(queries, df, k=k))
+
+
+def test_cells_of_no_vectors(spark, scratch):
+    from strata.operators.vectorcells import build_cells, search_cells
+
+    df = spark.createDataFrame([], "vec_id long, embedding array<float>")
+    queries = spark.createDataFrame([(1, [1.0, 2.0])], "qid int, vector array<double>")
+    build_cells(df, scratch + "/cells")
+    got = search_cells(spark, scratch + "/cells", queries).collect()
+    assert [(r.qid, r.vec_id, r.message) for r in got] == [(1, None, R.NOT_FOUND_MESSAGE)]
+
+
+def test_an_index_of_no_documents(spark, scratch):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    queries = spark.createDataFrame([(1, "w1")], "qid int, text string")
+    R.build_index(docs, scratch + "/index")
+    assert hits(R.search_index(spark, scratch + "/index", queries)) == hits(R.kb_search(queries, docs))

@@ -4,27 +4,35 @@ A page is read into a tree (missing end tags are implied as browsers do) and
 the tree is rendered as plain text: everything a reader would see, in order.
 Blocks are set apart by line breaks, paragraphs and headings by blank lines;
 list items carry marks and are indented by depth; the cells of a table are
-aligned in columns; preformatted text keeps its blanks. Not visible, and left
-out: the head, scripts, styles, templates, comments, embedded media, and
-elements hidden by attribute or inline style. Of drawings (SVG) the text
-elements are read, of formulas (MathML) all but annotations, of form fields
-the labels of buttons.
+aligned in columns, spans over columns and rows included; preformatted text
+keeps its blanks. Not visible, and left out: the head, scripts, styles,
+templates, comments, embedded media, closed dialogs, what a closed
+``details`` holds beside its summary, the brackets of ruby text, and elements
+that an attribute or inline style takes out (``display``). ``visibility`` is
+inherited: text is left out below a hidden element until a descendant is made
+visible. Of drawings (SVG) the text elements are read, of formulas (MathML)
+all but annotations, of form fields the labels of buttons.
 
 Each page is rendered on its own inside a map over Arrow batches: no shuffle,
-and memory of one batch.
+and memory of one batch. Reading is linear in the page: of every element name
+the open ones are known by place, so no tag walks the nesting.
 
 Defined results: null or empty pages give the empty text; damaged markup is
-read as far as it goes and never fails; very deep nesting is walked without
-recursion (tables nested over ``_DEEP`` deep are rendered as plain blocks);
-repeated rows are rendered each; other columns pass, one called like the
-result is replaced.
+read as far as it goes and never fails; pages of any length and nesting are
+read whole and without recursion, but for tables in tables, which keep their
+columns ``DEEP`` levels down and are plain blocks below; columns are aligned
+up to ``WIDEST`` characters, and wider cells push their row on; an empty table
+of pages gives an empty result; repeated rows are rendered each; other columns
+pass, one called like the result is replaced.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -35,7 +43,7 @@ from pyspark.sql import types as T
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 UNSEEN = frozenset(
     "head script style template noscript title meta link base iframe object embed canvas audio video "
-    "datalist colgroup col area param source track".split()
+    "datalist colgroup col area param source track rp".split()
 )
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol dl table figure".split())
 BLOCKS = SPACED | frozenset(
@@ -80,28 +88,37 @@ ENDS_FOREIGN = frozenset(
 # MathML elements whose children stand apart
 APART = frozenset("mfrac mroot msub msup msubsup munder mover munderover mmultiscripts mtable mtr".split())
 
-_HIDING = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.I)
+_STYLE = re.compile(r"(?:^|;)\s*(display|visibility)\s*:\s*([a-z-]+)", re.I)
 _SPACES = re.compile(r"[ \t\n\r\f]+")
-_DEEP = 20
-_WIDEST = 60  # columns are aligned up to this width; wider cells push their row on
+DEEP = 100
+WIDEST = 60
+_MOST_COLUMNS, _MOST_ROWS = 1000, 65534  # of one cell, as in the HTML standard
 _GAP = "  "
 
 
 class _Node:
-    __slots__ = ("tag", "shown", "items", "span", "start")
+    """``shown``: not taken out; ``visible``: its own visibility, None if inherited."""
+
+    __slots__ = ("tag", "shown", "visible", "items", "span", "rows", "start", "closed")
 
     def __init__(self, tag: str, attrs: dict[str, str | None]):
         self.tag = tag
+        style = {k.lower(): v.lower() for k, v in _STYLE.findall(attrs.get("style") or "")}
         self.shown = not (
             tag in UNSEEN
-            or "hidden" in attrs
+            or style.get("display", "none" if "hidden" in attrs else "") == "none"
             or (tag == "input" and (attrs.get("type") or "").lower() == "hidden")
-            or _HIDING.search(attrs.get("style") or "")
+            or (tag == "dialog" and "open" not in attrs)
         )
+        self.visible = {"visible": True, "hidden": False, "collapse": False}.get(style.get("visibility", ""))
+        self.closed = tag == "details" and "open" not in attrs
         self.items: list[_Node | str] = []
         if tag == "input" and (attrs.get("type") or "").lower() in ("submit", "button", "reset") and attrs.get("value"):
             self.items.append(f" {attrs['value']} ")
-        self.span = _number(attrs.get("colspan"), 1, 1, 100) if tag in ("td", "th") else 1
+        self.span = self.rows = 1
+        if tag in ("td", "th"):
+            self.span = _number(attrs.get("colspan"), 1, 1, _MOST_COLUMNS)
+            self.rows = _number(attrs.get("rowspan"), 1, 0, _MOST_ROWS) or _MOST_ROWS  # 0: to the end
         self.start = _number(attrs.get("start"), 1, -(10**9), 10**9) if tag == "ol" else 1
 
 
@@ -118,34 +135,43 @@ class _Builder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = _Node("#root", {})
         self.open = [self.root]
+        self.places: dict[str, list[int]] = {}  # of each name, the indices of its open elements
         self.foreign: list[int] = []  # indices of open svg and math elements
 
+    def _push(self, node: _Node) -> None:
+        self.places.setdefault(node.tag, []).append(len(self.open))
+        self.open.append(node)
+
     def _end(self, index: int) -> None:
+        for node in self.open[index:]:
+            self.places[node.tag].pop()
         del self.open[index:]
         while self.foreign and self.foreign[-1] >= index:
             self.foreign.pop()
 
+    def _last(self, names) -> int:
+        """Index of the innermost open element of ``names``, 0 if there is none."""
+        return max((at[-1] for n in names if (at := self.places.get(n))), default=0)
+
     def _in_foreign(self) -> bool:
-        return bool(self.foreign) and not any(n.tag in FOREIGN_HTML for n in self.open[self.foreign[-1] :])
+        return bool(self.foreign) and self._last(FOREIGN_HTML) < self.foreign[-1]
 
     def _nearest(self, names, bounds) -> int:
         """Index of the innermost open element of ``names``, 0 if a bound is nearer."""
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].tag in names:
-                return i
-            if self.open[i].tag in bounds:
-                return 0
-        return 0
+        i = self._last(names)
+        return i if i and i >= self._last(bounds) else 0
 
     def _start_foreign(self, tag, attrs, closed: bool) -> None:
         node = _Node(tag, attrs)
-        if tag in FOREIGN_UNSEEN or attrs.get("display") == "none" or attrs.get("visibility") in ("hidden", "collapse"):
+        if tag in FOREIGN_UNSEEN or attrs.get("display") == "none":
             node.shown = False
+        if node.visible is None:
+            node.visible = {"visible": True, "hidden": False, "collapse": False}.get(attrs.get("visibility") or "")
         self.open[-1].items.append(node)
         if not closed:
             if tag in ("svg", "math"):
                 self.foreign.append(len(self.open))
-            self.open.append(node)
+            self._push(node)
 
     def handle_starttag(self, tag, attrs, closed=False):
         if self._in_foreign():
@@ -170,7 +196,7 @@ class _Builder(HTMLParser):
         node = _Node(tag, dict(attrs))
         self.open[-1].items.append(node)
         if tag not in VOID:
-            self.open.append(node)
+            self._push(node)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs, True)  # as browsers do, a slash closes void, SVG and MathML elements only
@@ -246,90 +272,128 @@ class _Text:
         return "\n".join(self.lines).strip("\n")
 
 
-def _table(table: _Node, depth: int) -> list[str]:
+def _laid_out(rows: list[list[tuple[list[str], int, int]]]) -> list[list[tuple[int, list[str], int]]]:
+    """Cells (lines, columns, rows) as (first column, lines, columns): a cell
+    takes the next place that no cell from a row above still holds."""
+    out, held = [], []  # held: (first column, column after, rows left) by column
+    for cells in rows:
+        placed, column, k = [], 0, 0
+        for lines, span, down in cells:
+            while k < len(held) and held[k][0] <= column:
+                column = max(column, held[k][1])
+                k += 1
+            placed.append((column, lines, span, down))
+            column += span
+        out.append([p[:3] for p in placed])
+        still = [(a, b, left - 1) for a, b, left in held if left > 1]
+        more = [(c, c + span, down - 1) for c, _, span, down in placed if down > 1]
+        held = sorted(still + more) if more else still
+    return out
+
+
+def _aligned(rows: list[list[tuple[int, list[str], int]]]) -> list[str]:
+    """The lines of laid-out rows, columns as wide as their widest own cell."""
+    widths: dict[int, int] = {}
+    for cells in rows:
+        for column, lines, span in cells:
+            if span == 1:
+                widths[column] = min(WIDEST, max(widths.get(column, 0), max(map(len, lines))))
+    columns = sorted(widths)
+    starts = [0, *accumulate(widths[c] + len(_GAP) for c in columns)]
+    out = []
+    for cells in rows:
+        for k in range(max((len(lines) for _, lines, _ in cells), default=0)):
+            row = ""
+            for column, lines, _ in cells:
+                if k < len(lines) and lines[k]:
+                    if due := starts[bisect_left(columns, column)]:
+                        row = row.ljust(due)
+                    if row and not row.endswith(_GAP):
+                        row += _GAP
+                    row += lines[k]
+            out.append(row.rstrip())
+    return out
+
+
+def _table(table: _Node, depth: int, visible: bool) -> list[str]:
     """The rows of a table (with its caption first), cells aligned in columns."""
-    rows: list[list[tuple[list[str], int]]] = []
+    rows: list[list[tuple[list[str], int, int]]] = []
     before: list[str] = []
-    todo: list[_Node | str] = list(reversed(table.items))
+    todo: list[tuple[_Node | str, bool]] = [(x, visible) for x in reversed(table.items)]
     loose = _Node("div", {})  # text and elements between the cells: shown before the table, as browsers do
+
+    def aside(item: _Node | str, seen: bool) -> None:
+        holder = _Node("#part", {})
+        holder.visible, holder.items = seen, [item]
+        loose.items.append(holder)
+
+    def cell_of(cell: _Node, seen: bool) -> tuple[list[str], int, int]:
+        own = seen if cell.visible is None else cell.visible
+        return _render(cell, depth + 1, own).split("\n"), cell.span, cell.rows
+
     while todo:
-        item = todo.pop()
+        item, seen = todo.pop()
         if isinstance(item, str):
             if item.strip():
-                loose.items.append(item)
-        elif not item.shown:
+                aside(item, seen)
             continue
-        elif item.tag in ("thead", "tbody", "tfoot"):
-            todo.extend(reversed(item.items))
+        if not item.shown:
+            continue
+        own = seen if item.visible is None else item.visible
+        if item.tag in ("thead", "tbody", "tfoot"):
+            todo.extend((x, own) for x in reversed(item.items))
         elif item.tag == "caption":
-            before += _render(item, depth + 1).split("\n")
+            before += _render(item, depth + 1, own).split("\n")
         elif item.tag == "tr":
             cells = []
             for cell in item.items:
                 if isinstance(cell, _Node) and cell.shown and cell.tag in ("td", "th"):
-                    cells.append((_render(cell, depth + 1).split("\n"), cell.span))
+                    cells.append(cell_of(cell, own))
                 elif isinstance(cell, _Node) and cell.shown or isinstance(cell, str) and cell.strip():
-                    loose.items.append(cell)
-            if cells:
-                rows.append(cells)
+                    aside(cell, own)
+            rows.append(cells)
         elif item.tag in ("td", "th"):  # a cell without a row
-            rows.append([(_render(item, depth + 1).split("\n"), item.span)])
+            rows.append([cell_of(item, seen)])
         else:
-            loose.items.append(item)
-    widths: dict[int, int] = {}
-    for cells in rows:
-        column = 0
-        for lines, span in cells:
-            if span == 1:
-                widest = max(map(len, lines))
-                widths[column] = min(_WIDEST, max(widths.get(column, 0), widest))
-            column += span
-    out = []
-    for cells in rows:
-        for k in range(max(len(lines) for lines, _ in cells)):
-            row, column, due = "", 0, 0
-            for lines, span in cells:
-                if k < len(lines) and lines[k]:
-                    if row or due:
-                        row = row.ljust(due)
-                        row += "" if row.endswith(_GAP) or not row else _GAP
-                    row += lines[k]
-                due += sum(widths.get(c, 0) + len(_GAP) for c in range(column, column + span))
-                column += span
-            out.append(row.rstrip())
+            aside(item, seen)
     if loose.items:
-        before += _render(loose, depth + 1).split("\n")
-    return [x for x in before if x] + out
+        before += _render(loose, depth + 1, visible).split("\n")
+    return [x for x in before if x] + _aligned(_laid_out(rows))
 
 
 def _drawn(svg: _Node) -> list[_Node | str]:
     """The text elements of a drawing, set apart, and the HTML inside it."""
     out: list[_Node | str] = [" "]
-    todo = list(reversed(svg.items))
+    todo = [(x, None) for x in reversed(svg.items)]
     while todo:
-        item = todo.pop()
+        item, above = todo.pop()
         if isinstance(item, str) or not item.shown:
             continue
+        if item.visible is None:
+            item.visible = above  # what stands between is not walked again
         if item.tag in ("text", "foreignobject"):
             out += [item, " "]
         else:
-            todo.extend(reversed(item.items))
+            todo.extend((x, item.visible) for x in reversed(item.items))
     return out
 
 
-def _render(root: _Node, depth: int = 0) -> str:
+def _render(root: _Node, depth: int = 0, visible: bool = True) -> str:
     """The visible text below ``root``, walked with a stack of steps."""
     out = _Text()
     pre = 0
+    seen = [visible]  # of the open elements
     lists: list[list] = []  # open lists: [ordered, next number]
     todo: list[tuple[str, object]] = [("in", x) for x in reversed(root.items)]
     while todo:
         step, item = todo.pop()
         if isinstance(item, str):
-            (out.preformatted if pre else out.inline)(item)
+            if seen[-1]:
+                (out.preformatted if pre else out.inline)(item)
             continue
         tag = item.tag
         if step == "out":
+            seen.pop()
             if tag in BLOCKS:
                 out.block(tag in SPACED and not (tag in ("ul", "ol", "dl") and len(lists) > 1))
             if tag == "pre":
@@ -349,8 +413,9 @@ def _render(root: _Node, depth: int = 0) -> str:
             continue
         if tag in BLOCKS:
             out.block(tag in SPACED and not (tag in ("ul", "ol", "dl") and lists))
-        if tag == "table" and depth < _DEEP:
-            for line in _table(item, depth):
+        own = seen[-1] if item.visible is None else item.visible
+        if tag == "table" and depth < DEEP:
+            for line in _table(item, depth, own):
                 out.line = [line]
                 out.end_line(keep=True)
             out.block(True)
@@ -365,7 +430,7 @@ def _render(root: _Node, depth: int = 0) -> str:
                 mark = f"{lists[-1][1]}. "
                 lists[-1][1] += 1
             out.indent.append(" " * len(mark))
-            out.mark = mark
+            out.mark = mark if own else ""
         elif tag in ("blockquote", "dd"):
             out.indent.append("  ")
         elif tag in ("td", "th"):
@@ -373,6 +438,9 @@ def _render(root: _Node, depth: int = 0) -> str:
         items = _drawn(item) if tag == "svg" else item.items
         if tag in APART:
             items = [y for x in items for y in (" ", x)]
+        elif item.closed:
+            items = [x for x in items if isinstance(x, _Node) and x.tag == "summary"][:1]
+        seen.append(own)
         todo.append(("out", item))
         todo.extend(("in", x) for x in reversed(items))
     return out.text()

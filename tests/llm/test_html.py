@@ -1,5 +1,8 @@
 """Rendered pages, written out by hand."""
 
+import random
+import time
+
 import pytest
 
 from strata.llm.html_extract import extract_text, op8_html_text, page_text
@@ -103,8 +106,97 @@ def test_drawings_formulas_and_buttons(name):
     assert page_text(html) == want
 
 
+SEEN = {
+    "inherited": ("a<div style='visibility:hidden'>b<p>c<span style='visibility: VISIBLE'>d</span>e</div>f", "a\n\nd\n\nf"),
+    "taken out": ("a<div style='display:none'>b<span style='visibility:visible'>c</span></div>d", "ad"),
+    "last wins": ("<i style='display:none;display:inline'>a</i><i style='visibility:hidden;visibility:visible'>b</i>", "ab"),
+    "hidden but shown": ("<i hidden style='display:inline'>a</i><i hidden=until-found>b</i>", "a"),
+    "closed details": ("<details>a<summary>b</summary><p>c<summary>d</summary></details>e", "b\ne"),
+    "open details": ("<details open><summary>b</summary>c</details>", "b\nc"),
+    "dialogs": ("a<dialog>b</dialog><dialog open>c</dialog>", "a\nc"),
+    "ruby": ("<ruby>a<rp>(</rp><rt>b</rt><rp>)</rp></ruby>", "ab"),
+    "rowspan": ("<table><tr><td rowspan=2>A<td>B<tr><td>C<tr><td>D<td>E</table>", "A  B\n   C\nD  E"),
+    "rowspan to the end": ("<table><tr><td>x<td rowspan=0>y<td>z<tr><td>a<td>b<tr><td>c<td>d</table>", "x  y  z\na     b\nc     d"),
+    "both spans": ("<table><tr><td rowspan=2 colspan=2>A<td>B<tr><td>C<tr><td>1<td>2<td>3</table>", "A     B\n      C\n1  2  3"),
+    "wide span": ("<table><tr><td colspan=1000>all<tr><td>a<td>b</table>", "all\na  b"),
+    "hidden row": ("<table><tr style='visibility:collapse'><td>a<td style='visibility:visible'>b<tr><td>c<td>d</table>", "   b\nc  d"),
+    "hidden table": ("<table style='visibility:hidden'><caption>x<tr><td>a<td><b style='visibility:visible'>b</b></table>", "  b"),
+    "hidden svg": ("<svg><g visibility='hidden'><text>a</text><g visibility='visible'><text>b</text></g></g></svg>", "b"),
+    "hidden items": ("<ul><li>a<li style='visibility:hidden'>b<li>c</ul>", "- a\n- c"),
+}
+
+
+@pytest.mark.parametrize("name", SEEN)
+def test_what_is_seen(name):
+    html, want = SEEN[name]
+    assert page_text(html) == want
+
+
+TAGS = "div p b span ul li section h2 details dialog blockquote i table td summary".split()
+STYLES = ["", "", "", "", " hidden", " style='display:none'", " style='visibility:hidden'", " style='visibility:visible'", " open"]
+
+
+def grown(rng, depth, words):
+    """A random tree: (tag, attribute, children), or a word."""
+    if depth == 0 or rng.random() < 0.3:
+        words.append(f"w{len(words)}")
+        return words[-1]
+    tag = rng.choice(TAGS[:12])
+    kids = [grown(rng, depth - 1, words) for _ in range(rng.randrange(1, 5))]
+    if tag == "details":
+        kids.insert(rng.randrange(len(kids) + 1), ("summary", "", [grown(rng, 0, words)]))
+    if tag == "p":  # a block would end it
+        kids = [k for k in kids if isinstance(k, str) or k[0] in ("b", "i", "span") and all(isinstance(x, str) for x in k[2])]
+    node = (tag, rng.choice(STYLES), kids)
+    return ("ul", "", [node]) if tag == "li" else node  # an item would end the one around it
+
+
+def written(node):
+    if isinstance(node, str):
+        return f" {node} "
+    tag, attr, kids = node
+    inner = "".join(map(written, kids))
+    return f"<{tag}{attr}>{inner}</{tag}>"
+
+
+def seen(node, visible=True):
+    """The words a reader sees, by the rules, from the tree itself."""
+    if isinstance(node, str):
+        return [node] if visible else []
+    tag, attr, kids = node
+    if attr in (" hidden", " style='display:none'") or tag == "dialog" and attr != " open":
+        return []
+    if "visibility" in attr:
+        visible = "visible'" in attr
+    if tag == "details" and attr != " open":
+        kids = [k for k in kids if not isinstance(k, str) and k[0] == "summary"][:1]
+    return [w for k in kids for w in seen(k, visible)]
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_all_that_is_seen_by_a_plain_walk(seed):
+    rng, words = random.Random(seed), []
+    trees = [grown(rng, 5, words) for _ in range(4)]
+    got = [w for w in page_text("".join(map(written, trees))).split() if w != "-"]
+    assert got == [w for t in trees for w in seen(t)]
+
+
+def test_reading_is_linear_in_the_nesting():
+    def seconds(n):
+        html = "<div><svg><foreignobject>" * (n // 3) + "<p>x<li>y"
+        best = []
+        for _ in range(3):
+            t = time.perf_counter()
+            page_text(html)
+            page_text("<b>" * n + "</i>" * n)
+            best.append(time.perf_counter() - t)
+        return min(best)
+
+    assert seconds(40_000) < 3.5 * seconds(20_000)
+
+
 def test_query_on_a_small_table(spark, tmp_path):
-    cases = [*CASES.values(), *FOREIGN.values(), (None, "")]
+    cases = [*CASES.values(), *FOREIGN.values(), *SEEN.values(), (None, "")]
     rows = [(i, f"u{i}", html) for i, (html, _) in enumerate(cases)]
     spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
     out = {r["page_id"]: r for r in op8_html_text(spark, str(tmp_path)).collect()}

@@ -192,20 +192,26 @@ def _hash_of_ids(ends: DataFrame) -> DataFrame:
     def render(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         digest, ids = None, []
 
-        def piece() -> pd.DataFrame:
-            at = [int(ids[0])] if ids[0] else [None]
-            return pd.DataFrame({"digest": [digest], "at": pd.array(at, "Int64"), "ids": [",".join(ids)]})
+        def piece() -> tuple:
+            return digest, int(ids[0]) if ids[0] else None, ",".join(ids)
+
+        def frame(done: list[tuple]) -> pd.DataFrame:
+            digests, at, texts = zip(*done, strict=True)
+            return pd.DataFrame({"digest": digests, "at": pd.array(at, "Int64"), "ids": texts})
 
         for f in frames:
+            done = []
             for d, c in zip(f["digest"], f["id"], strict=True):
                 d = bytes(d)
                 if ids and (d != digest or len(ids) >= _PIECE_IDS):
-                    yield piece()
+                    done.append(piece())
                     ids = []
                 digest = d
                 ids.append(c)
+            if done:
+                yield frame(done)
         if ids:
-            yield piece()
+            yield frame([piece()])
 
     def digested(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         digest, sha = None, None

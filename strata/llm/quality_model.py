@@ -13,7 +13,8 @@ squared Mahalanobis length plus the log determinant, plus the log odds of the
 classes.
 
 Defined results: null or empty texts have the statistics of no words and are
-scored like any other; unlabelled rows, rows with a null label and held-out
+scored like any other; texts are read whole, however long; an empty table
+gives an empty result; other columns pass; unlabelled rows, rows with a null label and held-out
 rows are not learned from; if a class has no training row every score is the
 share of the other (0.5 without any row); repeated rows count as often as
 they occur; a label table that repeats an id counts each of its rows.
@@ -54,9 +55,10 @@ STATISTICS = {
 
 
 def statistics(df: DataFrame, text: str = "text") -> DataFrame:
-    """``df`` with ``stats`` (array of double) instead of the text."""
+    """``df`` with ``stats`` (array of double) instead of the text; an input
+    column of that name is replaced."""
     rows = df.withColumn("__x", F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")))
-    keep = [c for c in df.columns if c != text]
+    keep = [c for c in df.columns if c not in (text, "stats")]
     vector = F.expr("array(" + ", ".join(f"CAST({e} AS DOUBLE)" for e in STATISTICS.values()) + ")")
     others = [F.col(f"`{c}`") for c in keep]
     return measured(rows.select(F.struct(*others).alias("__row"), "__x"), "__x").select(

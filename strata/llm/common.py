@@ -7,6 +7,7 @@ import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -26,6 +27,26 @@ def shared_dir(spark: SparkSession) -> str:
 BATCH_ROWS = 1000  # whole texts handed to a Python worker at a time
 
 
+def returning(frames):
+    """The frames of a task's generator; when it ends, memory that the Python
+    worker freed goes back to the system: workers stay between tasks, beside
+    the JVM and one another."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    try:
+        yield from frames
+    finally:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):  # another C library
+            pass
+
+
 @contextmanager
 def small_batches(spark: SparkSession):
     """Arrow batches of at most ``BATCH_ROWS`` rows for what runs inside: a row
@@ -51,6 +72,17 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def row_hashes(df: DataFrame) -> list:
+    """Two 64-bit hashes of whole rows: alike in both only for equal rows."""
+
+    def hashable(field) -> object:
+        c = F.col(f"`{field.name}`")
+        return F.to_json(F.struct(c)) if "map<" in field.dataType.simpleString() else c  # maps have no hash
+
+    columns = [hashable(f) for f in df.schema.fields]
+    return [F.xxhash64(F.lit(i), *columns).alias(name) for i, name in enumerate(("__a", "__b"))]
+
+
 def words_of(text: str) -> str:
     """SQL expression: the words of the (non-null) string expression ``text``:
     runs of anything but the six ASCII blanks."""

@@ -6,6 +6,7 @@ is a chain of projections: no shuffle, no user functions, nothing collected.
 
 Defined results
 * null or blank text: no words, every measure 0, ``base_failed`` true.
+* empty table: no rows.
 * very long text: linear, but for texts with a repeated 3-word window, whose
   windows are sorted once (n log n).
 * repeated rows, ties: each row is judged alone.
@@ -79,66 +80,81 @@ def verdict(rules=RULES, base=BASE_RULES) -> tuple[str, str]:
     return f"NOT ({base_ok})", f"({base_ok}) AND ({rest})"
 
 
+def _helper(df: DataFrame) -> str:
+    """A beginning that no column of ``df`` has."""
+    lead = "__"
+    while any(c.lower().startswith(lead) for c in df.columns):
+        lead += "_"
+    return lead
+
+
 def measured(df: DataFrame, text: str = "text") -> DataFrame:
-    """``df`` with the columns of MEASURES (long)."""
+    """``df`` with the columns of MEASURES (long). Helper columns have names
+    that the input lacks, the text is carried once, and what a step does not
+    need any more is not passed on."""
     stop = ", ".join("'" + w.replace("'", "''") + "'" for w in sorted(set(STOP_WORDS)))
-    base = df.withColumn("__t", F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")))
-    split = base.withColumns(
-        {
-            "__w": F.expr(words_of("__t")),
-            "__l": F.expr("filter(split(__t, '\\n'), l -> btrim(l, ' \\t\\n\\u000b\\u000c\\r') != '')"),
-        }
+    n = _helper(df)
+    t = f"coalesce(CAST(`{text}` AS STRING), '')"
+    kept = [f"`{c}`" for c in df.columns]
+    words, lines, hashes, order, places = (f"{n}{x}" for x in "wlhsp")
+    split = df.selectExpr(
+        *kept,
+        f"{words_of(t)} AS {words}",
+        f"filter(split({t}, '\\n'), l -> btrim(l, ' \\t\\n\\u000b\\u000c\\r') != '') AS {lines}",
+        f"CAST(length(translate({t}, ' \\t\\n\\u000b\\u000c\\r', '')) AS BIGINT) AS {n}word_chars",
+        f"CAST(length({t}) - length(translate({t}, '{SYMBOLS}', '')) AS BIGINT) AS {n}n_symbols",
     )
-    hashed = split.withColumn(
-        "__h",
-        F.expr(
-            "IF(size(__w) < 3, CAST(array() AS ARRAY<BIGINT>), "
-            "transform(slice(__w, 1, size(__w) - 2), (w, i) -> xxhash64(w, get(__w, i + 1), get(__w, i + 2))))"
-        ),
+    hashed = split.selectExpr(
+        *kept,
+        f"IF(size({words}) < 3, CAST(array() AS ARRAY<BIGINT>), transform(slice({words}, 1, size({words}) - 2), "
+        f"(w, i) -> xxhash64(w, get({words}, i + 1), get({words}, i + 2)))) AS {hashes}",
+        f"{n}word_chars",
+        f"{n}n_symbols",
+        f"CAST(size({words}) AS BIGINT) AS {n}n_words",
+        f"CAST(size(filter({words}, w -> lower(w) IN ({stop}))) AS BIGINT) AS {n}n_stop_words",
+        f"CAST(size({lines}) - size(array_distinct({lines})) AS BIGINT) AS {n}n_dup_lines",
+        f"CAST(size({lines}) AS BIGINT) AS {n}n_lines",
     )
+    done = [f"{n}{m}" for m in MEASURES if m != "n_repeat_words"]
     # windows equal to a neighbour in sorted order, by position
-    again = hashed.withColumn(
-        "__s",
-        F.expr(
-            "IF(size(array_distinct(__h)) = size(__h), NULL, "
-            "sort_array(transform(__h, (h, i) -> struct(h AS h, i AS i))))"
-        ),
-    ).withColumn(
-        "__p",
-        F.expr(
-            "sort_array(transform(filter(__s, (x, j) -> x.h <=> get(__s, j - 1).h OR x.h <=> get(__s, j + 1).h), "
-            "x -> x.i))"
-        ),
+    sorted_ = hashed.selectExpr(
+        *kept,
+        *done,
+        f"IF(size(array_distinct({hashes})) = size({hashes}), NULL, "
+        f"sort_array(transform({hashes}, (h, i) -> struct(h AS h, i AS i)))) AS {order}",
+    )
+    again = sorted_.selectExpr(
+        *kept,
+        *done,
+        f"sort_array(transform(filter({order}, (x, j) -> x.h <=> get({order}, j - 1).h OR x.h <=> get({order}, j + 1).h), "
+        f"x -> x.i)) AS {places}",
     )
-    done = again.withColumns(
-        {
-            # not deterministic to the optimizer: a filter on the verdict stays above this projection,
-            # where pushing it down would repeat the whole chain once per reference
-            "n_words": F.expr("CAST(IF(monotonically_increasing_id() < 0, NULL, size(__w)) AS BIGINT)"),
-            "word_chars": F.expr("CAST(length(translate(__t, ' \\t\\n\\u000b\\u000c\\r', '')) AS BIGINT)"),
-            "n_symbols": F.expr(f"CAST(length(__t) - length(translate(__t, '{SYMBOLS}', '')) AS BIGINT)"),
-            "n_dup_lines": F.expr("CAST(size(__l) - size(array_distinct(__l)) AS BIGINT)"),
-            # each repeated window covers its three words, overlaps counted once
-            "n_repeat_words": F.expr(
-                "coalesce(aggregate(transform(__p, (p, j) -> least(3, coalesce(get(__p, j + 1) - p, 3))), "
-                "0L, (a, x) -> a + x), 0L)"
-            ),
-            "n_lines": F.expr("CAST(size(__l) AS BIGINT)"),
-            "n_stop_words": F.expr(f"CAST(size(filter(__w, w -> lower(w) IN ({stop}))) AS BIGINT)"),
-        }
+    # each repeated window covers its three words, overlaps counted once
+    covered = (
+        f"coalesce(aggregate(transform({places}, (p, j) -> least(3, coalesce(get({places}, j + 1) - p, 3))), "
+        "0L, (a, x) -> a + x), 0L)"
     )
-    return done.drop("__t", "__w", "__l", "__h", "__s", "__p")
+    last = {m: f"{n}{m}" for m in MEASURES} | {"n_repeat_words": covered}
+    # not deterministic to the optimizer: a filter on the verdict stays above this projection,
+    # where pushing it down would repeat the whole chain once per reference
+    last["n_words"] = f"IF(monotonically_increasing_id() < 0, NULL, {n}n_words)"
+    passed = [f"`{c}`" for c in df.columns if c not in MEASURES]
+    return again.selectExpr(*passed, *[f"{last[m]} AS {m}" for m in MEASURES])
 
 
 def quality_rules(df: DataFrame, text: str = "text", rules=RULES, base=BASE_RULES) -> DataFrame:
     """``df`` with the measures, ``base_failed`` and ``kept``."""
     failed, kept = verdict(rules, base)
     outputs = {*MEASURES, "base_failed", "kept"}
-    row = F.struct("*").alias("__row")  # so that no column of the input meets a helper's name
-    judged = measured(df.select(row, F.col(f"`{text}`").alias("__x")), "__x")
-    judged = judged.withColumns({"base_failed": F.expr(failed), "kept": F.expr(kept)})
-    passed = [F.col(f"__row.`{c}`") for c in df.columns if c not in outputs]
-    return judged.select(*passed, *MEASURES, "base_failed", "kept")
+    judged = measured(df, text).withColumns({"base_failed": F.expr(failed), "kept": F.expr(kept)})
+    return judged.select(*[F.col(f"`{c}`") for c in df.columns if c not in outputs], *MEASURES, "base_failed", "kept")
+
+
+def kept_rows(df: DataFrame, text: str = "text", rules=RULES, base=BASE_RULES) -> DataFrame:
+    """The rows of ``df`` that the rules keep, all columns as they are."""
+    plain = [f"c{i}" for i in range(len(df.columns))]  # an input column may be called like a measure
+    place = df.columns.index(text)
+    return quality_rules(df.toDF(*plain), plain[place], rules, base).filter("kept").select(*plain).toDF(*df.columns)
 
 
 def op3_quality_rules(spark, sf_dir):

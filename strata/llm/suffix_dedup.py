@@ -32,7 +32,8 @@ Defined results: null and empty texts have no words; texts shorter than
 ``MIN_WORDS`` words have no passages; a passage repeated within one text is a
 copy of its first occurrence; rows that agree in id and text are one
 document; null ids come first; an empty table has no passages. Words are
-compared exactly, blanks between them do not matter.
+compared exactly, blanks between them do not matter. Texts are read whole,
+however long; other columns are ignored, or pass ``without_copies``.
 """
 
 from __future__ import annotations
@@ -46,7 +47,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import stored
+from strata.llm.common import returning, stored
 
 MIN_WORDS = 50
 GRAM = 25
@@ -122,7 +123,7 @@ def _grams(df: DataFrame, gram: int, min_words: int) -> DataFrame:
         if held:
             yield pd.concat(held)
 
-    return _ids_as_text(df).mapInPandas(joined, "doc_id long, h long, at int, gram long")
+    return _ids_as_text(df).mapInPandas(lambda frames: returning(joined(frames)), "doc_id long, h long, at int, gram long")
 
 
 def _suffixes(df: DataFrame, gram: int, min_words: int) -> DataFrame:
@@ -149,7 +150,7 @@ def _suffixes(df: DataFrame, gram: int, min_words: int) -> DataFrame:
         if out:
             yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
 
-    return _ids_as_text(df).mapInPandas(run, "doc_id long, h long, at int, suffix binary, before binary")
+    return _ids_as_text(df).mapInPandas(lambda frames: returning(run(frames)), "doc_id long, h long, at int, suffix binary, before binary")
 
 
 def _ended(words: list[bytes]) -> bytes:
@@ -300,7 +301,7 @@ def _sorted_matches(rows: DataFrame, gram: int, min_words: int) -> DataFrame:
     def _frame(out):
         return pd.DataFrame(out, columns=_MATCH_NAMES).astype({"doc_id": "Int64", "of_doc_id": "Int64"})
 
-    return _ids_as_text(rows).mapInPandas(run, _MATCH)
+    return _ids_as_text(rows).mapInPandas(lambda frames: returning(run(frames)), _MATCH)
 
 
 def _edge_matches(edges: DataFrame) -> DataFrame:

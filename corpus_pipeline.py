@@ -3,28 +3,30 @@
 Each stage calls one operator of ``strata.llm`` on all its predecessor kept.
 ``run`` writes every stage as Parquet into the shared folder and reads it
 again as the next one's input.
+
+Defined results, stage by stage: null and empty texts fail the quality rules
+and go; of rows that agree in id and text (repeated rows), and of each group
+of near copies, one row stays; a text that is all repeated passages goes with
+them; texts are read whole, however long; a null source is a source of its
+own; an empty table gives an empty result. Columns beside those of
+``documents``, whatever they are called, pass the first four stages.
 """
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from strata.llm.common import stored
 from strata.llm.mixing import take_copies
 from strata.llm.packing import pack_documents
-from strata.llm.quality_rules import quality_rules
+from strata.llm.quality_rules import kept_rows
 from strata.llm.simhash import simhash_keep
 from strata.llm.suffix_dedup import without_copies
 
-VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
-
 
 def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    judged = quality_rules(docs.select(F.struct("*").alias("row"), "text"))
-    return judged.filter("kept").select("row.*")
+    return kept_rows(docs)
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +46,9 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of training sequences, token ids included."""
-    return pack_documents(docs, VOCABULARY)
+    import public_tokenizers
+
+    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
 STAGES = [

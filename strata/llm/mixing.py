@@ -11,15 +11,17 @@ hot source is many small partial counts and never one group of rows.
 
 Rates are rounded into copies by a threshold: document d gets its whole copies
 and one more if ``u(d) - fraction(d) < tau(source)``, u being a hash of its
-id, its text and, among rows equal in both, a number. tau = 0 is plain randomised rounding; the tau that brings the source
-nearest its target is found by narrowing an interval with grouped sums of
+id, its text and, among rows equal in both, a number. tau = 0 is plain
+randomised rounding; the tau that brings the source nearest its target is found by narrowing an interval with grouped sums of
 ``BINS`` bins a round, again combined map-side. All sums are exact (integers
 or decimals), so nothing depends on the order of rows and reruns agree.
 
 Defined results: null text counts 0 words; null sources form one source,
 ordered last; a document without words is taken 0 words; sources without
 words have target 0; an empty table gives an empty result; repeated rows are
-documents of their own, rounded each, and so are rows with one id or none.
+documents of their own, rounded each, and so are rows with one id or none;
+texts are counted whole, however long; other columns are ignored, or pass
+``take_copies``, where rows are told apart by hashes of whole rows.
 """
 
 from __future__ import annotations
@@ -27,15 +29,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import stored, words_of
+from strata.llm.common import row_hashes, stored, words_of
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 CAP = 2
 BINS = 64
 TOLERANCE = 1e-9
-MAX_STEPS = 60
-ROUNDS = 6
+MAX_STEPS = 60  # Newton steps; if the targets are not met by then, the mix fails
+ROUNDS = 9  # of narrowing by BINS: as many as the 53 bits of a row's draw can tell apart
 BLOCK = 65536  # equal rows are numbered by so many at a time
 
 
@@ -116,7 +118,7 @@ def balanced_multipliers(sized: DataFrame, targets: DataFrame, cap: float = CAP)
         state = stored(
             gap.withColumn("__next", F.expr(step)).selectExpr(
                 "source", "source_size", "target", "unit", "full", "__next AS lam", "lo", "hi",
-                "IF(full OR target = 0, 0D, abs(gap) / target) AS off",
+                "IF(full, 0D, abs(gap) / greatest(target, 1D)) AS off",
             ),
             "mix-dual",
         )
@@ -124,6 +126,8 @@ def balanced_multipliers(sized: DataFrame, targets: DataFrame, cap: float = CAP)
         state = state.drop("off")
         if worst is None or worst <= TOLERANCE:
             break
+    else:
+        raise RuntimeError(f"no multipliers after {MAX_STEPS} steps: a source is {worst:.3g} of its target off")
     return state.select("source", "source_size", "target", "unit", "full", "lam")
 
 
@@ -136,30 +140,35 @@ def rounding_thresholds(rated: DataFrame) -> DataFrame:
         inside = rows.filter("v >= lo AND v < hi").selectExpr(
             "source", "need", "lo", "hi", f"least({BINS - 1}, CAST((v - lo) / (hi - lo) * {BINS} AS INT)) AS bin", "size"
         )
-        bins = inside.groupBy("source", "need", "lo", "hi", "bin").agg(F.sum("size").alias("words"))
+        bins = inside.groupBy("source", "need", "lo", "hi", "bin").agg(
+            F.sum("size").alias("words"), F.count("*").alias("rows")
+        )
         # at most BINS rows a source
         upto = Window.partitionBy("source").orderBy("bin")
         cum = bins.withColumn("__c", F.sum("words").over(upto)).filter("__c - words <= need")
         # the last bin that still begins within the need
-        last = cum.groupBy("source").agg(F.max(F.struct("bin", "need", "lo", "hi", "words", "__c")).alias("b"))
+        last = cum.groupBy("source").agg(F.max(F.struct("bin", "need", "lo", "hi", "words", "rows", "__c")).alias("b"))
         moved = last.selectExpr(
             "source AS __m",
             "b.need - (b.__c - b.words) AS need",
             f"b.lo + b.bin * (b.hi - b.lo) / {BINS} AS lo",
             f"b.lo + (b.bin + 1) * (b.hi - b.lo) / {BINS} AS hi",
             "b.words AS words",
+            "b.rows AS rows",
         )
         state = stored(
             state.withColumnsRenamed({"need": "n0", "lo": "l0", "hi": "h0"}).join(moved, F.expr("source <=> __m"), "left")
             .selectExpr(
                 "source", "coalesce(need, n0) AS need", "coalesce(lo, l0) AS lo",
-                "IF(need IS NULL, l0, hi) AS hi", "coalesce(words, 0) AS words",
+                "IF(need IS NULL, l0, hi) AS hi", "coalesce(words, 0) AS words", "coalesce(rows, 0) AS rows",
             ),
             "mix-tau",
         )
         keep = state
-        state = state.drop("words")
-    # what is left of the last bin is taken whole or not at all
+        state = state.drop("words", "rows")
+        if (keep.agg(F.max("rows")).first()[0] or 0) <= 1:
+            break  # every last bin is one row
+    # what is left of the last bin, rows of one draw at most, is taken whole or not at all
     return keep.selectExpr("source", "IF(2 * need >= words, hi, lo) AS tau")
 
 
@@ -226,25 +235,36 @@ def _plan(df, doc_id="doc_id", text="text", source="source", weights=WEIGHTS, sh
 def take_copies(df: DataFrame, **how) -> DataFrame:
     """The mix itself: the rows of ``df``, each as often as it is taken."""
     doc_id, text, source = (how.get(k, k) for k in ("doc_id", "text", "source"))
-    # one row for all that are equal: how many there are, and the copies of them all
-    plan = _plan(df, **how).select(F.struct("doc_id", "source", "text_hash").alias("__p"), "copies")
-    plan = plan.groupBy("__p").agg(F.count("*").alias("__n"), F.sum("copies").alias("__all")).filter("__all > 0")
-    others = [F.col(f"`{f.name}`") for f in df.schema if "map<" not in f.dataType.simpleString()]
+    key = ["doc_id", "source", "text_hash"]
+    # one row for all that agree in id, source and text: how many there are, and the copies of them all
+    plan = _plan(df, **how).groupBy(*key).agg(F.count("*").alias("__n"), F.sum("copies").alias("__all"))
     rows = df.select(
         F.struct("*").alias("__row"),
-        F.struct(
-            F.col(f"`{doc_id}`").alias("doc_id"),
-            F.col(f"`{source}`").alias("source"),
-            F.xxhash64(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))).alias("text_hash"),
-        ).alias("__k"),
-        F.xxhash64(*others).alias("__o"),
+        F.col(f"`{doc_id}`").alias("doc_id"),
+        F.col(f"`{source}`").alias("source"),
+        F.xxhash64(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))).alias("text_hash"),
+        *row_hashes(df),
+    )
+    # such rows have one size, so their copies differ by one at most; the first by hash get the more.
+    # Rows equal in every column are counted map-side, and travel once with their number of copies.
+    kinds = rows.groupBy(*key, "__a", "__b").agg(F.count("*").alias("__m"))
+    first = Window.partitionBy(*key).orderBy("__a", "__b")
+    kinds = kinds.withColumn("__before", F.sum("__m").over(first) - F.col("__m"))
+    same = " AND ".join(f"k.{c} <=> p.{c}" for c in key)
+    dealt = kinds.alias("k").join(plan.filter("__all > 0").alias("p"), F.expr(same)).selectExpr(
+        "__a", "__b", "__m * (__all DIV __n) + greatest(0, least(__m, __all % __n - __before)) AS copies"
+    )
+    whole = rows.groupBy("__a", "__b").agg(F.first("__row").alias("__row"))
+    taken = whole.join(dealt.filter("copies > 0"), ["__a", "__b"])
+    few = taken.filter(f"copies <= {BLOCK}").selectExpr("__row", "explode(sequence(1L, copies)) AS __i")
+    # a row with very many copies is dealt out again by blocks of them
+    many = taken.filter(f"copies > {BLOCK}").selectExpr(
+        "__row", "__a", "copies", f"explode(sequence(0L, (copies - 1) DIV {BLOCK})) AS __block"
+    )
+    spread = many.repartition("__a", "__block").selectExpr(
+        "__row", f"explode(sequence(__block * {BLOCK}, least(copies, (__block + 1) * {BLOCK}) - 1)) AS __i"
     )
-    # equal rows have one size, so their copies differ by one at most; the first ones get the more
-    number = F.row_number().over(Window.partitionBy("__k").orderBy("__o"))
-    taken = rows.join(plan, F.expr("__k = __p")).withColumn("__i", number)
-    taken = taken.withColumn("copies", F.expr("__all DIV __n + IF(__i <= __all % __n, 1, 0)")).filter("copies > 0")
-    each = taken.select("__row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    return each.select("__row.*")
+    return few.unionByName(spread).select("__row.*")
 
 
 def op9_entropy_mixing(spark, sf_dir):

@@ -8,8 +8,11 @@ Two fingerprints at Hamming distance ``d`` or less, cut into ``blocks`` > d
 blocks, agree on at least ``blocks - d`` of them. So every choice of
 ``blocks - d`` blocks is one key, and close pairs share a key for sure; the
 distance is then verified. More blocks mean longer keys and fewer chance
-meetings, but more keys; 6 blocks for distance 4 give 15 keys of 20 bits or
-more.
+meetings, but more keys: for distance 4, 6 blocks give 15 keys of 20 bits or
+more, 7 give 35 of 27 and 8 give 70 of 32. The meetings of a key grow with the
+square of the fingerprints over its values, so the number of blocks follows
+the number of distinct fingerprints (``blocks_for``); results do not depend
+on it.
 
 Only distinct fingerprints are linked, so copies cost one row each. A key
 with many fingerprints is first tied to its smallest one (a star: one row per
@@ -20,9 +23,12 @@ and the join's hot partitions can be split by adaptive execution.
 
 Defined results: null text and text without words have fingerprint zero,
 linked like any other; texts shorter than a shingle hash their whole word
-sequence; repeated rows each get a row; the component is the smallest
-``doc_id`` of its rows (null only if all are null); other columns are ignored
-by ``simhash_groups`` and kept by ``simhash_keep``.
+sequence; texts of any length are read whole, their shingles counted in
+chunks; repeated rows each get a row; the component is the smallest ``doc_id``
+of its rows (null only if all are null); an empty table gives an empty result;
+other columns are ignored by ``simhash_groups`` and kept by ``simhash_keep``,
+which of rows that agree in id and text keeps the least by the hash of the
+whole row.
 """
 
 from __future__ import annotations
@@ -33,15 +39,15 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import stored
+from strata.llm.common import returning, row_hashes, stored
 from strata.llm.components import connected_components
 
 SHINGLE = 4
 MAX_BITS = 4
-BLOCKS = 6
+_SHARING = 16
 _CHUNK = 1 << 15  # shingle hashes counted at a time
 
 
@@ -77,7 +83,7 @@ def fingerprints(df: DataFrame, doc_id: str = "doc_id", text: str = "text", shin
 
     whole = F.col(f"`{text}`").cast("string")
     rows = df.select(*_id_columns(doc_id), F.xxhash64(whole).alias("h"), whole.alias("text"))
-    out = rows.mapInPandas(batches, "id long, no_id boolean, h long, fp long")
+    out = rows.mapInPandas(lambda frames: returning(batches(frames)), "id long, no_id boolean, h long, fp long")
     return out.selectExpr("IF(no_id, NULL, id) AS doc_id", "h", "fp")
 
 
@@ -98,9 +104,19 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def simhash_links(fps: DataFrame, max_bits: int = MAX_BITS, blocks: int = BLOCKS) -> DataFrame:
+def blocks_for(fingerprints: int, max_bits: int = MAX_BITS) -> int:
+    """The least number of blocks, two more than the distance or more, whose
+    keys have at most about ``_SHARING`` fingerprints a value."""
+    blocks = max_bits + 2
+    while blocks < max_bits + 6 and fingerprints > _SHARING << (64 * (blocks - max_bits) // blocks - 1):
+        blocks += 1
+    return min(blocks, 64)
+
+
+def simhash_links(fps: DataFrame, max_bits: int = MAX_BITS, blocks: int | None = None) -> DataFrame:
     """``(node, component)`` of the distinct ``fp`` values: see
     ``connected_components``."""
+    blocks = blocks or blocks_for(fps.agg(F.approx_count_distinct("fp")).first()[0], max_bits)
     if not max_bits < blocks <= 64:
         raise ValueError("the pigeonhole needs more blocks than differing bits, and at most 64")
     close = f"bit_count(x.fp ^ y.fp) <= {max_bits}"
@@ -123,7 +139,7 @@ def simhash_links(fps: DataFrame, max_bits: int = MAX_BITS, blocks: int = BLOCKS
     return connected_components(star.selectExpr("node AS a", "component AS b").union(across), "a", "b")
 
 
-def _grouped(df: DataFrame, doc_id: str, text: str, shingle: int, max_bits: int, blocks: int) -> DataFrame:
+def _grouped(df: DataFrame, doc_id: str, text: str, shingle: int, max_bits: int, blocks: int | None) -> DataFrame:
     """``(doc_id, h, fp, component, component_id)``: ``component`` names the
     group by its smallest fingerprint, ``component_id`` by its smallest id."""
     rows = stored(fingerprints(df, doc_id, text, shingle), "simhash-rows")
@@ -142,7 +158,7 @@ def simhash_groups(
     text: str = "text",
     shingle: int = SHINGLE,
     max_bits: int = MAX_BITS,
-    blocks: int = BLOCKS,
+    blocks: int | None = None,
 ) -> DataFrame:
     """``(doc_id, fp, component_id)``, one row per input row."""
     return _grouped(df, doc_id, text, shingle, max_bits, blocks).select("doc_id", "fp", "component_id")
@@ -154,23 +170,23 @@ def simhash_keep(
     text: str = "text",
     shingle: int = SHINGLE,
     max_bits: int = MAX_BITS,
-    blocks: int = BLOCKS,
+    blocks: int | None = None,
 ) -> DataFrame:
     """The rows of ``df`` that stay: of each group the one with the smallest
     ``doc_id`` (null ids last; among equal ids the least text by hash)."""
     groups = _grouped(df, doc_id, text, shingle, max_bits, blocks)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id"), "h"))
     heads = groups.groupBy("component").agg(first.alias("head")).select("head.*")
-    key = ["id", "no_id", "h"]  # without nulls: one exchange serves join and window
+    key = ["id", "no_id", "h"]  # without nulls: one exchange serves both the grouping and the join
     rows = df.select(
         F.struct("*").alias("__row"),
         *_id_columns(doc_id),
         F.xxhash64(F.col(f"`{text}`").cast("string")).alias("h"),
-        F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).alias("__all"),
+        F.struct(*row_hashes(df)).alias("__all"),
     )
-    # rows may agree in id and text
-    alone = F.row_number().over(Window.partitionBy(*key).orderBy("__all"))
-    return rows.join(heads, key).withColumn("__n", alone).filter("__n = 1").select("__row.*")
+    # rows may agree in id and text: the least by hash, chosen map-side first, so many of them are one row a task
+    alone = rows.groupBy(*key).agg(F.min_by("__row", "__all").alias("__row"))
+    return alone.join(heads, key).select("__row.*")
 
 
 def op6_simhash_near_dedup(spark, sf_dir):

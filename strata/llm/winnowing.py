@@ -21,7 +21,8 @@ Defined results: null text is empty; texts without words have an empty
 fingerprint; fewer words than a gram make one gram of all words; fewer grams
 than a window make one window; rows that agree in id and text are one document
 with one successor; rows with one id and different texts follow each other by
-the text's hash; null ids come last in descending order.
+the text's hash; null ids come last in descending order; texts are read whole,
+however long; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations

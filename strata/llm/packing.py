@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import stored
+from strata.llm.common import returning, stored
 from strata.llm.tokens import pieces
 
 LENGTH = 4096
@@ -41,6 +41,7 @@ WINDOW = 64 * LENGTH
 END_ID = 2
 _CHUNK = 1 << 10  # windows summed together
 _BATCH_BYTES = 16 << 20
+TABLE_BYTES = 40 << 20  # of known pieces: what follows this stage needs the memory of its workers
 
 
 def _ids(f: pd.DataFrame) -> list:
@@ -55,13 +56,13 @@ def tokenized(df: DataFrame, vocabulary: str, doc_id="doc_id", text="text", sour
     schema = "part int, row long, doc_id long, source string, n long, before long, ids binary"
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = pieces(vocabulary)
+        known = pieces(vocabulary, table_bytes=TABLE_BYTES)
         width = np.dtype(known.dtype).itemsize
         end = np.array([end_id], known.dtype).tobytes()
         part, row, sums, out, held = TaskContext.get().partitionId(), 0, {}, [], 0
         for f in frames:
-            for d, s, t in zip(_ids(f), f["source"], f["text"], strict=True):
-                ids = known.ids(t) + end
+            for d, s, ids in zip(_ids(f), f["source"], known.many(list(f["text"])), strict=True):
+                ids += end
                 n = len(ids) // width
                 s = None if pd.isna(s) else s
                 out.append((part, row, d, s, n, sums.get(s, 0), ids))
@@ -73,6 +74,7 @@ def tokenized(df: DataFrame, vocabulary: str, doc_id="doc_id", text="text", sour
                     out, held = [], 0
         if out:
             yield _frame(out)
+        known.rest()
 
     def _frame(rows):
         f = pd.DataFrame(rows, columns=["part", "row", "doc_id", "source", "n", "before", "ids"])
@@ -83,7 +85,7 @@ def tokenized(df: DataFrame, vocabulary: str, doc_id="doc_id", text="text", sour
         F.col(f"`{source}`").cast("string").alias("source"),
         F.col(f"`{text}`").cast("string").alias("text"),
     )
-    return rows.mapInPandas(run, schema)
+    return rows.mapInPandas(lambda frames: returning(run(frames)), schema)
 
 
 def planned(counts: DataFrame, window: int = WINDOW) -> tuple[DataFrame, int]:

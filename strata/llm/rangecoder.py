@@ -27,16 +27,16 @@ import zlib
 
 import numpy as np
 
-MAGIC = b"SIC1"
+MAGIC = b"SIC2"
 _HEAD = struct.Struct("<4sIQIIIII")  # magic, docs, ids, lanes, steps, symbols, crc of ids, crc of what follows
 MAX_LANES = 16384
 LANE_IDS = 256
 MAX_SYMBOLS = 1 << 17
 
-_SPACE_BITS = 24
+_SPACE_BITS = 27
 _SPACE = 1 << _SPACE_BITS
-_REST = 1 << 19  # at least this much of the space is order 0's
-_TOTAL_BITS = 17
+_REST = 1 << 22  # at least this much of the space is order 0's
+_TOTAL_BITS = 20  # of the order-0 table: the ids never seen, one share each, take little of it
 _SLOTS = 1 << 18
 # what an entry's confidence gains by a hit (second half) or loses by a miss; below 2 a miss replaces the entry
 _STEP = np.array([(n >> 1) - n for n in range(16)] + [n < 15 for n in range(16)], np.int32)
@@ -84,14 +84,20 @@ class _Model:
         self._rebuild()
 
     def _rebuild(self) -> None:
-        """The order-0 table from the counts: every id at least 1, sum 2^17."""
+        """The order-0 table from the counts: every id at least 1, sum 2^20.
+        The ids not seen yet share what the ids seen once suggest (one part in
+        ``seen`` each), at most 15 parts of 16."""
         for ids in self.recent:
             self.counts += np.bincount(ids, minlength=self.symbols)
         self.recent = []
-        seen = int(self.counts.sum())
-        room = (1 << _TOTAL_BITS) - self.symbols
-        freq = 1 + (self.counts * room // seen if seen else 0 * self.counts)
-        freq[int(freq.argmax())] += (1 << _TOTAL_BITS) - int(freq.sum())
+        total, seen = 1 << _TOTAL_BITS, int(self.counts.sum())
+        new = self.counts == 0
+        n_new, once = int(new.sum()), int((self.counts == 1).sum())
+        part = min(total * once // seen, total * 15 // 16) if seen else 0
+        floor = 1 + max(0, part - n_new) // max(n_new, 1)
+        room = total - n_new * floor - (self.symbols - n_new)
+        freq = np.where(new, floor, 1 + (self.counts * room // seen if seen else 0))
+        freq[int(freq.argmax())] += total - int(freq.sum())
         self.cum = np.zeros(self.symbols + 1, np.int64)
         np.cumsum(freq, out=self.cum[1:])
         self.symbol_at = None
@@ -239,7 +245,7 @@ def _decode(used: np.ndarray, words: np.ndarray, n: int, lanes: int, steps: int,
         is2 = value < model.size2
         is1 = ~is2 & (value < model.base0)
         rest = np.maximum(value - model.base0, 0)
-        # exact: the quotient is below 2^18 and its fraction at least 2^-24 from the next integer
+        # exact: the quotient is below 2^21 and its fraction at least 2^-27 from the next integer
         place = ((((rest + 1) << _TOTAL_BITS) - 1) / model.size0).astype(np.int64)
         now = model.lookup()[np.minimum(place, (1 << _TOTAL_BITS) - 1)]
         at = model.base0 + ((model.cum[now] * model.size0) >> _TOTAL_BITS)

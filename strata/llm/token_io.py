@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import shared_dir, small_batches
+from strata.llm.common import returning, shared_dir, small_batches
 from strata.llm.rangecoder import decode_block, encode_block
 from strata.llm.tokens import pieces
 
@@ -59,8 +59,8 @@ def encode_corpus(
             )
 
         for f in frames:
-            for d, t in zip(f["doc_id"], f["text"], strict=True):
-                ids = known.ids(t) + end
+            for d, ids in zip(f["doc_id"], known.many(list(f["text"])), strict=True):
+                ids += end
                 n = len(ids) // np.dtype(known.dtype).itemsize
                 if keys and held + n > BLOCK_IDS:
                     yield flush()
@@ -78,7 +78,7 @@ def encode_corpus(
     # the sampled keys are numbers, never texts
     ordered = rows.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h", "text")
     # as text: pandas would turn ids beside nulls into floating point
-    return ordered.select(F.col("id").alias("doc_id"), "text").mapInPandas(run, BLOCKS)
+    return ordered.select(F.col("id").alias("doc_id"), "text").mapInPandas(lambda frames: returning(run(frames)), BLOCKS)
 
 
 def write_corpus(df: DataFrame, path: str, vocabulary: str, **how) -> None:
@@ -112,7 +112,7 @@ def read_corpus(spark: SparkSession, path: str, texts: bool = False) -> DataFram
                     out["ids"] = [ids[i:j].tobytes() for i, j in spans]
                 yield out
 
-    docs = blocks.select("part", "ids_before", "data").mapInPandas(run, schema)
+    docs = blocks.select("part", "ids_before", "data").mapInPandas(lambda frames: returning(run(frames)), schema)
     # one row a part: parts are the partitions of the writer, so few rows sum here
     parts = blocks.groupBy("part").agg(F.sum("n_ids").alias("n"))
     bases = parts.select(

@@ -6,7 +6,13 @@ cuts on its own. So the ids of a text are those of its pieces, and a piece
 seen before is looked up instead of encoded again. New pieces of letters below
 U+0250 only are one unit for either vocabulary, and go to the library's merge
 model directly; other pieces and texts with any other white space go through
-its whole chain.
+its whole chain, and so do texts that hold a string of the vocabulary's added
+tokens. Such a string is its own token, as in the library's plain call;
+``special_text=True`` reads it as ordinary text instead.
+
+Texts are cut and their pieces numbered by Arrow, slices of ``_SLICE_BYTES``
+at a time; Python sees every distinct piece of a slice once. A worker keeps
+the pieces it met, in two tables of about ``table_bytes`` each.
 """
 
 from __future__ import annotations
@@ -16,12 +22,16 @@ import sys
 from array import array
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-_MOST_PIECES = 400_000  # in each of a worker's two tables, the current and the one before
+TABLE_BYTES = 100 << 20  # of each of a worker's two tables, the current and the one before
+_ENTRY_BYTES = 250  # of a piece, its ids and their place in a table, besides their lengths
+_SLICE_BYTES = 2 << 20
 _START = "\0"  # marks a piece at a line's start, without the blank before it
-_STEM = re.compile(r"(\0?[^\W\d_]+)([!-&(-/:-@[-^`{-~]+)\Z")
+_STEM = re.compile(r"(\0?[0-9A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+)([!-/:-@[-`{-~]+)\Z")
 _PROBES = ("a", "The", "zażółć", "ÉCOLE", "straße")
-_LOADED: dict[str, Pieces] = {}
+_LOADED: dict[tuple[str, bool], Pieces] = {}
 
 
 def _byte_letters() -> dict[int, int]:
@@ -39,12 +49,17 @@ _BLANK = chr(_LETTERS[0x20])
 class Pieces(dict):
     """Piece -> its ids as little-endian bytes of ``dtype``."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_text: bool = False):
         super().__init__()
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = special_text
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content.strip()]
+        # in any case of letters: a normalizer may lower them before it looks for them
+        self.table_bytes = TABLE_BYTES
+        self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)", re.I)
+        self.held = 0
         self.dtype = "<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
         self.code = "H" if self.dtype == "<u2" else "I"
         self.older: dict[str, bytes] = {}
@@ -71,39 +86,94 @@ class Pieces(dict):
         ids = self.older.get(piece)
         if ids is None:
             ids = self.encoded(piece)
-        if len(self) >= _MOST_PIECES:  # pieces not met again since the last time are forgotten
+        if self.held >= self.table_bytes:  # pieces not met again since the last time are forgotten
             self.older = dict(self)
             self.clear()
+            self.held = 0
         self[piece] = ids
+        self.held += _ENTRY_BYTES + len(piece) + len(ids)
         return ids
 
     def encoded(self, piece: str) -> bytes:
-        if piece[0] == "\n":
-            return self.line_break + self[_START + piece[1:]]
+        if piece == "\n":
+            return self.line_break
         blank = piece[0] != _START
         word = piece if blank else piece[1:]
         if self.direct and word.isalpha():
             if word.isascii() or max(word) < "\u0250" and word.lower().isalpha():
                 return self.letters(word, blank)
-        elif (stem := _STEM.match(piece)) and stem[1].lstrip(_START).lower().isalpha():
-            # letters and ASCII punctuation never share an id
-            return self[stem[1]] + self[_START + stem[2]]
         return self.whole(blank * " " + word)
 
-    def ids(self, text: str | None) -> bytes:
-        if not text:
-            return b""
+    def rest(self) -> None:
+        """Between tasks a worker keeps one table."""
+        self.older = {}
+
+    def plain(self, text: str) -> bool:
+        """Whether single blanks and line breaks between printable characters
+        cut the text into pieces."""
         flat = text.replace("\n", " ")
         # printable: no other white space, and no control characters
-        if "  " in flat or flat[0] == " " or flat[-1] == " " or not flat.isprintable():
-            return self.whole(text)
-        # a line's first word keeps its break: "a b\nc" is "a", " b" and "\nc"
-        first, *rest = text.replace("\n", " \n").split(" ")
-        return self[_START + first] + b"".join(map(self.__getitem__, rest))
+        return not ("  " in flat or flat[0] == " " or flat[-1] == " " or not flat.isprintable() or self.added.search(text))
 
-
-def pieces(path: str) -> Pieces:
+    def ids(self, text: str | None) -> bytes:
+        return self.many([text])[0]
+
+    def many(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of every text, as little-endian bytes."""
+        out: list[bytes] = [b""] * len(texts)
+        some, size = [], 0
+        for i, text in enumerate(texts):
+            if not text:
+                continue
+            if not self.plain(text):
+                out[i] = self.whole(text)
+                continue
+            some.append(i)
+            size += len(text)
+            if size >= _SLICE_BYTES:
+                self._slice(texts, some, out)
+                some, size = [], 0
+        if some:
+            self._slice(texts, some, out)
+        return out
+
+    def _slice(self, texts: list, some: list[int], out: list[bytes]) -> None:
+        """The ids of the plain texts ``some``."""
+        # "a b\nc" is "a", " b", "\n" and "c"; a mark stands for "without the blank before it"
+        lines = pa.array([(_START + texts[i]).replace("\n", f" \n {_START}") for i in some], pa.large_string())
+        words = pc.split_pattern(lines, " ")
+        ends = np.asarray(words.offsets)[1:] - words.offsets[0].as_py()
+        numbered = pc.dictionary_encode(words.flatten())
+        distinct = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
+        known = list(map(self.get, distinct))
+        for i, ids in enumerate(known):
+            if ids is None:
+                # ASCII punctuation after letters and digits never shares an id with them, but it may
+                # with the mark that a letter's lower case carries
+                stem = _STEM.match(distinct[i])
+                if stem and stem[1].lstrip(_START).lower().isalnum():
+                    known[i] = self[stem[1]] + self[_START + stem[2]]
+                else:
+                    known[i] = self[distinct[i]]
+        place = np.asarray(numbered.indices)
+        ids = np.frombuffer(b"".join(known), self.dtype)
+        sizes = np.fromiter(map(len, known), np.int32, len(known)) // ids.itemsize
+        starts = np.cumsum(sizes, dtype=np.int32) - sizes
+        sizes = sizes[place]
+        after = np.cumsum(sizes, dtype=np.int64)
+        # the ids of a piece are a run: its first place, then one further each
+        run = np.repeat((starts[place] - (after - sizes)).astype(np.int32), sizes)
+        run += np.arange(len(run), dtype=np.int32)
+        flat = ids[run].tobytes()
+        cut = (after[ends - 1] * ids.itemsize).tolist()
+        for i, a, b in zip(some, [0, *cut], cut, strict=False):
+            out[i] = flat[a:b]
+
+
+def pieces(path: str, special_text: bool = False, table_bytes: int = TABLE_BYTES) -> Pieces:
     """The worker's table for a vocabulary file, kept between tasks."""
-    if path not in _LOADED:
-        _LOADED[path] = Pieces(path)
-    return _LOADED[path]
+    if (path, special_text) not in _LOADED:
+        _LOADED[path, special_text] = Pieces(path, special_text)
+    known = _LOADED[path, special_text]
+    known.table_bytes = table_bytes
+    return known

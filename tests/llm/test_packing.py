@@ -16,7 +16,6 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 
 def ids_of(rows):
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     return [t.encode(r[1] or "", add_special_tokens=False).ids + [2] for r in rows]
 
 

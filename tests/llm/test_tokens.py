@@ -30,9 +30,7 @@ def test_pieces_give_the_ids_of_whole_texts(file, text):
 
 
 def library(file):
-    t = Tokenizer.from_file(public_tokenizers.path(file))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path(file))
 
 
 @pytest.mark.parametrize("file", FILES)
@@ -43,6 +41,22 @@ def test_tricky_texts(file):
         assert KNOWN[file].ids(row[1]) == want
 
 
+@pytest.mark.parametrize("file", FILES)
+def test_many_texts_at_once(file, monkeypatch):
+    """Slices, repeated and odd texts, and strings of added tokens, as the
+    library reads them or as ordinary text."""
+    from strata.llm import tokens
+
+    monkeypatch.setattr(tokens, "_SLICE_BYTES", 300)
+    monkeypatch.setattr(tokens, "TABLE_BYTES", 5000)
+    texts = [row[1] for row in tricky_rows()] * 2 + ["a <|endoftext|> b", "<|startoftext|>", "<|ENDOFTEXT|>x", "end\nof text"]
+    for special_text in (False, True):
+        t = library(file)
+        t.encode_special_tokens = special_text
+        want = [np.array(t.encode(x or "", add_special_tokens=False).ids, "<u2").tobytes() for x in texts]
+        assert Pieces(public_tokenizers.path(file), special_text).many(texts) == want
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 299), max_size=700), st.integers(0, 3))
 def test_coder_round_trip(ids, cuts):
@@ -110,3 +124,15 @@ def test_corpus_gives_the_ids_back(spark, tricky, tmp_path):
     texts = sorted(t.decode(np.frombuffer(r["ids"], "<u4")[:-1].tolist(), skip_special_tokens=False) for r in back)
     want = [r[1] or "" for r in tricky_rows()]
     assert texts == sorted(want)
+
+
+def test_blocks_are_smaller_than_the_entropy_of_their_ids():
+    """Whole texts of a given table, against the plain order-0 entropy of the same ids."""
+    import pyarrow.parquet as pq
+
+    texts = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).column(0).to_pylist()
+    ids = np.frombuffer(b"".join(KNOWN[FILES[0]].many(texts)), "<u2")
+    shares = np.bincount(ids)[np.unique(ids)] / len(ids)
+    block = rangecoder.encode_block([0], [len(ids)], ids, 50_257)
+    assert (rangecoder.decode_block(block)[2] == ids).all()
+    assert 8 * len(block) / len(ids) < -(shares * np.log2(shares)).sum()

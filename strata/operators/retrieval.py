@@ -41,7 +41,8 @@ BM25_B = 0.75
 # more queries take more scans, each with a query side of this size.
 QUERY_ROWS = 200_000
 QUERY_BYTES = 64 << 20
-_CELLS = 1 << 22  # scores held at a time: documents x queries
+_CELLS = 1 << 20  # scores held at a time: documents x queries
+_TOKENS = 1 << 18  # tokens worked on at a time, or one document's
 
 
 def _with_fallback(queries: DataFrame, hits: DataFrame, qid: str) -> DataFrame:
@@ -209,6 +210,19 @@ def _flat_tokens(batch):
     return batch.column("doc_id"), sizes, np.asarray(toks.flatten())
 
 
+def _runs(sizes, most: int):
+    """Runs ``(a, b)`` of documents that cover ``sizes`` (tokens a document) in
+    order: at most ``most`` documents and ``_TOKENS`` tokens, or one document."""
+    import numpy as np
+
+    ends, a = np.cumsum(sizes), 0
+    while a < len(sizes):
+        fit = int(np.searchsorted(ends, ends[a] - sizes[a] + _TOKENS, side="right"))
+        b = max(a + 1, min(a + most, fit))
+        yield a, b
+        a = b
+
+
 def _statistics(vocab):
     """Per partition: in how many documents each vocabulary term stands, and
     (as terms null) the number of texts and tokens."""
@@ -221,9 +235,11 @@ def _statistics(vocab):
         df = np.zeros(len(known), np.int64)
         for batch in batches:
             _, sizes, flat = _flat_tokens(batch)
-            at, hit = _lookup(known, flat)
-            pairs = np.unique(np.repeat(np.arange(len(sizes)), sizes)[hit] * max(1, len(known)) + at[hit])
-            df += np.bincount(pairs % max(1, len(known)), minlength=len(known))
+            ends = np.cumsum(sizes)
+            for a, b in _runs(sizes, len(sizes)):
+                at, hit = _lookup(known, flat[ends[a] - sizes[a] : ends[b - 1]])
+                pairs = np.unique(np.repeat(np.arange(b - a), sizes[a:b])[hit] * max(1, len(known)) + at[hit])
+                df += np.bincount(pairs % max(1, len(known)), minlength=len(known))
             n, n_len = n + len(sizes), n_len + len(sizes) - batch.column("toks").null_count
             total += len(flat)
         some = np.flatnonzero(df)
@@ -250,8 +266,7 @@ def _bm25_scan(side, k: int, avgdl: float):
         for batch in batches:
             column, sizes, flat = _flat_tokens(batch)
             ids, ends = ids_of(column), np.cumsum(sizes)
-            for a in range(0, len(sizes), step):
-                b = min(a + step, len(sizes))
+            for a, b in _runs(sizes, step):
                 at, hit = _lookup(vocab, flat[ends[a] - sizes[a] : ends[b - 1]])
                 pairs, tf = np.unique(
                     at[hit] * (b - a) + np.repeat(np.arange(b - a), sizes[a:b])[hit], return_counts=True
@@ -327,21 +342,24 @@ def _postings_of(batches):
 
     for batch in batches:
         ids, sizes, flat = _flat_tokens(batch)
-        owner = np.repeat(np.arange(len(sizes)), sizes)
-        order = np.lexsort((flat, owner))
-        owner, flat = owner[order], flat[order]
-        new = np.flatnonzero((np.diff(owner, prepend=-1) != 0) | (np.diff(flat, prepend=0) != 0) | (np.arange(len(flat)) == 0))
-        tf = np.diff(np.r_[new, len(flat)])
-        at = pa.array(owner[new])
-        yield pa.RecordBatch.from_pydict(
-            {
-                "doc": batch.column("doc").take(at),
-                "doc_id": ids.take(at),
-                "term": pa.array(flat[new], pa.int64()),
-                "tf": pa.array(tf, pa.int64()),
-                "length": pa.array(sizes[owner[new]].astype(np.int64)),
-            }
-        )
+        docs, ends = batch.column("doc"), np.cumsum(sizes)
+        for a, b in _runs(sizes, len(sizes)):
+            owner = np.repeat(np.arange(a, b), sizes[a:b])
+            terms = flat[ends[a] - sizes[a] : ends[b - 1]]
+            order = np.lexsort((terms, owner))
+            owner, terms = owner[order], terms[order]
+            new = np.flatnonzero((np.diff(owner, prepend=-1) != 0) | (np.diff(terms, prepend=0) != 0))
+            tf = np.diff(np.r_[new, len(terms)])
+            at = pa.array(owner[new])
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "doc": docs.take(at),
+                    "doc_id": ids.take(at),
+                    "term": pa.array(terms[new], pa.int64()),
+                    "tf": pa.array(tf, pa.int64()),
+                    "length": pa.array(sizes[owner[new]].astype(np.int64)),
+                }
+            )
 
 
 def build_index(

@@ -159,3 +159,32 @@ def test_an_index_of_no_documents(spark, scratch):
     queries = spark.createDataFrame([(1, "w1")], "qid int, text string")
     R.build_index(docs, scratch + "/index")
     assert hits(R.search_index(spark, scratch + "/index", queries)) == hits(R.kb_search(queries, docs))
+
+
+def test_token_work_is_bounded_and_answers_stay(spark, scratch, monkeypatch):
+    import pyarrow as pa
+
+    lengths = [3, 0, 70, 20, 20, 20, None, 49, 1, 130, 5]
+    toks = [None if n is None else list(np.random.default_rng(i).integers(0, 30, n)) for i, n in enumerate(lengths)]
+    batch = pa.RecordBatch.from_pydict(
+        {
+            "doc": pa.array(range(len(toks)), pa.int64()),
+            "doc_id": pa.array([9, 9, None, *range(8)], pa.int64()),
+            "toks": pa.array(toks, pa.list_(pa.int64())),
+        }
+    )
+    whole = pa.Table.from_batches(list(R._postings_of([batch])))
+    monkeypatch.setattr(R, "_TOKENS", 50)
+    parts = list(R._postings_of([batch]))
+    assert pa.Table.from_batches(parts).to_pylist() == whole.to_pylist()
+    assert whole.to_pylist()[0]["length"] == 3 and sum(whole["tf"].to_pylist()) == sum(n or 0 for n in lengths)
+    for part in parts:
+        assert sum(part["tf"].to_pylist()) <= 50 or len(set(part["doc"].to_pylist())) == 1
+
+    docs = spark.createDataFrame(many_docs(), "doc_id long, text string").repartition(2)
+    queries = spark.createDataFrame([(1, "w1 w2 w2"), (2, "w79 unknown"), (3, "unknown")], "qid int, text string")
+    R.build_index(docs, scratch + "/index", buckets=16)
+    sliced = hits(R.search_index(spark, scratch + "/index", queries, k=4))
+    assert sliced == hits(R.kb_search(queries, docs, k=4))
+    monkeypatch.setattr(R, "_TOKENS", 1 << 30)
+    assert sliced == hits(R.kb_search(queries, docs, k=4))

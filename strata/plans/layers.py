@@ -316,6 +316,13 @@ def sql_unqualified(spark, sf_dir):
     return sql_run(spark, "SELECT estado, count(*) AS n FROM dim_hospital GROUP BY estado", namespace=ns).df
 
 
+def fact_totals(fact: DataFrame, table: str, key: str, cost: str) -> DataFrame:
+    """One row of totals of a fact. Its rows are grouped by the bare key,
+    map-side; a name beside the key would be hashed with every row."""
+    sums = fact.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(key).alias("ids"), F.sum(cost).alias("custo"))
+    return sums.select(F.lit(table).alias("table"), "rows", "ids", "custo")
+
+
 @register(
     "pipe_run_all",
     O.with_curated(
@@ -329,18 +336,12 @@ def pipe_run_all(spark, sf_dir):
     from strata.plans import workflow as W
 
     root, ns = _place(spark)
-    for name, df in S.raw_tables(spark, sf_dir).items():
-        df.write.parquet(f"{root}/raw/{name}")
+    raw = S.raw_tables(spark, sf_dir)
+    W.parallel(spark, {t: (lambda t=t: raw[t].write.parquet(f"{root}/raw/{t}")) for t in raw}, workers=len(raw))
     W.run_all(spark, f"{root}/tables", raw_root=f"{root}/raw", staged_namespace=f"{ns}_staged", curated_namespace=ns)
-    first = spark.table(f"{ns}.fato_exames_receitas").selectExpr(
-        "'fato_exames_receitas' AS table", "id_evento AS id", "custo"
-    )
-    second = spark.table(f"{ns}.fato_consultas_procedimentos").selectExpr(
-        "'fato_consultas_procedimentos' AS table", "id_fato AS id", "custo_estimado AS custo"
-    )
-    totals = first.unionByName(second).groupBy("table")
-    return totals.agg(
-        F.count(F.lit(1)).alias("rows"), F.count_distinct("id").alias("ids"), F.sum("custo").alias("custo")
+    exams, visits = "fato_exames_receitas", "fato_consultas_procedimentos"
+    return fact_totals(spark.table(f"{ns}.{exams}"), exams, "id_evento", "custo").unionByName(
+        fact_totals(spark.table(f"{ns}.{visits}"), visits, "id_fato", "custo_estimado")
     )
 
 

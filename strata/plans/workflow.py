@@ -35,7 +35,7 @@ def _in_pool(spark: SparkSession, pool: str, fn: Callable, *args):
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
 
 
-def _parallel(spark: SparkSession, jobs: dict[str, Callable[[], object]], workers: int) -> dict[str, object]:
+def parallel(spark: SparkSession, jobs: dict[str, Callable[[], object]], workers: int) -> dict[str, object]:
     with ThreadPoolExecutor(max_workers=max(1, min(workers, len(jobs)))) as pool:  # others end even if one fails
         futures = {name: pool.submit(_in_pool, spark, name, fn) for name, fn in jobs.items()}
         return {name: f.result() for name, f in futures.items()}  # re-raises the first failure
@@ -100,7 +100,7 @@ def run_staging(
 
 def _run(spark: SparkSession, jobs: dict, workers: int, ledger: Ledger | None, layer: str) -> dict[str, str]:
     done, left = ledger.jobs(layer, jobs) if ledger else ({}, jobs)
-    return done | (_parallel(spark, left, workers) if left else {})
+    return done | (parallel(spark, left, workers) if left else {})
 
 
 def read_staged(spark: SparkSession, namespace: str) -> dict[str, DataFrame]:

@@ -68,3 +68,16 @@ def test_layers_are_documented(spark, lake):
     assert staged["consultas"].description.endswith("Key: id_consulta.")
     curated = {r.table: r for r in describe_layer(spark, "curated").collect()}
     assert "n rows per event" in curated["fato_exames_receitas"].description
+
+
+def test_totals_of_a_fact_group_by_the_bare_key(spark):
+    from strata.plans.layers import fact_totals
+
+    schema = "id_evento int, custo double, note string"
+    rows = [(1, 2.5, "a"), (1, None, "b"), (2, 1.0, None), (None, 4.0, "c"), (None, None, "d"), (3, None, "e")]
+    totals = fact_totals(spark.createDataFrame(rows, schema), "fato", "id_evento", "custo")
+    assert [tuple(r) for r in totals.collect()] == [("fato", 6, 3, 7.5)]
+    plan = totals._jdf.queryExecution().sparkPlan().toString()
+    assert "keys=[id_evento#" in plan and "keys=[table#" not in plan
+    empty = fact_totals(spark.createDataFrame([], schema), "fato", "id_evento", "custo")
+    assert [tuple(r) for r in empty.collect()] == [("fato", 0, 0, None)]

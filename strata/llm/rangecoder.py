@@ -87,8 +87,8 @@ class _Model:
         """The order-0 table from the counts: every id at least 1, sum 2^20.
         The ids not seen yet share what the ids seen once suggest (one part in
         ``seen`` each), at most 15 parts of 16."""
-        for ids in self.recent:
-            self.counts += np.bincount(ids, minlength=self.symbols)
+        if self.recent:
+            self.counts += np.bincount(np.concatenate(self.recent), minlength=self.symbols)
         self.recent = []
         total, seen = 1 << _TOTAL_BITS, int(self.counts.sum())
         new = self.counts == 0
@@ -111,28 +111,41 @@ class _Model:
     def predict(self) -> None:
         mixed = self.prev2.astype(np.int64) * 40503 + self.prev1.astype(np.int64) * 2654435
         self.slot = (mixed >> 5) & (_SLOTS - 1)
-        self.e2 = self.after2[self.slot]
+        self.e2 = self.after2.take(self.slot)
         self.at1 = self.prev1 & 0xFFFF
-        self.e1 = self.after1[self.at1]
+        self.e1 = self.after1.take(self.at1)
         self.guess2, self.n2 = self.e2 >> np.int32(4), self.e2 & np.int32(15)
         self.guess1, self.n1 = self.e1 >> np.int32(4), self.e1 & np.int32(15)
         self.differ = self.guess1 != self.guess2
         self.i1 = self.n1 * np.int32(2) + self.differ
-        self.i0 = self.rarity[self.guess2]
-        self.s2 = _STRETCH[self.by2 >> 4][self.n2]
-        self.s1 = _STRETCH[self.by1 >> 4][self.i1]
-        self.s0 = _STRETCH[self.by0 >> 4][self.i0]
+        self.i0 = self.rarity.take(self.guess2)
+        self.s2 = _STRETCH[self.by2 >> 4].take(self.n2)
+        self.s1 = _STRETCH[self.by1 >> 4].take(self.i1)
+        self.s0 = _STRETCH[self.by0 >> 4].take(self.i0)
         w2, w1, w0 = map(np.int32, self.weights)
         dot = (w2 * self.s2 + w1 * self.s1 + w0 * self.s0) >> np.int32(16)
         np.minimum(np.maximum(dot, np.int32(-2047), out=dot), np.int32(2047), out=dot)
-        self.chance = _SQUASH[dot + np.int32(2048)]
+        dot += np.int32(2048)
+        self.chance = _SQUASH.take(dot)
         self.size2 = self.chance * _UNIT  # of _SPACE - _REST, in 4096ths
         self.j = self.n1 * np.int32(16) + self.n2
-        chance1 = (self.second >> 4).astype(np.int32)[self.j] * self.differ
+        chance1 = (self.second >> 4).astype(np.int32).take(self.j) * self.differ
         self.size1 = ((np.int32(_SPACE - _REST) - self.size2) >> np.int32(12)) * chance1
         self.base0 = self.size2 + self.size1
         self.size0 = (np.int32(_SPACE) - self.base0).astype(np.int64)
 
+    def rest(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The order-0 intervals of ``ids``."""
+        place = ids.astype(np.int64)
+        at = self.cum.take(place)
+        place += 1
+        end = self.cum.take(place)
+        for bound in (at, end):
+            bound *= self.size0
+            bound >>= _TOTAL_BITS
+            bound += self.base0
+        return at, end
+
     def narrow(self, at: np.ndarray, end: np.ndarray, is2: np.ndarray, is1: np.ndarray) -> None:
         """The guesses' intervals where a guess is right."""
         np.copyto(at, self.size2, where=is1)
@@ -166,7 +179,7 @@ class _Model:
             (self.after2, self.slot, self.e2, self.n2, hit2),
             (self.after1, self.at1, self.e1, self.n1, hit1),
         ):
-            after = entry + _STEP[n + (hit << np.int32(4))]
+            after = entry + _STEP.take(n + (hit << np.int32(4)))
             np.copyto(after, fresh, where=(n < 2) & ~hit)
             table[slot] = after
         self.recent.append(ids)
@@ -199,8 +212,7 @@ def _code(ids: np.ndarray, lanes: int, steps: int, symbols: int) -> tuple[np.nda
         model.predict()
         hit2 = now == model.guess2
         hit1 = now == model.guess1
-        at = model.base0 + ((model.cum[now] * model.size0) >> _TOTAL_BITS)
-        end = model.base0 + ((model.cum[now + 1] * model.size0) >> _TOTAL_BITS)
+        at, end = model.rest(now)
         model.narrow(at, end, hit2, hit1)
         unit = rng >> np.uint64(_SPACE_BITS)
         low += unit * at.view(np.uint64)
@@ -247,9 +259,8 @@ def _decode(used: np.ndarray, words: np.ndarray, n: int, lanes: int, steps: int,
         rest = np.maximum(value - model.base0, 0)
         # exact: the quotient is below 2^21 and its fraction at least 2^-27 from the next integer
         place = ((((rest + 1) << _TOTAL_BITS) - 1) / model.size0).astype(np.int64)
-        now = model.lookup()[np.minimum(place, (1 << _TOTAL_BITS) - 1)]
-        at = model.base0 + ((model.cum[now] * model.size0) >> _TOTAL_BITS)
-        end = model.base0 + ((model.cum[now + 1] * model.size0) >> _TOTAL_BITS)
+        now = model.lookup().take(np.minimum(place, (1 << _TOTAL_BITS) - 1))
+        at, end = model.rest(now)
         np.copyto(now, model.guess1, where=is1)
         np.copyto(now, model.guess2, where=is2)
         model.narrow(at, end, is2, is1)

@@ -92,11 +92,13 @@ class _Model:
         self.recent = []
         total, seen = 1 << _TOTAL_BITS, int(self.counts.sum())
         new = self.counts == 0
-        n_new, once = int(new.sum()), int((self.counts == 1).sum())
+        n_new, once = int(np.count_nonzero(new)), int(np.count_nonzero(self.counts == 1))
         part = min(total * once // seen, total * 15 // 16) if seen else 0
         floor = 1 + max(0, part - n_new) // max(n_new, 1)
         room = total - n_new * floor - (self.symbols - n_new)
-        freq = np.where(new, floor, 1 + (self.counts * room // seen if seen else 0))
+        freq = self.counts * room // max(seen, 1)
+        freq += new * np.int64(floor - 1)
+        freq += 1
         freq[int(freq.argmax())] += total - int(freq.sum())
         self.cum = np.zeros(self.symbols + 1, np.int64)
         np.cumsum(freq, out=self.cum[1:])
@@ -105,14 +107,19 @@ class _Model:
 
     def lookup(self) -> np.ndarray:
         if self.symbol_at is None:
-            self.symbol_at = np.repeat(np.arange(self.symbols, dtype=np.int32), np.diff(self.cum))
+            dtype = np.uint16 if self.symbols <= 1 << 16 else np.int32
+            self.symbol_at = np.repeat(np.arange(self.symbols, dtype=dtype), np.diff(self.cum))
         return self.symbol_at
 
     def predict(self) -> None:
-        mixed = self.prev2.astype(np.int64) * 40503 + self.prev1.astype(np.int64) * 2654435
-        self.slot = (mixed >> 5) & (_SLOTS - 1)
+        self.at1 = self.prev1.astype(np.int64)
+        self.slot = self.prev2.astype(np.int64)
+        self.slot *= 40503
+        self.slot += self.at1 * 2654435
+        self.slot >>= 5
+        self.slot &= _SLOTS - 1
+        self.at1 &= 0xFFFF
         self.e2 = self.after2.take(self.slot)
-        self.at1 = self.prev1 & 0xFFFF
         self.e1 = self.after1.take(self.at1)
         self.guess2, self.n2 = self.e2 >> np.int32(4), self.e2 & np.int32(15)
         self.guess1, self.n1 = self.e1 >> np.int32(4), self.e1 & np.int32(15)
@@ -147,28 +154,35 @@ class _Model:
         return at, end
 
     def narrow(self, at: np.ndarray, end: np.ndarray, is2: np.ndarray, is1: np.ndarray) -> None:
-        """The guesses' intervals where a guess is right."""
-        np.copyto(at, self.size2, where=is1)
-        np.copyto(end, self.base0, where=is1)
-        np.copyto(at, 0, where=is2)
-        np.copyto(end, self.size2, where=is2)
+        """The guesses' intervals where a guess is right (never both ``is2``
+        and ``is1``). By masks of bits: where hits are random, copies under a
+        condition cost many times as much."""
+        first, second = -is2.astype(np.int64), -is1.astype(np.int64)
+        other = ~(first | second)
+        size2 = self.size2.astype(np.int64)
+        at &= other
+        at |= size2 & second
+        end &= other
+        end |= self.base0 & second
+        end |= size2 & first
 
     @staticmethod
-    def _train(table: np.ndarray, index: np.ndarray, hit: np.ndarray) -> None:
-        n = np.bincount(index, minlength=len(table))
-        h = np.bincount(index[hit], minlength=len(table))
+    def _train(table: np.ndarray, index: np.ndarray, hit: np.ndarray, among: np.ndarray | None = None) -> None:
+        if among is None:
+            n, h = np.bincount(index * np.int32(2) + hit, minlength=2 * len(table)).reshape(-1, 2).T
+            n = n + h
+        else:
+            n, h = np.bincount(index * np.int32(4) + among * np.int32(2) + hit, minlength=4 * len(table)).reshape(-1, 4).T[2:]
+            n = n + h
         table += (h * 65535 - n * table) // (n + 256)
         np.clip(table, 64, 65535 - 64, out=table)
 
-    def learn(self, ids: np.ndarray) -> None:
-        hit2 = ids == self.guess2
-        hit1 = ids == self.guess1
+    def learn(self, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
         if self.step < 16 or self.step % 8 == 0:
             self._train(self.by2, self.n2, hit2)
             self._train(self.by1, self.i1, hit2)
             self._train(self.by0, self.i0, hit2)
-            open1 = self.differ & ~hit2
-            self._train(self.second, self.j[open1], hit1[open1])
+            self._train(self.second, self.j, hit1, self.differ & ~hit2)
             err = (hit2.astype(np.int64) << 12) - self.chance
             lanes = len(ids)
             for i, s in enumerate((self.s2, self.s1, self.s0)):
@@ -179,8 +193,9 @@ class _Model:
             (self.after2, self.slot, self.e2, self.n2, hit2),
             (self.after1, self.at1, self.e1, self.n1, hit1),
         ):
-            after = entry + _STEP.take(n + (hit << np.int32(4)))
-            np.copyto(after, fresh, where=(n < 2) & ~hit)
+            after = _STEP.take(n + (hit << np.int32(4)))
+            after += entry
+            after += (fresh - after) * ((n < 2) & ~hit)
             table[slot] = after
         self.recent.append(ids)
         self.prev2, self.prev1 = self.prev1, ids
@@ -200,36 +215,43 @@ def _lanes(n: int) -> tuple[int, int]:
 
 def _code(ids: np.ndarray, lanes: int, steps: int, symbols: int) -> tuple[np.ndarray, np.ndarray]:
     """Words per lane, and all words lane after lane."""
-    grid = np.zeros(lanes * steps, np.int32)
-    grid[: len(ids)] = ids
-    grid = np.ascontiguousarray(grid.reshape(lanes, steps).T)
+    by_lane = np.zeros(lanes * steps, np.int32)
+    by_lane[: len(ids)] = ids
+    by_lane = by_lane.reshape(lanes, steps)
+    grid = np.empty((steps, lanes), np.int32)
+    for t in range(0, steps, 16):  # a cache line of every lane at a time
+        grid[t : t + 16] = by_lane[:, t : t + 16].T
     model = _Model(lanes, symbols)
     low = np.zeros(lanes, np.uint64)
     rng = np.full(lanes, 0xFFFFFFFFFFFFFFFF, np.uint64)
     out = np.empty((steps + 1, lanes), np.uint32)  # lanes run nearly level: rows are written together
+    cells = out.reshape(-1)
     used = np.zeros(lanes, np.int64)
     for now in grid:
         model.predict()
         hit2 = now == model.guess2
         hit1 = now == model.guess1
         at, end = model.rest(now)
-        model.narrow(at, end, hit2, hit1)
+        model.narrow(at, end, hit2, hit1 & ~hit2)
         unit = rng >> np.uint64(_SPACE_BITS)
         low += unit * at.view(np.uint64)
-        rng = unit * (end - at).view(np.uint64)
+        end -= at
+        rng = unit * end.view(np.uint64)
         i = np.flatnonzero(rng < _TOP)
         if len(i):
-            lo, r = low[i], rng[i]
+            lo, r = low.take(i), rng.take(i)
             apart = ((lo ^ (lo + r - np.uint64(1))) >> _WORD) != 0
             r = np.where(apart, _TOP - (lo & _LOW), r)  # stop at the word's end: no carry
-            out[used[i], i] = lo >> _WORD
-            used[i] += 1
+            row = used.take(i)
+            cells[row * lanes + i] = lo >> _WORD
+            used[i] = row + 1
             low[i], rng[i] = lo << _WORD, r << _WORD
-        model.learn(now)
+        model.learn(now, hit2, hit1)
     # every range is 2^32 or more now: the next value whose low word is zero lies in it
     out[used, np.arange(lanes)] = (low + _LOW) >> _WORD
     used += 1
-    return used, out.T[np.arange(steps + 1) < used[:, None]]
+    most = int(used.max())
+    return used, out[:most].T[np.arange(most) < used[:, None]]
 
 
 def _decode(used: np.ndarray, words: np.ndarray, n: int, lanes: int, steps: int, symbols: int) -> np.ndarray:
@@ -239,8 +261,8 @@ def _decode(used: np.ndarray, words: np.ndarray, n: int, lanes: int, steps: int,
 
     def read(i: np.ndarray) -> np.ndarray:
         """The next word of the lanes ``i``; zeros follow a lane's end."""
-        at = nxt[i]
-        nxt[i] += 1
+        at = nxt.take(i)
+        nxt[i] = at + 1
         return np.where(at < after[i], words[np.minimum(at, len(words) - 1)], np.uint64(0))
 
     every = np.arange(lanes)
@@ -259,24 +281,25 @@ def _decode(used: np.ndarray, words: np.ndarray, n: int, lanes: int, steps: int,
         rest = np.maximum(value - model.base0, 0)
         # exact: the quotient is below 2^21 and its fraction at least 2^-27 from the next integer
         place = ((((rest + 1) << _TOTAL_BITS) - 1) / model.size0).astype(np.int64)
-        now = model.lookup().take(np.minimum(place, (1 << _TOTAL_BITS) - 1))
+        now = model.lookup().take(np.minimum(place, (1 << _TOTAL_BITS) - 1)).astype(np.int32)
         at, end = model.rest(now)
-        np.copyto(now, model.guess1, where=is1)
-        np.copyto(now, model.guess2, where=is2)
+        now += (model.guess1 - now) * is1
+        now += (model.guess2 - now) * is2
         model.narrow(at, end, is2, is1)
         low += unit * at.view(np.uint64)
-        rng = unit * (end - at).view(np.uint64)
+        end -= at
+        rng = unit * end.view(np.uint64)
         i = np.flatnonzero(rng < _TOP)
         if len(i):
-            lo, r = low[i], rng[i]
+            lo, r = low.take(i), rng.take(i)
             apart = ((lo ^ (lo + r - np.uint64(1))) >> _WORD) != 0
             r = np.where(apart, _TOP - (lo & _LOW), r)
-            code[i] = (code[i] << _WORD) | read(i)
+            code[i] = (code.take(i) << _WORD) | read(i)
             low[i], rng[i] = lo << _WORD, r << _WORD
         if int(now.max()) >= symbols:
             raise ValueError("damaged block: an id out of range")
         grid[t] = now
-        model.learn(now)
+        model.learn(now, now == model.guess2, now == model.guess1)
     return np.ascontiguousarray(grid.T).reshape(-1)[:n]
 
 

@@ -35,9 +35,25 @@ from strata.llm.tokens import pieces
 
 END_ID = 2
 BLOCK_IDS = 4_000_000
+GATHER_CHARS = 6 << 20
 BLOCKS = "part int, block long, ids_before long, n_docs long, n_ids long, data binary"
 
 
+def gathered(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[list, list]]:
+    """Ids and texts of whole frames, about ``GATHER_CHARS`` together: the more
+    texts at a time, the fewer look-ups of the pieces they share."""
+    ids, texts, held = [], [], 0
+    for f in frames:
+        ids += list(f["doc_id"])
+        texts += list(f["text"])
+        held += sum(len(t) for t in f["text"] if t)
+        if held >= GATHER_CHARS:
+            yield ids, texts
+            ids, texts, held = [], [], 0
+    if ids:
+        yield ids, texts
+
+
 def encode_corpus(
     df: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "text", end_id: int = END_ID
 ) -> DataFrame:
@@ -58,8 +74,8 @@ def encode_corpus(
                 columns=["part", "block", "ids_before", "n_docs", "n_ids", "data"],
             )
 
-        for f in frames:
-            for d, ids in zip(f["doc_id"], known.many(list(f["text"])), strict=True):
+        for ids_of, rows in gathered(frames):
+            for d, ids in zip(ids_of, known.many(rows), strict=True):
                 ids += end
                 n = len(ids) // np.dtype(known.dtype).itemsize
                 if keys and held + n > BLOCK_IDS:

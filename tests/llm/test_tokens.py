@@ -143,3 +143,26 @@ def test_the_coded_words_of_known_ids_stay():
     ids = ((i * i % 9973) * (i % 7) + i % 13) % 50_300
     used, words = rangecoder._code(ids, *rangecoder._lanes(len(ids)), 50_300)
     assert zlib.crc32(words.astype("<u4").tobytes(), zlib.crc32(used.astype("<u4").tobytes())) == 4135462420
+
+
+@pytest.mark.parametrize("file", FILES)
+def test_distinct_words_are_looked_up_once_without_their_punctuation(file, monkeypatch):
+    seen = []
+    known = Pieces(public_tokenizers.path(file))
+    monkeypatch.setattr(known, "known", lambda units: seen.append(units) or Pieces.known(known, units))
+    text = 'Żółw one, one. one\none! "one" straße; straße İ! Å. x1, ... 100% a\u00d7b.'
+    assert known.ids(text) == known.whole(text)
+    (units,) = seen
+    assert len(units) == len(set(units)) and {"one", "\0one", "\0,", "\0.", "\0!"} <= set(units)
+    assert not {"one,", "one.", "\0one!"} & set(units)
+
+
+def test_frames_are_gathered_whole(monkeypatch):
+    import pandas as pd
+
+    monkeypatch.setattr(token_io, "GATHER_CHARS", 10)
+    frames = [pd.DataFrame({"doc_id": [str(i), None], "text": ["x" * 4, None]}) for i in range(7)]
+    got = list(token_io.gathered(iter(frames)))
+    assert [len(ids) for ids, _ in got] == [6, 6, 2]
+    assert [t for _, texts in got for t in texts] == ["xxxx", None] * 7
+    assert [i for ids, _ in got for i in ids] == [x for i in range(7) for x in (str(i), None)]
